@@ -17,7 +17,7 @@ from tidemark.operators.cleaning import check_constraints, clean_report, clean_s
 from tidemark.operators.flatten import combine, flatten_payloads
 from tidemark.operators.layout import blank_nat, conform
 from tidemark.plans.lake import TABLES
-from tidemark.session import work_folder
+from tidemark.session import stage, work_folder
 from tidemark.sources import bronze as bronze_source, slices
 from tidemark.streaming.daily import start_daily_summary
 from tidemark.streaming.ingest import start_silver_ingest
@@ -65,8 +65,8 @@ def cleaning_report(spark, sf_dir):
 
 @query
 def silver_load_rows(spark, sf_dir):
-    """Silver rows to insert: the second half against a table that holds the first."""
-    silver = _silver(spark, sf_dir)
+    """Silver rows to insert: all rows against a table that holds the first half of the month."""
+    silver = stage(_silver(spark, sf_dir), "silver")
     old = silver.where(F.col("ingest_date") < F.lit(MIDDLE))
     new = merge.insert_ignore(
         old, silver, schemas.SILVER_KEY, ["event_id"], nullable=("forecast_hour_utc",)

@@ -198,8 +198,8 @@ def _days(build) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(2)), build)
 
 
-def _payloads() -> dict[str, Column]:
-    """A payload per provider, built from one event: three forecasts each."""
+def _payload(provider: str) -> Column:
+    """The payload of a provider built from one event: three forecasts."""
     e, v, k = F.col("event_id"), F.col("value"), F.get_json_object("props", "$.k").cast("int")
     zone = _pick(F.col("user_id"), *ZONES)
     hours = F.array(*[F.lit(h) for h in ZONE_HOURS])[(F.col("user_id") % 3).cast("int")]
@@ -311,10 +311,10 @@ def _payloads() -> dict[str, Column]:
         return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), value)
 
     bodies = {
-        "foreca": F.struct(F.when(e % 13 != 0, zone).alias("tz"), _days(foreca).alias("forecast")),
-        "accuweather": F.struct(_days(accuweather).alias("DailyForecasts")),
-        "tomorrow": F.struct(F.struct(_days(tomorrow).alias("daily")).alias("timelines")),
-        "meteoblue": F.struct(
+        "foreca": lambda: F.struct(F.when(e % 13 != 0, zone).alias("tz"), _days(foreca).alias("forecast")),
+        "accuweather": lambda: F.struct(_days(accuweather).alias("DailyForecasts")),
+        "tomorrow": lambda: F.struct(F.struct(_days(tomorrow).alias("daily")).alias("timelines")),
+        "meteoblue": lambda: F.struct(
             F.struct(hours.alias("utc_timeoffset")).alias("metadata"),
             F.struct(
                 series(date).alias("time"),
@@ -325,17 +325,17 @@ def _payloads() -> dict[str, Column]:
                 F.when(e % 5 != 0, series(lambda i: v)).alias("precipitation_sum"),
             ).alias("data_day"),
         ),
-        "weatherbit": F.struct(
+        "weatherbit": lambda: F.struct(
             F.when(e % 13 != 0, zone).alias("timezone"), _days(weatherbit).alias("data")
         ),
-        "openweathermap": F.struct(
+        "openweathermap": lambda: F.struct(
             F.struct((hours * 3600).alias("timezone")).alias("city"), _days(openweathermap).alias("list")
         ),
-        "weatherapi": F.struct(
+        "weatherapi": lambda: F.struct(
             F.struct(zone.alias("tz_id")).alias("location"),
             F.struct(_days(weatherapi).alias("forecastday")).alias("forecast"),
         ),
-        "open_meteo": F.struct(
+        "open_meteo": lambda: F.struct(
             F.struct(
                 series(date).alias("time"),
                 series(lambda i: warm + i).alias("temperature_2m_max"),
@@ -348,7 +348,7 @@ def _payloads() -> dict[str, Column]:
             ).alias("daily")
         ),
     }
-    return {name: F.to_json(body) for name, body in bodies.items()}
+    return F.to_json(bodies[provider]())
 
 
 def _envelope(source: Column, payload: Column) -> list[Column]:
@@ -363,7 +363,7 @@ def _envelope(source: Column, payload: Column) -> list[Column]:
 
 def provider_bronze(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
     """Every event as a payload of one provider."""
-    return table(spark, sf_dir, "events").select(*_envelope(F.lit(provider), _payloads()[provider]))
+    return table(spark, sf_dir, "events").select(*_envelope(F.lit(provider), _payload(provider)))
 
 
 PROVIDER_ORDER = tuple(sorted(PARSERS))
@@ -371,14 +371,13 @@ PROVIDER_ORDER = tuple(sorted(PARSERS))
 
 def mix_providers(events: DataFrame) -> DataFrame:
     """Every event as a payload of a provider that changes with the event, faulty ones among them."""
-    e, payloads = F.col("event_id"), _payloads()
-    kind = e % 12
+    kind = F.col("event_id") % 12
     source = F.lit("unlisted_site")
     payload = F.lit('{"a": 1}')
     for i, name in enumerate(PROVIDER_ORDER):
         # Half of the providers come under their longer name.
         source = F.when(kind == i, F.lit(f"{name}_api" if i % 2 else name)).otherwise(source)
-        payload = F.when(kind == i, payloads[name]).otherwise(payload)
+        payload = F.when(kind == i, _payload(name)).otherwise(payload)
     source = F.when(kind.isin(8, 9, 10), F.lit("foreca")).otherwise(source)
     payload = (
         F.when(kind == 8, F.lit("{}"))
