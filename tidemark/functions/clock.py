@@ -167,13 +167,10 @@ def iso_text(local: Column) -> Column:
 
 def offset_text(seconds: Column) -> Column:
     """Offset east of UTC as +HH:MM."""
-    size = F.abs(seconds)
-    hours = F.floor(size / 3600).cast("string")
-    minutes = F.floor((size % 3600) / 60).cast("string")
-    return F.concat(
-        F.when(seconds < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.lpad(hours, 2, "0"), F.lit(":"), F.lpad(minutes, 2, "0"),
-    )
+    size = F.make_timestamp_ntz(
+        F.lit(2000), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)
+    ) + F.make_dt_interval(secs=F.abs(seconds).cast("decimal(18,6)"))
+    return F.concat(F.when(seconds < 0, "-").otherwise("+"), F.date_format(size, "HH:mm"))
 
 
 def offset_seconds(local: Column, utc: Column) -> Column:

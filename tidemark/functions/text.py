@@ -57,16 +57,26 @@ def _attribute(name: str, value: str) -> str:
     return rf"""(?:"{quoted}"|'{quoted}')"""
 
 
-def inner_html(html: Column, tag: str, attribute: str | None = None, value: str | None = None) -> Column:
-    """Content of the first ``<tag attribute="value">`` element, nested same-name tags included.
+def after_opening(html: Column, tag: str, attribute: str | None = None, value: str | None = None) -> Column:
+    """The page after the first ``<tag attribute="value">``; null when it has no such element."""
+    opening = rf"<{tag}(?=[\s>])[^>]*>"
+    if attribute is not None:
+        opening = rf"<{tag}\s(?:[^>]*?\s)?{attribute}\s*=\s*{_attribute(attribute, value)}[^>]*>"
+    return F.nullif(F.regexp_extract(html, rf"(?is){opening}(.*)", 1), F.lit(""))
+
+
+def before_closing(rest: Column, tag: str) -> Column:
+    """``rest`` up to the first closing tag."""
+    return F.substring_index(rest, f"</{tag}>", 1)
 
-    The rest of the page is cut at every opening or closing ``tag``; a fold over those pieces
-    keeps text until the depth returns to zero. Null when the page has no such element.
+
+def element_content(rest: Column, head: Column, tag: str) -> Column:
+    """Content of the element that was opened before ``rest``, nested same-name elements included.
+
+    ``head`` comes from ``before_closing`` and is the content unless a tag of the name occurs in
+    it. Then ``rest`` is cut at every such tag, and a fold over the pieces keeps text until the
+    depth returns to zero.
     """
-    opening = rf"(?is)<{tag}(?=[\s>])[^>]*>"
-    if attribute is not None:
-        opening = rf"(?is)<{tag}\s(?:[^>]*?\s)?{attribute}\s*=\s*{_attribute(attribute, value)}[^>]*>"
-    rest = F.get(F.split(html, opening, 2), F.lit(1))
     pieces = F.split(rest, rf"(?is)(?=</?{tag}[\s>])")
 
     def merge(seen: Column, piece: Column) -> Column:
@@ -80,7 +90,8 @@ def inner_html(html: Column, tag: str, attribute: str | None = None, value: str
         return F.struct(depth.alias("depth"), text.alias("text"))
 
     start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
-    return F.aggregate(pieces, start, merge, lambda seen: seen.text)
+    folded = F.aggregate(pieces, start, merge, lambda seen: seen.text)
+    return F.when(head.rlike(rf"(?i)</?{tag}[\s>]"), folded).otherwise(head)
 
 
 # The character references that occur in the pages' texts.
@@ -99,6 +110,7 @@ ENTITIES = {
 def element_text(inner: Column) -> Column:
     """Text of an element: tags removed, common character references resolved, ends trimmed."""
     text = F.regexp_replace(inner, "<[^>]*>", "")
+    resolved = text
     for reference, character in ENTITIES.items():
-        text = F.replace(text, F.lit(reference), F.lit(character))
-    return strip(text)
+        resolved = F.replace(resolved, F.lit(reference), F.lit(character))
+    return strip(F.when(text.contains("&"), resolved).otherwise(text))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.operators.parsers import EMPTY_JSON
+
 _LINEAGE = ("source", "place_name", "ingest_date", "ingest_hour")
 
 
@@ -43,8 +45,7 @@ def leaves(column: Column, kind: T.StructType, prefix: str = "") -> list[Column]
 
 def flatten_payloads(records: DataFrame, schema: str | None = None, keep_payload: bool = False) -> DataFrame:
     """Payload leaves as dotted columns, then the four lineage columns. Empty payloads give no row."""
-    payload = F.trim("payload")
-    records = records.where(F.col("payload").isNotNull() & ~payload.isin("", "{}", "null", "[]"))
+    records = records.where(F.col("payload").isNotNull() & ~F.col("payload").rlike(EMPTY_JSON))
     schema = schema or payload_schema(records)
     parsed = records.withColumn("_parsed", F.from_json("payload", schema))
     columns = leaves(F.col("_parsed"), parsed.schema["_parsed"].dataType)

@@ -1,10 +1,12 @@
 """Raw provider payloads to one forecast table.
 
 A provider is a payload schema and a function that turns the parsed payload into an array of
-forecast structs. All providers are applied in one projection, so bronze is scanned once
-whatever the number of providers; each payload is parsed with its own provider's schema only.
-Payload leaves are declared STRING and cast with ``try_cast``, because providers mix numbers
-and text in the same field.
+raw forecasts: text leaves plus a note on how to read their time. All providers are applied in
+one projection, so bronze is scanned once whatever their number, and each payload is parsed
+with its own provider's schema only. Casts and time conversions come after the arrays are
+inlined, as plain column expressions that Spark compiles.
+
+Payload leaves are declared STRING, because providers mix numbers and text in the same field.
 """
 
 from __future__ import annotations
@@ -12,13 +14,25 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions import clock
 from tidemark.functions.numbers import to_number
 from tidemark.functions.text import canonical_source
 from tidemark.schemas import FORECAST
 
+# How a forecast's time text is read.
+ZONE = "zone"  # wall clock in the IANA zone ``zone``
+OFFSET = "offset"  # wall clock, ``ahead`` seconds ahead of UTC, with an hour of its own
+SHIFT = "shift"  # wall clock, ``ahead`` hours ahead of UTC
+INSTANT = "instant"  # text that carries its own offset
+PLAIN = "plain"  # date in UTC
+
+_VALUES = tuple(
+    name for name in FORECAST.names
+    if name not in ("original_ts", "forecast_date_utc", "forecast_hour_utc")
+)
+
 
 @dataclass(frozen=True)
 class Provider:
@@ -26,35 +40,36 @@ class Provider:
     forecasts: Callable[[Column], Column]
 
 
-def _forecast(**fields: Column) -> Column:
-    """A forecast struct; fields that are not given are null."""
-    values = []
-    for field in FORECAST.fields:
-        value = fields.pop(field.name, None)
-        kind = field.dataType.simpleString()
-        if value is None:
-            value = F.lit(None).cast(kind)
-        elif kind == "double":
-            value = to_number(value)
-        elif kind == "int" and field.name == "weather_code":
-            value = to_number(value).try_cast("int")
-        values.append(value.alias(field.name))
-    if fields:
-        raise ValueError(f"Not forecast columns: {sorted(fields)}")
-    return F.struct(*values)
+def _raw(
+    time: Column,
+    reading: str | Column,
+    zone: Column | None = None,
+    ahead: Column | None = None,
+    **values: Column,
+) -> Column:
+    """A raw forecast struct of texts; values that are not given are null."""
+    unknown = set(values) - set(_VALUES)
+    if unknown:
+        raise ValueError(f"Not forecast columns: {sorted(unknown)}")
+    missing = F.lit(None).cast("string")
+    texts = {
+        "time": time,
+        "reading": F.lit(reading) if isinstance(reading, str) else reading,
+        "zone": missing if zone is None else zone,
+        "ahead": missing if ahead is None else ahead,
+        **{name: values.get(name, missing) for name in _VALUES},
+    }
+    return F.struct(*[text.alias(name) for name, text in texts.items()])
 
 
 def _foreca(p: Column) -> Column:
-    zone = clock.known_zone(p.tz)
+    zoned = p.tz.isNotNull() & (p.tz != "")
 
     def row(day: Column) -> Column:
-        local = clock.wall_clock(day.date)
-        utc = clock.zone_to_utc(local, zone)
-        zoned = p.tz.isNotNull() & (p.tz != "") & (day.date != "")
-        text = F.concat(clock.iso_text(local), clock.offset_text(clock.offset_seconds(local, utc)))
-        return _forecast(
-            original_ts=F.when(zoned, text).otherwise(day.date),
-            forecast_date_utc=F.to_date(F.when(zoned, utc).otherwise(local)),
+        return _raw(
+            day.date,
+            F.when(zoned, ZONE).otherwise(PLAIN),
+            zone=p.tz,
             temp_max=day.maxTemp,
             temp_min=day.minTemp,
             precipitation=day.precipAccum,
@@ -73,9 +88,9 @@ def _foreca(p: Column) -> Column:
 
 def _accuweather(p: Column) -> Column:
     def row(day: Column) -> Column:
-        return _forecast(
-            original_ts=day.Date,
-            forecast_date_utc=F.to_date(clock.instant_to_utc(day.Date)),
+        return _raw(
+            day.Date,
+            INSTANT,
             temp_max=day.Temperature.Maximum.Value,
             temp_min=day.Temperature.Minimum.Value,
             precip_prob=day.Day.PrecipitationProbability,
@@ -89,9 +104,9 @@ def _accuweather(p: Column) -> Column:
 def _tomorrow(p: Column) -> Column:
     def row(day: Column) -> Column:
         v = day["values"]
-        return _forecast(
-            original_ts=day.time,
-            forecast_date_utc=F.to_date(clock.instant_to_utc(day.time)),
+        return _raw(
+            day.time,
+            INSTANT,
             temp_max=v.temperatureMax,
             temp_min=v.temperatureMin,
             temp_avg=v.temperatureAvg,
@@ -113,13 +128,12 @@ def _tomorrow(p: Column) -> Column:
 
 def _meteoblue(p: Column) -> Column:
     days = p.data_day
-    ahead = F.coalesce(to_number(p.metadata.utc_timeoffset), F.lit(0.0)) * 3600
 
     def row(date: Column, i: Column) -> Column:
-        local = clock.wall_clock(date)
-        return _forecast(
-            original_ts=clock.iso_text(local),
-            forecast_date_utc=F.to_date(clock.offset_to_utc(local, ahead)),
+        return _raw(
+            date,
+            SHIFT,
+            ahead=p.metadata.utc_timeoffset,
             temp_max=F.get(days.temperature_max, i),
             temp_min=F.get(days.temperature_min, i),
             temp_avg=F.get(days.temperature_mean, i),
@@ -130,16 +144,13 @@ def _meteoblue(p: Column) -> Column:
 
 
 def _weatherbit(p: Column) -> Column:
-    zone = clock.known_zone(F.coalesce(p.timezone, F.lit("UTC")))
+    zone = F.coalesce(p.timezone, F.lit("UTC"))
 
     def row(day: Column) -> Column:
-        local = clock.wall_clock(day.datetime)
-        utc = clock.zone_to_utc(local, zone)
-        return _forecast(
-            original_ts=F.concat(
-                clock.iso_text(local), clock.offset_text(clock.offset_seconds(local, utc))
-            ),
-            forecast_date_utc=F.to_date(utc),
+        return _raw(
+            day.datetime,
+            ZONE,
+            zone=zone,
             temp_max=day.max_temp,
             temp_min=day.min_temp,
             precipitation=day.precip,
@@ -157,16 +168,12 @@ def _weatherbit(p: Column) -> Column:
 
 def _openweathermap(p: Column) -> Column:
     # ``dt_txt`` is read as local time of the city.
-    ahead = F.coalesce(to_number(p.city.timezone), F.lit(0.0))
-
     def row(entry: Column) -> Column:
-        local = clock.wall_clock(entry.dt_txt)
-        utc = clock.offset_to_utc(local, ahead)
         weather = F.get(entry.weather, F.lit(0))
-        return _forecast(
-            original_ts=F.concat(clock.iso_text(local), clock.offset_text(ahead)),
-            forecast_date_utc=F.to_date(utc),
-            forecast_hour_utc=F.hour(utc),
+        return _raw(
+            entry.dt_txt,
+            OFFSET,
+            ahead=p.city.timezone,
             temp_max=entry.main.temp_max,
             temp_min=entry.main.temp_min,
             temp_avg=entry.main.temp,
@@ -184,17 +191,14 @@ def _openweathermap(p: Column) -> Column:
 
 
 def _weatherapi(p: Column) -> Column:
-    zone = clock.known_zone(F.coalesce(p.location.tz_id, F.lit("UTC")))
+    zone = F.coalesce(p.location.tz_id, F.lit("UTC"))
 
     def row(entry: Column) -> Column:
-        local = clock.wall_clock(entry.date)
-        utc = clock.zone_to_utc(local, zone)
         day = entry.day
-        return _forecast(
-            original_ts=F.concat(
-                clock.iso_text(local), clock.offset_text(clock.offset_seconds(local, utc))
-            ),
-            forecast_date_utc=F.to_date(utc),
+        return _raw(
+            entry.date,
+            ZONE,
+            zone=zone,
             temp_max=day.maxtemp_c,
             temp_min=day.mintemp_c,
             temp_avg=day.avgtemp_c,
@@ -215,9 +219,9 @@ def _open_meteo(p: Column) -> Column:
     days = p.daily
 
     def row(date: Column, i: Column) -> Column:
-        return _forecast(
-            original_ts=date,
-            forecast_date_utc=F.to_date(clock.wall_clock(date)),
+        return _raw(
+            date,
+            PLAIN,
             temp_max=F.get(days.temperature_2m_max, i),
             temp_min=F.get(days.temperature_2m_min, i),
             precipitation=F.get(days.precipitation_sum, i),
@@ -289,6 +293,9 @@ PARSERS: dict[str, Provider] = {
     ),
 }
 
+# An empty object, array or null, or blanks only.
+EMPTY_JSON = r"^\s*(?:\{\s*\}|\[\s*\]|null)?\s*$"
+
 _ENVELOPE = ("source", "place_name", "ingest_date", "ingest_hour")
 
 
@@ -300,44 +307,95 @@ def to_records(bronze: DataFrame) -> DataFrame:
     )
 
 
+def _read_time(rows: DataFrame) -> DataFrame:
+    """Add ``original_ts``, ``forecast_date_utc`` and ``forecast_hour_utc`` to raw forecasts.
+
+    The steps are columns of their own, so that each conversion happens once per row.
+    """
+    reading, time = F.col("reading"), F.col("time")
+    ahead = F.coalesce(to_number(F.col("ahead")), F.lit(0.0))
+    rows = rows.withColumns(
+        {
+            "_local": F.when(reading != INSTANT, clock.wall_clock(time)),
+            "_zone": F.when(reading == ZONE, clock.known_zone(F.col("zone"))),
+            "_ahead": F.when(reading == OFFSET, ahead).when(reading == SHIFT, ahead * 3600),
+        }
+    )
+    local = F.col("_local")
+    rows = rows.withColumn(
+        "_utc",
+        F.when(reading == ZONE, clock.zone_to_utc(local, F.col("_zone")))
+        .when(reading.isin(OFFSET, SHIFT), clock.offset_to_utc(local, F.col("_ahead")))
+        .when(reading == INSTANT, clock.instant_to_utc(time))
+        .otherwise(local),
+    )
+    utc = F.col("_utc")
+    rows = rows.withColumn(
+        "_offset",
+        F.when(reading == ZONE, clock.offset_seconds(local, utc).cast("double"))
+        .when(reading == OFFSET, F.col("_ahead")),
+    )
+    return rows.withColumns(
+        {
+            "original_ts": F.when(
+                reading.isin(ZONE, OFFSET),
+                F.concat(clock.iso_text(local), clock.offset_text(F.col("_offset"))),
+            )
+            .when(reading == SHIFT, clock.iso_text(local))
+            .otherwise(time),
+            "forecast_date_utc": F.to_date(utc),
+            "forecast_hour_utc": F.when(reading == OFFSET, F.hour(utc)),
+        }
+    )
+
+
+def _value(name: str) -> Column:
+    kind = FORECAST[name].dataType
+    text = F.col(name)
+    if isinstance(kind, T.StringType):
+        return text
+    number = to_number(text)
+    return number.try_cast("int") if isinstance(kind, T.IntegerType) else number
+
+
 def tag_forecasts(bronze: DataFrame, parsers: dict[str, Provider] = PARSERS) -> DataFrame:
     """One row per forecast, or one per unusable record, with a ``reject_reason``.
 
     The reason is null on good rows. Good and rejected rows come from the same single pass.
     """
-    records = to_records(bronze)
-    parsed = records.select(
+    source, payload = F.col("source"), F.col("payload")
+    fault = F.when(source.isNull() | ~source.isin(*parsers), "unknown_source").when(
+        payload.isNull() | payload.rlike(EMPTY_JSON), "empty_payload"
+    )
+    parsed = to_records(bronze).select(
         *_ENVELOPE,
         "payload",
+        fault.alias("_fault"),
         *[
-            F.when(F.col("source") == name, F.from_json("payload", provider.schema)).alias(f"_{name}")
+            F.when(source == name, F.from_json("payload", provider.schema)).alias(f"_{name}")
             for name, provider in parsers.items()
         ],
     )
-    source = F.col("source")
-    forecasts = F.coalesce(
-        *[
-            F.when(source == name, provider.forecasts(F.col(f"_{name}")))
-            for name, provider in parsers.items()
-        ]
-    )
-    rows = parsed.select(*_ENVELOPE, "payload", forecasts.alias("forecasts")).select(
-        *_ENVELOPE, "payload", F.inline_outer("forecasts")
+    forecasts = F.lit(None)
+    for name, provider in parsers.items():
+        forecasts = F.when(source == name, provider.forecasts(F.col(f"_{name}"))).otherwise(forecasts)
+    rows = parsed.select(*_ENVELOPE, "payload", "_fault", forecasts.alias("_forecasts")).select(
+        *_ENVELOPE, "payload", "_fault", F.inline_outer("_forecasts")
     )
-    payload = F.trim("payload")
-    no_row = F.col("original_ts").isNull() & F.col("forecast_date_utc").isNull()
+    rows = _read_time(rows)
+    no_row = F.col("reading").isNull()
     reason = (
-        F.when(source.isNull() | ~source.isin(*parsers), "unknown_source")
-        .when(F.col("payload").isNull() | payload.isin("", "{}", "null", "[]"), "empty_payload")
+        F.when(F.col("_fault").isNotNull(), F.col("_fault"))
         .when(no_row & F.try_parse_json("payload").isNull(), "malformed_json")
         .when(no_row, "no_forecasts")
         .when(F.col("forecast_date_utc").isNull(), "undated_forecast")
     )
-    detail = F.coalesce(F.col("original_ts"), F.left("payload", F.lit(200)))
+    detail = F.coalesce(F.col("time"), F.left("payload", F.lit(200)))
     return rows.select(
         source.alias("api_name"),
         "place_name", "ingest_date", "ingest_hour",
-        *FORECAST.names,
+        "original_ts", "forecast_date_utc", "forecast_hour_utc",
+        *[_value(name).alias(name) for name in _VALUES],
         reason.alias("reject_reason"),
         F.when(reason.isNotNull(), detail).alias("reject_detail"),
     )

@@ -11,7 +11,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.text import (
-    capitalise, element_text, first_digits, inner_html, split_date, visible_html,
+    after_opening, before_closing, capitalise, element_content, element_text, first_digits,
+    split_date, visible_html,
 )
 from tidemark.operators.cleaning import assert_schema
 from tidemark.schemas import SCRAPED_IN, SCRAPED_OUT
@@ -64,15 +65,31 @@ def extract_fields(
 ) -> DataFrame:
     """One row per page with the layout's fields; a field the page lacks is null."""
     shapes = shapes or {}
-    fields = []
-    for name, path in layout.items():
-        inner = F.col("_html")
-        for step in path:
-            inner = inner_html(inner, *step)
-        text = element_text(inner)
-        fields.append(shapes.get(name, lambda value: value)(text).alias(name))
-    cleaned = pages.select(*keep, visible_html(F.col("html")).alias("_html"))
-    return cleaned.select(*keep, *fields)
+    rows = pages.select(*keep, visible_html(F.col("html")).alias("_html"))
+    inner = {name: "_html" for name in layout}
+    # Each part of a step is a column of its own and so is computed once.
+    for depth in range(max(len(path) for path in layout.values())):
+        steps = {name: path[depth] for name, path in layout.items() if depth < len(path)}
+        rows = rows.withColumns(
+            {f"_rest_{name}": after_opening(F.col(inner[name]), *step) for name, step in steps.items()}
+        )
+        rows = rows.withColumns(
+            {
+                f"_head_{name}": before_closing(F.col(f"_rest_{name}"), step[0])
+                for name, step in steps.items()
+            }
+        )
+        rows = rows.withColumns(
+            {
+                f"_inner_{name}": element_content(F.col(f"_rest_{name}"), F.col(f"_head_{name}"), step[0])
+                for name, step in steps.items()
+            }
+        )
+        inner.update({name: f"_inner_{name}" for name in steps})
+    texts = rows.withColumns({name: element_text(F.col(inner[name])) for name in layout})
+    return texts.select(
+        *keep, *[shapes.get(name, lambda value: value)(F.col(name)).alias(name) for name in layout]
+    )
 
 
 def scrape_site(pages: DataFrame, site: str, keep: tuple[str, ...] = ()) -> DataFrame:
