@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import zoneinfo
-
 from pyspark.sql import Column, functions as F
 
 GRAINS = ("hour", "day", "week", "month", "season", "year")
@@ -143,17 +141,13 @@ def instant_to_utc(text: Column) -> Column:
     ).otherwise(wall_clock(dated))
 
 
-def known_zone(zone: Column) -> Column:
-    """``zone`` when it is an IANA name, else null, so that one bad name cannot stop a job."""
-    names = sorted(name for name in zoneinfo.available_timezones() if name not in ("Factory", "localtime"))
-    if not names:
-        raise RuntimeError("No time-zone data on the driver: install tzdata")
-    return F.when(zone.isin(names), zone)
-
-
 def zone_to_utc(local: Column, zone: Column) -> Column:
-    """Wall-clock time in an IANA zone to UTC wall-clock time."""
-    return F.convert_timezone(zone, F.lit("UTC"), local)
+    """Wall-clock time in a named zone to UTC wall-clock time; null for an unknown zone.
+
+    Reading the text of both as one timestamp is the conversion that does not raise on a zone
+    this machine does not know.
+    """
+    return instant_utc(F.concat(iso_text(local), F.lit(" "), zone).try_cast("timestamp"))
 
 
 def offset_to_utc(local: Column, seconds: Column) -> Column:

@@ -317,14 +317,13 @@ def _read_time(rows: DataFrame) -> DataFrame:
     rows = rows.withColumns(
         {
             "_local": F.when(reading != INSTANT, clock.wall_clock(time)),
-            "_zone": F.when(reading == ZONE, clock.known_zone(F.col("zone"))),
             "_ahead": F.when(reading == OFFSET, ahead).when(reading == SHIFT, ahead * 3600),
         }
     )
     local = F.col("_local")
     rows = rows.withColumn(
         "_utc",
-        F.when(reading == ZONE, clock.zone_to_utc(local, F.col("_zone")))
+        F.when(reading == ZONE, clock.zone_to_utc(local, F.col("zone")))
         .when(reading.isin(OFFSET, SHIFT), clock.offset_to_utc(local, F.col("_ahead")))
         .when(reading == INSTANT, clock.instant_to_utc(time))
         .otherwise(local),
