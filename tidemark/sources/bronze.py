@@ -38,15 +38,13 @@ def read_bronze_files(
 
     Source, place and date come from the folder name, the hour from the file name.
     """
-    return _from_path(spark.read.option("wholetext", True).text(_globs(base, date, hour)))
+    return _from_path(spark.read.text(_globs(base, date, hour), wholetext=True))
 
 
 def stream_bronze_files(spark: SparkSession, base: str, files_per_batch: int = 10_000) -> DataFrame:
     """The same files as a stream: each new file once."""
-    stream = (
-        spark.readStream.option("wholetext", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .text(_globs(base, None, None))
+    stream = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(
+        _globs(base, None, None), wholetext=True
     )
     return _from_path(stream)
 
