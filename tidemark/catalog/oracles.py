@@ -644,14 +644,40 @@ WHERE ts >= TIMESTAMP '2024-01-20 09:00:00' AND ts < TIMESTAMP '2024-01-21'""",
     THEN {_KIND_SOURCE} || '_api' ELSE {_KIND_SOURCE} END AS source,
     'place_' || user_id AS place_name, CAST(ts AS DATE) AS ingest_date, CAST(hour(ts) AS INTEGER) AS ingest_hour
   FROM events WHERE ts >= TIMESTAMP '2024-01-20 09:00:00' AND ts < TIMESTAMP '2024-01-20 10:00:00'""",
-    "provider_gaps": f"""WITH have AS (
-  SELECT DISTINCT {_KIND_SOURCE} AS source, 'place_' || user_id AS place_name, date_trunc('hour', ts) AS h FROM events
+    "provider_gaps": """WITH have AS (
+  SELECT DISTINCT event_type AS source, 'place_' || (user_id % 5) AS place_name, date_trunc('hour', ts) AS h FROM events
 ),
+span AS (SELECT min(h) AS first, max(h) AS final FROM have),
 places AS (SELECT DISTINCT place_name FROM have),
-pairs AS (SELECT place_name, unnest([{', '.join(f"'{n}'" for n in PROVIDER_ORDER)}]) AS source FROM places),
-want AS (SELECT *, unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-02 23:00:00', INTERVAL 1 HOUR)) AS h FROM pairs)
+pairs AS (SELECT place_name, unnest(['click', 'error', 'purchase', 'signup', 'view']) AS source FROM places),
+hours AS (SELECT unnest(generate_series(first, final, INTERVAL 1 HOUR)) AS h FROM span),
+want AS (SELECT * FROM pairs, hours)
 SELECT source, place_name, CAST(h AS DATE) AS ingest_date, CAST(hour(h) AS INTEGER) AS ingest_hour
   FROM want ANTI JOIN have USING (source, place_name, h)""",
+    "hour_calendar": """SELECT unnest(generate_series(date_trunc('hour', min(ts)),
+    date_trunc('hour', max(ts)) - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS partition_date FROM events""",
+    "silver_hour": f"""WITH {SILVER} SELECT * EXCLUDE (ts), 'batch-1' AS batch_id FROM silver
+WHERE ingest_date = DATE '2024-01-20' AND ingest_hour = 9""",
+    "forecast_day": f"WITH {FORECAST} SELECT * FROM forecast WHERE ingest_date = DATE '2024-01-20'",
+    "daily_range": f"""WITH {DAILY} SELECT * FROM daily
+WHERE forecast_date_utc BETWEEN DATE '1997-05-05' AND DATE '1997-05-11'""",
+    "one_month": f"WITH {MONTHLY} SELECT * FROM month_rollup WHERE month_start = DATE '1996-04-01'",
+    "rows_per_place": """SELECT 'place_' || (user_id % 5) AS place_name, count(*) AS row_count FROM events
+GROUP BY user_id % 5""",
+    "stored_months": f"WITH {MONTHLY} SELECT *, TIMESTAMP '2024-02-01' AS generated_at FROM month_rollup",
+    "stored_years": f"""WITH {YEARLY}
+SELECT * REPLACE (CASE WHEN place_name = 'A-F' THEN temp_max ELSE temp_max + 1 END AS temp_max),
+    TIMESTAMP '2024-02-01' AS updated_at FROM year_rollup""",
+    "stored_once": f"""WITH {MONTHLY}
+SELECT * REPLACE (CASE WHEN year < 1996 THEN snow_min ELSE 0.0 END AS snow_min),
+    TIMESTAMP '2024-02-01' AS generated_at FROM month_rollup""",
+    "watermarks": """SELECT event_type AS job_name, date_trunc('hour', max(ts)) AS last_processed_ts,
+    TIMESTAMP '2024-02-01' AS updated_at FROM events GROUP BY event_type""",
+    "unreadable_pages": """WITH marks AS (SELECT page_id, list_filter([
+    CASE WHEN NOT regexp_matches(html, '<title>.*?</title>', 's') THEN 'title' END,
+    CASE WHEN NOT regexp_matches(html, '<div class="ad">.*?</div>', 's') THEN 'notice' END,
+    CASE WHEN NOT regexp_matches(html, '<table.*?<tr', 's') THEN 'table' END], lambda x: x IS NOT NULL) AS missing FROM pages)
+SELECT page_id, array_to_string(missing, ',') AS missing_fields FROM marks WHERE len(missing) > 0""",
     "insert_ignore": """WITH target AS (SELECT * FROM orders WHERE o_orderdate < DATE '1998-01-01'),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) AS rank FROM orders)
 SELECT * EXCLUDE (rank) FROM ranked r WHERE rank = 1 AND NOT EXISTS (

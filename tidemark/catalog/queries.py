@@ -11,12 +11,12 @@ from tidemark import schemas
 from tidemark.catalog import views
 from tidemark.catalog.views import AS_OF, NOW
 from tidemark.functions import clock
-from tidemark.functions.text import canonical_source, split_date
+from tidemark.functions.text import split_date
 from tidemark.operators import merge, parsers, rollups, scrape, state as st
 from tidemark.operators.cleaning import check_constraints, clean_report, clean_silver
 from tidemark.operators.flatten import combine, flatten_payloads
 from tidemark.operators.layout import blank_nat, conform
-from tidemark.plans.lake import TABLES
+from tidemark.plans.lake import TABLES, Lake
 from tidemark.session import stage, work_folder
 from tidemark.sources import bronze as bronze_source, slices
 from tidemark.streaming.daily import start_daily_summary
@@ -106,18 +106,23 @@ def _month_gate(spark, sf_dir):
     return rollups.gate(views.gold_days(spark, sf_dir), "day", "month", AS_OF)
 
 
-def _monthly(spark, sf_dir):
-    return rollups.rollup(
-        views.daily_gold(spark, sf_dir), "forecast_date_utc", "month", _month_gate(spark, sf_dir)
-    )
+def _monthly(spark, sf_dir, gate=None):
+    gate = _month_gate(spark, sf_dir) if gate is None else gate
+    return rollups.rollup(views.daily_gold(spark, sf_dir), "forecast_date_utc", "month", gate)
 
 
-def _higher_gate(spark, sf_dir, level):
+def _higher_gate(month_gate, level):
     # Months that have rows are the months their own gate accepted.
-    months = _month_gate(spark, sf_dir).where("accepted").select(F.col("period_start").alias("month_start"))
+    months = month_gate.where("accepted").select(F.col("period_start").alias("month_start"))
     return rollups.gate(months, "month_start", level, AS_OF)
 
 
+def _above_months(spark, sf_dir, level):
+    # Verdicts used twice are written once: a row per month instead of another scan.
+    months = stage(_month_gate(spark, sf_dir), "months")
+    return rollups.rollup(_monthly(spark, sf_dir, months), "month_start", level, _higher_gate(months, level))
+
+
 @query
 def weekly_rollup(spark, sf_dir):
     verdicts = rollups.gate(views.gold_days(spark, sf_dir), "day", "week", AS_OF)
@@ -131,26 +136,26 @@ def monthly_rollup(spark, sf_dir):
 
 @query
 def seasonal_rollup(spark, sf_dir):
-    return rollups.rollup(
-        _monthly(spark, sf_dir), "month_start", "season", _higher_gate(spark, sf_dir, "season")
-    )
+    return _above_months(spark, sf_dir, "season")
 
 
 @query
 def yearly_rollup(spark, sf_dir):
-    return rollups.rollup(_monthly(spark, sf_dir), "month_start", "year", _higher_gate(spark, sf_dir, "year"))
+    return _above_months(spark, sf_dir, "year")
 
 
 @query
 def gate_verdicts(spark, sf_dir):
-    days = views.gold_days(spark, sf_dir)
-    frames = [
-        rollups.gate(days, "day", "week", AS_OF).withColumn("level", F.lit("week")),
-        _month_gate(spark, sf_dir).withColumn("level", F.lit("month")),
-        _higher_gate(spark, sf_dir, "season").withColumn("level", F.lit("season")),
-        _higher_gate(spark, sf_dir, "year").withColumn("level", F.lit("year")),
-    ]
-    return combine(frames)
+    """Verdicts of all levels from one scan of the rows' dates."""
+    days = stage(views.gold_days(spark, sf_dir).distinct(), "days")
+    months = rollups.gate(days, "day", "month", AS_OF)
+    frames = {
+        "week": rollups.gate(days, "day", "week", AS_OF),
+        "month": months,
+        "season": _higher_gate(months, "season"),
+        "year": _higher_gate(months, "year"),
+    }
+    return combine([frame.withColumn("level", F.lit(level)) for level, frame in frames.items()])
 
 
 @query
@@ -286,14 +291,48 @@ def bronze_hour(spark, sf_dir):
 
 @query
 def provider_gaps(spark, sf_dir):
-    """(provider, place, hour) without a record."""
-    bronze = views.mixed_bronze(spark, sf_dir)
-    hours = bronze.withColumn("source", canonical_source(F.col("source")))
-    places = bronze.select("place_name").distinct()
-    grid = bronze_source.provider_grid(places, views.PROVIDER_ORDER)
-    first = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
-    last = F.lit(dt.datetime(2024, 1, 2, 23)).cast("timestamp_ntz")
-    return bronze_source.missing_pairs(hours, grid, first, last)
+    """(provider, place, hour) without a record, over all hours of the table."""
+    records = views.observations(spark, sf_dir).withColumnRenamed("api_name", "source")
+    places = records.select("place_name").distinct()
+    hour = clock.snapshot_ts(F.col("ingest_date"), F.col("ingest_hour"))
+    first, last = records.agg(F.min(hour), F.max(hour)).first()
+    grid = bronze_source.provider_grid(places, views.EVENT_TYPES)
+    return bronze_source.missing_pairs(
+        records, grid, F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")
+    )
+
+
+@query
+def hour_calendar(spark, sf_dir):
+    bounds = views.table(spark, sf_dir, "events").agg(F.min("ts").alias("first"), F.max("ts").alias("end"))
+    return slices.calendar_of(bounds, "hour")
+
+
+@query
+def silver_hour(spark, sf_dir):
+    return slices.hour_slice(_silver(spark, sf_dir), dt.date(2024, 1, 20), 9)
+
+
+@query
+def forecast_day(spark, sf_dir):
+    return slices.day_slice(rollups.daily_forecast(_silver(spark, sf_dir)), "ingest_date", dt.date(2024, 1, 20))
+
+
+@query
+def daily_range(spark, sf_dir):
+    return slices.date_range(
+        views.daily_gold(spark, sf_dir), "forecast_date_utc", dt.date(1997, 5, 5), dt.date(1997, 5, 11)
+    )
+
+
+@query
+def one_month(spark, sf_dir):
+    return slices.month_slice(_monthly(spark, sf_dir), 1996, 4)
+
+
+@query
+def rows_per_place(spark, sf_dir):
+    return _silver(spark, sf_dir).groupBy("place_name").agg(F.count("*").alias("row_count"))
 
 
 # ---------------------------------------------------------------- loads
@@ -347,6 +386,60 @@ def conformed_forecast(spark, sf_dir):
     return blank_nat(conform(rows.drop("humidity_avg"), schemas.GOLD_FORECAST))
 
 
+def _stamped(rows, column):
+    return rows.withColumn(column, F.lit(NOW).cast("timestamp_ntz"))
+
+
+@query
+def stored_months(spark, sf_dir):
+    """Monthly table after two loads of the same rows and one of other rows with the same keys."""
+    lake = Lake(spark, work_folder(spark, "stored-months"))
+    monthly = stage(_stamped(_monthly(spark, sf_dir), "generated_at"), "monthly")
+    for batch in (monthly, monthly, monthly.withColumn("temp_max", F.lit(-1.0))):
+        lake.load("gold_monthly", batch)
+    return lake.read("gold_monthly")
+
+
+@query
+def stored_years(spark, sf_dir):
+    """Yearly table after a first load and an update of its measures."""
+    lake = Lake(spark, work_folder(spark, "stored-years"))
+    yearly = stage(_stamped(_above_months(spark, sf_dir, "year"), "updated_at"), "yearly")
+    lake.load("gold_yearly", yearly)
+    later = yearly.withColumns(
+        {"temp_max": F.col("temp_max") + 1, "updated_at": F.lit(dt.datetime(2025, 1, 1)).cast("timestamp_ntz")}
+    )
+    lake.load("gold_yearly", later.where("place_name <> 'A-F'"))
+    return lake.read("gold_yearly")
+
+
+@query
+def stored_once(spark, sf_dir):
+    """Monthly partitions written once: the second write adds only the partitions that were missing."""
+    folder = work_folder(spark, "stored-once")
+    keys = ("year", "month_number")
+    monthly = stage(_stamped(_monthly(spark, sf_dir), "generated_at"), "monthly")
+    merge.write_once(monthly.where("year < 1996"), folder, schemas.GOLD_MONTHLY, keys)
+    merge.write_once(monthly.withColumn("snow_min", F.lit(0.0)), folder, schemas.GOLD_MONTHLY, keys)
+    return merge.read_table(spark, folder, schemas.GOLD_MONTHLY)
+
+
+@query
+def watermarks(spark, sf_dir):
+    """Watermark per job, first set by half of the month and then moved by all of it."""
+    events = views.table(spark, sf_dir, "events")
+
+    def newest(rows, stamp):
+        return rows.groupBy(F.col("event_type").alias("job_name")).agg(
+            F.date_trunc("hour", F.max("ts")).cast("timestamp_ntz").alias("last_processed_ts"),
+            F.lit(stamp).cast("timestamp_ntz").alias("updated_at"),
+        )
+
+    table = TABLES["watermarks"]
+    old = newest(events.where(F.to_date("ts") < F.lit(MIDDLE)), dt.datetime(2024, 1, 16))
+    return merge.upsert(old, newest(events, NOW), table.keys, table.update_columns, table.order_by)
+
+
 # ---------------------------------------------------------------- state
 
 
@@ -421,8 +514,9 @@ def months_ready(spark, sf_dir):
 
 @query
 def bootstrap_start(spark, sf_dir):
-    monthly = _monthly(spark, sf_dir)
-    seasonal = rollups.rollup(monthly, "month_start", "season", _higher_gate(spark, sf_dir, "season"))
+    months = stage(_month_gate(spark, sf_dir), "months")
+    monthly = stage(_monthly(spark, sf_dir, months), "monthly")
+    seasonal = rollups.rollup(monthly, "month_start", "season", _higher_gate(months, "season"))
     return st.bootstrap_start(seasonal.where("year > 1995"), monthly)
 
 
@@ -512,6 +606,16 @@ def scrape_fields(spark, sf_dir):
     )
 
 
+@query
+def unreadable_pages(spark, sf_dir):
+    """Stored pages that lack one of the declared fields."""
+    layout = {"title": (("title",),), "notice": (("div", "class", "ad"),), "table": (("table",), ("tr",))}
+    pages = scrape.extract_fields(views.table(spark, sf_dir, "pages"), layout, keep=("page_id",))
+    declared = pages.drop("page_id").schema
+    _, bad = scrape.split_readable(pages, declared)
+    return bad.select("page_id", F.array_join("missing_fields", ",").alias("missing_fields"))
+
+
 def _site_query(site: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = scrape.scrape_site(views.site_pages(spark, sf_dir, site), site, ("page_id",))

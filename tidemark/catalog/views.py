@@ -16,6 +16,10 @@ AS_OF = dt.date(2002, 1, 1)
 NOW = dt.datetime(2024, 2, 1)
 
 
+# The kinds of events, which stand for providers.
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -51,6 +51,16 @@ def not_in(batch: DataFrame, target: DataFrame, keys: Sequence[str], nullable: S
     )
 
 
+def narrowed(target: DataFrame, batch: DataFrame, keys: Sequence[str], nullable: Sequence[str] = ()) -> DataFrame:
+    """Keys of ``target`` that occur in ``batch``.
+
+    With a small batch Spark broadcasts the batch's keys, so a large target is not shuffled.
+    """
+    return target.select(*keys).alias("t").join(
+        batch.select(*keys).alias("b"), _same_key("t", "b", keys, nullable), "left_semi"
+    )
+
+
 def insert_ignore(
     target: DataFrame,
     batch: DataFrame,
@@ -133,21 +143,26 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
+# Longest list of partition values that becomes a filter; beyond it the filter is their range.
+LISTED_PARTITIONS = 500
+
+
 def touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """``target`` limited to the range of the batch's partition values.
+    """``target`` limited to the batch's partition values, as static partition filters.
 
-    Two scalars per partition column go to the driver and become static partition filters.
+    Per partition column a short list of values goes to the driver, or two bounds if there are
+    more. Rows outside the filter cannot share a key with the batch.
     """
-    if not partition_by:
-        return target
-    bounds = batch.agg(
-        *[F.min(c).alias(f"lo_{c}") for c in partition_by],
-        *[F.max(c).alias(f"hi_{c}") for c in partition_by],
-    ).first()
-    if any(bounds[f"lo_{c}"] is None for c in partition_by):
-        return target
     for name in partition_by:
-        target = target.where(F.col(name).between(F.lit(bounds[f"lo_{name}"]), F.lit(bounds[f"hi_{name}"])))
+        values = [r[0] for r in batch.select(name).distinct().limit(LISTED_PARTITIONS + 1).collect()]
+        if None in values:
+            continue
+        column = F.col(name)
+        if len(values) <= LISTED_PARTITIONS:
+            target = target.where(column.isin(values))
+        else:
+            low, high = batch.agg(F.min(name), F.max(name)).first()
+            target = target.where(column.between(F.lit(low), F.lit(high)))
     return target
 
 
@@ -190,7 +205,8 @@ def insert_ignore_into(
         raise ValueError("Partition columns must be part of the key")
     batch = stage(conform(batch, schema), "batch")
     target = touched(read_table(batch.sparkSession, path, schema), batch, partition_by)
-    new = stage(insert_ignore(target, batch, keys, order_by, nullable), "insert")
+    known = narrowed(target, batch, keys, nullable)
+    new = stage(insert_ignore(known, batch, keys, order_by, nullable), "insert")
     result = LoadResult(batch.count(), new.count())
     if result.inserted:
         append(new, path, partition_by)

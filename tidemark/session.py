@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Streaming state on disk instead of the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # HotSpot does not compile larger methods; beyond the limit Spark compiles operator by operator.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Call sites of every column expression are only worth their cost while debugging.
