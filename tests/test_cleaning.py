@@ -8,7 +8,7 @@ from tidemark.operators import cleaning
 from tidemark.operators.layout import blank_nat, conform
 
 DAY = dt.date(2026, 2, 21)
-BASE = {"api_name": "foreca", "place_name": "Bansko", "ingest_date": DAY, "ingest_hour": 8, "original_ts": "x"}
+BASE = {"api_name": "foreca", "place_name": "Hilltop", "ingest_date": DAY, "ingest_hour": 8, "original_ts": "x"}
 
 
 def frame(spark, **values):
@@ -91,3 +91,8 @@ def test_conform_and_blank_nat(spark):
     df = spark.createDataFrame([("NaT", 1)], "generated_at string, surplus int")
     row = blank_nat(conform(df, schemas._fields(place_name=schemas.STRING, generated_at=schemas.STRING))).first()
     assert row.asDict() == {"place_name": None, "generated_at": None}
+
+
+def test_profile(spark):
+    got = {r["summary"]: r["v"] for r in cleaning.profile(spark.createDataFrame([(1.0,), (3.0,)], "v double")).collect()}
+    assert (got["count"], got["mean"], got["max"]) == ("2", "2.0", "3.0")

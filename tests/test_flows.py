@@ -25,14 +25,14 @@ def payload(day, warm):
 def bronze_rows(days, hours=(6, 7)):
     return [
         ("foreca_api", place, day, hour, payload(day, hour + shift))
-        for day in days for hour in hours for place, shift in (("Bansko", 0), ("Borovets", 10))
+        for day in days for hour in hours for place, shift in (("Hilltop", 0), ("Lakeside", 10))
     ]
 
 
 def test_hourly_and_daily_runs(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     days = [D(2026, 2, 16), D(2026, 2, 17)]
-    records = bronze_rows(days) + [("nobody", "Bansko", days[0], 6, "{}")]
+    records = bronze_rows(days) + [("nobody", "Hilltop", days[0], 6, "{}")]
     bronze = spark.createDataFrame(records, schemas.BRONZE)
     assert lake.load("bronze", bronze).inserted == 9
     assert lake.load("bronze", bronze).inserted == 0
@@ -53,7 +53,7 @@ def test_hourly_and_daily_runs(spark, tmp_path):
 
     assert hourly.build_daily(lake, D(2026, 2, 17), now).inserted == 2
     got = {r["place_name"]: (r["temp_min"], r["temp_max"]) for r in lake.read("gold_daily").collect()}
-    assert got == {"Bansko": (1.0, 7.0), "Borovets": (11.0, 17.0)}
+    assert got == {"Hilltop": (1.0, 7.0), "Lakeside": (11.0, 17.0)}
     assert hourly.build_daily(lake, D(2026, 2, 17), now).rows_in == 0
 
 
@@ -190,7 +190,7 @@ def test_stream_emits_closed_days_and_drops_late_rows(spark, tmp_path):
 def test_stream_of_json_files(spark, tmp_path):
     from tidemark.sources.bronze import stream_bronze_files
 
-    folder = tmp_path / "raw" / "2026-02-16_foreca_Bansko"
+    folder = tmp_path / "raw" / "2026-02-16_foreca_Hilltop"
     folder.mkdir(parents=True)
     for hour in (6, 7):
         (folder / f"{hour:02d}.json").write_text(json.dumps(json.loads(payload(D(2026, 2, 16), hour)), indent=1))
@@ -199,5 +199,5 @@ def test_stream_of_json_files(spark, tmp_path):
     start_silver_ingest(stream, *paths).awaitTermination()
     got = merge.read_table(spark, paths[0], schemas.SILVER)
     assert rows(got.select("api_name", "place_name", "ingest_hour", "temp_max")) == [
-        ("foreca", "Bansko", 6, 6.0), ("foreca", "Bansko", 6, 7.0), ("foreca", "Bansko", 7, 7.0), ("foreca", "Bansko", 7, 8.0),
+        ("foreca", "Hilltop", 6, 6.0), ("foreca", "Hilltop", 6, 7.0), ("foreca", "Hilltop", 7, 7.0), ("foreca", "Hilltop", 7, 8.0),
     ]

@@ -10,7 +10,7 @@ DAY = dt.date(2026, 2, 20)
 
 def bronze(spark, *records):
     rows = [
-        (source, "Bansko", DAY, 8, payload if payload is None or isinstance(payload, str) else json.dumps(payload))
+        (source, "Hilltop", DAY, 8, payload if payload is None or isinstance(payload, str) else json.dumps(payload))
         for source, payload in records
     ]
     return spark.createDataFrame(rows, BRONZE)
@@ -47,7 +47,7 @@ def test_foreca_local_midnight_is_the_previous_day_in_utc(spark):
         "sunrise": "07:17:00", "sunset": "18:02:00",
     }
     assert (winter["api_name"], winter["place_name"], winter["ingest_date"], winter["ingest_hour"]) == (
-        "foreca", "Bansko", DAY, 8,
+        "foreca", "Hilltop", DAY, 8,
     )
     # Daylight saving: three hours ahead. Text that is no number is null.
     assert summer["original_ts"] == "2026-07-01T00:00:00+03:00"
@@ -256,3 +256,17 @@ def test_flatten_nested_payloads(spark):
 def test_combine_fills_missing_columns(spark):
     left, right = spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([(2,)], "b int")
     assert sorted(map(tuple, combine([left, right]).collect()), key=repr) == [(1, None), (None, 2)]
+
+
+def test_a_provider_is_one_entry(spark):
+    from pyspark.sql import functions as F
+
+    own = parsers.Provider(
+        "readings ARRAY<STRUCT<at: STRING, warm: STRING>>",
+        lambda p: F.transform(p.readings, lambda r: parsers.raw_forecast(r.at, parsers.INSTANT, temp_max=r.warm)),
+    )
+    records = bronze(spark, ("own", {"readings": [{"at": "2026-02-21T23:00:00-03:00", "warm": "4.5"}]}), ("foreca", {"forecast": [{"date": "2026-02-21"}]}))
+    got = parsers.accepted(parsers.tag_forecasts(records, {**parsers.PARSERS, "own": own})).collect()
+    assert sorted((r["api_name"], r["forecast_date_utc"], r["temp_max"]) for r in got) == [
+        ("foreca", dt.date(2026, 2, 21), None), ("own", dt.date(2026, 2, 22), 4.5),
+    ]

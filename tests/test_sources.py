@@ -17,16 +17,16 @@ def put(base, folder, hour, text):
 
 
 def test_bronze_files_take_their_key_from_the_path(spark, tmp_path):
-    put(tmp_path, "2026-02-21_open_meteo_Veliko Tarnovo", "08", '{\n "daily": {}\n}')
-    put(tmp_path, "2026-02-21_foreca_Bansko", "08", "{}")
-    put(tmp_path, "2026-02-21_foreca_Bansko", "09", "{}")
-    put(tmp_path, "2026-02-22_foreca_Bansko", "08", "{}")
-    (tmp_path / "2026-02-21_foreca_Bansko" / "notes.txt").write_text("x")
+    put(tmp_path, "2026-02-21_open_meteo_Old Town", "08", '{\n "daily": {}\n}')
+    put(tmp_path, "2026-02-21_foreca_Hilltop", "08", "{}")
+    put(tmp_path, "2026-02-21_foreca_Hilltop", "09", "{}")
+    put(tmp_path, "2026-02-22_foreca_Hilltop", "08", "{}")
+    (tmp_path / "2026-02-21_foreca_Hilltop" / "notes.txt").write_text("x")
     every = bronze.read_bronze_files(spark, str(tmp_path))
     assert every.schema.names == BRONZE.names and every.count() == 4
     hour = bronze.read_bronze_files(spark, str(tmp_path), D(2026, 2, 21), 8)
     assert rows(hour.drop("payload")) == [
-        ("foreca", "Bansko", D(2026, 2, 21), 8), ("open_meteo", "Veliko Tarnovo", D(2026, 2, 21), 8),
+        ("foreca", "Hilltop", D(2026, 2, 21), 8), ("open_meteo", "Old Town", D(2026, 2, 21), 8),
     ]
     assert hour.where("source = 'open_meteo'").first()["payload"] == '{\n "daily": {}\n}'
 

@@ -161,10 +161,13 @@ def iso_text(local: Column) -> Column:
 
 def offset_text(seconds: Column) -> Column:
     """Offset east of UTC as +HH:MM."""
-    size = F.make_timestamp_ntz(
-        F.lit(2000), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)
-    ) + F.make_dt_interval(secs=F.abs(seconds).cast("decimal(18,6)"))
-    return F.concat(F.when(seconds < 0, "-").otherwise("+"), F.date_format(size, "HH:mm"))
+    size = F.abs(seconds).cast("int")
+    return F.concat(
+        F.when(seconds < 0, "-").otherwise("+"),
+        F.lpad(F.floor(size / 3600).cast("string"), 2, "0"),
+        F.lit(":"),
+        F.lpad(F.floor(size % 3600 / 60).cast("string"), 2, "0"),
+    )
 
 
 def offset_seconds(local: Column, utc: Column) -> Column:

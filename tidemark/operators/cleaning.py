@@ -121,6 +121,11 @@ def clean_report(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def profile(df: DataFrame) -> DataFrame:
+    """Count, mean, deviation, extremes and approximate quartiles of every column."""
+    return df.summary("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+
+
 def assert_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     """Return ``df`` if it has every declared column with the declared type, else raise."""
     actual = {f.name: f.dataType for f in df.schema.fields}

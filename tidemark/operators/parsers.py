@@ -40,7 +40,7 @@ class Provider:
     forecasts: Callable[[Column], Column]
 
 
-def _raw(
+def raw_forecast(
     time: Column,
     reading: str | Column,
     zone: Column | None = None,
@@ -66,7 +66,7 @@ def _foreca(p: Column) -> Column:
     zoned = p.tz.isNotNull() & (p.tz != "")
 
     def row(day: Column) -> Column:
-        return _raw(
+        return raw_forecast(
             day.date,
             F.when(zoned, ZONE).otherwise(PLAIN),
             zone=p.tz,
@@ -88,7 +88,7 @@ def _foreca(p: Column) -> Column:
 
 def _accuweather(p: Column) -> Column:
     def row(day: Column) -> Column:
-        return _raw(
+        return raw_forecast(
             day.Date,
             INSTANT,
             temp_max=day.Temperature.Maximum.Value,
@@ -104,7 +104,7 @@ def _accuweather(p: Column) -> Column:
 def _tomorrow(p: Column) -> Column:
     def row(day: Column) -> Column:
         v = day["values"]
-        return _raw(
+        return raw_forecast(
             day.time,
             INSTANT,
             temp_max=v.temperatureMax,
@@ -130,7 +130,7 @@ def _meteoblue(p: Column) -> Column:
     days = p.data_day
 
     def row(date: Column, i: Column) -> Column:
-        return _raw(
+        return raw_forecast(
             date,
             SHIFT,
             ahead=p.metadata.utc_timeoffset,
@@ -147,7 +147,7 @@ def _weatherbit(p: Column) -> Column:
     zone = F.coalesce(p.timezone, F.lit("UTC"))
 
     def row(day: Column) -> Column:
-        return _raw(
+        return raw_forecast(
             day.datetime,
             ZONE,
             zone=zone,
@@ -170,7 +170,7 @@ def _openweathermap(p: Column) -> Column:
     # ``dt_txt`` is read as local time of the city.
     def row(entry: Column) -> Column:
         weather = F.get(entry.weather, F.lit(0))
-        return _raw(
+        return raw_forecast(
             entry.dt_txt,
             OFFSET,
             ahead=p.city.timezone,
@@ -195,7 +195,7 @@ def _weatherapi(p: Column) -> Column:
 
     def row(entry: Column) -> Column:
         day = entry.day
-        return _raw(
+        return raw_forecast(
             entry.date,
             ZONE,
             zone=zone,
@@ -219,7 +219,7 @@ def _open_meteo(p: Column) -> Column:
     days = p.daily
 
     def row(date: Column, i: Column) -> Column:
-        return _raw(
+        return raw_forecast(
             date,
             PLAIN,
             temp_max=F.get(days.temperature_2m_max, i),
@@ -334,18 +334,19 @@ def _read_time(rows: DataFrame) -> DataFrame:
         F.when(reading == ZONE, clock.offset_seconds(local, utc).cast("double"))
         .when(reading == OFFSET, F.col("_ahead")),
     )
-    return rows.withColumns(
-        {
-            "original_ts": F.when(
-                reading.isin(ZONE, OFFSET),
-                F.concat(clock.iso_text(local), clock.offset_text(F.col("_offset"))),
-            )
-            .when(reading == SHIFT, clock.iso_text(local))
-            .otherwise(time),
-            "forecast_date_utc": F.to_date(utc),
-            "forecast_hour_utc": F.when(reading == OFFSET, F.hour(utc)),
-        }
+    read = F.struct(
+        F.when(
+            reading.isin(ZONE, OFFSET),
+            F.concat(clock.iso_text(local), clock.offset_text(F.col("_offset"))),
+        )
+        .when(reading == SHIFT, clock.iso_text(local))
+        .otherwise(time)
+        .alias("original_ts"),
+        F.to_date(utc).alias("forecast_date_utc"),
+        F.when(reading == OFFSET, F.hour(utc)).alias("forecast_hour_utc"),
     )
+    # Filters on these columns stop at a generator; below it they would repeat the conversions.
+    return rows.select("*", F.inline(F.array(read)))
 
 
 def _value(name: str) -> Column:
@@ -363,13 +364,9 @@ def tag_forecasts(bronze: DataFrame, parsers: dict[str, Provider] = PARSERS) ->
     The reason is null on good rows. Good and rejected rows come from the same single pass.
     """
     source, payload = F.col("source"), F.col("payload")
-    fault = F.when(source.isNull() | ~source.isin(*parsers), "unknown_source").when(
-        payload.isNull() | payload.rlike(EMPTY_JSON), "empty_payload"
-    )
     parsed = to_records(bronze).select(
         *_ENVELOPE,
         "payload",
-        fault.alias("_fault"),
         *[
             F.when(source == name, F.from_json("payload", provider.schema)).alias(f"_{name}")
             for name, provider in parsers.items()
@@ -378,25 +375,32 @@ def tag_forecasts(bronze: DataFrame, parsers: dict[str, Provider] = PARSERS) ->
     forecasts = F.lit(None)
     for name, provider in parsers.items():
         forecasts = F.when(source == name, provider.forecasts(F.col(f"_{name}"))).otherwise(forecasts)
-    rows = parsed.select(*_ENVELOPE, "payload", "_fault", forecasts.alias("_forecasts")).select(
-        *_ENVELOPE, "payload", "_fault", F.inline_outer("_forecasts")
+    records = parsed.select(*_ENVELOPE, "payload", forecasts.alias("_forecasts"))
+
+    # Judged per record, so that payloads are not carried along with every forecast.
+    none = F.col("_forecasts").isNull() | (F.size("_forecasts") == 0)
+    fault = (
+        F.when(source.isNull() | ~source.isin(*parsers), "unknown_source")
+        .when(payload.isNull() | payload.rlike(EMPTY_JSON), "empty_payload")
+        .when(none & F.try_parse_json("payload").isNull(), "malformed_json")
+        .when(none, "no_forecasts")
     )
-    rows = _read_time(rows)
-    no_row = F.col("reading").isNull()
-    reason = (
-        F.when(F.col("_fault").isNotNull(), F.col("_fault"))
-        .when(no_row & F.try_parse_json("payload").isNull(), "malformed_json")
-        .when(no_row, "no_forecasts")
-        .when(F.col("forecast_date_utc").isNull(), "undated_forecast")
+    records = records.select(
+        *_ENVELOPE,
+        "_forecasts",
+        fault.alias("_fault"),
+        F.when(none, F.left("payload", F.lit(200))).alias("_excerpt"),
     )
-    detail = F.coalesce(F.col("time"), F.left("payload", F.lit(200)))
+    rows = _read_time(records.select(*_ENVELOPE, "_fault", "_excerpt", F.inline_outer("_forecasts")))
+    undated = F.when(F.col("forecast_date_utc").isNull(), "undated_forecast")
+    reason = F.coalesce(F.col("_fault"), undated)
     return rows.select(
         source.alias("api_name"),
         "place_name", "ingest_date", "ingest_hour",
         "original_ts", "forecast_date_utc", "forecast_hour_utc",
         *[_value(name).alias(name) for name in _VALUES],
         reason.alias("reject_reason"),
-        F.when(reason.isNotNull(), detail).alias("reject_detail"),
+        F.when(reason.isNotNull(), F.coalesce("time", "_excerpt")).alias("reject_detail"),
     )
 
 
