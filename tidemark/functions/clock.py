@@ -133,12 +133,15 @@ def wall_clock(text: Column) -> Column:
 
 
 def instant_to_utc(text: Column) -> Column:
-    """Date-time text with an offset to UTC wall-clock time; text without an offset is UTC."""
-    dated = F.when(text.rlike("^[0-9]{4}-"), text)
-    zoned = dated.rlike(r"(?:[zZ]|[0-9:.]{4}[+-][0-9:]{2,6})$")
-    return F.when(
-        zoned, instant_utc(dated.try_cast("timestamp"))
-    ).otherwise(wall_clock(dated))
+    """Date-time text with an offset to UTC wall-clock time; text without an offset is UTC.
+
+    Text that does not start with a year, such as a time of day, is null: a cast would read it
+    as a time of today.
+    """
+    zoned = text.rlike(r"(?:[zZ]|[0-9:.]{4}[+-][0-9:]{2,6})$")
+    return F.when(F.substring(text, 5, 1) != "-", None).when(
+        zoned, instant_utc(text.try_cast("timestamp"))
+    ).otherwise(wall_clock(text))
 
 
 def zone_to_utc(local: Column, zone: Column) -> Column:

@@ -36,15 +36,13 @@ def _number(df: DataFrame, name: str) -> Column:
 
 def sun_time(value: Column, day: Column) -> Column:
     """Sunrise or sunset: date-time text as UTC, or a time of day on ``day``."""
-    clock_12h = F.try_to_timestamp(
-        F.concat(day, F.lit(" "), F.upper(F.trim(value))), F.lit("yyyy-MM-dd hh:mm a")
-    ).cast("timestamp_ntz")
-    clock_24h = F.when(
-        value.rlike(r"^\s*[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?\s*$"),
-        wall_clock(F.concat(day, F.lit(" "), F.trim(value))),
+    text = F.trim(value)
+    clock_12h = F.try_to_timestamp(F.concat(day, F.lit(" "), F.upper(text)), F.lit("yyyy-MM-dd hh:mm a"))
+    return (
+        F.when(F.substring(text, 5, 1) == "-", instant_to_utc(text))
+        .when(F.upper(F.right(text, F.lit(1))) == "M", clock_12h.cast("timestamp_ntz"))
+        .when(text.rlike(r"^[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$"), wall_clock(F.concat(day, F.lit(" "), text)))
     )
-    half_day = F.when(value.rlike("(?i)[ap]m"), clock_12h)
-    return F.coalesce(instant_to_utc(value), clock_24h, half_day)
 
 
 def clean_silver(parsed: DataFrame, batch_id: str, fill: float = 0.0) -> DataFrame:
