@@ -57,6 +57,21 @@ def test_hourly_and_daily_runs(spark, tmp_path):
     assert hourly.build_daily(lake, D(2026, 2, 17), now).rows_in == 0
 
 
+def test_hourly_run_over_two_copies(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "main"), fallback=str(tmp_path / "copy"))
+    day, now = D(2026, 2, 17), dt.datetime(2026, 2, 17, 8)
+    hourly.build_silver(lake, spark.createDataFrame(bronze_rows([day], hours=(6,)), schemas.BRONZE), "run-1")
+    assert lake.read("silver").count() == lake.read("silver", fallback=True).count() == 4
+    # An hour that only the copy has is used as well.
+    alone = Lake(spark, str(tmp_path / "copy"))
+    hourly.build_silver(alone, spark.createDataFrame(bronze_rows([day], hours=(6, 7)), schemas.BRONZE), "run-2")
+    done = hourly.build_forecasts(lake, dt.datetime(2026, 2, 17, 7), now)
+    assert done["gold_daily_forecast"].inserted == 4
+    assert lake.read("gold_daily_forecast", fallback=True).count() == 4
+    assert hourly.build_daily(lake, day, now).inserted == 2
+    assert lake.read("gold_daily", fallback=True).count() == 2
+
+
 def gold_daily(spark, days, value=1.0, places=("A", "B")):
     made = dt.datetime(2026, 1, 1)
     data = [(p, d, d, 23, *[value + i] * len(schemas.MEASURES), made) for i, d in enumerate(days) for p in places]
@@ -114,6 +129,8 @@ def test_months_seasons_and_years(spark, tmp_path):
     periods.run_rollup(lake, "gold_monthly", as_of, dt.datetime(2026, 6, 3))
     assert rows_of("gold_monthly", "place_name", "month_number") == [(p, m) for p in "AB" for m in (1, 2, 3, 4)]
     assert states(lake, "gold_monthly")[D(2026, 5, 1)] == ("pending", 1)
+    # A first run goes back to January of the year before.
+    assert min(states(lake, "gold_monthly")) == D(2025, 1, 1)
 
     periods.run_rollup(lake, "gold_seasonal", as_of, dt.datetime(2026, 6, 3))
     # Winter lacks December, spring lacks May.

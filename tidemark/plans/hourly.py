@@ -22,20 +22,26 @@ def build_silver(lake: Lake, bronze: DataFrame, batch_id: str) -> tuple[LoadResu
     """
     tagged = stage(tag_forecasts(bronze), "tagged")
     valid, _ = split_valid(to_silver(clean_silver(accepted(tagged), batch_id)))
-    return lake.load("silver", valid), rejected(tagged)
+    return lake.load_copies("silver", valid), rejected(tagged)
 
 
 def build_forecasts(lake: Lake, target: dt.datetime, now: dt.datetime) -> dict[str, LoadResult]:
     """Daily and five-day forecasts of all snapshots after the watermark, in one plan each."""
     job = "gold_daily_forecast"
     last = slices.last_processed(lake.read("watermarks"), job)
-    silver = rollups.with_snapshot(slices.hourly_increment(lake.read("silver"), last, target, now))
+    silver = rollups.with_snapshot(
+        lake.read_complete(
+            "silver",
+            ("ingest_date", "ingest_hour"),
+            lambda table: slices.hourly_increment(table, last, target, now),
+        )
+    )
     generated = F.lit(now).cast("timestamp_ntz")
     results = {
-        "gold_daily_forecast": lake.load(
+        "gold_daily_forecast": lake.load_copies(
             "gold_daily_forecast", rollups.daily_forecast(silver, generated)
         ),
-        "gold_five_day_forecast": lake.load(
+        "gold_five_day_forecast": lake.load_copies(
             "gold_five_day_forecast", rollups.five_day_forecast(silver, generated_at=generated)
         ),
     }
@@ -47,10 +53,12 @@ def build_daily(lake: Lake, target: dt.date, now: dt.datetime) -> LoadResult:
     """Daily summaries of the days after the watermark up to ``target``."""
     job = "gold_daily"
     last = slices.last_processed(lake.read("watermarks"), job)
-    hourly = slices.daily_increment(
-        lake.read("gold_daily_forecast"), "forecast_date_utc", last, target, now.date()
+    hourly = lake.read_complete(
+        "gold_daily_forecast",
+        "forecast_date_utc",
+        lambda table: slices.daily_increment(table, "forecast_date_utc", last, target, now.date()),
     )
     summary = stage(rollups.daily_summary(hourly, F.lit(now).cast("timestamp_ntz")), "daily")
-    result = lake.load("gold_daily", summary)
+    result = lake.load_copies("gold_daily", summary)
     lake.save_watermark(job, summary, "day", now)
     return result

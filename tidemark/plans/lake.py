@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark import schemas
 from tidemark.operators import merge
 from tidemark.session import stage
+from tidemark.sources.slices import fallback_union
 
 
 @dataclass(frozen=True)
@@ -98,6 +100,15 @@ class Lake:
     def read(self, name: str, fallback: bool = False) -> DataFrame:
         return merge.read_table(self.spark, self.path(name, fallback), TABLES[name].schema)
 
+    def read_complete(
+        self, name: str, column: str | Sequence[str], keep: Callable[[DataFrame], DataFrame] = lambda df: df
+    ) -> DataFrame:
+        """Rows ``keep`` selects, completed with partitions that only the fallback copy has."""
+        primary = keep(self.read(name))
+        if self.fallback is None:
+            return primary
+        return fallback_union(primary, keep(self.read(name, fallback=True)), column)
+
     def load(self, name: str, batch: DataFrame, fallback: bool = False) -> merge.LoadResult:
         """Upsert where the table has columns to update, else insert-ignore."""
         table, path = TABLES[name], self.path(name, fallback)
@@ -109,6 +120,15 @@ class Lake:
             batch, path, table.schema, table.keys, table.order_by, table.partition_by,
         )
 
+    def load_copies(self, name: str, batch: DataFrame) -> merge.LoadResult:
+        """Load into the table, and into its fallback copy if there is one."""
+        if self.fallback is None:
+            return self.load(name, batch)
+        batch = stage(batch, name)
+        result = self.load(name, batch)
+        self.load(name, batch, fallback=True)
+        return result
+
     def replace(self, name: str, content: DataFrame) -> None:
         """Replace the partitions of ``content``; it may be computed from the table itself."""
         merge.replace_partitions(stage(content, name), self.path(name), TABLES[name].partition_by)

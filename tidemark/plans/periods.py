@@ -45,20 +45,14 @@ def _range(lake: Lake, period: Period, as_of: dt.date) -> tuple[dt.date | None,
             last = fourth - dt.timedelta(days=fourth.weekday())
         elif period.grain == "season":
             last = st.bootstrap_start(lake.read("gold_seasonal"), lake.read("gold_monthly")).first()[0]
+        elif period.grain == "month":
+            last = dt.date(as_of.year - 1, 1, 1)
         else:
             last = dt.date(as_of.year, 1, 1)
     end = dt.date(as_of.year + 1, 1, 1) if period.grain == "year" else as_of
     return last, end
 
 
-def source_rows(lake: Lake, period: Period) -> DataFrame:
-    """Source table, completed with partitions only the fallback copy has."""
-    primary = lake.read(period.source)
-    if lake.fallback is None:
-        return primary
-    return slices.fallback_union(primary, lake.read(period.source, fallback=True), period.source_part)
-
-
 def run_rollup(lake: Lake, level: str, as_of: dt.date, now: dt.datetime) -> DataFrame:
     """Reconcile, roll up all pending periods of a level at once, load them and record the state.
 
@@ -91,8 +85,11 @@ def run_rollup(lake: Lake, level: str, as_of: dt.date, now: dt.datetime) -> Data
     _apply(lake, level, st.processing_events(pending.withColumn("expected_count", expected), level), now)
 
     # The widest period is a year; a plain date range prunes the source partitions.
-    rows = slices.date_range(
-        source_rows(lake, period), period.source_part, bounds[0], bounds[1] + dt.timedelta(days=366)
+    last = bounds[1] + dt.timedelta(days=366)
+    rows = lake.read_complete(
+        period.source,
+        period.source_part,
+        lambda table: slices.date_range(table, period.source_part, bounds[0], last),
     )
     verdicts = rollups.gate(rows, period.source_part, period.grain, as_of)
     limit = rollups.allowed_missing(period.grain, F.col("_expected"))

@@ -6,6 +6,7 @@ Every function adds plain predicates or equi-joins, so partition pruning and Par
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -78,7 +79,9 @@ def short_days(table: DataFrame, column: str, expected_rows: int = 24) -> DataFr
     )
 
 
-def partition_calendar(spark: SparkSession, first: dt.date | dt.datetime, end: dt.date | dt.datetime, grain: str) -> DataFrame:
+def partition_calendar(
+    spark: SparkSession, first: dt.date | dt.datetime, end: dt.date | dt.datetime, grain: str
+) -> DataFrame:
     """Partition starts in [first, end) at a grain; both ends are truncated to the grain first."""
     clock.check_grain(grain)
     bounds = spark.range(1).select(F.lit(first).alias("first"), F.lit(end).alias("end"))
@@ -102,11 +105,12 @@ def missing_partitions(calendar: DataFrame, table: DataFrame, column: str) -> Da
     return calendar.join(found, "partition_date", "left_anti")
 
 
-def fallback_union(primary: DataFrame, secondary: DataFrame, column: str) -> DataFrame:
+def fallback_union(primary: DataFrame, secondary: DataFrame, column: str | Sequence[str]) -> DataFrame:
     """All of ``primary``, and from ``secondary`` only the partitions ``primary`` does not have."""
-    covered = primary.select(column).distinct()
+    columns = [column] if isinstance(column, str) else list(column)
+    covered = primary.select(*columns).distinct()
     return primary.unionByName(
-        secondary.join(covered, column, "left_anti"), allowMissingColumns=True
+        secondary.join(covered, columns, "left_anti"), allowMissingColumns=True
     )
 
 
