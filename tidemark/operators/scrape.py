@@ -145,6 +145,7 @@ def split_readable(rows: DataFrame, schema: T.StructType) -> tuple[DataFrame, Da
     missing = F.array_compact(
         F.array(*[F.when(F.col(f.name).isNull(), F.lit(f.name)) for f in schema.fields])
     )
-    checked = rows.withColumn("missing_fields", missing)
+    # A filter stops at a generator; below it, it would repeat the whole extraction.
+    checked = rows.select("*", F.inline(F.array(F.struct(missing.alias("missing_fields")))))
     readable = F.size("missing_fields") == 0
     return checked.where(readable).drop("missing_fields"), checked.where(~readable)
