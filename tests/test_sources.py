@@ -32,7 +32,7 @@ def test_bronze_files_take_their_key_from_the_path(spark, tmp_path):
 
 
 def test_grid_finds_missing_pairs(spark):
-    places = spark.createDataFrame([("A", 1.0, 2.0, "BG", "Bulgaria"), ("B", 1.0, 2.0, "BG", "Bulgaria")], LOCATION)
+    places = spark.createDataFrame([("A", 1.0, 2.0, "XX", "Country"), ("B", 1.0, 2.0, "XX", "Country")], LOCATION)
     grid = bronze.provider_grid(places, PROVIDER_ORDER)
     assert grid.count() == 16
     present = grid.where("not (source = 'foreca' and place_name = 'B')").withColumns(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-
 STRING, INT, BIGINT, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 BOOLEAN, DATE, TIMESTAMP = T.BooleanType(), T.DateType(), T.TimestampNTZType()
 
@@ -107,28 +106,28 @@ LOCATION = _fields(
 # Declared input and output columns of the scraped pages, per site.
 SCRAPED_IN = {
     "accuweather": _fields(
-    city=STRING, curr_day=STRING, curr_time=STRING, temperature=STRING, weather=STRING,
-    wind_km_h=STRING,
-),
+        city=STRING, curr_day=STRING, curr_time=STRING, temperature=STRING, weather=STRING,
+        wind_km_h=STRING,
+    ),
     "meteoblue": _fields(
-    city=STRING, curr_time=STRING, temperature=STRING,
-),
+        city=STRING, curr_time=STRING, temperature=STRING,
+    ),
     "sinoptik": _fields(
-    city=STRING, curr_day=STRING, curr_time=STRING, temperature=STRING, weather=STRING,
-    wind_m_s=STRING,
-),
+        city=STRING, curr_day=STRING, curr_time=STRING, temperature=STRING, weather=STRING,
+        wind_m_s=STRING,
+    ),
 }
 
 SCRAPED_OUT = {
     "accuweather": _fields(
-    city=STRING, curr_time=STRING, temperature=BIGINT, weather=STRING, weekday=STRING,
-    wind_m_s=BIGINT, curr_day=BIGINT, curr_month=STRING,
-),
+        city=STRING, curr_time=STRING, temperature=BIGINT, weather=STRING, weekday=STRING,
+        wind_m_s=BIGINT, curr_day=BIGINT, curr_month=STRING,
+    ),
     "meteoblue": _fields(
-    city=STRING, curr_time=STRING, temperature=BIGINT,
-),
+        city=STRING, curr_time=STRING, temperature=BIGINT,
+    ),
     "sinoptik": _fields(
-    city=STRING, curr_time=STRING, temperature=BIGINT, weather=STRING, wind_m_s=BIGINT,
-    curr_day=BIGINT, curr_month=STRING,
-),
+        city=STRING, curr_time=STRING, temperature=BIGINT, weather=STRING, wind_m_s=BIGINT,
+        curr_day=BIGINT, curr_month=STRING,
+    ),
 }
