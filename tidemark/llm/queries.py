@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import quality_rules
+from tidemark.llm import quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        CAST(coalesce(n, 0) AS BIGINT) AS n_removed_chars
 FROM judged LEFT JOIN removed USING (doc_id)
 """
+
+
+@_query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
