@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import quality_rules, simhash
+from tidemark.llm import quality_rules, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,89 @@ FROM judged LEFT JOIN removed USING (doc_id)
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and spans."""
+    return secret_scan.secret_digest(secret_scan.secret_spans(_table(spark, sf_dir, "documents")))
+
+
+def _secret_sql() -> str:
+    def quoted(kind: str) -> str:
+        return secret_scan.PATTERNS[kind].replace("'", "''")
+
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, {k} AS kind, string_split_regex(text, '{quoted(kind)}') AS pieces, "
+        f"regexp_extract_all(text, '{quoted(kind)}') AS tokens FROM d"
+        for k, kind in enumerate(secret_scan.KINDS)
+    )
+    bins = "CASE encoding " + " ".join(
+        f"WHEN '{name}' THEN {k}" for name, (_, _, k) in secret_scan.ENCODINGS.items()
+    ) + " END"
+    encoding = secret_scan.encoding_sql().replace("regexp_like_", "regexp_matches")
+    columns = {c: c for c in ("n", "k", "squares", "high", "turns", "total", "squared", "product")}
+    scores = ", ".join(f"{sql} AS {name}" for name, sql in secret_scan.score_sql(columns).items())
+    rate = int(secret_scan.FALSE_DISCOVERIES * 1000)
+    names = "CASE kind " + " ".join(f"WHEN {k} THEN '{kind}'" for k, kind in enumerate(secret_scan.KINDS)) + " END"
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({found}),
+each AS (
+  SELECT doc_id, kind, i, tokens[i] AS token, length(pieces[i]) AS before
+  FROM (SELECT *, unnest(range(1, len(tokens) + 1)) AS i FROM found)
+),
+placed AS (
+  SELECT *, sum(before + length(token)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM each
+),
+spans AS (
+  SELECT doc_id, kind, CAST(stop - length(token) AS INT) AS start, CAST(stop AS INT) AS stop, token
+  FROM placed
+  WHERE kind <> 0 OR length(regexp_extract(token, '{quoted("assign")}', 2)) >= {secret_scan.MIN_VALUE}
+),
+named AS (SELECT *, {encoding} AS encoding FROM spans WHERE kind = 3),
+binned AS (
+  SELECT *, {secret_scan.bins_sql()} AS b, {bins} AS k FROM named WHERE encoding IS NOT NULL
+),
+digits AS (SELECT *, length(b) AS n, list_transform(string_split(b, ''), lambda c: CAST(c AS BIGINT)) AS x FROM binned),
+counted AS (
+  SELECT *,
+    list_sum(list_transform(range(0, 8), lambda v: power(len(list_filter(x, lambda y: y = v)), 2))) AS squares,
+    len(list_filter(x, lambda y: y * 2 >= k)) AS high,
+    list_sum(list_transform(range(1, n), lambda i: CASE WHEN (x[i] * 2 >= k) <> (x[i + 1] * 2 >= k) THEN 1 ELSE 0 END)) AS turns,
+    list_sum(x) AS total, list_sum(list_transform(x, lambda y: y * y)) AS squared,
+    list_sum(list_transform(range(1, n + 1), lambda i: x[i] * x[i % n + 1])) AS product
+  FROM digits
+),
+scored AS (SELECT *, {scores}, CAST(floor(log2(n)) AS INT) AS band FROM counted),
+tested AS (SELECT *, {secret_scan.p_sql()} AS p FROM scored),
+steps AS (
+  SELECT band, p, sum(count(*)) OVER (PARTITION BY band ORDER BY p) AS up_to,
+         sum(count(*)) OVER (PARTITION BY band) AS total_n
+  FROM tested GROUP BY band, p
+),
+limits AS (
+  SELECT band, coalesce(max(p) FILTER (WHERE p * total_n <= {rate} * up_to), -1) AS p_limit FROM steps GROUP BY band
+),
+secrets AS (
+  SELECT doc_id, kind, start, stop FROM spans WHERE kind < 3
+  UNION ALL
+  SELECT t.doc_id, 3, t.start, t.stop FROM tested t JOIN limits USING (band)
+  WHERE p > p_limit AND NOT EXISTS (
+    SELECT 1 FROM spans s WHERE s.doc_id = t.doc_id AND s.kind < 3 AND s.start <= t.start AND s.stop >= t.stop)
+),
+texts AS (SELECT *, {names} || ':' || start || ':' || stop AS span FROM secrets),
+lists AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+         count(*) FILTER (WHERE kind = 2) AS n_hex,
+         string_agg(span, ',' ORDER BY start, kind) FILTER (WHERE kind < 3) AS base,
+         string_agg(span, ',' ORDER BY start, kind) AS spans
+  FROM texts GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN lists USING (doc_id)
+"""
+
+
+ORACLES["op8_secret_scan"] = _secret_sql()
