@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import quality_rules, secret_scan, simhash
+from tidemark.llm import bpe, mixing, quality_rules, secret_scan, simhash
+
+#: Folder of the public tokenizers' files, the same on every machine.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,3 +179,16 @@ FROM d LEFT JOIN lists USING (doc_id)
 
 
 ORACLES["op8_secret_scan"] = _secret_sql()
+
+
+@_query
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document, and digests of its ids and of the text decoded from them."""
+    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    return bpe.token_digest(bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path))
+
+
+@_query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in a mix of equal weights for all sources."""
+    return mixing.mixture(_table(spark, sf_dir, "documents"))
