@@ -246,9 +246,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return filled.mapInArrow(_decode_batches(path), "doc_id long, ids binary, text string")
 
 
-def token_digest(decoded: DataFrame) -> DataFrame:
-    """Number of tokens, and digests of ids and text."""
+def token_digest(decoded: DataFrame, *more: str) -> DataFrame:
+    """Number of tokens, digests of ids and text, and the columns ``more``."""
     return decoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"), *more,
     )

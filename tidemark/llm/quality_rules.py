@@ -32,7 +32,7 @@ def measured(docs: DataFrame, *more: str) -> DataFrame:
     sorted only for texts that have any.
     """
     text = F.col("text")
-    keep = ["doc_id", *more]
+    keep = ["doc_id", "text_hash", *more]
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines"]
     # The texts go through one projection only; later steps hold hashes.
     lines = F.transform(
@@ -41,7 +41,7 @@ def measured(docs: DataFrame, *more: str) -> DataFrame:
             F.xxhash64(l).alias("raw"), F.xxhash64(_normal_line(l)).alias("line"), _blank_free_length(l).alias("chars")
         ),
     )
-    lines = document_texts(docs, *more).select(
+    lines = document_texts(docs, *more).withColumn("text_hash", F.xxhash64("text")).select(
         *keep,
         (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.transform(words_of(text), lambda w: F.xxhash64(w)).alias("_words"),
@@ -94,23 +94,13 @@ def frequent_lines(lines: DataFrame, hosts: DataFrame, max_docs: int, max_per_mi
     ).select("c.host", "line", "first")
 
 
-def quality_rules(
+def _judged(
     docs: DataFrame,
-    host: str = "source",
+    host: str,
     max_docs: int = MAX_DOCS,
     max_per_mille: int = MAX_PER_MILLE,
     max_removed_percent: int = MAX_REMOVED_PERCENT,
 ) -> DataFrame:
-    """A row per document: counts, ``base_failed``, ``n_removed_chars`` and ``kept``.
-
-    A line, with case and spacing made equal, is removed when it stands in more than
-    ``max_docs`` documents of its host and in more than ``max_per_mille`` thousandths of them;
-    the host's document with the smallest id keeps it, so that one of many copies survives.
-    A document whose removed lines hold more than ``max_removed_percent`` of its characters is
-    depleted and not kept. A null text is empty and fails the base rules; a null host is a host
-    of its own; repeated rows count as documents of their own, and those with the smallest id all
-    keep their lines. An empty table gives an empty result; other columns are ignored.
-    """
     rows = measured(docs.select("doc_id", "text", F.col(host).alias("_host")), "_host")
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
@@ -137,5 +127,37 @@ def quality_rules(
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (n_removed * 100 <= F.col("word_chars") * max_removed_percent)).alias("kept"),
-        n_removed.alias("n_removed_chars"),
+        n_removed.alias("n_removed_chars"), "text_hash", F.col("_host").alias("host"),
+    )
+
+
+def quality_rules(docs: DataFrame, host: str = "source", **limits: int) -> DataFrame:
+    """A row per document: counts, ``base_failed``, ``n_removed_chars`` and ``kept``.
+
+    A line, with case and spacing made equal, is removed when it stands in more than
+    ``max_docs`` documents of its host and in more than ``max_per_mille`` thousandths of them;
+    the host's document with the smallest id keeps it, so that one of many copies survives.
+    A document whose removed lines hold more than ``max_removed_percent`` of its characters is
+    depleted and not kept. A null text is empty and fails the base rules; a null host is a host
+    of its own; repeated rows count as documents of their own, and those with the smallest id all
+    keep their lines. An empty table gives an empty result; other columns are ignored.
+    """
+    return _judged(docs, host, **limits).drop("text_hash", "host")
+
+
+def passing(docs: DataFrame, host: str = "source", **limits: int) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, all columns unchanged.
+
+    Rejected rows are named by id, host and a hash of the text: rows equal in these share their
+    fate. The list is stored first, so that Spark knows its size: a short one is broadcast and
+    the texts stay where they are, a long one is joined by shuffle.
+    """
+    gone = _judged(docs, host, **limits).where(~F.col("kept")).select("doc_id", "host", "text_hash").distinct()
+    gone = stage(gone.coalesce(64), "rejected").alias("g")
+    rows = docs.alias("d")
+    same = (
+        F.col("d.doc_id").eqNullSafe(F.col("g.doc_id"))
+        & F.col(f"d.{host}").eqNullSafe(F.col("g.host"))
+        & (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("g.text_hash"))
     )
+    return rows.join(gone, same, "left_anti").select(*[F.col(f"d.{name}") for name in docs.columns])

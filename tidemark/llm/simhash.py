@@ -48,12 +48,15 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     for batch in slices(batches, "text", 8 << 20):
         values = [fingerprint(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
         found = pa.array(np.array(values, dtype=np.uint64).view(np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text_hash"), found], ["doc_id", "text_hash", "fp"]
+        )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a signed long) of every row."""
-    return document_texts(docs).mapInArrow(_fingerprint_batches, "doc_id long, fp long")
+    """``doc_id``, ``text_hash`` and ``fp`` (the 64 bits as a signed long) of every row."""
+    texts = document_texts(docs).withColumn("text_hash", F.xxhash64("text"))
+    return texts.mapInArrow(_fingerprint_batches, "doc_id long, text_hash long, fp long")
 
 
 # ---------------------------------------------------------------- the covering code
@@ -171,6 +174,19 @@ def linked(fps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return placed.groupBy("anchor").applyInArrow(_compare(threshold), "a long, b long").distinct()
 
 
+def _grouped(docs: DataFrame, threshold: int) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``fp`` and ``component_id`` of every row."""
+    rows = stage(fingerprints(docs), "fingerprints")
+    groups = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    roots = components(linked(groups, threshold)).withColumnRenamed("node", "fp")
+    rooted = stage(
+        groups.join(roots, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("root")), "roots"
+    )
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = stage(rooted.join(least, "root").select("fp", "component_id"), "named")
+    return rows.join(named, "fp")
+
+
 def simhash_groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``doc_id``, ``fingerprint`` and ``component_id`` of every row.
 
@@ -180,15 +196,7 @@ def simhash_groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     row and counts for no component, which is null if no other document belongs to it. An empty
     table gives an empty result; other columns are ignored.
     """
-    rows = stage(fingerprints(docs), "fingerprints")
-    groups = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(linked(groups, threshold)).withColumnRenamed("node", "fp")
-    rooted = stage(
-        groups.join(roots, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("root")), "roots"
-    )
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stage(rooted.join(least, "root").select("fp", "component_id"), "named")
-    return rows.join(named, "fp").select(
+    return _grouped(docs, threshold).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
@@ -196,13 +204,28 @@ def simhash_groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 def one_of_each_group(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that stay: the smallest doc_id of each group, all columns unchanged.
 
-    Of rows that repeat one kept doc_id, one stays. Rows without a doc_id all stay: nothing says
-    which of them to prefer.
+    Of rows that repeat one kept doc_id in a group, one stays. Rows without a doc_id all stay:
+    nothing says which of them to prefer. Rows that go are named by id and a hash of the text;
+    the list is stored first, so that Spark knows its size: a short one is broadcast and the
+    texts stay where they are, a long one is joined by shuffle.
     """
-    groups = stage(simhash_groups(docs, threshold).select("doc_id", "component_id"), "groups")
-    kept = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    once = docs.join(kept.where("_rows = 1"), "doc_id", "left_semi").select(docs.columns)
-    again = stage(kept.where("_rows > 1"), "again")
-    if not again.isEmpty():
-        once = once.union(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
-    return once.union(docs.where("doc_id IS NULL"))
+    rows = stage(_grouped(docs, threshold).drop("fp").where("doc_id IS NOT NULL"), "groups")
+    kept = rows.where("doc_id = component_id").groupBy("doc_id").agg(
+        F.min("text_hash").alias("first_hash"), F.count("*").alias("_rows")
+    )
+    repeated = stage(kept.where("_rows > 1"), "repeated")
+    gone = rows.where("doc_id <> component_id").select("doc_id", "text_hash")
+    if not repeated.isEmpty():
+        others = rows.where("doc_id = component_id").join(repeated, "doc_id").where("text_hash <> first_hash")
+        gone = gone.union(others.select("doc_id", "text_hash"))
+    gone = stage(gone.distinct().coalesce(64), "gone").alias("g")
+    same = (F.col("d.doc_id") == F.col("g.doc_id")) & (
+        F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("g.text_hash")
+    )
+    left = docs.alias("d").join(gone, same, "left_anti").select(*[F.col(f"d.{name}") for name in docs.columns])
+    if repeated.isEmpty():
+        return left
+    again = left.join(repeated.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    return left.join(repeated.select("doc_id"), "doc_id", "left_anti").select(docs.columns).union(
+        again.dropDuplicates(["doc_id"])
+    )
