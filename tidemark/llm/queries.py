@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, mixing, quality_rules, secret_scan, simhash
+from tidemark.llm.common import crc_remainder
+from tidemark.llm import bpe, mixing, quality_classifier, quality_rules, secret_scan, simhash
 
 #: Folder of the public tokenizers' files, the same on every machine.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -192,3 +193,16 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in a mix of equal weights for all sources."""
     return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labelled ones that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_remainder("doc_id", 4) == 2
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality_classifier.fit(docs.where(~held_out).join(labels, "doc_id"))
+    scored = quality_classifier.score(docs, model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
