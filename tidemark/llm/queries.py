@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import crc_remainder
-from tidemark.llm import bpe, mixing, quality_classifier, quality_rules, secret_scan, simhash
+from tidemark.llm import bpe, embedding_dedup, mixing, quality_classifier, quality_rules, secret_scan, simhash
 
 #: Folder of the public tokenizers' files, the same on every machine.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -206,3 +206,31 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
     )
+
+
+@_query
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate group of every vector."""
+    return embedding_dedup.embedding_groups(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op7_embedding_dedup"] = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= {embedding_dedup.THRESHOLD}
+),
+reach AS (
+  SELECT vec_id AS node, vec_id AS root FROM embeddings
+  UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.node AND reach.root < links.b
+),
+least AS (SELECT node AS vec_id, min(root) AS component_id FROM reach GROUP BY node),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN n USING (vec_id)
+"""
