@@ -109,7 +109,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     """With ``_key`` (null and empty sources apart), ``_hash`` of the doc_id, and its upper bits."""
     return docs.select(
         "*", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_key"), F.xxhash64("doc_id").alias("_hash")
-    ).withColumn("_bucket", F.shiftright("_hash", 48))
+    ).withColumn("_bucket", F.shiftright("_hash", 52))
 
 
 def mixture(
@@ -128,7 +128,7 @@ def mixture(
     kept; block, slot, release and deadline are null for them. Read the kept ones by ``slot``.
 
     ``rank`` orders the documents of a source by a hash of the doc_id. It is counted within
-    65,536 hash ranges of the source and added up over them, so that no task holds a whole
+    4,096 hash ranges of the source and added up over them, so that no task holds a whole
     source. A null source is a source of its own, with weights listed under ``None``; repeated
     rows and null ids each take a place; texts are not read; an empty table gives an empty result.
     """
