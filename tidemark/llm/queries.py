@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import crc_remainder
-from tidemark.llm import bpe, embedding_dedup, mixing, quality_classifier, quality_rules, secret_scan, simhash
+from tidemark.llm import bpe, embedding_dedup, mixing, quality_classifier, quality_rules, secret_scan, simhash, url_filter
 
 #: Folder of the public tokenizers' files, the same on every machine.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -234,3 +234,74 @@ n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM least LEFT JOIN n USING (vec_id)
 """
+
+
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
+
+
+@_query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    return url_filter.url_verdicts(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _url_sql() -> str:
+    rule = verdict = "NULL"
+    for what, text in sorted(reversed(URL_RULES), key=lambda r: len(r[1])):
+        host, _, path = text.partition("/")
+        fits = f"(host = '{host}' OR suffix(host, '.{host}')) AND starts_with(path, '/{path}')"
+        rule = f"CASE WHEN {fits} THEN '{text}' ELSE {rule} END"
+        verdict = f"CASE WHEN {fits} THEN '{what}' ELSE {verdict} END"
+    link = url_filter.LINK.replace("'", "''")
+    d = url_filter.DAMPING
+    rounds = "".join(
+        f"""
+r{k} AS MATERIALIZED (
+  SELECT host, {1 - d} * seed_t + {d} * coalesce(t, 0) AS trust, {1 - d} * seed_d + {d} * coalesce(d, 0) AS distrust
+  FROM seeds
+  LEFT JOIN (SELECT target AS host, sum(forth * trust) AS t FROM shares JOIN r{k - 1} r ON r.host = source GROUP BY target) USING (host)
+  LEFT JOIN (SELECT source AS host, sum(back * distrust) AS d FROM shares JOIN r{k - 1} r ON r.host = target GROUP BY source) USING (host)
+),"""
+        for k in range(1, url_filter.ROUNDS + 1)
+    )
+    return rf"""
+WITH parsed AS (
+  SELECT page_id, html,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+),
+judged AS (SELECT *, {rule} AS rule, {verdict} AS given FROM parsed),
+own AS MATERIALIZED (
+  SELECT host, avg(CASE WHEN given = 'allow' THEN 1.0 ELSE 0.0 END) AS seed_t, avg(CASE WHEN given = 'block' THEN 1.0 ELSE 0.0 END) AS seed_d
+  FROM judged WHERE host <> '' GROUP BY host
+),
+parents AS (
+  SELECT a.host, b.host AS parent FROM own a JOIN own b ON b.host = a.host[instr(a.host, '.') + 1:] WHERE instr(a.host, '.') > 0
+),
+every AS (
+  SELECT host AS source, host AS target FROM parsed WHERE host <> ''
+  UNION ALL SELECT host, lower(unnest(regexp_extract_all(html, '{link}', 1))) FROM parsed WHERE host <> ''
+  UNION ALL SELECT host, parent FROM parents
+  UNION ALL SELECT parent, host FROM parents
+),
+links AS (SELECT source, target, count(*) AS weight FROM every GROUP BY source, target),
+shares AS MATERIALIZED (
+  SELECT source, target, weight / sum(weight) OVER (PARTITION BY source) AS forth, weight / sum(weight) OVER (PARTITION BY target) AS back
+  FROM links
+),
+seeds AS MATERIALIZED (
+  SELECT * FROM own UNION ALL SELECT DISTINCT target, 0.0, 0.0 FROM links WHERE target NOT IN (SELECT host FROM own)
+),
+r0 AS (SELECT host, seed_t AS trust, seed_d AS distrust FROM seeds),{rounds}
+done AS (SELECT * FROM r{url_filter.ROUNDS})
+SELECT page_id, host, path, rule,
+  coalesce(given, CASE WHEN distrust - trust > {url_filter.THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict,
+  round(trust, 6) AS trust, round(distrust, 6) AS distrust
+FROM judged LEFT JOIN done USING (host)
+"""
+
+
+ORACLES["op2_url_filter"] = _url_sql()
