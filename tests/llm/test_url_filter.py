@@ -48,7 +48,7 @@ def plain_verdicts(pages):
         into[b] += n
     nodes = set(hosts) | {b for _, b in links}
     share = lambda v, h: hosts[h].count(v) / len(hosts[h]) if h in hosts else 0.0
-    seed = {"allow": {h: share("allow", h) + uf.NEUTRAL * share(None, h) for h in nodes}, "block": {h: share("block", h) for h in nodes}}
+    seed = {"allow": {h: share("allow", h) for h in nodes}, "block": {h: share("block", h) for h in nodes}}
     t, d = dict(seed["allow"]), dict(seed["block"])
     for _ in range(uf.ROUNDS):
         nt, nd = {h: 0.15 * s for h, s in seed["allow"].items()}, {h: 0.15 * s for h, s in seed["block"].items()}
@@ -59,7 +59,7 @@ def plain_verdicts(pages):
     result = []
     for i, host, path, _ in judged:
         given, rule = plain_rule(host, path)
-        result.append((i, host, path, rule, given or ("block" if d.get(host, 0) > t.get(host, 0) * uf.THRESHOLD else "allow")))
+        result.append((i, host, path, rule, given or ("block" if d.get(host, 0) - t.get(host, 0) > share(None, host) * uf.THRESHOLD else "allow")))
     return result
 
 

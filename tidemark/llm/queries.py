@@ -275,7 +275,7 @@ WITH parsed AS (
 ),
 judged AS (SELECT *, {rule} AS rule, {verdict} AS given FROM parsed),
 own AS MATERIALIZED (
-  SELECT host, avg(CASE WHEN given = 'allow' THEN 1.0 WHEN given IS NULL THEN {url_filter.NEUTRAL} ELSE 0.0 END) AS seed_t, avg(CASE WHEN given = 'block' THEN 1.0 ELSE 0.0 END) AS seed_d
+  SELECT host, avg(CASE WHEN given = 'allow' THEN 1.0 ELSE 0.0 END) AS seed_t, avg(CASE WHEN given = 'block' THEN 1.0 ELSE 0.0 END) AS seed_d
   FROM judged WHERE host <> '' GROUP BY host
 ),
 parents AS (
@@ -296,9 +296,9 @@ seeds AS MATERIALIZED (
   SELECT * FROM own UNION ALL SELECT DISTINCT target, 0.0, 0.0 FROM links WHERE target NOT IN (SELECT host FROM own)
 ),
 r0 AS (SELECT host, seed_t AS trust, seed_d AS distrust FROM seeds),{rounds}
-done AS (SELECT * FROM r{url_filter.ROUNDS})
+done AS (SELECT * FROM r{url_filter.ROUNDS} JOIN own USING (host))
 SELECT page_id, host, path, rule,
-  coalesce(given, CASE WHEN distrust > trust * {url_filter.THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce(given, CASE WHEN distrust - trust > (1 - seed_t - seed_d) * {url_filter.THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict,
   round(trust, 6) AS trust, round(distrust, 6) AS distrust
 FROM judged LEFT JOIN done USING (host)
 """

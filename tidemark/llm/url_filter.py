@@ -3,7 +3,7 @@
 Hosts with allowed pages are seeds of trust, hosts with blocked pages seeds of distrust. Trust
 runs along the host links, distrust against them (who links to blocked hosts is suspect), both
 as personalised PageRank. A url without a rule of its own is blocked if its host's distrust
-exceeds a multiple of its trust.
+exceeds its trust by more than the threshold times the share of its pages without a rule.
 """
 
 from __future__ import annotations
@@ -18,10 +18,8 @@ DAMPING = 0.85
 ROUNDS = 16
 #: Rounds of propagation between two written tables.
 STEP = 4
-#: Trust that a page without a rule lends its host, against 1 of an allowed page.
-NEUTRAL = 0.5
-#: A host is blocked whose distrust exceeds its trust so many times.
-THRESHOLD = 2.0
+#: Distrust that a host with no trust at all is let off, if all its pages are without a rule.
+THRESHOLD = 0.25
 # Absolute links in markup; the group is the host.
 LINK = r"""[Hh][Rr][Ee][Ff]\s*=\s*["']?[A-Za-z][A-Za-z0-9+.-]*://([^/?#"'\s<>]+)"""
 
@@ -112,8 +110,7 @@ def url_verdicts(
     """``page_id``, ``host``, ``path``, ``rule`` and ``verdict`` of every page, with its host's
     ``trust`` and ``distrust`` to six decimals.
 
-    Seeds are the shares of a host's pages that rules allow (and, for less, leave open) or block.
-    Null urls and urls without
+    Seeds are the shares of a host's pages that rules allow or block. Null urls and urls without
     ``://`` have an empty host and path, no rule, and are allowed. Null markup has no links;
     repeated rows and null ids stay rows; an empty table gives an empty result; other columns are
     ignored.
@@ -122,7 +119,7 @@ def url_verdicts(
     rule, verdict = rule_columns(rules)
     judged = parsed.select("page_id", "host", "path", "html", rule.alias("rule"), verdict.alias("given"))
     own = judged.where("host <> ''").groupBy("host").agg(
-        F.avg(F.when(F.col("given") == "allow", 1.0).when(F.col("given").isNull(), NEUTRAL).otherwise(0.0)).alias("seed_trust"),
+        F.avg(F.when(F.col("given") == "allow", 1.0).otherwise(0.0)).alias("seed_trust"),
         F.avg(F.when(F.col("given") == "block", 1.0).otherwise(0.0)).alias("seed_distrust"),
     )
     own = stage(own, "hosts")
@@ -130,8 +127,10 @@ def url_verdicts(
     linked = links.select(F.col("target").alias("host")).distinct().join(own, "host", "left_anti")
     seeds = own.union(linked.select("host", F.lit(0.0), F.lit(0.0)))
     ranks = propagated(links, seeds, rounds=rounds)
-    spread = F.when(F.col("distrust") > F.col("trust") * threshold, "block").otherwise("allow")
-    return judged.drop("html").join(ranks, "host", "left").select(
+    let_off = (1 - F.col("seed_trust") - F.col("seed_distrust")) * threshold
+    spread = F.when(F.col("distrust") - F.col("trust") > let_off, "block").otherwise("allow")
+    ranked = own.join(ranks, "host")
+    return judged.drop("html").join(ranked, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("given", spread).alias("verdict"),
         F.round("trust", 6).alias("trust"), F.round("distrust", 6).alias("distrust"),
     )
