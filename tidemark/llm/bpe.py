@@ -14,6 +14,7 @@ word borders of a half hold except at its very end, which the agreed tokens keep
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import slices, small_batches
 
 #: Characters of a text, or part of one, that a task encodes in one piece.
 LEAF = 1 << 15
@@ -31,12 +32,12 @@ LEAF = 1 << 15
 WINDOW = 64
 #: Bytes that agreed tokens keep away from the join on its left and from the window's end.
 MARGIN = 16
-#: Encodings of words that a worker keeps.
-MEMO = 1 << 18
+#: Bytes of text that a task takes at a time.
+BATCH = 2 << 20
 
 
 class Codec:
-    """One tokenizer file: encoding of a piece, joining of two, decoding."""
+    """One tokenizer file: encoding of pieces, joining of two."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
@@ -49,12 +50,7 @@ class Codec:
         if any(t.lstrip or t.rstrip or t.single_word or " " in t.content for t in added.values()):
             raise ValueError("Added tokens that look at their surroundings are not supported")
         self.added = {t.content: number for number, t in added.items()}
-        alphabet = _byte_alphabet()
-        self.bytes_of = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
-        for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            self.bytes_of[number] = token.encode() if token in self.added else bytes(alphabet[c] for c in token)
-        self.lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
-        self._memo: dict[str, bytes] = {}
+        self.lengths = np.array([len(b) for b in byte_table(path)], dtype=np.int64)
 
     def parts(self, text: str) -> list[str]:
         """The text cut at added tokens, which stay as parts of their own."""
@@ -64,25 +60,9 @@ class Codec:
         return [part for part in re.split(f"({'|'.join(map(re.escape, longest_first))})", text) if part]
 
     def encode(self, text: str) -> bytes:
-        """Ids of ``text`` as little-endian 32-bit integers.
-
-        The text is cut before blanks that follow a visible character: no match of the word
-        pattern spans such a place. Words that come again are looked up.
-        """
-        if _AWKWARD.search(text):
-            words = _BORDER.split(text)
-        else:
-            first, *rest = text.split(" ")
-            words = [first, *[" " + word for word in rest]]
-        memo = self._memo
-        new = [word for word in set(words) if word not in memo]
-        if new:
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = list(set(words))
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                memo[word] = np.array(found.ids, dtype="<u4").tobytes()
-        return b"".join([memo[word] for word in words])
+        """Ids of ``text`` as little-endian 32-bit integers."""
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, dtype="<u4").tobytes()
 
     def join(self, text: str, at: int, left: np.ndarray, right: np.ndarray, low: int, high: int) -> np.ndarray:
         """Ids of ``text[low:high]`` from the ids of the halves before and after ``at``."""
@@ -124,10 +104,6 @@ class Codec:
             width *= 2
         return leaves[0]
 
-    def decode(self, ids: bytes) -> str:
-        table = self.bytes_of
-        return b"".join([table[i] for i in np.frombuffer(ids, dtype="<u4").tolist()]).decode("utf-8", "replace")
-
 
 def _agreed(edges: np.ndarray, theirs: np.ndarray, low: int, high: int, last: bool) -> tuple[int, int] | None:
     """Index, on either side, of a token with the same start and end, within ``low`` and ``high``."""
@@ -140,11 +116,6 @@ def _agreed(edges: np.ndarray, theirs: np.ndarray, low: int, high: int, last: bo
     return int(pick), int(np.flatnonzero(other == spans[pick])[0])
 
 
-# A blank at the start, or after anything that may be white space.
-_AWKWARD = re.compile(r"(?:\A|[^\w!-~]) ")
-_BORDER = re.compile(r"(?<=[\w!-~])(?= )")
-
-
 def _byte_alphabet() -> dict[str, int]:
     """The visible character that stands for each byte in vocabulary files."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -152,6 +123,17 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+@lru_cache(maxsize=2)
+def byte_table(path: str) -> list[bytes]:
+    """The bytes of each id of a file."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    alphabet = _byte_alphabet()
+    table = {number: bytes(alphabet[c] for c in token) for token, number in content["model"]["vocab"].items()}
+    table |= {token["id"]: token["content"].encode() for token in content["added_tokens"]}
+    return [table.get(number, b"") for number in range(max(table) + 1)]
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     """The codec of a file, loaded once in each worker."""
@@ -161,7 +143,7 @@ def codec(path: str) -> Codec:
 def _encode_short(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", BATCH):
             ids = [tool.encode(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
@@ -192,7 +174,7 @@ def _cut(path: str, size: int):
 def _encode_leaves(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", BATCH):
             ids = [tool.encode(text) for text in batch.column("text").to_pylist()]
             yield batch.append_column("ids", pa.array(ids, pa.binary()))
 
@@ -222,7 +204,7 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     gives an empty result; other columns are ignored. Memory of a task is bounded by a leaf for
     the encoding and by one document's ids and text for the joins.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     short = texts.where(F.char_length("text") <= leaf).mapInArrow(_encode_short(path), "doc_id long, ids binary")
     long = texts.where(F.char_length("text") > leaf).select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
     leaves = long.mapInArrow(_cut(path, leaf), _LEAVES).repartition("_row", "part", "leaf")
@@ -232,9 +214,12 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
 
 def _decode_batches(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = codec(path)
-        for batch in slices(batches, "ids", 4 << 20):
-            texts = [tool.decode(ids) for ids in batch.column("ids").to_pylist()]
+        table = byte_table(path)
+        for batch in slices(batches, "ids", BATCH):
+            texts = [
+                b"".join([table[i] for i in np.frombuffer(ids, dtype="<u4").tolist()]).decode("utf-8", "replace")
+                for ids in batch.column("ids").to_pylist()
+            ]
             yield batch.append_column("text", pa.array(texts, pa.string()))
 
     return run

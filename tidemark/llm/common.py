@@ -14,6 +14,8 @@ from tidemark.session import stage
 #: White space of a word split, as the contracts state it: the blank and the bytes 9 to 13.
 WHITE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
+#: Documents in a batch that goes to Python.
+ROWS = 512
 
 
 def document_texts(docs: DataFrame, *more: str) -> DataFrame:
@@ -21,6 +23,18 @@ def document_texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, after limiting the rows that Spark hands to Python at a time.
+
+    Spark's own limit counts rows; with whole documents as rows a batch of the usual 10,000 takes
+    tens of megabytes on either side. The setting stays with the session.
+    """
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(key)) > ROWS or int(conf.get(key)) <= 0:
+        conf.set(key, ROWS)
+    return docs
+
+
 def words_of(text: str | Column) -> Column:
     """Maximal runs of characters that are no white space."""
     return F.array_remove(F.split(text, WHITE), "")

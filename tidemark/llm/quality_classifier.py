@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import document_texts, lower_bytes, mix, slices, span_hashes, text_bytes, word_spans
+from tidemark.llm.common import document_texts, lower_bytes, mix, slices, small_batches, span_hashes, text_bytes, word_spans
 from tidemark.session import stage
 
 #: Hash buckets of the features; a power of two.
@@ -143,7 +143,7 @@ def fit(labelled: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> Mo
     hash of the doc_id, with all their features; the driver sees no others. With rows of one
     class or none every text gets the same score, the class's share.
     """
-    labelled = labelled.select(
+    labelled = small_batches(labelled).select(
         F.xxhash64("doc_id", F.lit("sample")).alias("_order"),
         F.coalesce("text", F.lit("")).alias("text"), F.col("quality").cast("int").alias("quality"),
     )
@@ -201,4 +201,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 [batch.column("doc_id"), pa.array(shared.value.scores(batch.column("text")))], ["doc_id", "score"]
             )
 
-    return document_texts(docs).mapInArrow(run, "doc_id long, score double")
+    return document_texts(small_batches(docs)).mapInArrow(run, "doc_id long, score double")

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import components, document_texts, local_stars, slices
+from tidemark.llm.common import components, document_texts, local_stars, slices, small_batches
 from tidemark.session import stage
 
 SHINGLE = 3
@@ -55,7 +55,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``fp`` (the 64 bits as a signed long) of every row."""
-    texts = document_texts(docs).withColumn("text_hash", F.xxhash64("text"))
+    texts = document_texts(small_batches(docs)).withColumn("text_hash", F.xxhash64("text"))
     return texts.mapInArrow(_fingerprint_batches, "doc_id long, text_hash long, fp long")
 
 
