@@ -149,11 +149,10 @@ def passing(docs: DataFrame, host: str = "source", **limits: int) -> DataFrame:
     """The rows of ``docs`` that ``quality_rules`` keeps, all columns unchanged.
 
     Rejected rows are named by id, host and a hash of the text: rows equal in these share their
-    fate. The list is stored first, so that Spark knows its size: a short one is broadcast and
-    the texts stay where they are, a long one is joined by shuffle.
+    fate. Their list grows with the documents, so both are shuffled, whatever its size today.
     """
     gone = _judged(docs, host, **limits).where(~F.col("kept")).select("doc_id", "host", "text_hash").distinct()
-    gone = stage(gone.coalesce(64), "rejected").alias("g")
+    gone = stage(gone, "rejected").hint("merge").alias("g")
     rows = docs.alias("d")
     same = (
         F.col("d.doc_id").eqNullSafe(F.col("g.doc_id"))

@@ -205,9 +205,8 @@ def one_of_each_group(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that stay: the smallest doc_id of each group, all columns unchanged.
 
     Of rows that repeat one kept doc_id in a group, one stays. Rows without a doc_id all stay:
-    nothing says which of them to prefer. Rows that go are named by id and a hash of the text;
-    the list is stored first, so that Spark knows its size: a short one is broadcast and the
-    texts stay where they are, a long one is joined by shuffle.
+    nothing says which of them to prefer. Rows that go are named by id and a hash of the text.
+    Their list grows with the documents, so both are shuffled, whatever its size today.
     """
     rows = stage(_grouped(docs, threshold).drop("fp").where("doc_id IS NOT NULL"), "groups")
     kept = rows.where("doc_id = component_id").groupBy("doc_id").agg(
@@ -218,7 +217,7 @@ def one_of_each_group(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     if not repeated.isEmpty():
         others = rows.where("doc_id = component_id").join(repeated, "doc_id").where("text_hash <> first_hash")
         gone = gone.union(others.select("doc_id", "text_hash"))
-    gone = stage(gone.distinct().coalesce(64), "gone").alias("g")
+    gone = stage(gone.distinct(), "gone").hint("merge").alias("g")
     same = (F.col("d.doc_id") == F.col("g.doc_id")) & (
         F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("g.text_hash")
     )
