@@ -70,10 +70,10 @@ def gathered(table: pa.Table, *dtypes: type) -> tuple[list[int], np.ndarray, np.
     return table.column("block").to_pylist(), np.concatenate([[0], np.cumsum(n)]), np.concatenate(keys), values
 
 
-def answers(table: pa.Table, level: int, dtype: type) -> np.ndarray:
+def answers(table: pa.Table, level: int, dtype: type, column: str = "v0") -> np.ndarray:
     """The answers to one block at ``level``, in the order of its keys."""
     own = table.filter(pc.equal(table.column("level"), level)).sort_by("part")
-    found = [unpack(data, n, dtype) for data, n in zip(own.column("v0").to_pylist(), own.column("n").to_pylist())]
+    found = [unpack(data, n, dtype) for data, n in zip(own.column(column).to_pylist(), own.column("n").to_pylist())]
     return np.concatenate(found) if found else np.zeros(0, dtype=dtype)
 
 

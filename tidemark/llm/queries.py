@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import crc_remainder
-from tidemark.llm import bpe, embedding_dedup, katz, mixing, quality_classifier, quality_rules, secret_scan, simhash, url_filter
+from tidemark.llm import bpe, embedding_dedup, katz, mixing, quality_classifier, quality_rules, secret_scan, simhash, suffix_dedup, url_filter
 
 #: Folder of the public tokenizers' files, the same on every machine.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -312,3 +312,9 @@ ORACLES["op2_url_filter"] = _url_sql()
 def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model score of every document, learnt from those that are not held out."""
     return katz.katz_scores(_table(spark, sf_dir, "documents"), crc_remainder("doc_id", 7) == 2)
+
+
+@_query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings that start in a document before it."""
+    return suffix_dedup.repeat_digest(suffix_dedup.repeats_removed(_table(spark, sf_dir, "documents")))
