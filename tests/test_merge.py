@@ -1,6 +1,8 @@
 import datetime as dt
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -72,15 +74,52 @@ def test_load_reads_only_the_partitions_it_touches(spark, tmp_path):
     slice_ = merge.touched(lake.read("gold_daily"), batch, ("forecast_date_utc",))
     assert len(slice_.inputFiles()) == 10
     plan = slice_._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[.*forecast_date_utc#\d+ IN \(2026-01-0[45],2026-01-0[45]\)", plan)
+    assert re.search(r"PartitionFilters: \[.*forecast_date_utc#\d+ >= 2026-01-04.*forecast_date_utc#\d+ <= 2026-01-05", plan)
     assert slice_.count() == 2
-    # Many values become a range.
-    merge_limit, merge.LISTED_PARTITIONS = merge.LISTED_PARTITIONS, 1
-    try:
-        slice_ = merge.touched(lake.read("gold_daily"), batch, ("forecast_date_utc",))
-    finally:
-        merge.LISTED_PARTITIONS = merge_limit
-    assert slice_.count() == 2 and ">= 2026-01-04" in slice_._jdf.queryExecution().executedPlan().toString()
+    # Nothing of the days between two days of a batch.
+    apart = daily(spark, ("A", D(2026, 1, 2)), ("B", D(2026, 1, 9)))
+    slice_ = merge.touched(lake.read("gold_daily"), apart, ("forecast_date_utc",))
+    assert sorted(r.forecast_date_utc.day for r in slice_.collect()) == [2, 9]
+
+
+def test_upsert_rewrites_the_pairs_of_the_batch_only(spark, tmp_path):
+    schema, path = "a int, b string, v int", str(tmp_path / "t")
+    rows_ = [(a, b, 0) for a in range(20) for b in ("x", "y", None)]
+    load = lambda data: merge.upsert_into(
+        spark.createDataFrame(data, schema), path, spark.createDataFrame([], schema).schema, ("a", "b"), ("v",), ("v",), ("a", "b")
+    )
+    load(rows_)
+    before = set(spark.read.parquet(path).inputFiles())
+    # Ten pairs (a, b), one of them with a null: not the twenty that their values could form.
+    load([(a, "x" if a % 2 else "y", 1) for a in range(9)] + [(9, None, 1)])
+    after = set(spark.read.parquet(path).inputFiles())
+    assert len(before - after) == 10
+    # Keys with a null match nothing, so that row is new.
+    assert spark.read.parquet(path).count() == 61
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_the_same_duplicate_wins_in_any_order(spark, order):
+    data = [("A", 1, 2.0), ("A", 1, 1.0), ("A", 1, 3.0)][::order]
+    batch = spark.createDataFrame(data, "k string, o int, v double").coalesce(1)
+    assert merge.first_per_key(batch, ["k"], ["o"]).first()["v"] == 1.0
+
+
+def test_a_run_with_a_fallback_stages_twice(spark, tmp_path, monkeypatch):
+    from tidemark import session
+    from tidemark.plans import hourly
+
+    folders = []
+    plain = session.work_folder
+    monkeypatch.setattr(session, "work_folder", lambda spark, label: folders.append(plain(spark, label)) or folders[-1])
+    payload = '{"forecast": [{"date": "2026-02-21", "maxTemp": 3}]}'
+    bronze = spark.createDataFrame([("foreca", "A", D(2026, 2, 21), 8, payload)], schemas.BRONZE)
+    lake = Lake(spark, str(tmp_path / "main"), fallback=str(tmp_path / "copy"))
+    result, _ = hourly.build_silver(lake, bronze, "b1")
+    assert result.inserted == 1 and len(folders) == 2
+    import os
+
+    assert [os.path.exists(f) for f in folders] == [True, False]
 
 
 def test_upsert_rewrites_only_its_partitions(spark, tmp_path):
@@ -116,9 +155,11 @@ def test_one_failing_sink_is_enough(spark, tmp_path):
     blocked = tmp_path / "blocked"
     blocked.write_text("a file, not a folder")
     lake = Lake(spark, str(tmp_path / "main"), fallback=str(blocked))
-    assert lake.load_both("gold_daily", daily(spark, ("A", D(2026, 1, 1)))) == (True, False)
+    worked, failed = lake.load_both("gold_daily", daily(spark, ("A", D(2026, 1, 1))))
+    assert worked is None and "blocked" in failed
     lake = Lake(spark, str(blocked), fallback=str(tmp_path / "copy"))
-    assert lake.load_both("gold_daily", daily(spark, ("A", D(2026, 1, 1)))) == (False, True)
+    failed, worked = lake.load_both("gold_daily", daily(spark, ("A", D(2026, 1, 1))))
+    assert worked is None and "blocked" in failed
 
 
 def test_watermark_moves_to_the_newest_row_only(spark, tmp_path):

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import scrape
 
@@ -92,3 +93,22 @@ def test_declared_input_is_checked(spark):
     raw = spark.createDataFrame([("a", "b", 1)], "city string, curr_time string, temperature int")
     with pytest.raises(ValueError, match="Schema mismatch"):
         scrape.transform_site(raw, "meteoblue")
+
+
+def test_nested_elements_are_read_in_linear_time(spark):
+    import time
+
+    from tidemark.functions.text import after_opening, before_closing, element_content
+
+    def seconds(n):
+        page = "<div>" + "<div>x</div>" * n + "</div>" + "<div>other</div>" * n
+        df = spark.createDataFrame([(page,)], "html string").coalesce(1)
+        rest = df.select(after_opening(F.col("html"), "div").alias("rest")).withColumn("head", before_closing(F.col("rest"), "div"))
+        text = rest.select(F.length(element_content(F.col("rest"), F.col("head"), "div")).alias("n"))
+        started = time.perf_counter()
+        assert text.first()["n"] == 12 * n
+        return time.perf_counter() - started
+
+    seconds(100)
+    half, whole = seconds(32_000), seconds(64_000)
+    assert whole < max(3 * half, 2)

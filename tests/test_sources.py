@@ -39,7 +39,8 @@ def test_grid_finds_missing_pairs(spark):
         {"ingest_date": F.lit(D(2026, 2, 21)), "ingest_hour": F.lit(8)}
     )
     hour = F.lit(dt.datetime(2026, 2, 21, 8)).cast("timestamp_ntz")
-    assert rows(bronze.missing_pairs(present, grid, hour, hour)) == [("foreca", "B", D(2026, 2, 21), 8)]
+    stamp = dt.datetime(2026, 2, 21, 8)
+    assert rows(bronze.missing_pairs(present, grid, hour, hour)) == [("foreca", "B", stamp, stamp, 1)]
 
 
 def snapshots(spark, *hours):
@@ -51,14 +52,17 @@ def test_hourly_increment_is_open_at_the_start(spark):
     got = slices.hourly_increment(df, dt.datetime(2026, 2, 20, 22, 30), dt.datetime(2026, 2, 21, 6, 59))
     assert rows(got) == [(D(2026, 2, 20), 23), (D(2026, 2, 21), 0), (D(2026, 2, 21), 5), (D(2026, 2, 21), 6)]
     first = slices.hourly_increment(df, None, dt.datetime(2026, 2, 21, 23, 10))
-    assert rows(first) == [(D(2026, 2, 21), h) for h in (0, 5, 6, 7)]
+    assert rows(first) == rows(df)
+    late = slices.hourly_increment(df, None, dt.datetime(2026, 2, 21, 23, 10), start=dt.datetime(2026, 2, 21))
+    assert rows(late) == [(D(2026, 2, 21), h) for h in (0, 5, 6, 7)]
     assert slices.hourly_increment(df, dt.datetime(2026, 2, 21, 6), dt.datetime(2026, 2, 21, 6)).count() == 0
 
 
-def test_daily_increment_starts_on_monday_at_first(spark):
+def test_daily_increment_starts_at_the_oldest_day_at_first(spark):
     df = spark.createDataFrame([(D(2026, 2, d),) for d in range(10, 25)], "d date")
     days = lambda df: sorted(r["d"].day for r in df.collect())
-    assert days(slices.daily_increment(df, "d", None, D(2026, 2, 18), D(2026, 2, 19))) == [16, 17, 18]
+    assert days(slices.daily_increment(df, "d", None, D(2026, 2, 13))) == [10, 11, 12, 13]
+    assert days(slices.daily_increment(df, "d", None, D(2026, 2, 18), start=D(2026, 2, 16))) == [16, 17, 18]
     assert days(slices.daily_increment(df, "d", dt.datetime(2026, 2, 20, 5), D(2026, 2, 22))) == [21, 22]
     assert days(slices.daily_increment(df, "d", dt.datetime(2026, 2, 22), D(2026, 2, 22))) == []
 

@@ -145,8 +145,8 @@ def test_gate_events(spark, accepted, missing, retries, level, expected, status,
 
 def test_load_events_need_one_sink(spark):
     p = spark.createDataFrame([(DAY, 7)], "partition_date date, expected_count int")
-    assert st.load_events(p, W, False, True).first()["status"] == "success"
-    row = st.load_events(p, W, False, False).first()
+    assert st.load_events(p, W, "gone", None).first()["status"] == "success"
+    row = st.load_events(p, W, "gone", "full").first()
     assert (row["status"], row["actual_count"], row["error_type"]) == ("failed", 0, "missing_partitions")
 
 

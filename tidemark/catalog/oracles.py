@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from tidemark import schemas
+from tidemark.schemas import SILVER_KEY
+
 METRICS = ("temp", "rain", "snow", "wind_speed", "cloud_cover", "humidity")
 STATS = ("min", "max", "avg")
 MEASURES = [f"{m}_{s}" for m in METRICS for s in STATS]
@@ -510,8 +513,8 @@ REJECTS = f"""rejects AS (
     CAST(ts AS DATE) AS ingest_date, CAST(hour(ts) AS INTEGER) AS ingest_hour,
     CASE event_id % 12 WHEN 8 THEN 'empty_payload' WHEN 9 THEN 'malformed_json'
       WHEN 10 THEN 'undated_forecast' WHEN 11 THEN 'unknown_source' END AS reason,
-    CASE event_id % 12 WHEN 8 THEN '{{}}' WHEN 9 THEN '{{"forecast": ['
-      WHEN 10 THEN 'soon' WHEN 11 THEN '{{"a": 1}}' END AS detail
+    CASE event_id % 12 WHEN 8 THEN '{{}}' WHEN 9 THEN '{{"forecast": [' || repeat('x', 400)
+      WHEN 10 THEN '{{"forecast": [{{"date": "soon", "maxTemp": 3}}]}}' WHEN 11 THEN '{{"a": 1}}' END AS detail
   FROM events WHERE event_id % 12 >= 8
 )"""
 
@@ -556,6 +559,13 @@ SELECT CAST(snapshot_ts AS DATE) AS day, place_name, min(forecast_date_utc) AS f
   GROUP BY CAST(snapshot_ts AS DATE), place_name"""
 
 
+_SILVER_REST = [n for n in schemas.SILVER.names if n not in (*SILVER_KEY, "batch_id")]
+STREAM_SILVER = f"""SELECT {', '.join([*SILVER_KEY, *_SILVER_REST])} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {', '.join(SILVER_KEY)}
+    ORDER BY {', '.join(f'{c} NULLS FIRST' for c in ['original_ts', 'temp_max', *_SILVER_REST])}) AS place
+  FROM ({CLEAN_PARSED})) WHERE place = 1"""
+
+
 def _scraped(columns: str) -> str:
     return f"SELECT event_id AS page_id, {columns} FROM events"
 
@@ -632,7 +642,7 @@ SELECT * FROM second_daily WHERE forecast_date_utc NOT IN (SELECT forecast_date_
     "hourly_increment": f"""WITH {OBS} SELECT event_id, ingest_date, ingest_hour FROM obs
 WHERE ts >= TIMESTAMP '2024-01-09 23:00:00' AND ts < TIMESTAMP '2024-01-12 06:00:00'""",
     "first_hourly_increment": f"""WITH {OBS} SELECT event_id, ingest_date, ingest_hour FROM obs
-WHERE ts >= TIMESTAMP '2024-01-11 06:00:00' AND ts < TIMESTAMP '2024-01-12 06:00:00'""",
+WHERE ts < TIMESTAMP '2024-01-12 06:00:00'""",
     "daily_increment": f"""WITH {DAILY} SELECT * FROM daily
 WHERE forecast_date_utc > DATE '1997-05-01' AND forecast_date_utc <= DATE '1997-09-15'""",
     "short_days": f"""WITH {FORECAST}
@@ -652,8 +662,10 @@ places AS (SELECT DISTINCT place_name FROM have),
 pairs AS (SELECT place_name, unnest(['click', 'error', 'purchase', 'signup', 'view']) AS source FROM places),
 hours AS (SELECT unnest(generate_series(first, final, INTERVAL 1 HOUR)) AS h FROM span),
 want AS (SELECT * FROM pairs, hours)
-SELECT source, place_name, CAST(h AS DATE) AS ingest_date, CAST(hour(h) AS INTEGER) AS ingest_hour
-  FROM want ANTI JOIN have USING (source, place_name, h)""",
+, gaps AS (SELECT source, place_name, h FROM want ANTI JOIN have USING (source, place_name, h)),
+islands AS (SELECT *, h - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY source, place_name ORDER BY h) AS island FROM gaps)
+SELECT source, place_name, min(h) AS first_missing, max(h) AS last_missing, count(*) AS hours
+  FROM islands GROUP BY source, place_name, island""",
     "hour_calendar": """SELECT unnest(generate_series(date_trunc('hour', min(ts)),
     date_trunc('hour', max(ts)) - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS partition_date FROM events""",
     "silver_hour": f"""WITH {SILVER} SELECT * EXCLUDE (ts), 'batch-1' AS batch_id FROM silver
@@ -664,6 +676,44 @@ WHERE forecast_date_utc BETWEEN DATE '1997-05-05' AND DATE '1997-05-11'""",
     "one_month": f"WITH {MONTHLY} SELECT * FROM month_rollup WHERE month_start = DATE '1996-04-01'",
     "rows_per_place": """SELECT 'place_' || (user_id % 5) AS place_name, count(*) AS row_count FROM events
 GROUP BY user_id % 5""",
+    "stored_weeks": f"""WITH {WEEKLY},{_rollup('week', 'daily', 'forecast_date_utc')}
+SELECT *, TIMESTAMP '2024-02-01' AS generated_at FROM week_rollup""",
+    "rollup_run_weekly": f"""WITH {WEEKLY},{_rollup('week', 'daily', 'forecast_date_utc')}
+SELECT *, TIMESTAMP '2024-02-01' AS generated_at FROM week_rollup""",
+    "rollup_run_state": f"""WITH {WEEKLY},
+span AS (SELECT min(CAST(date_trunc('week', forecast_date_utc) AS DATE)) AS first FROM daily),
+weeks AS (SELECT CAST(unnest(generate_series(first, {AS_OF} - 1, INTERVAL 7 DAY)) AS DATE) AS w FROM span)
+SELECT 'gold_weekly' AS processing_level, w AS partition_date,
+    CASE WHEN accepted THEN 'success' ELSE 'pending' END AS status, 7 AS expected_count
+  FROM weeks LEFT JOIN week_gate ON period_start = w
+  WHERE w < CAST(date_trunc('week', {AS_OF}) AS DATE)""",
+    "stored_seasons": f"""WITH {SEASONAL}
+SELECT * REPLACE (CASE WHEN (year + length(season_name)) % 2 = 0 THEN temp_max + 1 ELSE temp_max END AS temp_max),
+    TIMESTAMP '2024-02-01' AS generated_at FROM season_rollup""",
+    "stored_bronze": """SELECT event_type AS source, 'place_' || (user_id % 5) AS place_name, CAST(ts AS DATE) AS ingest_date,
+    CAST(hour(ts) AS INTEGER) AS ingest_hour, min(props) AS payload FROM events GROUP BY ALL""",
+    "hourly_run_silver": f"""SELECT * FROM ({STREAM_SILVER}), (VALUES ('main'), ('copy')) AS c(copy)""",
+    "hourly_run_forecasts": f"""WITH {FORECAST}
+SELECT snapshot_ts, place_name, forecast_date_utc, ingest_date, ingest_hour, {', '.join(MEASURES)},
+    TIMESTAMP '2024-02-01' AS generated_at FROM forecast""",
+    "hourly_run_daily": f"""WITH {FORECAST}, summary AS ({SUMMARY_SQL})
+SELECT place_name, forecast_date_utc, ingest_date, ingest_hour, {', '.join(MEASURES)},
+    TIMESTAMP '2024-02-01' AS generated_at FROM summary""",
+    "hourly_run_watermark": """SELECT 'gold_daily_forecast' AS job_name, date_trunc('hour', max(ts)) AS last_processed_ts,
+    TIMESTAMP '2024-02-01' AS updated_at FROM events""",
+    "silver_rejects": f"""WITH {REJECTS},
+odd AS (
+  SELECT source, CASE WHEN event_id % 24 <> 0 THEN place_name END AS place_name, ingest_date,
+    CAST(CASE WHEN event_id % 24 = 1 THEN 31 ELSE ingest_hour END AS INTEGER) AS ingest_hour, reason, detail FROM rejects
+),
+invalid AS (
+  SELECT {_KIND_SOURCE} AS source, CASE WHEN event_id % 24 = 1 THEN 'place_' || user_id END AS place_name,
+    CAST(ts AS DATE) AS ingest_date, CAST(CASE WHEN event_id % 24 = 1 THEN 31 ELSE hour(ts) END AS INTEGER) AS ingest_hour,
+    CASE WHEN event_id % 24 = 0 THEN 'place_name_null' ELSE 'ingest_hour_range' END AS reason, CAST(NULL AS VARCHAR) AS detail,
+    unnest(range(3)) AS n
+  FROM events WHERE event_id % 24 < 2
+)
+SELECT * FROM odd UNION ALL SELECT * EXCLUDE (n) FROM invalid""",
     "stored_months": f"WITH {MONTHLY} SELECT *, TIMESTAMP '2024-02-01' AS generated_at FROM month_rollup",
     "stored_years": f"""WITH {YEARLY}
 SELECT * REPLACE (CASE WHEN place_name = 'A-F' THEN temp_max ELSE temp_max + 1 END AS temp_max),
@@ -712,14 +762,14 @@ SELECT snapshot_ts, place_name, forecast_date_utc, ingest_date, ingest_hour, {',
 months AS (SELECT DISTINCT CAST(date_trunc('month', partition_date) AS DATE) AS m FROM calendar
   WHERE CAST(date_trunc('month', partition_date) AS DATE) < (SELECT date_trunc('month', final) FROM bounds)),
 found AS (SELECT period_start AS m FROM month_gate WHERE accepted
-  UNION SELECT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders WHERE year(o_orderdate) = 2000)
+  UNION SELECT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders)
 SELECT 'gold_monthly' AS processing_level, m AS partition_date, {_label('month', 'm')} AS period_name,
     CASE WHEN m IN (SELECT m FROM found) THEN 'success' ELSE 'pending' END AS status,
     CAST(day(last_day(m)) AS INTEGER) AS expected_count,
     CAST(CASE WHEN m IN (SELECT m FROM found) THEN day(last_day(m)) ELSE 0 END AS INTEGER) AS actual_count FROM months""",
     "evidence": f"""WITH {GOLD_DAYS},{CALENDAR},
 marks AS (SELECT partition_date, CAST(partition_date IN (SELECT day FROM gold_days) AS INTEGER)
-  + CAST(partition_date IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderstatus = 'P') AS INTEGER) AS n
+  + CAST(partition_date IN (SELECT CAST(o_orderdate AS DATE) FROM orders) AS INTEGER) AS n
   FROM calendar)
 SELECT partition_date, CASE WHEN n > 0 THEN 'success' ELSE 'missing' END AS status,
     CASE n WHEN 0 THEN 'none' WHEN 1 THEN 'some' ELSE 'all' END AS found_in FROM marks""",
@@ -745,7 +795,7 @@ WHERE error_type IS NOT NULL GROUP BY processing_level, error_type""",
     CAST(quarter(partition_date) AS INTEGER) AS quarter, count(*) AS months FROM state
   WHERE processing_level = 'gold_monthly' AND status = 'success' GROUP BY year(partition_date), quarter(partition_date)""",
     "bootstrap_start": f"""WITH {SEASONAL},
-oldest AS (SELECT (SELECT min(period_start) FROM season_rollup WHERE year > 1995) AS s,
+oldest AS (SELECT (SELECT min(period_start) FROM season_rollup) AS s,
   (SELECT min(month_start) FROM month_rollup) AS m)
 SELECT coalesce(s, {_season_start('m')}) AS start_date, s AS oldest_season, m AS oldest_month FROM oldest""",
     "requeued_rows": f"""WITH {STATE} SELECT processing_level, partition_date, period_name, 'pending' AS status, expected_count,
@@ -779,9 +829,7 @@ SELECT source, place_name, ingest_date, ingest_hour, CAST(sum(good) AS BIGINT) A
     "split_date_text": """SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'Mon' END AS weekday,
     CASE WHEN event_id % 4 < 2 THEN CAST(day(ts) AS BIGINT) END AS day,
     CASE WHEN event_id % 4 <> 2 THEN 'january' END AS month FROM events""",
-    "stream_silver": f"""WITH {MIXED}
-SELECT DISTINCT api_name, place_name, forecast_date_utc, coalesce(forecast_hour_utc, 0) AS forecast_hour_utc,
-    ingest_date, ingest_hour FROM mixed""",
+    "stream_silver": STREAM_SILVER,
     "stream_daily": STREAM_DAILY,
 }
 

@@ -16,6 +16,7 @@ from tidemark.operators import merge, parsers, rollups, scrape, state as st
 from tidemark.operators.cleaning import check_constraints, clean_report, clean_silver
 from tidemark.operators.flatten import combine, flatten_payloads
 from tidemark.operators.layout import blank_nat, conform
+from tidemark.plans import hourly, periods
 from tidemark.plans.lake import TABLES, Lake
 from tidemark.session import stage, work_folder
 from tidemark.sources import bronze as bronze_source, slices
@@ -291,7 +292,7 @@ def bronze_hour(spark, sf_dir):
 
 @query
 def provider_gaps(spark, sf_dir):
-    """(provider, place, hour) without a record, over all hours of the table."""
+    """Runs of hours without a record per provider and place, over all hours of the table."""
     records = views.observations(spark, sf_dir).withColumnRenamed("api_name", "source")
     places = records.select("place_name").distinct()
     hour = clock.snapshot_ts(F.col("ingest_date"), F.col("ingest_hour"))
@@ -449,16 +450,15 @@ def reconcile_events(spark, sf_dir):
     bounds = views.calendar_bounds(spark, sf_dir)
     calendar = slices.calendar_of(bounds, "month")
     months = _month_gate(spark, sf_dir).where("accepted").select(F.col("period_start").alias("partition_date"))
-    late = views.table(spark, sf_dir, "orders").where(F.year("o_orderdate") == 2000)
-    late = late.select(F.trunc("o_orderdate", "month").alias("partition_date")).distinct()
-    return st.reconcile("gold_monthly", st.evidence(calendar, months, late))
+    ordered = views.table(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "month").alias("partition_date"))
+    return st.reconcile("gold_monthly", st.evidence(calendar, months, ordered.distinct()))
 
 
 @query
 def evidence(spark, sf_dir):
     calendar = slices.calendar_of(views.calendar_bounds(spark, sf_dir), "day")
     days = views.gold_days(spark, sf_dir).select(F.col("day").alias("partition_date"))
-    orders = views.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+    orders = views.table(spark, sf_dir, "orders")
     return st.evidence(calendar, days, orders.select(F.to_date("o_orderdate").alias("partition_date")))
 
 
@@ -517,7 +517,7 @@ def bootstrap_start(spark, sf_dir):
     months = stage(_month_gate(spark, sf_dir), "months")
     monthly = stage(_monthly(spark, sf_dir, months), "monthly")
     seasonal = rollups.rollup(monthly, "month_start", "season", _higher_gate(months, "season"))
-    return st.bootstrap_start(seasonal.where("year > 1995"), monthly)
+    return st.bootstrap_start(seasonal, monthly)
 
 
 @query
@@ -589,6 +589,126 @@ def flatten_json(spark, sf_dir):
     return flatten_payloads(records)
 
 
+@query
+def silver_rejects(spark, sf_dir):
+    """Everything a silver load turns away: unreadable records, and rows that break a constraint.
+
+    Every 24th event comes without a place and the one after it with hour 31.
+    """
+    e = F.col("event_id")
+    events = views.table(spark, sf_dir, "events")
+    faulty = views.mix_providers(
+        events, place=F.when(e % 24 != 0, F.concat(F.lit("place_"), "user_id")),
+        hour=F.when(e % 24 == 1, 31).otherwise(F.hour("ts")),
+    )
+    _, rejects = hourly.split_silver(stage(parsers.tag_forecasts(faulty), "tagged"), "batch-1")
+    unread = F.when(F.col("reason").isin("empty_payload", "malformed_json", "undated_forecast", "unknown_source"), F.col("detail"))
+    return rejects.select("source", "place_name", "ingest_date", "ingest_hour", "reason", unread.alias("detail"))
+
+
+# ---------------------------------------------------------------- whole runs
+
+
+@query
+def hourly_run_silver(spark, sf_dir):
+    """Both copies of the silver table, without batch numbers, after two runs over the same bronze rows."""
+    folder = work_folder(spark, "run-silver")
+    lake = Lake(spark, f"{folder}/main", fallback=f"{folder}/copy")
+    for _ in range(2):
+        hourly.build_silver(lake, views.mixed_bronze(spark, sf_dir), "batch-1")
+    main, copy = lake.read("silver"), lake.read("silver", fallback=True)
+    return main.withColumn("copy", F.lit("main")).union(copy.withColumn("copy", F.lit("copy"))).drop("batch_id")
+
+
+def _forecast_lake(spark: SparkSession, sf_dir: str, label: str) -> Lake:
+    """A lake whose silver rows have been made into forecasts, in two runs."""
+    lake = Lake(spark, work_folder(spark, label))
+    silver = conform(_silver(spark, sf_dir), schemas.SILVER)
+    merge.append(silver, lake.path("silver"), TABLES["silver"].partition_by)
+    for target in (dt.datetime(2024, 1, 16, 12), dt.datetime(2025, 1, 1)):
+        hourly.build_forecasts(lake, target, NOW)
+    return lake
+
+
+@query
+def hourly_run_forecasts(spark, sf_dir):
+    """Stored daily forecasts after the run up to the middle of the month and the run after it."""
+    return _forecast_lake(spark, sf_dir, "run-forecasts").read("gold_daily_forecast")
+
+
+@query
+def hourly_run_daily(spark, sf_dir):
+    """Stored daily summaries after two runs over the stored forecasts."""
+    lake = _forecast_lake(spark, sf_dir, "run-daily")
+    for _ in range(2):
+        hourly.build_daily(lake, dt.date(2025, 1, 1), NOW)
+    return lake.read("gold_daily")
+
+
+@query
+def hourly_run_watermark(spark, sf_dir):
+    """Newest snapshot that the forecast job has processed, as the next run reads it."""
+    lake = _forecast_lake(spark, sf_dir, "run-watermark")
+    job = "gold_daily_forecast"
+    last = slices.last_processed(lake.read("watermarks"), job)
+    return lake.read("watermarks").where(F.col("last_processed_ts") == F.lit(last).cast("timestamp_ntz"))
+
+
+def _rolled_up(spark: SparkSession, sf_dir: str, label: str) -> tuple[Lake, DataFrame]:
+    """Daily rows of all years, stored, and rolled up to weeks by the run itself."""
+    lake = Lake(spark, work_folder(spark, label))
+    daily = conform(views.daily_gold(spark, sf_dir), schemas.GOLD_DAILY)
+    merge.append(daily, lake.path("gold_daily"), TABLES["gold_daily"].partition_by)
+    return lake, periods.run_rollup(lake, "gold_weekly", AS_OF, NOW)
+
+
+@query
+def rollup_run_weekly(spark, sf_dir):
+    """Stored weeks after a whole rollup run that starts at the oldest day."""
+    return _rolled_up(spark, sf_dir, "run-weekly")[0].read("gold_weekly")
+
+
+@query
+def rollup_run_state(spark, sf_dir):
+    """State of each week after that run."""
+    state = _rolled_up(spark, sf_dir, "run-state")[0].read("processing_state")
+    return state.select("processing_level", "partition_date", "status", "expected_count")
+
+
+@query
+def stored_seasons(spark, sf_dir):
+    """Seasonal table after a first load and an update of its measures in some (year, season) pairs."""
+    lake = Lake(spark, work_folder(spark, "stored-seasons"))
+    seasonal = stage(_stamped(_above_months(spark, sf_dir, "season"), "generated_at"), "seasonal")
+    lake.load("gold_seasonal", seasonal)
+    later = seasonal.where((F.col("year") + F.length("season_name")) % 2 == 0)
+    lake.load("gold_seasonal", later.withColumn("temp_max", F.col("temp_max") + 1))
+    return lake.read("gold_seasonal")
+
+
+@query
+def stored_weeks(spark, sf_dir):
+    """Weekly table after two loads of the same rows."""
+    lake = Lake(spark, work_folder(spark, "stored-weeks"))
+    weekly = stage(_stamped(weekly_rollup(spark, sf_dir), "generated_at"), "weekly")
+    for batch in (weekly, weekly.withColumn("temp_max", F.lit(-1.0))):
+        lake.load("gold_weekly", batch)
+    return lake.read("gold_weekly")
+
+
+@query
+def stored_bronze(spark, sf_dir):
+    """Bronze table after two loads: of several payloads under one key the first by text is kept."""
+    lake = Lake(spark, work_folder(spark, "stored-bronze"))
+    records = views.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("source"), F.concat(F.lit("place_"), F.col("user_id") % 5).alias("place_name"),
+        F.to_date("ts").alias("ingest_date"), F.hour("ts").alias("ingest_hour"), F.col("props").alias("payload"),
+    )
+    for _ in range(2):
+        lake.load("bronze", records)
+    return lake.read("bronze")
+
+
 # ---------------------------------------------------------------- pages
 
 
@@ -653,7 +773,7 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_silver(spark, sf_dir):
-    """Keys in the silver table after the stream has ingested every event's payload."""
+    """The silver table, without its batch numbers, after the stream has ingested every event's payload."""
     folder = work_folder(spark, "stream-silver")
     started = start_silver_ingest(
         views.mix_providers(_events_stream(spark, sf_dir)),
@@ -661,7 +781,7 @@ def stream_silver(spark, sf_dir):
     )
     started.awaitTermination()
     silver = merge.read_table(spark, f"{folder}/silver", TABLES["silver"].schema)
-    return silver.select(*schemas.SILVER_KEY)
+    return silver.drop("batch_id")
 
 
 @query

@@ -355,12 +355,12 @@ def _payload(provider: str) -> Column:
     return F.to_json(bodies[provider]())
 
 
-def _envelope(source: Column, payload: Column) -> list[Column]:
+def _envelope(source: Column, payload: Column, place: Column | None = None, hour: Column | None = None) -> list[Column]:
     return [
         source.alias("source"),
-        F.concat(F.lit("place_"), F.col("user_id")).alias("place_name"),
+        (F.concat(F.lit("place_"), F.col("user_id")) if place is None else place).alias("place_name"),
         F.to_date("ts").alias("ingest_date"),
-        F.hour("ts").alias("ingest_hour"),
+        (F.hour("ts") if hour is None else hour).alias("ingest_hour"),
         payload.alias("payload"),
     ]
 
@@ -373,7 +373,7 @@ def provider_bronze(spark: SparkSession, sf_dir: str, provider: str) -> DataFram
 PROVIDER_ORDER = tuple(sorted(PARSERS))
 
 
-def mix_providers(events: DataFrame) -> DataFrame:
+def mix_providers(events: DataFrame, place: Column | None = None, hour: Column | None = None) -> DataFrame:
     """Every event as a payload of a provider that changes with the event, faulty ones among them."""
     kind = F.col("event_id") % 12
     source = F.lit("unlisted_site")
@@ -385,11 +385,11 @@ def mix_providers(events: DataFrame) -> DataFrame:
     source = F.when(kind.isin(8, 9, 10), F.lit("foreca")).otherwise(source)
     payload = (
         F.when(kind == 8, F.lit("{}"))
-        .when(kind == 9, F.lit('{"forecast": ['))
+        .when(kind == 9, F.concat(F.lit('{"forecast": ['), F.repeat(F.lit("x"), F.lit(400))))
         .when(kind == 10, F.lit('{"forecast": [{"date": "soon", "maxTemp": 3}]}'))
         .otherwise(payload)
     )
-    return events.select(*_envelope(source, payload))
+    return events.select(*_envelope(source, payload, place, hour))
 
 
 def mixed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

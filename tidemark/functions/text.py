@@ -74,24 +74,27 @@ def element_content(rest: Column, head: Column, tag: str) -> Column:
     """Content of the element that was opened before ``rest``, nested same-name elements included.
 
     ``head`` comes from ``before_closing`` and is the content unless a tag of the name occurs in
-    it. Then ``rest`` is cut at every such tag, and a fold over the pieces keeps text until the
-    depth returns to zero.
+    it. Then ``rest`` is cut at every such tag. A fold over the pieces holds three numbers: the
+    depth, the number of pieces seen, and the piece that closes the element; the pieces before
+    that one are joined once. The cost is linear in the page.
     """
     pieces = F.split(rest, rf"(?is)(?=</?{tag}[\s>])")
-
-    def merge(seen: Column, piece: Column) -> Column:
-        step = (
-            F.when(piece.rlike(rf"(?i)^</{tag}[\s>]"), -1)
-            .when(piece.rlike(rf"(?i)^<{tag}[\s>]"), 1)
-            .otherwise(0)
+    closing, opening = f"</{tag}", f"<{tag}"
+
+    def step(seen: Column, piece: Column) -> Column:
+        start = F.lower(F.left(piece, F.lit(len(closing))))
+        change = F.when(start == closing, -1).when(F.startswith(start, F.lit(opening)), 1).otherwise(0)
+        depth = seen.depth + change
+        closes = seen.end.isNull() & (depth < 0)
+        return F.struct(
+            depth.alias("depth"), (seen.count + 1).alias("count"),
+            F.when(closes, seen.count).otherwise(seen.end).alias("end"),
         )
-        depth = F.when(seen.depth < 0, seen.depth).otherwise(seen.depth + step)
-        text = F.when(depth < 0, seen.text).otherwise(F.concat(seen.text, piece))
-        return F.struct(depth.alias("depth"), text.alias("text"))
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
-    folded = F.aggregate(pieces, start, merge, lambda seen: seen.text)
-    return F.when(head.rlike(rf"(?i)</?{tag}[\s>]"), folded).otherwise(head)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("count"), F.lit(None).cast("int").alias("end"))
+    cut = F.when(head.rlike(rf"(?i)</?{tag}[\s>]"), pieces)
+    folded = F.aggregate(cut, start, step, lambda seen: F.coalesce(seen.end, seen.count))
+    return F.coalesce(F.array_join(F.slice(cut, 1, folded), ""), head)
 
 
 # The character references that occur in the pages' texts.

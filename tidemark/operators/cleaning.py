@@ -107,6 +107,17 @@ def split_valid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, checked.where(F.size("violations") > 0)
 
 
+def violation_rejects(checked: DataFrame) -> DataFrame:
+    """Rows with violations in the layout of rejected records: names as reason, the row as JSON."""
+    row = F.struct(*[F.col(name) for name in checked.columns if name != "violations"])
+    return checked.where(F.size("violations") > 0).select(
+        F.col("api_name").alias("source"),
+        "place_name", "ingest_date", "ingest_hour",
+        F.array_join("violations", ",").alias("reason"),
+        F.to_json(row).alias("detail"),
+    )
+
+
 def clean_report(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows before, after and removed."""
     counts = before.agg(F.count("*").alias("rows_before"), F.lit(0).alias("rows_after")).unionByName(

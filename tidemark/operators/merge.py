@@ -1,34 +1,37 @@
 """Idempotent loads: insert-ignore, upsert and write-once.
 
 The pure operators take and return DataFrames. The ``*_into`` sinks apply them to a Parquet
-table: they read only the partitions whose values lie within the batch's own range, so the
-cost of a load follows the batch and not the table.
+table: they read and rewrite only the partitions that occur in the batch, so the cost of a load
+follows the batch and not the table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.operators.layout import conform
-from tidemark.session import stage
+from tidemark.session import staged
 
 
 def first_per_key(
     batch: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], last: bool = False
 ) -> DataFrame:
-    """The first (or last) row of each key by ``order_by``.
+    """The first (or last) row of each key by ``order_by``, and then by all other columns.
 
+    The order is total but for maps, so the same row wins in any order of the input.
     An aggregate with partial combine, not a window: copies of a hot key shrink to one row in
     every map task before the shuffle.
     """
     rest = [name for name in batch.columns if name not in keys]
     if not rest:
         return batch.dropDuplicates(list(keys))
-    order = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order_by])
+    ties = [f.name for f in batch.schema.fields if f.name in rest and not isinstance(f.dataType, T.MapType)]
+    order = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order_by], *[F.col(name) for name in ties])
     pick = F.max_by if last else F.min_by
     chosen = batch.groupBy(*keys).agg(pick(F.struct(*rest), order).alias("_row"))
     return chosen.select(*keys, *[F.col("_row").getField(name).alias(name) for name in rest]).select(
@@ -68,8 +71,11 @@ def insert_ignore(
     order_by: Sequence[str | Column],
     nullable: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows to append: the first of each key in ``batch`` that ``target`` does not have."""
-    return not_in(first_per_key(batch, keys, order_by), target, keys, nullable)
+    """Rows to append: the first of each key in ``batch`` that ``target`` does not have.
+
+    Known keys go first, so that a repeated load has next to nothing left to sort.
+    """
+    return first_per_key(not_in(batch, target, keys, nullable), keys, order_by)
 
 
 def upsert(
@@ -143,27 +149,28 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-# Longest list of partition values that becomes a filter; beyond it the filter is their range.
-LISTED_PARTITIONS = 500
-
-
 def touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """``target`` limited to the batch's partition values, as static partition filters.
+    """``target`` limited to the partitions that occur in ``batch``, null ones among them.
 
-    Per partition column a short list of values goes to the driver, or two bounds if there are
-    more. Rows outside the filter cannot share a key with the batch.
+    The bounds of each column, two values for the driver, prune the scan. A semi join on whole
+    tuples of partition values then keeps out what lies between them, combinations the batch does
+    not have too; there is no limit to the number of partitions.
     """
-    for name in partition_by:
-        values = [r[0] for r in batch.select(name).distinct().limit(LISTED_PARTITIONS + 1).collect()]
-        if None in values:
-            continue
-        column = F.col(name)
-        if len(values) <= LISTED_PARTITIONS:
-            target = target.where(column.isin(values))
-        else:
-            low, high = batch.agg(F.min(name), F.max(name)).first()
-            target = target.where(column.between(F.lit(low), F.lit(high)))
-    return target
+    if not partition_by:
+        return target
+    found = batch.agg(
+        *[f(name).alias(f"{kind}_{i}") for i, name in enumerate(partition_by) for kind, f in (("min", F.min), ("max", F.max))],
+        *[F.count_if(F.col(name).isNull()).alias(f"nulls_{i}") for i, name in enumerate(partition_by)],
+    ).first()
+    for i, name in enumerate(partition_by):
+        within = F.col(name).between(F.lit(found[f"min_{i}"]), F.lit(found[f"max_{i}"]))
+        target = target.where(within | F.col(name).isNull() if found[f"nulls_{i}"] else within)
+    return narrowed_rows(target, batch.select(*partition_by).distinct(), partition_by)
+
+
+def narrowed_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` whose ``keys`` occur in ``batch``; nulls match nulls."""
+    return target.alias("t").join(batch.alias("b"), _same_key("t", "b", keys, keys), "left_semi")
 
 
 def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -188,6 +195,13 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     )
 
 
+def _counted_append(new: DataFrame, path: str, partition_by: Sequence[str]) -> int:
+    """Append and return the number of rows, counted while they are written."""
+    seen = Observation()
+    append(new.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    return seen.get["rows"]
+
+
 def insert_ignore_into(
     batch: DataFrame,
     path: str,
@@ -196,21 +210,22 @@ def insert_ignore_into(
     order_by: Sequence[str | Column],
     partition_by: Sequence[str] = (),
     nullable: Sequence[str] = (),
+    stored: bool = False,
 ) -> LoadResult:
     """Append the rows whose key is new to the table at ``path``.
 
-    ``partition_by`` must be part of the key: an equal key then lies in an equal partition.
+    ``partition_by`` must be part of the key: an equal key then lies in an equal partition. The
+    batch is written to the work folder for the time of the load, unless the caller has done so
+    (``stored``); new rows are computed once, on their way into the table.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("Partition columns must be part of the key")
-    batch = stage(conform(batch, schema), "batch")
-    target = touched(read_table(batch.sparkSession, path, schema), batch, partition_by)
-    known = narrowed(target, batch, keys, nullable)
-    new = stage(insert_ignore(known, batch, keys, order_by, nullable), "insert")
-    result = LoadResult(batch.count(), new.count())
-    if result.inserted:
-        append(new, path, partition_by)
-    return result
+    batch = conform(batch, schema)
+    with nullcontext(batch) if stored else staged(batch, "batch") as batch:
+        target = touched(read_table(batch.sparkSession, path, schema), batch, partition_by)
+        known = narrowed(target, batch, keys, nullable)
+        new = insert_ignore(known, batch, keys, order_by, nullable)
+        return LoadResult(batch.count(), _counted_append(new, path, partition_by))
 
 
 def upsert_into(
@@ -221,38 +236,38 @@ def upsert_into(
     update_columns: Sequence[str],
     order_by: Sequence[str | Column],
     partition_by: Sequence[str],
+    stored: bool = False,
 ) -> LoadResult:
     """Upsert ``batch`` into the table at ``path``, rewriting only the partitions it touches.
 
     The new content is written to the work folder first, so the table is never read while it
-    is replaced.
+    is replaced. Loads of one table must not run at the same time: the later one would put back
+    what it had read.
     """
     if not partition_by or not set(partition_by) <= set(keys):
         raise ValueError("Partition columns must be part of the key")
-    batch = stage(conform(batch, schema), "batch")
-    rows_in = batch.count()
-    if not rows_in:
-        return LoadResult(0, 0)
-    target = touched(read_table(batch.sparkSession, path, schema), batch, partition_by)
-    merged = stage(upsert(target, batch, keys, update_columns, order_by), "upsert")
-    replace_partitions(merged, path, partition_by)
-    return LoadResult(rows_in, rows_in)
+    batch = conform(batch, schema)
+    with nullcontext(batch) if stored else staged(batch, "batch") as batch:
+        rows_in = batch.count()
+        if not rows_in:
+            return LoadResult(0, 0)
+        target = touched(read_table(batch.sparkSession, path, schema), batch, partition_by)
+        with staged(upsert(target, batch, keys, update_columns, order_by), "upsert") as merged:
+            replace_partitions(merged, path, partition_by)
+        return LoadResult(rows_in, rows_in)
 
 
 def new_partitions(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` that belong to partitions ``target`` does not have."""
-    return not_in(batch, target.select(*partition_by).distinct(), partition_by)
+    return not_in(batch, target.select(*partition_by).distinct(), partition_by, partition_by)
 
 
 def write_once(batch: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str]) -> LoadResult:
     """Write partitions that do not exist yet; rows of existing partitions are skipped."""
-    batch = stage(conform(batch, schema), "batch")
-    target = touched(read_table(batch.sparkSession, path, schema), batch, partition_by)
-    new = stage(new_partitions(target, batch, partition_by), "write-once")
-    result = LoadResult(batch.count(), new.count())
-    if result.inserted:
-        append(new, path, partition_by)
-    return result
+    with staged(conform(batch, schema), "batch") as batch:
+        target = touched(read_table(batch.sparkSession, path, schema), batch, partition_by)
+        new = new_partitions(target, batch, partition_by)
+        return LoadResult(batch.count(), _counted_append(new, path, partition_by))
 
 
 def write_report(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:

@@ -361,7 +361,8 @@ def _value(name: str) -> Column:
 def tag_forecasts(bronze: DataFrame, parsers: dict[str, Provider] = PARSERS) -> DataFrame:
     """One row per forecast, or one per unusable record, with a ``reject_reason``.
 
-    The reason is null on good rows. Good and rejected rows come from the same single pass.
+    The reason is null on good rows. Good and rejected rows come from the same single pass; a
+    rejected row's detail is the whole payload.
     """
     source, payload = F.col("source"), F.col("payload")
     parsed = to_records(bronze).select(
@@ -377,7 +378,7 @@ def tag_forecasts(bronze: DataFrame, parsers: dict[str, Provider] = PARSERS) ->
         forecasts = F.when(source == name, provider.forecasts(F.col(f"_{name}"))).otherwise(forecasts)
     records = parsed.select(*_ENVELOPE, "payload", forecasts.alias("_forecasts"))
 
-    # Judged per record, so that payloads are not carried along with every forecast.
+    # Judged per record, once for all of its forecasts.
     none = F.col("_forecasts").isNull() | (F.size("_forecasts") == 0)
     fault = (
         F.when(source.isNull() | ~source.isin(*parsers), "unknown_source")
@@ -389,9 +390,9 @@ def tag_forecasts(bronze: DataFrame, parsers: dict[str, Provider] = PARSERS) ->
         *_ENVELOPE,
         "_forecasts",
         fault.alias("_fault"),
-        F.when(none, F.left("payload", F.lit(200))).alias("_excerpt"),
+        "payload",
     )
-    rows = _read_time(records.select(*_ENVELOPE, "_fault", "_excerpt", F.inline_outer("_forecasts")))
+    rows = _read_time(records.select(*_ENVELOPE, "_fault", "payload", F.inline_outer("_forecasts")))
     undated = F.when(F.col("forecast_date_utc").isNull(), "undated_forecast")
     reason = F.coalesce(F.col("_fault"), undated)
     return rows.select(
@@ -400,7 +401,7 @@ def tag_forecasts(bronze: DataFrame, parsers: dict[str, Provider] = PARSERS) ->
         "original_ts", "forecast_date_utc", "forecast_hour_utc",
         *[_value(name).alias(name) for name in _VALUES],
         reason.alias("reject_reason"),
-        F.when(reason.isNotNull(), F.coalesce("time", "_excerpt")).alias("reject_detail"),
+        F.when(reason.isNotNull(), payload).alias("reject_detail"),
     )
 
 
@@ -425,8 +426,8 @@ def parse_bronze(bronze: DataFrame) -> DataFrame:
 
 
 def parse_provider(bronze: DataFrame, name: str) -> DataFrame:
-    """Forecasts of one provider. The filter reaches the bronze scan."""
-    one = bronze.where(F.col("source").isin(name, f"{name}_api"))
+    """Forecasts of one provider, under any spelling that ``to_records`` takes for it."""
+    one = bronze.where(canonical_source(F.col("source")) == name)
     return accepted(tag_forecasts(one, {name: PARSERS[name]}))
 
 

@@ -206,8 +206,6 @@ def rollup(source: DataFrame, part: str, level: str, verdicts: DataFrame) -> Dat
         .groupBy("place_name", start.alias("period_start"))
         .agg(*measures(from_raw=False, rounded=True))
     )
-    # One verdict per period. Dates end in the year 9999, so weeks, the finest level, number
-    # less than 522,000: the side to broadcast is a few megabytes at most.
     passed = verdicts.where("accepted").select("period_start")
-    kept = rows.join(F.broadcast(passed), "period_start", "left_semi")
+    kept = rows.join(passed, "period_start", "left_semi")
     return kept.select("place_name", *_describe(level), *MEASURES)

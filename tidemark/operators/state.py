@@ -249,9 +249,14 @@ def gate_events(periods: DataFrame, level: str, max_retries: int | None = None)
     )
 
 
-def load_events(periods: DataFrame, level: str, primary_ok: bool, secondary_ok: bool) -> DataFrame:
-    """State events after a load into two sinks: success if either took it, else failed."""
-    ok = primary_ok or secondary_ok
+def load_events(periods: DataFrame, level: str, primary: str | None, secondary: str | None) -> DataFrame:
+    """State events after a load into two sinks: success if either took it, else failed.
+
+    ``primary`` and ``secondary`` are null for a sink that took the load, else why it did not.
+    Causes are kept, also when only one of the sinks failed.
+    """
+    ok = primary is None or secondary is None
+    causes = [f"{name}: {why}" for name, why in (("primary", primary), ("fallback", secondary)) if why is not None]
     return periods.select(
         F.lit(level).alias("processing_level"),
         "partition_date",
@@ -259,7 +264,7 @@ def load_events(periods: DataFrame, level: str, primary_ok: bool, secondary_ok:
         "expected_count",
         (F.col("expected_count") if ok else F.lit(0)).alias("actual_count"),
         F.lit(None if ok else "missing_partitions").cast("string").alias("error_type"),
-        F.lit(None if ok else "Both loads failed").cast("string").alias("error_message"),
+        F.lit("; ".join(causes) or None).cast("string").alias("error_message"),
     )
 
 

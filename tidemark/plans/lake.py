@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import schemas
 from tidemark.operators import merge
-from tidemark.session import stage
+from tidemark.session import staged
 from tidemark.sources.slices import fallback_union
 
 
@@ -20,6 +22,7 @@ class Table:
     partition_by: tuple[str, ...]
     order_by: tuple[str, ...]
     update_columns: tuple[str, ...] = ()
+    nullable: tuple[str, ...] = ()
 
 
 TABLES: dict[str, Table] = {
@@ -31,6 +34,7 @@ TABLES: dict[str, Table] = {
     ),
     "silver": Table(
         schemas.SILVER, schemas.SILVER_KEY, ("ingest_date", "ingest_hour"), ("original_ts", "temp_max"),
+        nullable=("forecast_hour_utc",),
     ),
     # One run may cover several snapshots, so the snapshot belongs to the key.
     "gold_daily_forecast": Table(
@@ -107,48 +111,55 @@ class Lake:
         primary = keep(self.read(name))
         if self.fallback is None:
             return primary
-        return fallback_union(primary, keep(self.read(name, fallback=True)), column)
-
-    def load(self, name: str, batch: DataFrame, fallback: bool = False) -> merge.LoadResult:
+        columns = [column] if isinstance(column, str) else list(column)
+        # The table's own partition values tell what it covers; no data column is read for that.
+        covered = self.read(name).select(*columns).distinct()
+        return fallback_union(primary, keep(self.read(name, fallback=True)), column, covered)
+
+    def load(
+        self, name: str, batch: DataFrame, fallback: bool = False, stored: bool = False
+    ) -> merge.LoadResult:
         """Upsert where the table has columns to update, else insert-ignore."""
         table, path = TABLES[name], self.path(name, fallback)
         if table.update_columns:
             return merge.upsert_into(
-                batch, path, table.schema, table.keys, table.update_columns, table.order_by, table.partition_by,
+                batch, path, table.schema, table.keys, table.update_columns, table.order_by, table.partition_by, stored,
             )
         return merge.insert_ignore_into(
-            batch, path, table.schema, table.keys, table.order_by, table.partition_by,
+            batch, path, table.schema, table.keys, table.order_by, table.partition_by, table.nullable, stored,
         )
 
     def load_copies(self, name: str, batch: DataFrame) -> merge.LoadResult:
         """Load into the table, and into its fallback copy if there is one."""
         if self.fallback is None:
             return self.load(name, batch)
-        batch = stage(batch, name)
-        result = self.load(name, batch)
-        self.load(name, batch, fallback=True)
+        with staged(batch, name) as batch:
+            result = self.load(name, batch, stored=True)
+            self.load(name, batch, fallback=True, stored=True)
         return result
 
     def replace(self, name: str, content: DataFrame) -> None:
         """Replace the partitions of ``content``; it may be computed from the table itself."""
-        merge.replace_partitions(stage(content, name), self.path(name), TABLES[name].partition_by)
+        with staged(content, name) as content:
+            merge.replace_partitions(content, self.path(name), TABLES[name].partition_by)
 
-    def load_both(self, name: str, batch: DataFrame) -> tuple[bool, bool]:
-        """Load into the table and its fallback copy; report which of them worked.
+    def load_both(self, name: str, batch: DataFrame) -> tuple[str | None, str | None]:
+        """Load into the table and its fallback copy; for each of them null, or why it failed.
 
-        The batch is computed once and read twice.
+        The batch is computed once and read twice. Errors of Spark and of the file system count
+        as a sink's failure; any other error is a fault of the program and is raised.
         """
-        batch = stage(batch, name)
-        outcome = []
-        for fallback in (False, True):
-            if fallback and self.fallback is None:
-                outcome.append(False)
-                continue
-            try:
-                self.load(name, batch, fallback)
-                outcome.append(True)
-            except Exception:  # noqa: BLE001  either sink may fail for any reason
-                outcome.append(False)
+        outcome: list[str | None] = []
+        with staged(batch, name) as batch:
+            for fallback in (False, True):
+                if fallback and self.fallback is None:
+                    outcome.append("no fallback copy")
+                    continue
+                try:
+                    self.load(name, batch, fallback, stored=True)
+                    outcome.append(None)
+                except (PySparkException, Py4JJavaError, OSError) as error:
+                    outcome.append(f"{type(error).__name__}: {error}")
         return outcome[0], outcome[1]
 
     def save_watermark(self, job: str, rows: DataFrame, column: str, now) -> None:

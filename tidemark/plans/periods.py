@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions import clock
 from tidemark.operators import rollups, state as st
 from tidemark.plans.lake import Lake
 from tidemark.session import stage
@@ -36,30 +37,36 @@ def _apply(lake: Lake, level: str, events: DataFrame, now: dt.datetime) -> DataF
     return lake.read("processing_state").where(F.col("processing_level") == level)
 
 
-def _range(lake: Lake, period: Period, as_of: dt.date) -> tuple[dt.date | None, dt.date]:
+def _oldest(lake: Lake, period: Period) -> dt.date | None:
+    """Start of the period that holds the oldest source partition of either copy."""
+    tables = [lake.read(period.source)] + ([lake.read(period.source, fallback=True)] if lake.fallback else [])
+    starts = [
+        table.agg(F.min(clock.grain_start(F.col(period.source_part), period.grain))).first()[0] for table in tables
+    ]
+    return min((start for start in starts if start is not None), default=None)
+
+
+def _range(
+    lake: Lake, period: Period, as_of: dt.date, start: dt.date | None
+) -> tuple[dt.date | None, dt.date]:
     """First partition to reconcile and the running one, which is excluded unless it is a year."""
     last = st.last_reconciled(lake.read("processing_state"), period.level).first()[0]
     if last is None:
-        if period.grain == "week":
-            fourth = dt.date(as_of.year, 1, 4)
-            last = fourth - dt.timedelta(days=fourth.weekday())
-        elif period.grain == "season":
-            last = st.bootstrap_start(lake.read("gold_seasonal"), lake.read("gold_monthly")).first()[0]
-        elif period.grain == "month":
-            last = dt.date(as_of.year - 1, 1, 1)
-        else:
-            last = dt.date(as_of.year, 1, 1)
+        last = start or _oldest(lake, period)
     end = dt.date(as_of.year + 1, 1, 1) if period.grain == "year" else as_of
     return last, end
 
 
-def run_rollup(lake: Lake, level: str, as_of: dt.date, now: dt.datetime) -> DataFrame:
+def run_rollup(
+    lake: Lake, level: str, as_of: dt.date, now: dt.datetime, start: dt.date | None = None
+) -> DataFrame:
     """Reconcile, roll up all pending periods of a level at once, load them and record the state.
 
-    Returns the number of periods per outcome.
+    A first run starts at the oldest source partition, or at ``start``. Returns the number of
+    periods per outcome.
     """
     period = PERIODS[level]
-    first, end = _range(lake, period, as_of)
+    first, end = _range(lake, period, as_of, start)
     if first is None:
         return lake.spark.createDataFrame([], "processing_level STRING, status STRING, partitions BIGINT")
 
@@ -71,8 +78,7 @@ def run_rollup(lake: Lake, level: str, as_of: dt.date, now: dt.datetime) -> Data
         slices.existing_partitions(output, period.output_part),
         None if copy is None else slices.existing_partitions(copy, period.output_part),
     )
-    start = F.col("partition_date")
-    expected = rollups.expected_parts(period.grain, start, as_of)
+    expected = rollups.expected_parts(period.grain, F.col("partition_date"), as_of)
     state = _apply(lake, level, st.reconcile(level, found, expected), now)
 
     pending = stage(st.pending_work(state, level).select("partition_date", "retry_count"), "pending")
@@ -84,13 +90,17 @@ def run_rollup(lake: Lake, level: str, as_of: dt.date, now: dt.datetime) -> Data
         return st.run_summary(pending.limit(0).select(F.lit(level).alias("processing_level"), F.lit("").alias("status")))
     _apply(lake, level, st.processing_events(pending.withColumn("expected_count", expected), level), now)
 
-    # The widest period is a year; a plain date range prunes the source partitions.
+    # The widest period is a year; a plain date range prunes the source partitions, and the
+    # pending periods themselves keep what lies between them out.
     last = bounds[1] + dt.timedelta(days=366)
-    rows = lake.read_complete(
-        period.source,
-        period.source_part,
-        lambda table: slices.date_range(table, period.source_part, bounds[0], last),
-    )
+    wanted = pending.select(F.col("partition_date").alias("_start"))
+
+    def keep(table: DataFrame) -> DataFrame:
+        own = clock.grain_start(F.col(period.source_part), period.grain)
+        ranged = slices.date_range(table, period.source_part, bounds[0], last)
+        return ranged.join(wanted, own == F.col("_start"), "left_semi")
+
+    rows = lake.read_complete(period.source, period.source_part, keep)
     verdicts = rollups.gate(rows, period.source_part, period.grain, as_of)
     limit = rollups.allowed_missing(period.grain, F.col("_expected"))
     judged = stage(

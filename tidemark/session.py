@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,11 +38,15 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new, empty folder that every executor can reach.
 
-    It lies under the checkpoint folder the cluster names. A machine-local folder is used
-    only where no such setting exists, as in local tests.
+    It lies under the checkpoint folder the cluster names. Only a session that runs in one
+    process, as tests do, may go without that setting; on a cluster a folder of the driver's own
+    would be out of the executors' reach, so the setting is required there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
@@ -55,3 +61,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     folder = work_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a work folder, wherever it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``stage`` for the time of a block; the folder is deleted at its end."""
+    spark = df.sparkSession
+    folder = work_folder(spark, label)
+    try:
+        df.write.parquet(folder)
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        remove_folder(spark, folder)

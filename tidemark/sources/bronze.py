@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidemark.functions import clock
 from tidemark.operators.merge import read_table
 from tidemark.schemas import BRONZE
 
@@ -14,14 +15,34 @@ from tidemark.schemas import BRONZE
 _FILE = r"(\d{4}-\d{2}-\d{2})_(.+)_([^_/]+)/(\d{2})\.json$"
 
 
+def _named() -> Column:
+    read = (F.col("source") != "") & (F.col("place_name") != "") & F.col("ingest_date").isNotNull()
+    return read & F.coalesce(F.col("ingest_hour").between(0, 23), F.lit(False))
+
+
 def _from_path(lines: DataFrame) -> DataFrame:
     path = F.url_decode(F.col("_metadata.file_path"))
     return lines.select(
         F.regexp_extract(path, _FILE, 2).alias("source"),
         F.regexp_extract(path, _FILE, 3).alias("place_name"),
-        F.regexp_extract(path, _FILE, 1).cast("date").alias("ingest_date"),
-        F.regexp_extract(path, _FILE, 4).cast("int").alias("ingest_hour"),
+        F.regexp_extract(path, _FILE, 1).try_cast("date").alias("ingest_date"),
+        F.regexp_extract(path, _FILE, 4).try_cast("int").alias("ingest_hour"),
         F.col("value").alias("payload"),
+        path.alias("path"),
+    )
+
+
+def named_files(files: DataFrame) -> DataFrame:
+    """Files whose path says source, place, date and hour, as bronze rows."""
+    return files.where(_named()).drop("path")
+
+
+def odd_files(files: DataFrame) -> DataFrame:
+    """The other files, in the layout of rejected records; the detail is the path and the whole text."""
+    return files.where(~_named()).select(
+        *[F.nullif(F.col(name), F.lit("")).alias(name) for name in ("source", "place_name")],
+        "ingest_date", "ingest_hour", F.lit("odd_path").alias("reason"),
+        F.concat_ws("\n", "path", "payload").alias("detail"),
     )
 
 
@@ -36,8 +57,18 @@ def read_bronze_files(
 ) -> DataFrame:
     """Raw JSON files as bronze rows, any number of days and hours in one scan.
 
-    Source, place and date come from the folder name, the hour from the file name.
+    Source, place and date come from the folder name, the hour from the file name. Files whose
+    path does not say them are left to ``read_odd_files``.
     """
+    return named_files(_scan(spark, base, date, hour))
+
+
+def read_odd_files(spark: SparkSession, base: str) -> DataFrame:
+    """Files below ``base`` that lie in a dated folder but under a name that can't be read."""
+    return odd_files(_scan(spark, base, None, None))
+
+
+def _scan(spark: SparkSession, base: str, date: dt.date | None, hour: int | None) -> DataFrame:
     return _from_path(spark.read.text(_globs(base, date, hour), wholetext=True))
 
 
@@ -46,7 +77,7 @@ def stream_bronze_files(spark: SparkSession, base: str, files_per_batch: int = 1
     stream = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(
         _globs(base, None, None), wholetext=True
     )
-    return _from_path(stream)
+    return named_files(_from_path(stream))
 
 
 def read_bronze_table(spark: SparkSession, path: str) -> DataFrame:
@@ -66,13 +97,22 @@ def provider_grid(locations: DataFrame, providers: Sequence[str]) -> DataFrame:
 
 
 def missing_pairs(bronze: DataFrame, grid: DataFrame, first: Column, last: Column) -> DataFrame:
-    """(source, place, date, hour) the grid expects in [first, last] and bronze does not have."""
-    hours = F.explode(F.sequence(first, last, F.expr("interval 1 hour")))
-    expected = grid.withColumn("snapshot_ts", hours).select(
-        "source",
-        "place_name",
-        F.to_date("snapshot_ts").alias("ingest_date"),
-        F.hour("snapshot_ts").alias("ingest_hour"),
+    """Runs of hours in [first, last] that the grid expects and bronze does not have.
+
+    One row per (source, place) and run: its first and last hour, and their number. Only hours
+    that exist, and two marks around the bounds, are sorted per pair; absent hours are not made.
+    """
+    hour = F.expr("interval 1 hour")
+    pair = ["source", "place_name"]
+    stamp = clock.snapshot_ts(F.col("ingest_date"), F.col("ingest_hour"))
+    had = bronze.select(*pair, stamp.alias("at")).where(F.col("at").between(first, last)).distinct()
+    marks = grid.distinct().select(*pair, F.explode(F.array(first - hour, last + hour)).alias("at"))
+    # A left semi join keeps pairs that nobody expects out.
+    known = had.join(grid.select(*pair).distinct(), pair, "left_semi").union(marks)
+    before = F.lag("at").over(Window.partitionBy(*pair).orderBy("at"))
+    runs = known.withColumn("_before", before).where(F.col("at") > F.col("_before") + hour)
+    return runs.select(
+        *pair, (F.col("_before") + hour).alias("first_missing"), (F.col("at") - hour).alias("last_missing"),
+    ).withColumn(
+        "hours", (F.timestamp_diff("HOUR", F.col("first_missing"), F.col("last_missing")) + 1).cast("long")
     )
-    key = ["source", "place_name", "ingest_date", "ingest_hour"]
-    return expected.join(bronze.select(*key).distinct(), key, "left_anti")

@@ -43,15 +43,21 @@ def last_processed(watermarks: DataFrame, job: str) -> dt.datetime | None:
 
 
 def hourly_increment(
-    table: DataFrame, last: dt.datetime | None, target: dt.datetime, now: dt.datetime | None = None
+    table: DataFrame, last: dt.datetime | None, target: dt.datetime, start: dt.datetime | None = None
 ) -> DataFrame:
-    """Snapshots after ``last`` up to the hour of ``target``; a first run starts 24 hours back."""
-    if last is None:
-        last = (now or target).replace(minute=0, second=0, microsecond=0) - dt.timedelta(days=1)
-    first = last.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1)
+    """Snapshots after ``last`` up to the hour of ``target``.
+
+    A first run (``last`` is null) starts at the table's oldest snapshot, or at ``start``.
+    """
     final = target.replace(minute=0, second=0, microsecond=0)
     date = F.col("ingest_date")
     snapshot = clock.snapshot_ts(date, F.col("ingest_hour"))
+    if last is not None:
+        first = last.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1)
+    elif start is not None:
+        first = start
+    else:
+        return table.where((date <= F.lit(final.date())) & (snapshot <= F.lit(final).cast("timestamp_ntz")))
     # The date range prunes partitions; the hour range is exact.
     return table.where(
         date.between(F.lit(first.date()), F.lit(final.date()))
@@ -60,15 +66,17 @@ def hourly_increment(
 
 
 def daily_increment(
-    table: DataFrame, column: str, last: dt.datetime | None, target: dt.date, now: dt.date | None = None
+    table: DataFrame, column: str, last: dt.datetime | None, target: dt.date, start: dt.date | None = None
 ) -> DataFrame:
-    """Days after the day of ``last`` up to ``target``; a first run starts on Monday of this week."""
-    if last is None:
-        today = now or target
-        first = today - dt.timedelta(days=today.weekday())
-    else:
-        first = last.date() + dt.timedelta(days=1)
-    return date_range(table, column, first, target)
+    """Days after the day of ``last`` up to ``target``.
+
+    A first run (``last`` is null) starts at the table's oldest day, or at ``start``.
+    """
+    if last is not None:
+        start = last.date() + dt.timedelta(days=1)
+    if start is None:
+        return table.where(F.col(column) <= F.lit(target))
+    return date_range(table, column, start, target)
 
 
 def short_days(table: DataFrame, column: str, expected_rows: int = 24) -> DataFrame:
@@ -93,10 +101,16 @@ def calendar_of(bounds: DataFrame, grain: str) -> DataFrame:
     first = clock.grain_start(F.col("first"), grain)
     end = clock.grain_start(F.col("end"), grain)
     rows = bounds.select(first.alias("first"), end.alias("end")).where(F.col("first") < F.col("end"))
-    return rows.select(
-        F.explode(F.sequence("first", "end", F.expr(clock.grain_interval(grain)))).alias("partition_date"),
-        "end",
-    ).where(F.col("partition_date") < F.col("end")).select("partition_date")
+    step = clock.grain_interval(grain)
+    # In stretches, so that no array holds more than a thousand partitions, however far the bounds.
+    long_step = " ".join(str(1000 * int(w)) if w.isdigit() else w for w in step.split())
+    stretches = rows.select(F.explode(F.sequence("first", "end", F.expr(long_step))).alias("_from"), "end")
+    last = F.least(F.col("end"), F.col("_from") + F.expr(long_step))
+    if grain != "hour":
+        last = last.cast("date")
+    return stretches.select(
+        F.explode(F.sequence("_from", last, F.expr(step))).alias("partition_date"), last.alias("_to")
+    ).where(F.col("partition_date") < F.col("_to")).select("partition_date")
 
 
 def missing_partitions(calendar: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -105,13 +119,20 @@ def missing_partitions(calendar: DataFrame, table: DataFrame, column: str) -> Da
     return calendar.join(found, "partition_date", "left_anti")
 
 
-def fallback_union(primary: DataFrame, secondary: DataFrame, column: str | Sequence[str]) -> DataFrame:
-    """All of ``primary``, and from ``secondary`` only the partitions ``primary`` does not have."""
+def fallback_union(
+    primary: DataFrame, secondary: DataFrame, column: str | Sequence[str], covered: DataFrame | None = None
+) -> DataFrame:
+    """All of ``primary``, and from ``secondary`` only the partitions ``primary`` does not have.
+
+    ``covered`` are the partition values that count as had (none: those of ``primary``, which is
+    then computed a second time). Null is a partition like any other.
+    """
     columns = [column] if isinstance(column, str) else list(column)
-    covered = primary.select(*columns).distinct()
-    return primary.unionByName(
-        secondary.join(covered, columns, "left_anti"), allowMissingColumns=True
+    covered = primary.select(*columns).distinct() if covered is None else covered
+    missing = secondary.alias("s").join(
+        covered.alias("c"), [F.col(f"s.{name}").eqNullSafe(F.col(f"c.{name}")) for name in columns], "left_anti"
     )
+    return primary.unionByName(missing, allowMissingColumns=True)
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import merge
-from tidemark.operators.cleaning import clean_silver, split_valid, to_silver
-from tidemark.operators.parsers import accepted, rejected, tag_forecasts
+from tidemark.operators.parsers import tag_forecasts
+from tidemark.plans.hourly import split_silver
 from tidemark.plans.lake import TABLES
-from tidemark.session import stage
+from tidemark.session import staged
 
 
 def start_silver_ingest(
@@ -23,15 +23,12 @@ def start_silver_ingest(
     silver = TABLES["silver"]
 
     def load(batch: DataFrame, number: int) -> None:
-        tagged = stage(batch, "tagged")
-        rows = to_silver(clean_silver(accepted(tagged), f"batch-{number}"))
-        valid, _ = split_valid(rows)
-        merge.insert_ignore_into(
-            valid, silver_path, silver.schema, silver.keys, silver.order_by, silver.partition_by
-        )
-        merge.replace_partitions(
-            rejected(tagged).withColumn("batch", F.lit(number)), rejects_path, ("batch",)
-        )
+        with staged(batch, "tagged") as tagged:
+            valid, rejects = split_silver(tagged, f"batch-{number}")
+            merge.insert_ignore_into(
+                valid, silver_path, silver.schema, silver.keys, silver.order_by, silver.partition_by, silver.nullable
+            )
+            merge.replace_partitions(rejects.withColumn("batch", F.lit(number)), rejects_path, ("batch",))
 
     return (
         tag_forecasts(bronze)
