@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.session import stage
+from tidemark.session import remove_folder, stage, work_folder
 
 #: White space of a word split, as the contracts state it: the blank and the bytes 9 to 13.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -50,6 +52,22 @@ def crc_remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+@contextmanager
+def bucketed(rows: DataFrame, column: str, buckets: int, label: str) -> Iterator[DataFrame]:
+    """``rows`` as a table bucketed by ``column`` in the shared folder, for the time of a block.
+
+    Joins by that column then read the rows where they are.
+    """
+    spark, name = rows.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    folder = work_folder(spark, label)
+    try:
+        rows.write.bucketBy(buckets, column).option("path", folder).saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove_folder(spark, folder)
+
+
 # ---------------------------------------------------------------- words as arrays
 
 

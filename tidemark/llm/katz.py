@@ -13,17 +13,17 @@ word that starts a third of all pairs is no one's burden. Words are known by 64-
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from contextlib import ExitStack, contextmanager
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import document_texts, lower_bytes, mix, small_batches, span_hashes, text_bytes, word_spans
+from tidemark.llm.common import bucketed, document_texts, lower_bytes, mix, small_batches, span_hashes, text_bytes, word_spans
 from tidemark.llm.packed import answers, asked, blocks_of, gathered, pack, pack_sorted, unpack, unpack_sorted
-from tidemark.session import stage, work_folder
+from tidemark.session import remove_folder, stage, staged, work_folder
 
 #: Counts above this are trusted as they are.
 LARGEST = 5
@@ -216,14 +216,18 @@ def _count(table: pa.Table) -> pa.Table:
     )
 
 
-def _counted(requests: DataFrame, label: str) -> tuple[DataFrame, list[int]]:
+@contextmanager
+def _counted(requests: DataFrame, label: str) -> Iterator[tuple[DataFrame, list[int]]]:
     """Answers of all parts, in a table partitioned by kind, and the model's summed statistics."""
     spark = requests.sparkSession
     folder = work_folder(spark, label)
-    requests.groupBy("part").applyInArrow(_count, _ANSWER).write.partitionBy("kind").parquet(folder)
-    table = spark.read.schema(_ANSWER).parquet(folder)
-    sums = [F.coalesce(F.sum(F.get("stats", F.lit(k))), F.lit(0)) for k in range(LARGEST + 4)]
-    return table.where("kind = 'answer'"), list(table.where("kind = 'model'").agg(*sums).first())
+    try:
+        requests.groupBy("part").applyInArrow(_count, _ANSWER).write.partitionBy("kind").parquet(folder)
+        table = spark.read.schema(_ANSWER).parquet(folder)
+        sums = [F.coalesce(F.sum(F.get("stats", F.lit(k))), F.lit(0)) for k in range(LARGEST + 4)]
+        yield table.where("kind = 'answer'"), list(table.where("kind = 'model'").agg(*sums).first())
+    finally:
+        remove_folder(spark, folder)
 
 
 class _Known:
@@ -318,34 +322,29 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     rows count as often as they stand; null ids stay rows; without any training row every token
     has probability one; an empty table gives an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
-    texts = document_texts(small_batches(docs).select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held")), "held")
-    name, folder = f"katz_{uuid.uuid4().hex}", work_folder(spark, "katz-blocks")
+    texts = document_texts(
+        small_batches(docs).select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held")), "held"
+    )
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(1, math.ceil(size / BLOCK))
     bits = max(0, math.ceil(math.log2(max(1, size / PART))))
-    texts.mapInArrow(_read, _BLOCK).write.bucketBy(buckets, "block").option("path", folder).saveAsTable(name)
-    try:
-        blocks = spark.table(name)
+    columns = ["block", "part", "n", "v0"]
+    with ExitStack() as tables:
+        keep = tables.enter_context
+        blocks = keep(bucketed(texts.mapInArrow(_read, _BLOCK), "block", max(1, math.ceil(size / BLOCK)), "katz_blocks"))
         trained = F.aggregate("held", F.lit(0), lambda n, h: n + F.when(h, 0).otherwise(1))
         n_texts = blocks.agg(F.coalesce(F.sum(trained), F.lit(0))).first()[0]
-        words, stats = _counted(
-            blocks.select("block", "words", "vocabulary", "uses").mapInArrow(_ask_words(bits), _ASKED), "katz-words"
-        )
+        asked_words = blocks.select("block", "words", "vocabulary", "uses").mapInArrow(_ask_words(bits), _ASKED)
+        words, stats = keep(_counted(asked_words, "katz-words"))
         totals = totals_of(stats, n_texts)
-        pairs, stats = _counted(blocks.mapInArrow(_ask_pairs(bits), _ASKED), "katz-pairs")
-        totals = Totals(**{**totals.__dict__, "pair_factors": discounts(stats[2:])})
-        columns = ["block", "part", "n", "v0"]
+        pairs, stats = keep(_counted(blocks.mapInArrow(_ask_pairs(bits), _ASKED), "katz-pairs"))
+        totals = replace(totals, pair_factors=discounts(stats[2:]))
         known = words.select(*columns, F.lit(1).alias("level")).union(pairs.select(*columns, F.lit(2)))
         contexts = (
             blocks.groupBy("block").cogroup(known.groupBy("block"))
             .applyInArrow(_ask_contexts(bits, totals), _ASKED + ", v1 binary")
         )
-        weights = stage(
-            contexts.groupBy("part").applyInArrow(_sum_contexts, "part int, block long, n int, v0 binary"), "katz-weights"
-        )
+        answer = "part int, block long, n int, v0 binary"
+        weights = keep(staged(contexts.groupBy("part").applyInArrow(_sum_contexts, answer), "katz-weights"))
         known = known.union(weights.select(*columns, F.lit(3)))
         scored = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_score(totals), _SCORES)
         return stage(scored, "katz-scores")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")

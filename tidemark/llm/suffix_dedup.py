@@ -18,16 +18,16 @@ tell equal strings, and the shards' sorted strings are merged by binary search.
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import document_texts, mix, small_batches, span_hashes, text_bytes
+from tidemark.llm.common import bucketed, document_texts, mix, small_batches, span_hashes, text_bytes
 from tidemark.llm.packed import answers, asked, blocks_of, gathered, pack, parts_of, unpack
-from tidemark.session import stage, work_folder
+from tidemark.session import stage, staged
 
 SPAN = 50
 GRAM = 24
@@ -450,32 +450,28 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
     other. An empty table gives an empty result; other columns are ignored. Anchors and runs are
     compared by 64-bit hashes.
     """
-    spark = docs.sparkSession
     texts = document_texts(small_batches(docs))
-    name, folder = f"suffix_{uuid.uuid4().hex}", work_folder(spark, "suffix-blocks")
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = max(0, math.ceil(math.log2(max(1, size / PART))))
-    texts.mapInArrow(_read, _BLOCK).write.bucketBy(max(1, math.ceil(size / BLOCK)), "block").option("path", folder).saveAsTable(name)
     answer = "part int, block long, n int, v0 binary"
-    columns = ["block", "part", "n", "v0", "v1"]
-    try:
-        blocks = spark.table(name)
-        anchors = blocks.mapInArrow(_ask_anchors(bits), _ASKED)
-        shared = stage(anchors.groupBy("part").applyInArrow(_shared, answer), "suffix-anchors")
-        known = shared.select("block", "part", "n", "v0", F.lit(None).cast("binary").alias("v1"), F.lit(1).alias("level"))
+    columns, none = ["block", "part", "n", "v0"], F.lit(None).cast("binary")
+    with ExitStack() as tables:
+        keep = tables.enter_context
+        blocks = keep(bucketed(texts.mapInArrow(_read, _BLOCK), "block", max(1, math.ceil(size / BLOCK)), "suffix_blocks"))
 
         def ask(function, schema: str) -> DataFrame:
             return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(function, schema)
 
+        anchors = blocks.mapInArrow(_ask_anchors(bits), _ASKED)
+        shared = keep(staged(anchors.groupBy("part").applyInArrow(_shared, answer), "suffix-anchors"))
+        known = shared.select(*columns, none.alias("v1"), F.lit(1).alias("level"))
         runs = ask(_ask_runs(bits), _ASKED + ", v1 binary")
-        first = stage(runs.groupBy("part").applyInArrow(_first_runs, answer + ", v1 binary"), "suffix-runs")
-        known = known.union(first.select(*columns, F.lit(2)))
+        first = keep(staged(runs.groupBy("part").applyInArrow(_first_runs, answer + ", v1 binary"), "suffix-runs"))
+        known = known.union(first.select(*columns, "v1", F.lit(2)))
         strings = ask(_ask_strings(bits), _ASKED + ", v1 binary, v2 binary, v3 binary, text binary")
-        least = stage(strings.groupBy("part").applyInArrow(_first_strings, answer), "suffix-strings")
-        known = known.union(least.select("block", "part", "n", "v0", F.lit(None).cast("binary"), F.lit(3)))
+        least = keep(staged(strings.groupBy("part").applyInArrow(_first_strings, answer), "suffix-strings"))
+        known = known.union(least.select(*columns, none, F.lit(3)))
         return stage(ask(_remove, _KEPT), "suffix-kept")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def repeat_digest(removed: DataFrame) -> DataFrame:
