@@ -32,7 +32,7 @@ from tidemark.session import stage, staged
 SPAN = 50
 GRAM = 24
 #: Bytes of text in a block, in a part of the key space, and in a shard.
-BLOCK, PART, SHARD = 4 << 20, 16 << 20, 1 << 20
+BLOCK, PART, SHARD = 4 << 20, 16 << 20, 1 << 18
 _NONE = np.iinfo(np.int64).max
 _FACTOR = 0x9E3779B97F4A7C15
 
@@ -129,7 +129,8 @@ def first_documents(data: np.ndarray, starts: np.ndarray, docs: np.ndarray) -> t
     np.minimum.at(least, index, docs)
     example = np.empty(len(labels), dtype=np.int64)
     example[index] = starts
-    strings = np.ascontiguousarray(data[example[:, None] + np.arange(SPAN)]).view(f"S{SPAN}").ravel()
+    windows = np.lib.stride_tricks.sliding_window_view(data, SPAN)
+    strings = np.ascontiguousarray(windows[example]).view(f"S{SPAN}").ravel()
     return strings, least, index
 
 
