@@ -44,15 +44,16 @@ def test_hourly_and_daily_runs(spark, tmp_path):
 
     now = dt.datetime(2026, 2, 17, 8)
     done = hourly.build_forecasts(lake, dt.datetime(2026, 2, 17, 7), now)
-    # The first run goes back 24 hours from now: after 08:00 of the 16th nothing but the 17th is left.
-    assert done["gold_daily_forecast"].inserted == 4
-    assert done["gold_five_day_forecast"].inserted == 8
+    # The first run starts at the oldest snapshot.
+    assert done["gold_daily_forecast"].inserted == 8
+    assert done["gold_five_day_forecast"].inserted == 16
     again = hourly.build_forecasts(lake, dt.datetime(2026, 2, 17, 7), now)
     assert again["gold_daily_forecast"].rows_in == 0
     assert lake.read("watermarks").first()["last_processed_ts"] == dt.datetime(2026, 2, 17, 7)
 
-    assert hourly.build_daily(lake, D(2026, 2, 17), now).inserted == 2
-    got = {r["place_name"]: (r["temp_min"], r["temp_max"]) for r in lake.read("gold_daily").collect()}
+    assert hourly.build_daily(lake, D(2026, 2, 17), now).inserted == 4
+    last = lake.read("gold_daily").where("forecast_date_utc = '2026-02-17'")
+    got = {r["place_name"]: (r["temp_min"], r["temp_max"]) for r in last.collect()}
     assert got == {"Hilltop": (1.0, 7.0), "Lakeside": (11.0, 17.0)}
     assert hourly.build_daily(lake, D(2026, 2, 17), now).rows_in == 0
 
@@ -129,8 +130,8 @@ def test_months_seasons_and_years(spark, tmp_path):
     periods.run_rollup(lake, "gold_monthly", as_of, dt.datetime(2026, 6, 3))
     assert rows_of("gold_monthly", "place_name", "month_number") == [(p, m) for p in "AB" for m in (1, 2, 3, 4)]
     assert states(lake, "gold_monthly")[D(2026, 5, 1)] == ("pending", 1)
-    # A first run goes back to January of the year before.
-    assert min(states(lake, "gold_monthly")) == D(2025, 1, 1)
+    # A first run starts at the oldest day.
+    assert min(states(lake, "gold_monthly")) == D(2026, 1, 1)
 
     periods.run_rollup(lake, "gold_seasonal", as_of, dt.datetime(2026, 6, 3))
     # Winter lacks December, spring lacks May.

@@ -598,17 +598,26 @@ SELECT {_SNAPSHOT}, place_name, forecast_date_utc, max(ingest_date) AS ingest_da
 {_gate('year', 'month_rollup', 'month_start')}
 SELECT *, 'week' AS level FROM week_gate UNION ALL SELECT *, 'month' FROM month_gate
 UNION ALL SELECT *, 'season' FROM season_gate UNION ALL SELECT *, 'year' FROM year_gate""",
-    "gate_decisions": f"""WITH {WEEKLY},{STATE},
+    "gate_decisions": f"""WITH {SEASONAL},{_gate('week', 'daily', 'forecast_date_utc')},
+{_gate('year', 'month_rollup', 'month_start')},{STATE},
+gates AS (
+  SELECT 'gold_weekly' AS level, {_label('week', 'period_start')} AS period_name, * FROM week_gate
+  UNION ALL SELECT 'gold_monthly', {_label('month', 'period_start')}, * FROM month_gate
+  UNION ALL SELECT 'gold_seasonal', {_label('season', 'period_start')}, * FROM season_gate
+  UNION ALL SELECT 'gold_yearly', 'year_' || year(period_start), * FROM year_gate
+),
 retries AS (
-  SELECT w.*, coalesce(s.retry_count, 0) AS retry_count FROM week_gate w
-  LEFT JOIN state s ON s.partition_date = w.period_start AND s.processing_level = 'gold_weekly'
+  SELECT g.*, coalesce(s.retry_count, 0) AS retry_count, missing_count > g.expected_count - required_count AS gap
+  FROM gates g LEFT JOIN state s ON s.partition_date = g.period_start AND s.processing_level = g.level
 )
-SELECT 'gold_weekly' AS processing_level, period_start AS partition_date,
-    {_label('week', 'period_start')} AS period_name,
-    CASE WHEN accepted THEN 'success' WHEN retry_count + 1 >= 3 THEN 'abandoned' ELSE 'pending' END AS status,
+SELECT level AS processing_level, period_start AS partition_date, period_name,
+    CASE WHEN accepted THEN 'success'
+      WHEN gap AND retry_count + 1 >= 3 AND (level <> 'gold_yearly' OR expected_count = 12) THEN 'abandoned'
+      WHEN gap THEN 'pending' ELSE 'failed' END AS status,
     expected_count, CASE WHEN accepted THEN expected_count ELSE actual_count END AS actual_count,
-    CASE WHEN NOT accepted THEN 'missing_partitions' END AS error_type,
-    CASE WHEN NOT accepted THEN 'Missing partitions: ' || missing_count END AS error_message
+    CASE WHEN NOT accepted THEN CASE WHEN gap THEN 'missing_partitions' ELSE 'insufficient_data' END END AS error_type,
+    CASE WHEN NOT accepted THEN CASE WHEN gap THEN 'Missing partitions: ' || missing_count
+      ELSE 'Found ' || actual_count || ' of at least ' || required_count END END AS error_message
   FROM retries""",
     "season_calendar": f"""WITH {DAYS}
 SELECT day, {_season_start('day')} AS season_start, {_season_name('day')} AS season_name,

@@ -161,11 +161,22 @@ def gate_verdicts(spark, sf_dir):
 
 @query
 def gate_decisions(spark, sf_dir):
-    """State events of the weekly gate, with retry counts from the state table."""
-    verdicts = rollups.gate(views.gold_days(spark, sf_dir), "day", "week", AS_OF)
-    periods = verdicts.withColumnRenamed("period_start", "partition_date")
+    """State events of the gates of all levels, with retry counts from the state table."""
+    days = stage(views.gold_days(spark, sf_dir).distinct(), "days")
+    months = rollups.gate(days, "day", "month", AS_OF)
+    verdicts = {
+        "gold_weekly": rollups.gate(days, "day", "week", AS_OF),
+        "gold_monthly": months,
+        "gold_seasonal": _higher_gate(months, "season"),
+        "gold_yearly": _higher_gate(months, "year"),
+    }
     state = views.processing_state(spark, sf_dir)
-    return st.gate_events(st.with_retries(periods, state, "gold_weekly"), "gold_weekly")
+    return combine(
+        [
+            st.gate_events(st.with_retries(found.withColumnRenamed("period_start", "partition_date"), state, level), level)
+            for level, found in verdicts.items()
+        ]
+    )
 
 
 # ---------------------------------------------------------------- calendar
