@@ -83,7 +83,7 @@ def corpus():
 
 @pytest.mark.parametrize("block,part,shard", [(4 << 20, 16 << 20, 1 << 20), (1500, 3000, 700)])
 def test_removed_bytes_equal_brute_force(spark, monkeypatch, block, part, shard):
-    for name, value in (("BLOCK", block), ("PART", part), ("SHARD", shard)):
+    for name, value in (("BLOCK", block), ("PART", part), ("CHUNK", 3 * shard), ("SHARD", shard)):
         monkeypatch.setattr(sd, name, value)
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS block", "2 AS spans").repartition(4)

@@ -31,8 +31,8 @@ from tidemark.session import stage, staged
 
 SPAN = 50
 GRAM = 24
-#: Bytes of text in a block, in a part of the key space, and in a shard.
-BLOCK, PART, SHARD = 4 << 20, 16 << 20, 1 << 18
+#: Bytes of text in a block, in a part of the key space, in a chunk of anchors, and in a shard.
+BLOCK, PART, CHUNK, SHARD = 4 << 20, 16 << 20, 1 << 20, 1 << 18
 _NONE = np.iinfo(np.int64).max
 _FACTOR = 0x9E3779B97F4A7C15
 
@@ -367,33 +367,52 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def _first_strings(table: pa.Table) -> pa.Table:
-    """The smallest document of every string of the runs asked for."""
+    """The smallest document of every string of the runs asked for.
+
+    Equal strings have equal anchors, so the part is worked on some anchors at a time: about
+    ``CHUNK`` bytes of text, or one anchor, in shards of ``SHARD`` bytes.
+    """
+    table = table.sort_by("block")
     blocks, borders, anchors, (texts, flags, docs, lengths) = gathered(table, np.uint64, np.uint8, np.int64, np.uint8)
     lengths = lengths.astype(np.int64)
     group, firsts, _ = _groups(anchors, texts)
     gives = np.flatnonzero(flags & 2)
     sizes = lengths[gives] + SPAN - 1
-    table = table.sort_by("block")
-    parts, done = [], 0
-    for text, a, b in zip(table.column("text").to_pylist(), borders[:-1], borders[1:]):
-        size = int(sizes[(gives >= a) & (gives < b)].sum())
-        parts.append(unpack(text, size, np.uint8))
-    data = np.concatenate(parts)
-    ends = np.cumsum(sizes)
-    shards, at = [], 0
-    while at < len(gives):
-        to = max(at + 1, int(np.searchsorted(ends, done + SHARD, side="right")))
-        begins = ends[at:to] - sizes[at:to] - done
-        starts = _ranges(begins, lengths[gives[at:to]])
-        shards.append((data[done : ends[to - 1]], starts, np.repeat(docs[gives[at:to]], lengths[gives[at:to]])))
-        at, done = to, int(ends[to - 1])
-    least = np.concatenate(merged_first_documents(shards))
-    # Where the strings of each group's run stand among those of all givers.
+    per_block = np.diff(np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(gives, borders)])
+    packed = table.column("text").to_pylist()
+    data = np.concatenate([unpack(text, int(n), np.uint8) for text, n in zip(packed, per_block)])
+    begins = np.cumsum(sizes) - sizes
+    # Givers by anchor; the strings of each group's run stand together in that order.
+    order = np.argsort(group[gives], kind="stable")
+    anchor, ends = anchors[gives[order]], np.cumsum(sizes[order])
+    counts = lengths[gives[order]]
     place = np.empty(len(firsts), dtype=np.int64)
-    place[group[gives]] = np.cumsum(lengths[gives]) - lengths[gives]
-    answer = least[_ranges(place[group], lengths)]
-    cuts = np.concatenate([[0], np.cumsum(lengths)])[borders]
-    return _answered(table, blocks, cuts, answer)
+    place[group[gives[order]]] = np.cumsum(counts) - counts
+    least, at = [], 0
+    while at < len(order):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + CHUNK, side="right")))
+        to = int(np.searchsorted(anchor, anchor[to - 1], side="right"))
+        shards, first = [], at
+        while first < to:
+            done = ends[first - 1] if first else 0
+            last = min(to, max(first + 1, int(np.searchsorted(ends, done + SHARD, side="right"))))
+            some = order[first:last]
+            own = data[_ranges(begins[some], sizes[some])]
+            starts = _ranges(np.cumsum(sizes[some]) - sizes[some], lengths[gives[some]])
+            shards.append((own, starts, np.repeat(docs[gives[some]], lengths[gives[some]])))
+            first = last
+        least += merged_first_documents(shards)
+        at = to
+    least = np.concatenate(least)
+    answer = [pack(least[_ranges(place[group[a:b]], lengths[a:b])]) for a, b in zip(borders[:-1], borders[1:])]
+    n = [int(lengths[a:b].sum()) for a, b in zip(borders[:-1], borders[1:])]
+    return pa.table(
+        {
+            "part": pa.array([table.column("part")[0].as_py()] * len(blocks), pa.int32()),
+            "block": pa.array(blocks, pa.int64()), "n": pa.array(n, pa.int32()), "v0": pa.array(answer, pa.binary()),
+        }
+    )
 
 
 _KEPT = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
