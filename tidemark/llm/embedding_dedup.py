@@ -174,6 +174,8 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFr
         *cell, F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"),
         "block", "g", "halo", "copies", "embedding",
     )
+    # Dealt by pair of blocks as well: otherwise all blocks of a large cell stay in its task.
+    paired = paired.repartition(*cell, "b1", "b2")
     found = stage(
         paired.groupBy(*cell, "b1", "b2").applyInArrow(_compare(threshold), "node long, links long, root long"), "collisions"
     )
