@@ -32,7 +32,7 @@ from tidemark.session import stage, staged
 SPAN = 50
 GRAM = 24
 #: Bytes of text in a block, in a part of the key space, in a chunk of anchors, and in a shard.
-BLOCK, PART, CHUNK, SHARD = 4 << 20, 16 << 20, 1 << 20, 1 << 18
+BLOCK, PART, CHUNK, SHARD = 4 << 20, 8 << 20, 1 << 20, 1 << 18
 _NONE = np.iinfo(np.int64).max
 _FACTOR = 0x9E3779B97F4A7C15
 
