@@ -39,10 +39,11 @@ class Plain:
         self.after = defaultdict(list)
         for h, w in self.two:
             self.after[h].append(w)
-        self.alpha = {
-            h: (1 - sum(self.pair(h, w) for w in after)) / (1 - sum(self.word(w) for w in after))
-            for h, after in self.after.items()
-        }
+        self.full, self.alpha = set(), {}
+        for h, after in self.after.items():
+            if sum(self.pair(h, w) for w in after) > 1 - 1e-12:
+                self.full.add(h)
+            self.alpha[h] = (1 - sum(self.pair(h, w) for w in after)) / (1 - sum(self.word(w) for w in after))
 
     @staticmethod
     def kept(c, d):
@@ -52,7 +53,7 @@ class Plain:
         return self.kept(self.one[w], self.d1) / self.n if self.one[w] else self.unseen
 
     def pair(self, h, w):
-        return self.kept(self.two[h, w], self.d2) / self.context[h]
+        return self.kept(self.two[h, w], self.d2) / (self.context[h] + (h in self.full))
 
     def p(self, h, w):
         return self.pair(h, w) if self.two[h, w] else self.alpha.get(h, 1.0) * self.word(w)
@@ -112,6 +113,16 @@ def test_without_training_rows_and_empty(spark):
     assert katz.katz_scores(df.limit(0), F.lit(False)).collect() == []
 
 
+def test_a_context_with_frequent_pairs_only_leaves_something(spark):
+    docs = corpus() + [(1000 + i, "always same") for i in range(12)] + [(2004, "always other w1é"), (2011, "always same")]
+    held = lambda d: d % 7 == 2
+    found = katz.katz_scores(spark.createDataFrame(docs, "doc_id long, text string"), F.col("doc_id") % 7 == 2).collect()
+    model, wanted = expected(docs, held)
+    assert 2004 % 7 == 2 and "always" in model.full
+    check(found, wanted)
+    assert sum(model.p("always", w) for w in [*model.one, "unseen"]) == pytest.approx(1, abs=1e-9)
+
+
 def test_repeated_rows_count(spark):
     docs = [(1, "a b a"), (1, "a b a"), (2, "b")]
     found = katz.katz_scores(spark.createDataFrame(docs, "doc_id long, text string"), F.lit(False)).collect()

@@ -2,7 +2,8 @@
 
 Counts up to ``LARGEST`` are discounted by Good-Turing; what they give up goes to pairs not seen
 in training, in proportion to the words' own probabilities, with a weight per context that makes
-the probabilities of all words after it add up to one exactly.
+the probabilities of all words after it add up to one exactly. A context all of whose pairs are
+frequent has nothing to give up; one use is set aside there.
 
 Documents are read once into blocks of word numbers, kept in a bucketed table. For counts and
 weights the blocks ask the parts of the key space (see ``packed``): word counts, then pair
@@ -267,8 +268,13 @@ def _ask_contexts(bits: int, totals: Totals):
 
 
 def _weights(taken: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """What a context leaves to pairs it has not seen, for each unit of their words' probability."""
-    return (1 - taken) / (1 - lower)
+    """What a context leaves to pairs it has not seen, for each unit of their words' probability.
+
+    Negative, for a mass of one, if the context leaves nothing, as all of its pairs are above the
+    discounted counts: one more use is then set aside for it, see ``_score``.
+    """
+    left = 1 - taken
+    return np.where(left > 1e-12, left, -1.0) / (1 - lower)
 
 
 def _sum_contexts(table: pa.Table) -> pa.Table:
@@ -294,8 +300,12 @@ def _score(totals: Totals):
         own = known.own
         weights = np.where(known.context_counts > 0, _weights(known.taken, known.lower), 1.0)
         weights[known.open] = answers(right, 3, np.float64)
+        # A context with n uses and nothing left counts as n + 1 uses, one of them not seen.
+        more = known.context_counts + 1.0
+        kept = np.where(weights < 0, known.context_counts / more, 1.0)
+        weights = np.where(weights < 0, -weights / more, weights)
         backed_off = weights[known.context] * known.p_word[known.word]
-        p = np.where(known.pair_counts > 0, known.p_pair, backed_off)
+        p = np.where(known.pair_counts > 0, known.p_pair * kept[known.context], backed_off)
         text = np.repeat(np.arange(len(own.held)), own.lengths)
         summed = lambda values: np.bincount(text, weights=values, minlength=len(own.held))
         counts = known.counts[own.codes]
