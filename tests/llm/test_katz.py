@@ -135,3 +135,33 @@ def test_repeated_rows_count(spark):
 def test_discounts_leave_a_part(counts):
     factors = katz.discounts(counts)
     assert all(0 < f <= 1 for f in factors) and factors[1] < 1
+
+
+def test_discounts_are_good_turing_with_bumps_and_gaps():
+    half = [1, *[(r - 0.5) / r for r in range(1, 6)]]
+    # A bump of copies at five makes the plain factor of four larger than one; doubled documents
+    # leave gaps; documents five times over have one count up to six.
+    bump, doubled, fives = [0, 6000, 2000, 1000, 600, 900, 300], [0, 0, 6000, 0, 2000, 0, 1000], [0] * 5 + [60, 0, 0, 0, 0, 20]
+    for counts in (bump, doubled, fives):
+        factors = list(katz.discounts(counts))
+        assert factors[0] == 1 and all(0 < a < b < 1 for a, b in zip(factors[1:], factors[2:]))
+        assert max(abs(a - b) for a, b in zip(factors, half)) > 0.02
+    smooth = [0, 6000, 2000, 1000, 600, 400, 300]
+    common = 6 * 300 / 6000
+    wanted = [((r + 1) * smooth[r + 1] / (r * smooth[r]) - common) / (1 - common) for r in range(1, 6)]
+    assert list(katz.discounts(smooth))[1:] == pytest.approx(wanted)
+    # A power law with gaps has the slope of the law.
+    assert katz._slope([0] + [round(1e12 * r**-2.5) for r in range(1, 7)], 5) == pytest.approx(-2.5, abs=1e-6)
+    assert list(katz.discounts([0] * 7)) == half
+
+
+def test_doubled_documents_keep_good_turing_discounts(spark):
+    docs = [row for row in corpus() for _ in range(2)]
+    held = lambda d: d % 7 == 2
+    model, wanted = expected(docs, held)
+    assert 1 not in model.two.values()
+    assert abs(model.d2[2] - 0.75) > 0.01 and abs(model.d2[4] - 0.875) > 0.01
+    found = katz.katz_scores(spark.createDataFrame(docs, "doc_id long, text string"), F.col("doc_id") % 7 == 2).collect()
+    assert len(found) == len(docs)
+    for row in found:
+        assert row.score == pytest.approx(wanted[row.doc_id][5], rel=1e-9)

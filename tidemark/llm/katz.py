@@ -1,6 +1,7 @@
 """Katz backoff language model of word pairs: learning and scoring at cluster scale.
 
-Counts up to ``LARGEST`` are discounted by Good-Turing; what they give up goes to pairs not seen
+Counts up to ``LARGEST`` are discounted by Good-Turing, on a log-linear fit of the counts of
+counts where these have gaps or bumps (copies); what they give up goes to pairs not seen
 in training, in proportion to the words' own probabilities, with a weight per context that makes
 the probabilities of all words after it add up to one exactly. A context all of whose pairs are
 frequent has nothing to give up; one use is set aside there.
@@ -28,26 +29,57 @@ from tidemark.session import remove_folder, stage, staged, work_folder
 
 #: Counts above this are trusted as they are.
 LARGEST = 5
+#: Counts of counts are kept up to this one.
+COUNTED = 64
 #: Bytes of text in a block, and in a part of the key space.
 BLOCK, PART = 8 << 20, 16 << 20
 _END, _START = np.uint64(0x1F3D5B79A8C6E402), np.uint64(0x8E6C4A2B13579BDF)
 
 
+def _slope(counts: list[int], largest: int) -> float | None:
+    """Slope of log Z_r over log r, as in simple Good-Turing: Z_r spreads the keys seen r times
+    over the gap to the counts in use next to r, so that gaps (copies) and bumps level out.
+
+    The fit goes over counts up to ``largest`` + 1, or over all if fewer than two of these are in
+    use; with fewer than two at all there is no slope.
+    """
+    for end in (largest + 2, len(counts)):
+        used = [r for r in range(1, end) if counts[r]]
+        if len(used) > 1:
+            break
+    else:
+        return None
+    before, after = [0, *used[:-1]], [*used[1:], 2 * used[-1] - used[-2]]
+    x = np.log(used)
+    y = np.log([2 * counts[r] / (t - q) for q, r, t in zip(before, used, after)])
+    x = x - x.mean()
+    return float((x * y).sum() / (x * x).sum())
+
+
 def discounts(counts: list[int], largest: int = LARGEST) -> np.ndarray:
     """Factor for each count from 0 to ``largest``, from how many keys have each count.
 
-    ``counts[r]`` is the number of keys seen r times, up to ``largest`` + 1. Where the estimate
-    gives no factors between zero and one (too little data), each count gives up half of one.
+    ``counts[r]`` is the number of keys seen r times, up to ``largest`` + 1 at least. Where
+    Good-Turing on the counts of counts as they are gives a factor outside of zero to one, it is
+    applied to their log-linear fit, which always gives factors between zero and one. Without two
+    different counts to fit (empty tables), each count gives up half of one.
     """
-    factors = np.ones(largest + 1)
-    plain = np.array([1.0] + [(r - 0.5) / r for r in range(1, largest + 1)])
-    if any(counts[r] == 0 for r in range(1, largest + 1)):
-        return plain
-    common = (largest + 1) * counts[largest + 1] / counts[1]
-    for r in range(1, largest + 1):
-        ratio = (r + 1) * counts[r + 1] / (r * counts[r])
-        factors[r] = (ratio - common) / (1 - common) if common < 1 else 0
-    return factors if ((factors > 0) & (factors <= 1)).all() and factors[1] < 1 else plain
+    if all(counts[r] for r in range(1, largest + 1)):
+        common = (largest + 1) * counts[largest + 1] / counts[1]
+        ratios = np.array([1.0] + [(r + 1) * counts[r + 1] / (r * counts[r]) for r in range(1, largest + 1)])
+        if common < 1:
+            factors = (ratios - common) / (1 - common)
+            if ((factors > 0) & (factors <= 1)).all() and factors[1] < 1:
+                return factors
+    slope = _slope(counts, largest)
+    r = np.arange(1, largest + 1)
+    if slope is None:
+        return np.append(1.0, (r - 0.5) / r)
+    # With Z_r = r ** slope, r * Z_r falls (or grows) by this power; 0 has a limit, a step beside it is as good.
+    power = float(np.clip(slope + 1, -8, 8))
+    power = power if abs(power) > 1e-6 else -1e-6
+    common = (largest + 1.0) ** power
+    return np.append(1.0, ((1 + 1 / r) ** power - common) / (1 - common))
 
 
 @dataclass(frozen=True)
@@ -202,7 +234,7 @@ def _count(table: pa.Table) -> pa.Table:
     found = (sums * 4 + 2 * (np.bincount(index, minlength=len(distinct)) > 1))[index]
     found[owner[owner >= 0]] += 1
     seen = sums > 0
-    small = np.bincount(np.minimum(sums[seen], LARGEST + 2), minlength=LARGEST + 3)[: LARGEST + 2]
+    small = np.bincount(np.minimum(sums[seen], COUNTED + 1), minlength=COUNTED + 2)[: COUNTED + 1]
     stats = [int(sums.sum()), int(seen.sum()), *small.tolist()]
     n = len(blocks)
     return pa.table(
@@ -225,7 +257,7 @@ def _counted(requests: DataFrame, label: str) -> Iterator[tuple[DataFrame, list[
     try:
         requests.groupBy("part").applyInArrow(_count, _ANSWER).write.partitionBy("kind").parquet(folder)
         table = spark.read.schema(_ANSWER).parquet(folder)
-        sums = [F.coalesce(F.sum(F.get("stats", F.lit(k))), F.lit(0)) for k in range(LARGEST + 4)]
+        sums = [F.coalesce(F.sum(F.get("stats", F.lit(k))), F.lit(0)) for k in range(COUNTED + 3)]
         yield table.where("kind = 'answer'"), list(table.where("kind = 'model'").agg(*sums).first())
     finally:
         remove_folder(spark, folder)
