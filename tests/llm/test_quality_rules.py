@@ -77,6 +77,34 @@ def test_of_many_copies_the_first_is_kept(spark):
     assert rows(kept.drop("host")) == sorted(map(tuple, wanted), key=repr)
 
 
+def test_frequent_lines_leave_the_texts(spark):
+    menu = "  Home |\tAbout  us "
+    own = lambda i: f"this is the story number {i} of a page that has words of its own"
+    docs = [(i, f"{menu}\n{own(i)}\n\n \t\nend of {i}\nHOME | about US", "a", None) for i in range(30)]
+    docs += [(100, f"{own(100)}\n{menu}", "b", 7), (None, f"{menu}\n{own(5)}\n{own(6)}", "a", 1), (5, docs[5][1], "a", None), (101, "home", "a", 2)]
+    docs += [(102, "\n".join([menu] * 9 + ["one two three four"]), "a", 3), (103, f"\n{own(103)}\n", None, 4)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, cut int")
+    found = q.cleaned(df)
+    assert found.columns == df.columns
+    judged = plain_rules([(d, t, h) for d, t, h, _ in docs])
+    cut = lambda t: "\n".join(line for line in t.split("\n") if " ".join(split(line)).lower() != "home | about us")
+    wanted = [(d, cut(t) if j[8] else t, h, c) for (d, t, h, c), j in zip(docs, judged) if j[7]]
+    assert rows(found) == sorted(wanted, key=repr)
+    texts = {r.doc_id: r.text for r in found.collect()}
+    assert texts[0] == docs[0][1] and texts[1] == f"{own(1)}\n\n \t\nend of 1" and texts[100] == docs[30][1]
+    assert not {101, 102} & set(texts)
+    gone = {j[0]: j[2] - j[8] for j in judged}
+    assert all(len("".join(split(t))) == gone[d] for d, t in texts.items() if d not in (5, None))
+
+
+def test_lines_of_any_shape_are_cut_by_their_place(spark):
+    docs = corpus()
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    left = {d: j for d, *j in plain_rules(docs, max_docs=10) if j[6]}
+    for row in q.cleaned(df, max_docs=10).collect():
+        assert sum(map(len, split(row.text))) == left[row.doc_id][1] - left[row.doc_id][7]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert q.quality_rules(df).collect() == [] and q.passing(df).collect() == []

@@ -94,13 +94,10 @@ def frequent_lines(lines: DataFrame, hosts: DataFrame, max_docs: int, max_per_mi
     ).select("c.host", "line", "first")
 
 
-def _judged(
-    docs: DataFrame,
-    host: str,
-    max_docs: int = MAX_DOCS,
-    max_per_mille: int = MAX_PER_MILLE,
-    max_removed_percent: int = MAX_REMOVED_PERCENT,
-) -> DataFrame:
+def _measured_lines(
+    docs: DataFrame, host: str, max_docs: int = MAX_DOCS, max_per_mille: int = MAX_PER_MILLE
+) -> tuple[DataFrame, DataFrame]:
+    """Counts of each row, staged, and its host's lines beyond both limits."""
     rows = measured(docs.select("doc_id", "text", F.col(host).alias("_host")), "_host")
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
@@ -108,20 +105,29 @@ def _judged(
     # Written once: three steps read it, and it holds no text.
     rows = rows.withColumn("base_failed", base_failed).withColumn("_row", F.monotonically_increasing_id())
     rows = stage(rows, "quality")
-    lines = (
+    hosts = rows.groupBy(F.col("_host").alias("host")).agg(F.count("*").alias("n_host"))
+    return rows, frequent_lines(_lines_of(rows), hosts, max_docs, max_per_mille)
+
+
+def _lines_of(rows: DataFrame) -> DataFrame:
+    return (
         rows.select("_row", "doc_id", F.col("_host").alias("host"), F.inline("_lines"))
         .groupBy("_row", "doc_id", "host", "line").agg(F.sum("chars").alias("chars"))
     )
-    hosts = rows.groupBy(F.col("_host").alias("host")).agg(F.count("*").alias("n_host"))
-    many = frequent_lines(lines, hosts, max_docs, max_per_mille)
-    removed = (
-        lines.alias("l").join(
-            many.alias("m"),
-            F.col("l.host").eqNullSafe(F.col("m.host")) & (F.col("l.line") == F.col("m.line"))
-            & ~F.col("l.doc_id").eqNullSafe(F.col("m.first")),
-        )
-        .groupBy("_row").agg(F.sum("chars").alias("n_removed_chars"))
+
+
+def _removed(lines: DataFrame, many: DataFrame) -> DataFrame:
+    """The frequent ones of ``lines``, without those of the document that keeps them."""
+    return lines.alias("l").join(
+        many.alias("m"),
+        F.col("l.host").eqNullSafe(F.col("m.host")) & (F.col("l.line") == F.col("m.line"))
+        & ~F.col("l.doc_id").eqNullSafe(F.col("m.first")),
     )
+
+
+def _judged(docs: DataFrame, host: str, max_removed_percent: int = MAX_REMOVED_PERCENT, **limits: int) -> DataFrame:
+    rows, many = _measured_lines(docs, host, **limits)
+    removed = _removed(_lines_of(rows), many).groupBy("_row").agg(F.sum("chars").alias("n_removed_chars"))
     joined = rows.join(removed, "_row", "left")
     n_removed = F.coalesce("n_removed_chars", F.lit(0)).cast("long")
     return joined.select(
@@ -145,6 +151,63 @@ def quality_rules(docs: DataFrame, host: str = "source", **limits: int) -> DataF
     return _judged(docs, host, **limits).drop("text_hash", "host")
 
 
+def _verdicts(docs: DataFrame, host: str, max_removed_percent: int = MAX_REMOVED_PERCENT, **limits: int) -> DataFrame:
+    """``doc_id``, ``host`` and ``text_hash`` of documents that are rejected or lose lines, once each,
+    with ``kept`` and ``cut``, the places of the lost lines among the lines that are not blank.
+    """
+    rows, many = _measured_lines(docs, host, **limits)
+    placed = rows.select("_row", "doc_id", F.col("_host").alias("host"), F.posexplode("_lines").alias("_at", "_line"))
+    placed = placed.select("_row", "doc_id", "host", "_at", F.col("_line.line").alias("line"), F.col("_line.chars").alias("chars"))
+    lost = _removed(placed, many).groupBy("_row").agg(
+        F.sum("chars").alias("n_removed"), F.sort_array(F.collect_list("_at")).alias("cut")
+    )
+    joined = rows.select("_row", "doc_id", F.col("_host").alias("host"), "text_hash", "base_failed", "word_chars").join(lost, "_row", "left")
+    kept = ~F.col("base_failed") & (F.coalesce("n_removed", F.lit(0)) * 100 <= F.col("word_chars") * max_removed_percent)
+    found = joined.select("doc_id", "host", "text_hash", kept.alias("kept"), F.when(kept, F.col("cut")).alias("cut"))
+    # Rows equal in the three columns have the same verdict and lose the same lines.
+    return found.where("NOT kept OR cut IS NOT NULL").groupBy("doc_id", "host", "text_hash").agg(
+        F.min("kept").alias("kept"), F.min("cut").alias("cut")
+    )
+
+
+def _without_lines(text: Column, cut: Column) -> Column:
+    """``text`` without the lines at the sorted places ``cut``, counted among those not blank.
+
+    What lies between two cut lines is taken in one slice, so the work grows with the lines.
+    """
+
+    def joined(lines: Column) -> Column:
+        filled = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: _blank_free_length(F.get(lines, i)) > 0)
+        # Bound once: a column named in a lambda is computed for every element.
+        return F.get(F.transform(F.array(filled), lambda at: between(lines, F.transform(cut, lambda c: F.get(at, c)))), F.lit(0))
+
+    def between(lines: Column, gone: Column) -> Column:
+        ends = F.concat(gone, F.array(F.size(lines)))
+        begins = F.concat(F.array(F.lit(0)), F.transform(gone, lambda g: g + 1))
+        pieces = F.zip_with(begins, ends, lambda a, b: F.slice(lines, a + 1, b - a))
+        return F.array_join(F.flatten(pieces), "\n")
+
+    return F.get(F.transform(F.array(F.split(text, "\n")), joined), F.lit(0))
+
+
+def cleaned(docs: DataFrame, host: str = "source", **limits: int) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, their texts without the removed lines.
+
+    Every line that counts into ``n_removed_chars`` goes from the text, with its line break; all
+    other lines, blank ones as well, and all other columns are unchanged. Rows are named as in
+    ``passing``.
+    """
+    verdicts = stage(_verdicts(docs, host, **limits), "verdicts").hint("merge").alias("g")
+    same = (
+        F.col("d.doc_id").eqNullSafe(F.col("g.doc_id"))
+        & F.col(f"d.{host}").eqNullSafe(F.col("g.host"))
+        & (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("g.text_hash"))
+    )
+    rows = docs.alias("d").join(verdicts, same, "left").where(F.coalesce("g.kept", F.lit(True)))
+    text = F.when(F.col("g.cut").isNull(), F.col("d.text")).otherwise(_without_lines(F.col("d.text"), F.col("g.cut")))
+    return rows.select(*[text.alias(name) if name == "text" else F.col(f"d.{name}") for name in docs.columns])
+
+
 def passing(docs: DataFrame, host: str = "source", **limits: int) -> DataFrame:
     """The rows of ``docs`` that ``quality_rules`` keeps, all columns unchanged.
 
