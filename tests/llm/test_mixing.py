@@ -86,6 +86,42 @@ def test_weights_and_sources_without_one(docs):
     assert set(count) == {"a", "b"} and count["a"] >= 2.9 * count["b"]
 
 
+def test_every_document_has_a_slot_and_phases_hold_the_weights(spark):
+    sizes, weights = {"a": 2000, "b": 700, None: 300, "c": 100}, {"a": 1, "b": 2, None: 3, "c": 1}
+    data = [(i, s, f"t{i}") for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))] + [(9000, "off", "t")]
+    df = spark.createDataFrame(data, "doc_id long, source string, text string")
+    found = mixing.mixture(df, weights=weights, block=2, resolution=28).collect()
+    assert {r.source for r in found if not r.kept} == {"off"} and sum(r.kept for r in found) == 3100
+    kept = sorted((r for r in found if r.kept), key=lambda r: (r.slot, r.rank))
+    assert all(r.release <= r.slot < r.deadline for r in kept)
+    # A slot is one source's, and slots go with ranks.
+    assert len({r.slot for r in kept}) == len({(r.slot, r.source) for r in kept}) == len({(r.source, r.block) for r in kept})
+    # While all have documents left, each is near its target; then those left share by weight.
+    left, given = dict(sizes), Counter()
+    at = 0
+    while any(left.values()):
+        alive = {s: w for s, w in weights.items() if left[s]}
+        span = min(left[s] / w for s, w in alive.items())
+        part = Counter()
+        for n in range(round(span * sum(alive.values()))):
+            part[kept[at].source] += 1
+            at += 1
+            if n % 7 == 0:
+                assert all(abs(part[s] - (n + 1) * w / sum(alive.values())) <= 8 for s, w in alive.items()), (at, part)
+        left = {s: left[s] - round(span * w) if s in alive else 0 for s, w in weights.items()}
+    assert at == 3100
+    order = [r.doc_id for r in mixing.mixed(df, weights=weights, block=2, resolution=28).collect()]
+    assert order == [r.doc_id for r in kept]
+
+
+@given(st.lists(st.tuples(st.integers(1, 1000), st.floats(0.1, 9)), min_size=1, max_size=30), st.integers(1, 9))
+def test_phases_give_all_documents(sources, most):
+    supply, weights = [n for n, _ in sources], [w for _, w in sources]
+    plan = mixing.phases([*supply, 5], [*weights, 0.0], most)
+    assert len(plan) <= most and [sum(x) for x in zip(*[given for given, _ in plan])] == [*supply, 0]
+    assert all(n >= 0 for given, _ in plan for n in given)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, source string, text string")
     assert mixing.mixture(df).collect() == [] and mixing.mixed(df).collect() == []

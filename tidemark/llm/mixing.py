@@ -1,11 +1,12 @@
 """Mixing sources to target weights by proportionate-fair scheduling of document blocks.
 
-Each source gets a quota, and its documents, in a fixed random order, are cut into blocks. Time
-runs in slots of one block. Block k of a source with share w may start at slot floor(k / w) and
+Every document gets a slot, in phases: sources with documents left share a phase by their target
+weights, until the next of them runs out. In a phase the documents of a source, in a fixed random
+order, are cut into blocks. Time runs in slots of one block. Block k of a source with share w may start at slot floor(k / w) and
 must be done by ceil((k + 1) / w). Earliest deadline first meets every deadline, since the
 shares add up to one; so after any number of slots each source is less than one block away from
 its share. Shares are whole parts of ``RESOLUTION``: the schedule repeats after that many slots,
-so it is computed once for one period, and every document finds its slot on its own.
+so it is computed once for one period of a phase, and every document finds its slot on its own.
 """
 
 from __future__ import annotations
@@ -23,10 +24,14 @@ from tidemark.session import stage
 BLOCK = 64
 #: Slots of a period at least; with many sources four for each.
 RESOLUTION = 1024
-#: Share of all documents that the mix takes.
-BUDGET = 0.9
+#: Phases at most. With more sources, those that run out at about the same time share a phase and
+#: are spread over all of it.
+PHASES = 256
 
-_PLAN = "_key string, quota long, units long, rounds long, period long, slots array<long>"
+_PLAN = (
+    "_key string, _phase long, quota long, start long, n long, units long, rounds long, period long, "
+    "first_block long, first_slot long, slots array<long>"
+)
 
 
 def quotas(supply: list[int], weights: list[float], total: int) -> list[int]:
@@ -80,27 +85,59 @@ def schedule(units: list[int]) -> list[list[int]]:
     return slots
 
 
-def _planner(weights: Mapping[str, float] | None, budget: float, block: int, resolution: int):
+def phases(supply: list[int], weights: list[float], most: int = PHASES) -> list[tuple[list[int], list[float]]]:
+    """Documents that each source gives in each phase, and its exact share of that phase.
+
+    Sources give in proportion to their weights until one has no more; the others go on.
+    """
+    until = [n / w if w else 0.0 for n, w in zip(supply, weights)]
+    ends = sorted({u for u, w in zip(until, weights) if w})
+    if len(ends) > most:
+        ends = [ends[(k + 1) * len(ends) // most - 1] for k in range(most)]
+    out, given, before = [], [0] * len(supply), 0.0
+    for end in ends:
+        now = [n if u <= end else min(n, math.floor(w * end + 1e-9)) for n, w, u in zip(supply, weights, until)]
+        now = [x if w else 0 for x, w in zip(now, weights)]
+        exact = [w * max(0.0, min(end, u) - before) for w, u in zip(weights, until)]
+        out.append(([x - g for x, g in zip(now, given)], exact))
+        given, before = now, end
+    return out
+
+
+def _planner(weights: Mapping[str, float] | None, budget: float | None, block: int, resolution: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((row for batch in batches for row in batch.to_pylist()), key=lambda row: row["_key"])
         if not rows:
             return
         supply = [row["n"] for row in rows]
         wanted = [1.0 if weights is None else float(weights.get(row["source"], 0.0)) for row in rows]
-        quota = quotas(supply, wanted, math.ceil(budget * sum(supply)))
-        rows = [row["_key"] for row, q in zip(rows, quota) if q]
-        quota = [q for q in quota if q]
-        if not rows:
-            return
-        period = max(resolution, 4 * len(rows))
-        units = shares(quota, period)
-        rounds = max(1, -(-sum(quota) // (period * block)))
-        n = len(rows)
-        columns = [rows, quota, units, [rounds] * n, [period] * n, schedule(units)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, type=t) for c, t in zip(columns, [pa.string(), *[pa.int64()] * 4, pa.list_(pa.int64())])],
-            ["_key", "quota", "units", "rounds", "period", "slots"],
-        )
+        if budget is None:
+            plan = phases(supply, wanted)
+        else:
+            quota = quotas(supply, wanted, math.ceil(budget * sum(supply)))
+            plan = [(quota, quota)]
+        total = [sum(given) for given in zip(*[given for given, _ in plan])]
+        start, first_block, first_slot = [0] * len(rows), [0] * len(rows), 0
+        for number, (given, exact) in enumerate(plan):
+            own = [i for i, n in enumerate(given) if n]
+            if not own:
+                continue
+            period = max(resolution, 4 * len(own))
+            units = shares([exact[i] for i in own], period)
+            rounds = max(1, -(-sum(given) // (period * block)))
+            n = len(own)
+            columns = [
+                [rows[i]["_key"] for i in own], [number] * n, [total[i] for i in own], [start[i] for i in own], [given[i] for i in own],
+                units, [rounds] * n, [period] * n, [first_block[i] for i in own], [first_slot] * n, schedule(units),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, type=t) for c, t in zip(columns, [pa.string(), *[pa.int64()] * 9, pa.list_(pa.int64())])],
+                ["_key", "_phase", "quota", "start", "n", "units", "rounds", "period", "first_block", "first_slot", "slots"],
+            )
+            for i, u in zip(own, units):
+                start[i] += given[i]
+                first_block[i] += u * rounds
+            first_slot += period * rounds
 
     return run
 
@@ -112,65 +149,79 @@ def _keyed(docs: DataFrame) -> DataFrame:
     ).withColumn("_bucket", F.shiftright("_hash", 52))
 
 
-def mixture(
-    docs: DataFrame,
-    weights: Mapping[str, float] | None = None,
-    budget: float = BUDGET,
-    block: int = BLOCK,
-    resolution: int = RESOLUTION,
+def _placed(
+    docs: DataFrame, weights: Mapping[str, float] | None, budget: float | None, block: int, resolution: int, *more: str
 ) -> DataFrame:
-    """A row per document: ``doc_id``, ``source``, ``rank``, ``block``, ``slot``, ``release``,
-    ``deadline`` and ``kept``.
-
-    ``weights`` are the target weights of the sources (none: equal ones; a source that is not
-    listed has weight zero). The mix takes ``budget`` of all documents, shared by weight; sources
-    too short for their part give all they have. Documents beyond their source's quota are not
-    kept; block, slot, release and deadline are null for them. Read the kept ones by ``slot``.
-
-    ``rank`` orders the documents of a source by a hash of the doc_id. It is counted within
-    4,096 hash ranges of the source and added up over them, so that no task holds a whole
-    source. A null source is a source of its own, with weights listed under ``None``; repeated
-    rows and null ids each take a place; texts are not read; an empty table gives an empty result.
-    """
-    keyed = _keyed(docs.select("doc_id", "source"))
-    counts = stage(keyed.groupBy("_key", "_bucket").agg(F.first("source").alias("source"), F.count("*").alias("n")), "mix")
+    """``mixture`` of ``docs``, whose columns are doc_id, source and ``more``, all kept."""
+    keyed = _keyed(docs)
+    counts = stage(
+        _keyed(docs.select("doc_id", "source")).groupBy("_key", "_bucket")
+        .agg(F.first("source").alias("source"), F.count("*").alias("n")), "mix",
+    )
     before = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_key", "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
     # One row per source.
     supply = counts.groupBy("_key").agg(F.first("source").alias("source"), F.sum("n").alias("n"))
     plan = stage(supply.repartition(1).mapInArrow(_planner(weights, budget, block, resolution), _PLAN), "mix")
+    # The phase of a place: of those of its source, the last that starts at or before it.
+    begun = F.sort_array(F.collect_list(F.struct(F.col("start").alias("at"), F.col("_phase").alias("phase"))))
+    starts = plan.groupBy("_key").agg(F.first("quota").alias("quota"), begun.alias("_starts"))
     own = Window.partitionBy("_key", "_bucket").orderBy("_hash", "doc_id")
     ranked = keyed.withColumn("_place", F.row_number().over(own) - 1).join(offsets, ["_key", "_bucket"])
     rank = (F.col("_before") + F.col("_place")).cast("long")
-    joined = ranked.select("doc_id", "source", "_key", rank.alias("rank")).join(plan, "_key", "left")
+    ranked = ranked.select("doc_id", "source", *more, "_key", rank.alias("rank")).join(starts, "_key", "left")
+    phase = F.get("_starts", F.size(F.filter("_starts", lambda s: s.getField("at") <= F.col("rank"))) - 1).getField("phase")
     kept = F.coalesce(F.col("rank") < F.col("quota"), F.lit(False))
-    number = F.expr("rank * (units * rounds) div quota")
+    ranked = ranked.select("doc_id", "source", *more, "_key", "rank", kept.alias("kept"), F.when(kept, phase).alias("_phase"))
+    joined = ranked.join(plan.drop("quota"), ["_key", "_phase"], "left")
     placed = joined.select(
-        "doc_id", "source", "rank", kept.alias("kept"), "units", "period", "slots", F.when(kept, number).alias("block")
+        "doc_id", "source", *more, "rank", "kept", "units", "period", "slots", "first_block", "first_slot",
+        F.expr("(rank - start) * (units * rounds) div n").alias("_number"),
     )
-    k, start = F.expr("block % units"), F.expr("(block div units) * period")
+    k, start = F.expr("_number % units"), F.expr("first_slot + (_number div units) * period")
     return placed.select(
-        "doc_id", "source", "rank", "block",
+        "doc_id", "source", *more, "rank", (F.col("first_block") + F.col("_number")).alias("block"),
         (start + F.get("slots", k)).alias("slot"),
-        (start + F.expr("(block % units) * period div units")).alias("release"),
-        (start + F.expr("((block % units + 1) * period + units - 1) div units")).alias("deadline"),
+        (start + F.expr("(_number % units) * period div units")).alias("release"),
+        (start + F.expr("((_number % units + 1) * period + units - 1) div units")).alias("deadline"),
         "kept",
     )
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the mixture takes, all columns unchanged.
+def mixture(
+    docs: DataFrame,
+    weights: Mapping[str, float] | None = None,
+    budget: float | None = None,
+    block: int = BLOCK,
+    resolution: int = RESOLUTION,
+) -> DataFrame:
+    """A row per document: ``doc_id``, ``source``, ``rank``, ``block``, ``slot``, ``release``,
+    ``deadline`` and ``kept``.
 
-    Per source the mixture ends at one place of its order; rows up to that place are kept, so
-    texts are neither ranked nor moved. Rows that share the last doc_id stay together.
+    ``weights`` are the target weights of the sources (none: equal ones; a source that is not
+    listed has weight zero). Without a ``budget`` every document of a source with a weight is
+    kept: in each phase the sources that have documents left hold their weights' shares, and when
+    one runs out the others share its part. With a ``budget`` the mix takes that share of all
+    documents in a single phase; sources too short for their part give all they have, and
+    documents beyond their source's quota are not kept. Block, slot, release and deadline are null
+    for documents not kept. Read the kept ones by ``slot``.
+
+    ``rank`` orders the documents of a source by a hash of the doc_id. It is counted within
+    4,096 hash ranges of the source and added up over them, so that no task holds a whole
+    source. A null source is a source of its own, with weights listed under ``None``; repeated
+    rows and null ids each take a place; texts are not read; an empty table gives an empty result.
     """
-    ranked = mixture(docs, **options).where("kept")
-    last = ranked.select(
-        F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_key"), F.xxhash64("doc_id").alias("_hash"), "doc_id"
-    ).groupBy("_key").agg(F.max("_hash").alias("_last"))
-    kept = F.struct(*[docs[name] for name in docs.columns]).alias("_doc")
-    keyed = docs.select(
-        kept, F.coalesce(F.concat(F.lit("="), docs["source"]), F.lit("")).alias("_key"), F.xxhash64(docs["doc_id"]).alias("_hash")
-    )
-    rows = keyed.join(stage(last, "mix"), "_key").where("_hash <= _last")
+    return _placed(docs.select("doc_id", "source"), weights, budget, block, resolution)
+
+
+def mixed(
+    docs: DataFrame,
+    weights: Mapping[str, float] | None = None,
+    budget: float | None = None,
+    block: int = BLOCK,
+    resolution: int = RESOLUTION,
+) -> DataFrame:
+    """The rows of ``docs`` that the mixture keeps, in the order of their slots, all columns unchanged."""
+    whole = docs.select("doc_id", "source", F.struct(*[docs[name] for name in docs.columns]).alias("_doc"))
+    rows = _placed(whole, weights, budget, block, resolution, "_doc").where("kept").orderBy("slot", "rank")
     return rows.select(*[F.col("_doc").getField(name).alias(name) for name in docs.columns])
