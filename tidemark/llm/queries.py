@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import crc_remainder
-from tidemark.llm import bpe, embedding_dedup, katz, mixing, quality_classifier, quality_rules, secret_scan, simhash, suffix_dedup, url_filter
+from tidemark.llm import (
+    bpe, embedding_dedup, impact_search, importance, katz, mixing, prefix_trie, quality_classifier, quality_rules, secret_scan,
+    simhash, suffix_dedup, url_filter,
+)
 
 #: Folder of the public tokenizers' files, the same on every machine.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -318,3 +321,136 @@ def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without strings that start in a document before it."""
     return suffix_dedup.repeat_digest(suffix_dedup.repeats_removed(_table(spark, sf_dir, "documents")))
+
+
+# crc32 of a text, for DuckDB: its table, and a fold over the bytes.
+_SQL_CRC_TABLE = """
+crc AS MATERIALIZED (
+  SELECT list(v ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v
+    FROM range(256) r(i)
+  )
+)"""
+
+
+def _sql_crc(text: str) -> str:
+    code = f"hex(encode({text}))"
+    bytes_ = f"list_transform(range(0, CAST(length({code}) // 2 AS BIGINT)), lambda i: CAST('0x' || substr({code}, 2 * i + 1, 2) AS BIGINT))"
+    start = "CAST(4294967295 AS BIGINT)"
+    fold = f"list_reduce(list_prepend({start}, {bytes_}), lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8))"
+    return f"xor({fold}, {start})"
+
+
+@_query
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw that favours texts like the benchmark's."""
+    return importance.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def _importance_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    k = importance.BUCKETS
+    return rf"""
+WITH {_SQL_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+b AS (SELECT {words} AS w FROM benchmark),
+features AS MATERIALIZED (
+  SELECT r, unnest(w) AS f FROM d
+  UNION ALL SELECT r, w[i] || ' ' || w[i + 1] FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM d)
+  UNION ALL SELECT NULL, unnest(w) FROM b
+  UNION ALL SELECT NULL, w[i] || ' ' || w[i + 1] FROM (SELECT w, unnest(range(1, len(w))) AS i FROM b)
+),
+hashed AS MATERIALIZED (SELECT f, {_sql_crc("f")} % {k} AS bucket FROM (SELECT DISTINCT f FROM features), crc),
+placed AS MATERIALIZED (SELECT r, bucket FROM features JOIN hashed USING (f)),
+counts AS (SELECT bucket, count(r) AS s, count(*) FILTER (WHERE r IS NULL) AS t FROM placed GROUP BY bucket),
+sums AS (SELECT count(r) AS s, count(*) FILTER (WHERE r IS NULL) AS t FROM placed),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(
+    CAST(c.t + 1 AS DOUBLE) * CAST(sums.s + {k} AS DOUBLE) / (CAST(c.s + 1 AS DOUBLE) * CAST(sums.t + {k} AS DOUBLE)))) AS BIGINT) AS gain
+  FROM counts c, sums
+),
+weights AS (SELECT r, count(*) AS n, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM placed JOIN gains USING (bucket) WHERE r IS NOT NULL GROUP BY r),
+scored AS (
+  SELECT d.r, doc_id, len(w) AS words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+      (CAST('0x' || substr(sha256('{importance.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights USING (r)
+),
+ranks AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS able FROM scored WHERE words >= {importance.MIN_WORDS})
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN place <= {importance.PERCENT} * able // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM scored LEFT JOIN ranks USING (r)
+"""
+
+
+ORACLES["op11_importance"] = _importance_sql()
+
+
+@_query
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five vectors with the largest inner products for every fiftieth vector."""
+    return impact_search.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_exact_top_k"] = f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor({impact_search.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+  SELECT a.r, a.vec_id AS query_id, b.vec_id,
+    CAST(coalesce(list_sum(list_transform(range(1, least(len(a.q), len(b.q)) + 1), lambda i: a.q[i] * b.q[i])), 0) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % {impact_search.EVERY} = 0
+),
+ranks AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM pairs)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranks WHERE rank <= {impact_search.K}
+"""
+
+
+@_query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, each rebuilt on the first turns of another."""
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(_table(spark, sf_dir, "conversations")))
+
+
+ORACLES["op13_prefix_trie"] = rf"""
+WITH {_SQL_CRC_TABLE},
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS p, digest, words
+  FROM (
+    SELECT conv_id, turn, sha256(strlen(role) || ':' || role || text) AS digest, len({_SQL_WORDS}) AS words
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+  )
+),
+convs AS (
+  SELECT conv_id, {_sql_crc("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM turns), crc
+),
+mixed AS (
+  SELECT c.conv_id, p, digest, words FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 20 AND p <= h
+  UNION ALL SELECT c.conv_id, p, digest, words FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND p > h
+),
+placed AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY p) AS depth, digest, words FROM mixed),
+prefixes AS (
+  SELECT conv_id, 0 AS depth, '' AS node, '' AS parent, 0 AS words FROM convs
+  UNION ALL
+  SELECT a.conv_id, a.depth, string_agg(b.digest, '' ORDER BY b.depth), coalesce(string_agg(b.digest, '' ORDER BY b.depth) FILTER (WHERE b.depth < a.depth), ''), any_value(a.words)
+  FROM placed a JOIN placed b ON a.conv_id = b.conv_id AND b.depth <= a.depth GROUP BY a.conv_id, a.depth
+),
+lengths AS (SELECT conv_id, max(depth) AS n FROM prefixes GROUP BY conv_id),
+nodes AS MATERIALIZED (
+  SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, any_value(words) AS words, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
+  FROM prefixes JOIN lengths USING (conv_id) GROUP BY node
+),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+below AS (
+  SELECT a.node, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved
+  FROM nodes a JOIN (SELECT * FROM nodes LEFT JOIN children USING (node)) b ON starts_with(b.node, a.node) GROUP BY a.node
+)
+SELECT a.conv_id, CAST(a.depth AS BIGINT) AS depth, CASE WHEN a.depth > 0 THEN p.conv_id END AS parent_conv_id, a.n_convs,
+  coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM nodes a JOIN nodes p ON p.node = a.parent LEFT JOIN children c ON c.node = a.node JOIN below s ON s.node = a.node
+"""
