@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark import schemas
-from tidemark.operators import merge
+from tidemark.operators import merge, rollups
 from tidemark.plans import hourly, periods
+from tidemark.plans.journal import Journal
 from tidemark.plans.lake import Lake
 from tidemark.streaming.daily import start_daily_summary
 from tidemark.streaming.ingest import start_silver_ingest
@@ -111,6 +112,71 @@ def test_weekly_run_with_gaps_and_fallback(spark, tmp_path):
     assert lake.read("gold_weekly").count() == 6
 
 
+def test_a_run_writes_the_state_once(spark, tmp_path, monkeypatch):
+    lake, written = Lake(spark, str(tmp_path)), []
+    lake.load("gold_daily", gold_daily(spark, span(D(2025, 12, 29), 10)))
+    plain = merge.replace_partitions
+    monkeypatch.setattr(merge, "replace_partitions", lambda df, path, *a: written.append(path) or plain(df, path, *a))
+    periods.run_rollup(lake, "gold_weekly", D(2026, 1, 14), dt.datetime(2026, 1, 14))
+    assert [path for path in written if path.endswith("processing_state")] == [lake.path("processing_state")]
+    assert states(lake, "gold_weekly") == {D(2025, 12, 29): ("success", 0), D(2026, 1, 5): ("pending", 1)}
+    assert not list((tmp_path / "state_events").glob("*/*.parquet"))
+
+
+def test_logged_events_of_a_stopped_run_count_once(spark, tmp_path, monkeypatch):
+    lake, level = Lake(spark, str(tmp_path)), "gold_weekly"
+    event = spark.createDataFrame([(level, D(2026, 1, 5), "pending", 7)], "processing_level string, partition_date date, status string, expected_count int")
+    journal = Journal(lake, level)
+    journal.record(dt.datetime(2026, 1, 12), event, event)
+    # Another run sees what was logged, with its time.
+    seen = Journal(lake, level).state().first()
+    assert (seen.status, seen.retry_count, seen.updated_at) == ("pending", 1, dt.datetime(2026, 1, 12))
+    with monkeypatch.context() as patch:
+        # Stopped after the fold, before the log is dropped.
+        patch.setattr("tidemark.plans.journal.remove_folder", lambda *_: None)
+        Journal(lake, level).compact(dt.datetime(2026, 1, 13), event)
+    assert states(lake, level) == {D(2026, 1, 5): ("pending", 2)}
+    assert Journal(lake, level).state().first().retry_count == 2
+    Journal(lake, level).compact(dt.datetime(2026, 1, 14), event.withColumn("status", F.lit("success")))
+    row = lake.read("processing_state").first()
+    assert (row.status, row.retry_count, row.created_at, row.updated_at) == ("success", 2, dt.datetime(2026, 1, 12), dt.datetime(2026, 1, 14))
+
+
+def test_late_days_are_added_without_reading_the_others(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "main"), fallback=str(tmp_path / "copy"))
+    full, short = D(2025, 12, 29), D(2026, 1, 5)
+    first = gold_daily(spark, span(full, 6) + span(short, 3))
+    lake.load("gold_daily", first)
+    lake.load("gold_daily", first, fallback=True)
+    as_of, now = D(2026, 1, 14), dt.datetime(2026, 1, 14)
+    periods.run_rollup(lake, "gold_weekly", as_of, now)
+    late = gold_daily(spark, [D(2026, 1, 4), D(2026, 1, 8), D(2026, 1, 13)], value=100.0).unionByName(first)
+    # The rows of the run are gone: nothing but the stored sums says what they were.
+    import shutil
+
+    shutil.rmtree(tmp_path / "main" / "gold_daily")
+    for _ in range(2):
+        periods.roll_late(lake, "gold_weekly", late, as_of, now)
+    weekly = {(r.place_name, r.week_start): (r.temp_min, r.temp_max, r.temp_avg) for r in lake.read("gold_weekly").collect()}
+    values, more = [float(i + 1) for i in range(6)], [float(i + 1) for i in range(6, 9)]
+    for place in "AB":
+        assert weekly[place, full] == (1.0, 100.0, round((sum(values) + 100) / 7, 2))
+        assert weekly[place, short] == (7.0, 101.0, round((sum(more) + 101) / 4, 2))
+    assert set(weekly) == {(p, w) for p in "AB" for w in (full, short)}
+    assert rows(lake.read("gold_weekly")) == rows(lake.read("gold_weekly", fallback=True))
+    assert states(lake, "gold_weekly")[short][0] == "success"
+    assert periods.roll_late(lake, "gold_weekly", late.limit(0), as_of, now).count() == 0
+
+
+def test_partial_sums_are_the_same_for_any_partitioning(spark):
+    data = gold_daily(spark, span(D(2026, 1, 1), 200), value=0.1).withColumn("temp_avg", F.col("temp_avg") / 7 + 1e9)
+    whole = rows(rollups.partials(data, "forecast_date_utc", "month"))
+    for n in (1, 3, 17):
+        assert rows(rollups.partials(data.repartition(n), "forecast_date_utc", "month")) == whole
+    halves = [rollups.partials(data.where(F.dayofmonth("forecast_date_utc") % 2 == k), "forecast_date_utc", "month") for k in (0, 1)]
+    assert rows(rollups.merge_partials(halves[0].union(halves[1]))) == whole
+
+
 def test_hopeless_week_is_abandoned(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     lake.load("gold_daily", gold_daily(spark, span(D(2025, 12, 29), 2)))

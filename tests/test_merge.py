@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tidemark import schemas
 from tidemark.operators import merge
+from tidemark.operators.layout import Month, folder_sources
 from tidemark.plans.lake import Lake, TABLES
+from tidemark.sources import slices
 
 D = dt.date
 
@@ -67,19 +69,41 @@ def test_loading_twice_inserts_nothing(spark, tmp_path):
     assert lake.read("gold_daily").where("temp_max = 9").count() == 1
 
 
-def test_load_reads_only_the_partitions_it_touches(spark, tmp_path):
-    lake = Lake(spark, str(tmp_path))
-    lake.load("gold_daily", daily(spark, *[("A", D(2026, 1, d)) for d in range(1, 11)]))
-    batch = daily(spark, ("A", D(2026, 1, 4)), ("B", D(2026, 1, 5)))
-    slice_ = merge.touched(lake.read("gold_daily"), batch, ("forecast_date_utc",))
-    assert len(slice_.inputFiles()) == 10
+def test_a_month_is_one_folder_of_sorted_files(spark, tmp_path):
+    lake, table = Lake(spark, str(tmp_path)), TABLES["gold_daily"]
+    lake.load("gold_daily", daily(spark, *[(p, D(2026, m, d)) for p in "BCA" for m in (1, 2) for d in range(28, 0, -1)]))
+    folders = sorted(f.name for f in (tmp_path / "gold_daily").iterdir() if f.is_dir())
+    assert folders == ["forecast_date_utc_month=2026-01-01", "forecast_date_utc_month=2026-02-01"]
+    for file in lake.read("gold_daily").inputFiles():
+        stored = [(r.forecast_date_utc, r.place_name) for r in spark.read.parquet(file).collect()]
+        assert stored == sorted(stored)
+    assert lake.read("gold_daily").columns == table.schema.names
+
+
+def test_load_reads_only_the_folders_and_rows_it_touches(spark, tmp_path):
+    lake, folders = Lake(spark, str(tmp_path)), TABLES["gold_daily"].partition_by
+    lake.load("gold_daily", daily(spark, *[("A", D(2026, m, d)) for m in range(1, 11) for d in (4, 9)]))
+    batch = daily(spark, ("A", D(2026, 4, 4)), ("B", D(2026, 5, 4)))
+    slice_ = merge.touched(lake.scan("gold_daily"), batch, folders, ("forecast_date_utc",))
     plan = slice_._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[.*forecast_date_utc#\d+ >= 2026-01-04", plan)
-    assert slice_.count() == 2
-    # Nothing of the days between two days of a batch.
-    apart = daily(spark, ("A", D(2026, 1, 2)), ("B", D(2026, 1, 9)))
-    slice_ = merge.touched(lake.read("gold_daily"), apart, ("forecast_date_utc",))
-    assert sorted(r.forecast_date_utc.day for r in slice_.collect()) == [2, 9]
+    assert re.search(r"PartitionFilters: \[.*forecast_date_utc_month#\d+ >= 2026-04-01", plan)
+    assert re.search(r"\(forecast_date_utc#\d+ >= 2026-04-04\)", plan)
+    assert slice_.count() == 3
+    # Nothing of the months between two months of a batch.
+    apart = daily(spark, ("A", D(2026, 2, 2)), ("B", D(2026, 9, 9)))
+    slice_ = merge.touched(lake.scan("gold_daily"), apart, folders)
+    assert sorted({r.forecast_date_utc.month for r in slice_.collect()}) == [2, 9]
+
+
+def test_increments_read_only_their_months(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.load("gold_daily", daily(spark, *[("A", D(2026, m, 15)) for m in range(1, 13)]))
+    rows_ = slices.daily_increment(lake.scan("gold_daily"), "forecast_date_utc", dt.datetime(2026, 3, 20), D(2026, 5, 31))
+    assert "PartitionFilters: [isnotnull(forecast_date_utc_month" in rows_._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.forecast_date_utc.month for r in rows_.collect()) == [4, 5]
+    # A date column other than the folders' one prunes no folder.
+    other = slices.date_range(lake.scan("gold_daily"), "ingest_date", D(2000, 1, 1), D(2000, 1, 2))
+    assert "PartitionFilters: []" in other._jdf.queryExecution().executedPlan().toString()
 
 
 def test_upsert_rewrites_the_pairs_of_the_batch_only(spark, tmp_path):
@@ -145,6 +169,10 @@ def test_write_once_skips_existing_partitions(spark, tmp_path):
     first = merge.write_once(daily(spark, ("A", D(2026, 1, 1))), path, schemas.GOLD_DAILY, keys)
     second = merge.write_once(daily(spark, ("B", D(2026, 1, 1)), ("B", D(2026, 1, 2))), path, schemas.GOLD_DAILY, keys)
     assert (first.inserted, second.inserted, second.skipped) == (1, 1, 1)
+    # Days are written once, also where a folder holds a month of them.
+    months = str(tmp_path / "months")
+    for batch, inserted in ((daily(spark, ("A", D(2026, 1, 1))), 1), (daily(spark, ("B", D(2026, 1, 1)), ("B", D(2026, 1, 2))), 1)):
+        assert merge.write_once(batch, months, schemas.GOLD_DAILY, keys, (Month("forecast_date_utc"),), keys).inserted == inserted
     stored = merge.read_table(spark, path, schemas.GOLD_DAILY)
     assert rows(stored.select("place_name", "forecast_date_utc")) == [("A", D(2026, 1, 1)), ("B", D(2026, 1, 2))]
     report = merge.write_report(stored, daily(spark, ("C", D(2026, 1, 2)), ("C", D(2026, 1, 3))), keys)
@@ -174,5 +202,5 @@ def test_watermark_moves_to_the_newest_row_only(spark, tmp_path):
 
 def test_partition_columns_are_part_of_every_key():
     for name, table in TABLES.items():
-        assert set(table.partition_by) <= set(table.keys), name
+        assert set(folder_sources(table.partition_by)) <= set(table.keys), name
         assert set(table.keys) | set(table.order_by) <= set(table.schema.names), name

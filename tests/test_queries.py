@@ -46,7 +46,8 @@ def test_entry(spark):
 EAGER = {
     "stream_silver", "stream_daily", "silver_load_rows", "stored_months", "stored_years", "stored_once",
     "stored_weeks", "stored_seasons", "stored_bronze", "hourly_run_silver", "hourly_run_forecasts", "hourly_run_daily",
-    "hourly_run_watermark", "rollup_run_weekly", "rollup_run_state",
+    "hourly_run_watermark", "rollup_run_weekly", "rollup_run_state", "rollup_run_monthly", "rollup_run_seasonal",
+    "rollup_run_yearly", "rollup_after_late_days",
 }
 
 

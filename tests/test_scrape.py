@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +114,33 @@ def test_nested_elements_are_read_in_linear_time(spark):
     seconds(100)
     half, whole = seconds(32_000), seconds(64_000)
     assert whole < max(3 * half, 2)
+
+
+def test_hidden_parts_go_and_unclosed_ones_stay(spark):
+    import re
+
+    from tidemark.functions.text import visible_html
+
+    plain = re.compile(r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>")
+    marks = ["<!--", "-->", "<script>", "<SCRIPT a='b'>", "</script>", "</Script \n>", "</scriptx", "<style>", "</style>", "<!", "->", "<scripty>", "a", "é\n", "<p>", "\U0001f600"]
+    rng = random.Random(7)
+    pages = ["".join(rng.choice(marks) for _ in range(rng.randrange(14))) for _ in range(3000)] + ["<!-->", "<!--->", "--><!-- x", "<script></script"]
+    found = spark.createDataFrame([(p,) for p in pages], "p string").select("p", visible_html(F.col("p")).alias("v")).collect()
+    assert [(r.p, r.v) for r in found] == [(p, plain.sub("", p)) for p in pages]
+    assert spark.sql("SELECT CAST(NULL AS STRING) AS p").select(visible_html(F.col("p"))).first()[0] is None
+
+
+def test_unclosed_marks_cost_no_more_than_their_length(spark):
+    import time
+
+    from tidemark.functions.text import visible_html
+
+    def seconds(page):
+        df = spark.createDataFrame([(page,)], "p string").select(F.length(visible_html(F.col("p"))).alias("n"))
+        started = time.perf_counter()
+        assert df.first().n == len(page)
+        return time.perf_counter() - started
+
+    seconds("warm <!--")
+    for mark in ("<!--", "<script ", "<style>"):
+        assert seconds(mark * (640_000 // len(mark))) < 8

@@ -696,6 +696,12 @@ SELECT 'gold_weekly' AS processing_level, w AS partition_date,
     CASE WHEN accepted THEN 'success' ELSE 'pending' END AS status, 7 AS expected_count
   FROM weeks LEFT JOIN week_gate ON period_start = w
   WHERE w < CAST(date_trunc('week', {AS_OF}) AS DATE)""",
+    "rollup_run_monthly": f"WITH {MONTHLY} SELECT *, TIMESTAMP '2024-02-01' AS generated_at FROM month_rollup",
+    "rollup_run_seasonal": f"WITH {SEASONAL} SELECT *, TIMESTAMP '2024-02-01' AS generated_at FROM season_rollup",
+    "rollup_run_yearly": f"""WITH {YEARLY}
+SELECT *, TIMESTAMP '2024-02-01' AS updated_at FROM year_rollup, (VALUES ('main'), ('copy')) AS c(copy)""",
+    "rollup_after_late_days": f"""WITH {WEEKLY},{_rollup('week', 'daily', 'forecast_date_utc')}
+SELECT *, TIMESTAMP '2024-02-01' AS generated_at FROM week_rollup""",
     "stored_seasons": f"""WITH {SEASONAL}
 SELECT * REPLACE (CASE WHEN (year + length(season_name)) % 2 = 0 THEN temp_max + 1 ELSE temp_max END AS temp_max),
     TIMESTAMP '2024-02-01' AS generated_at FROM season_rollup""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.catalog import views
@@ -635,7 +635,7 @@ def _forecast_lake(spark: SparkSession, sf_dir: str, label: str) -> Lake:
     """A lake whose silver rows have been made into forecasts, in two runs."""
     lake = Lake(spark, work_folder(spark, label))
     silver = conform(_silver(spark, sf_dir), schemas.SILVER)
-    merge.append(silver, lake.path("silver"), TABLES["silver"].partition_by)
+    merge.append(silver, lake.path("silver"), TABLES["silver"].partition_by, TABLES["silver"].keys)
     for target in (dt.datetime(2024, 1, 16, 12), dt.datetime(2025, 1, 1)):
         hourly.build_forecasts(lake, target, NOW)
     return lake
@@ -665,27 +665,71 @@ def hourly_run_watermark(spark, sf_dir):
     return lake.read("watermarks").where(F.col("last_processed_ts") == F.lit(last).cast("timestamp_ntz"))
 
 
-def _rolled_up(spark: SparkSession, sf_dir: str, label: str) -> tuple[Lake, DataFrame]:
-    """Daily rows of all years, stored, and rolled up to weeks by the run itself."""
-    lake = Lake(spark, work_folder(spark, label))
-    daily = conform(views.daily_gold(spark, sf_dir), schemas.GOLD_DAILY)
-    merge.append(daily, lake.path("gold_daily"), TABLES["gold_daily"].partition_by)
-    return lake, periods.run_rollup(lake, "gold_weekly", AS_OF, NOW)
+def _daily_lake(spark: SparkSession, sf_dir: str, label: str, keep: Column | None = None, copy: bool = False) -> Lake:
+    """Daily rows of all years, stored; with ``copy`` a second copy holds all of them and the first those to ``keep``."""
+    folder = work_folder(spark, label)
+    lake = Lake(spark, f"{folder}/main", fallback=f"{folder}/copy" if copy else None)
+    table, daily = TABLES["gold_daily"], conform(views.daily_gold(spark, sf_dir), schemas.GOLD_DAILY)
+    merge.append(daily if keep is None else daily.where(keep), lake.path("gold_daily"), table.partition_by, table.keys)
+    if copy:
+        merge.append(daily, lake.path("gold_daily", fallback=True), table.partition_by, table.keys)
+    return lake
+
+
+def _rolled_up(spark: SparkSession, sf_dir: str, label: str, *levels: str, copy: bool = False) -> Lake:
+    """A lake of daily rows after whole runs of some levels; with ``copy`` the first copy lacks every other day."""
+    lake = _daily_lake(spark, sf_dir, label, F.dayofmonth("forecast_date_utc") % 2 == 0 if copy else None, copy)
+    for level in levels:
+        periods.run_rollup(lake, level, AS_OF, NOW)
+    return lake
 
 
 @query
 def rollup_run_weekly(spark, sf_dir):
     """Stored weeks after a whole rollup run that starts at the oldest day."""
-    return _rolled_up(spark, sf_dir, "run-weekly")[0].read("gold_weekly")
+    return _rolled_up(spark, sf_dir, "run-weekly", "gold_weekly").read("gold_weekly")
 
 
 @query
 def rollup_run_state(spark, sf_dir):
     """State of each week after that run."""
-    state = _rolled_up(spark, sf_dir, "run-state")[0].read("processing_state")
+    state = _rolled_up(spark, sf_dir, "run-state", "gold_weekly").read("processing_state")
     return state.select("processing_level", "partition_date", "status", "expected_count")
 
 
+@query
+def rollup_run_monthly(spark, sf_dir):
+    """Stored months after a whole run."""
+    return _rolled_up(spark, sf_dir, "run-monthly", "gold_monthly").read("gold_monthly")
+
+
+@query
+def rollup_run_seasonal(spark, sf_dir):
+    """Stored seasons after whole runs of the months and the seasons."""
+    return _rolled_up(spark, sf_dir, "run-seasonal", "gold_monthly", "gold_seasonal").read("gold_seasonal")
+
+
+@query
+def rollup_run_yearly(spark, sf_dir):
+    """Stored years of both copies after whole runs; every other day comes from the fallback copy."""
+    lake = _rolled_up(spark, sf_dir, "run-yearly", "gold_monthly", "gold_yearly", copy=True)
+    main, copy = lake.read("gold_yearly"), lake.read("gold_yearly", fallback=True)
+    return main.withColumn("copy", F.lit("main")).union(copy.withColumn("copy", F.lit("copy")))
+
+
+@query
+def rollup_after_late_days(spark, sf_dir):
+    """Stored weeks when some days and some places' rows arrive after the run, in two parts that overlap."""
+    day = F.dayofmonth("forecast_date_utc")
+    late = (day % 7 == 3) | ((F.col("place_name") == "R-F") & (day % 5 == 0))
+    lake = _daily_lake(spark, sf_dir, "run-late", ~late)
+    periods.run_rollup(lake, "gold_weekly", AS_OF, NOW)
+    rows = stage(conform(views.daily_gold(spark, sf_dir), schemas.GOLD_DAILY).where(late), "late")
+    for part in (rows.where(day > 12), rows.where(day < 24)):
+        periods.roll_late(lake, "gold_weekly", part, AS_OF, NOW)
+    return lake.read("gold_weekly")
+
+
 @query
 def stored_seasons(spark, sf_dir):
     """Seasonal table after a first load and an update of its measures in some (year, season) pairs."""

@@ -42,11 +42,25 @@ def split_date(text: Column) -> Column:
     )
 
 
+# Opening and closing marks of what a reader does not see.
+_HIDDEN = (("<!--", "-->"), (r"<script\b", r"</script\s*>"), (r"<style\b", r"</style\s*>"))
+# Two code points that are no characters: no page holds them.
+_MUTE = "\ufdd0\ufdd1"
+
+
 def visible_html(html: Column) -> Column:
-    """The page without comments, scripts and styles."""
-    return F.regexp_replace(
-        html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", ""
-    )
+    """The page without comments, scripts and styles; what is opened and never closed stays.
+
+    Openings behind the last closing of their kind are muted first, so that the one pass that removes
+    the others never runs to the end of the page in vain: the cost is linear in the page.
+    """
+    page = html
+    for opening, closing in _HIDDEN:
+        closed = F.regexp_extract(page, rf"(?is)^(.*{closing})", 1)
+        rest = F.substr(page, F.char_length(closed) + 1)
+        page = F.concat(closed, F.regexp_replace(rest, rf"(?i)<(?={opening[1:]})", f"<{_MUTE}"))
+    seen = F.regexp_replace(page, "(?is)" + "|".join(f"{o}.*?{c}" for o, c in _HIDDEN), "")
+    return F.replace(seen, F.lit(_MUTE), F.lit(""))
 
 
 def _attribute(name: str, value: str) -> str:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidemark.operators.layout import conform
+from tidemark.operators.layout import Month, conform, derived_folders, folder_names, folder_sources, with_folders
 from tidemark.session import staged
 
 
@@ -139,8 +139,15 @@ class LoadResult:
         return self.rows_in - self.inserted
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet table, or an empty frame when nothing has been written yet."""
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str | Month] = ()
+) -> DataFrame:
+    """A Parquet table, or an empty frame when nothing has been written yet.
+
+    With ``partition_by`` the folder columns that follow from others are there too, for pruning.
+    """
+    derived = derived_folders(partition_by)
+    schema = T.StructType(schema.fields + [T.StructField(name, T.DateType()) for name in derived])
     try:
         return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as error:
@@ -149,23 +156,29 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-def touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """``target`` limited to the partitions that occur in ``batch``, null ones among them.
+def touched(
+    target: DataFrame, batch: DataFrame, partition_by: Sequence[str | Month], keys: Sequence[str] = ()
+) -> DataFrame:
+    """``target`` limited to the folders that occur in ``batch``, null ones among them.
 
-    The bounds of each column, two values for the driver, prune the scan. A semi join on whole
-    tuples of partition values then keeps out what lies between them, combinations the batch does
-    not have too; there is no limit to the number of partitions.
+    The bounds of each folder column, two values for the driver, prune the scan. A semi join on whole
+    tuples of folder values then keeps out what lies between them, combinations the batch does
+    not have too; there is no limit to the number of folders. Rows outside the bounds of ``keys``
+    are left out as well: files are sorted by them, so their statistics skip most of a folder.
     """
-    if not partition_by:
+    names = folder_names(partition_by)
+    if not names:
         return target
+    batch = with_folders(batch, partition_by)
+    bounded = [*names, *[key for key in keys if key not in names]]
     found = batch.agg(
-        *[f(name).alias(f"{kind}_{i}") for i, name in enumerate(partition_by) for kind, f in (("min", F.min), ("max", F.max))],
-        *[F.count_if(F.col(name).isNull()).alias(f"nulls_{i}") for i, name in enumerate(partition_by)],
+        *[f(name).alias(f"{kind}_{i}") for i, name in enumerate(bounded) for kind, f in (("min", F.min), ("max", F.max))],
+        *[F.count_if(F.col(name).isNull()).alias(f"nulls_{i}") for i, name in enumerate(bounded)],
     ).first()
-    for i, name in enumerate(partition_by):
+    for i, name in enumerate(bounded):
         within = F.col(name).between(F.lit(found[f"min_{i}"]), F.lit(found[f"max_{i}"]))
         target = target.where(within | F.col(name).isNull() if found[f"nulls_{i}"] else within)
-    return narrowed_rows(target, batch.select(*partition_by).distinct(), partition_by)
+    return narrowed_rows(target, batch.select(*names).distinct(), names)
 
 
 def narrowed_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -173,32 +186,46 @@ def narrowed_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
     return target.alias("t").join(batch.alias("b"), _same_key("t", "b", keys, keys), "left_semi")
 
 
-def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Gather each partition's rows for the write; adaptive execution splits the large ones."""
-    return df.hint("rebalance", *[F.col(name) for name in partition_by]) if partition_by else df
+def _writer(df: DataFrame, mode: str, partition_by: Sequence[str | Month], keys: Sequence[str]):
+    """A writer of ``df`` into folders, one shuffle that gathers each folder's rows.
 
+    Adaptive execution splits large folders over several tasks. Files of month folders are sorted by date and key, and
+    Parquet adds Bloom filters on the key's texts where they are too many for a dictionary, so a reader of
+    a few days or places skips most row groups.
+    """
+    names = folder_names(partition_by)
+    if not names:
+        return df.write.mode(mode)
+    rows = with_folders(df, partition_by).hint("rebalance", *[F.col(name) for name in names])
+    if not derived_folders(partition_by):
+        return rows.write.mode(mode).partitionBy(*names)
+    sources = folder_sources(partition_by)
+    order = [*names, *[name for name in sources if name not in names], *[key for key in keys if key not in sources]]
+    writer = rows.sortWithinPartitions(*order).write.mode(mode).option("parquet.bloom.filter.adaptive.enabled", "true")
+    for key in keys:
+        if isinstance(df.schema[key].dataType, T.StringType):
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+    return writer.partitionBy(*names)
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Plain append, no key."""
-    writer = _spread(df, partition_by).write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
+def append(df: DataFrame, path: str, partition_by: Sequence[str | Month] = (), keys: Sequence[str] = ()) -> None:
+    """Plain append; ``keys`` only order the rows of a file."""
+    _writer(df, "append", partition_by, keys).parquet(path)
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Overwrite only the partitions that occur in ``df``."""
-    (
-        _spread(df, partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str | Month], keys: Sequence[str] = ()
+) -> None:
+    """Overwrite only the folders that occur in ``df``."""
+    _writer(df, "overwrite", partition_by, keys).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def _counted_append(new: DataFrame, path: str, partition_by: Sequence[str]) -> int:
+def _counted_append(
+    new: DataFrame, path: str, partition_by: Sequence[str | Month], keys: Sequence[str] = ()
+) -> int:
     """Append and return the number of rows, counted while they are written."""
     seen = Observation()
-    append(new.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    append(new.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by, keys)
     return seen.get["rows"]
 
 
@@ -208,24 +235,24 @@ def insert_ignore_into(
     schema: T.StructType,
     keys: Sequence[str],
     order_by: Sequence[str | Column],
-    partition_by: Sequence[str] = (),
+    partition_by: Sequence[str | Month] = (),
     nullable: Sequence[str] = (),
     stored: bool = False,
 ) -> LoadResult:
     """Append the rows whose key is new to the table at ``path``.
 
-    ``partition_by`` must be part of the key: an equal key then lies in an equal partition. The
+    ``partition_by`` must follow from the key: an equal key then lies in an equal folder. The
     batch is written to the work folder for the time of the load, unless the caller has done so
     (``stored``); new rows are computed once, on their way into the table.
     """
-    if not set(partition_by) <= set(keys):
+    if not set(folder_sources(partition_by)) <= set(keys):
         raise ValueError("Partition columns must be part of the key")
     batch = conform(batch, schema)
     with nullcontext(batch) if stored else staged(batch, "batch") as batch:
-        target = touched(read_table(batch.sparkSession, path, schema), batch, partition_by)
+        target = touched(read_table(batch.sparkSession, path, schema, partition_by), batch, partition_by, keys)
         known = narrowed(target, batch, keys, nullable)
         new = insert_ignore(known, batch, keys, order_by, nullable)
-        return LoadResult(batch.count(), _counted_append(new, path, partition_by))
+        return LoadResult(batch.count(), _counted_append(new, path, partition_by, keys))
 
 
 def upsert_into(
@@ -235,25 +262,26 @@ def upsert_into(
     keys: Sequence[str],
     update_columns: Sequence[str],
     order_by: Sequence[str | Column],
-    partition_by: Sequence[str],
+    partition_by: Sequence[str | Month],
     stored: bool = False,
 ) -> LoadResult:
-    """Upsert ``batch`` into the table at ``path``, rewriting only the partitions it touches.
+    """Upsert ``batch`` into the table at ``path``, rewriting only the folders it touches.
 
     The new content is written to the work folder first, so the table is never read while it
     is replaced. Loads of one table must not run at the same time: the later one would put back
     what it had read.
     """
-    if not partition_by or not set(partition_by) <= set(keys):
+    if not partition_by or not set(folder_sources(partition_by)) <= set(keys):
         raise ValueError("Partition columns must be part of the key")
     batch = conform(batch, schema)
     with nullcontext(batch) if stored else staged(batch, "batch") as batch:
         rows_in = batch.count()
         if not rows_in:
             return LoadResult(0, 0)
-        target = touched(read_table(batch.sparkSession, path, schema), batch, partition_by)
+        target = touched(read_table(batch.sparkSession, path, schema, partition_by), batch, partition_by)
+        target = target.select(*schema.names)
         with staged(upsert(target, batch, keys, update_columns, order_by), "upsert") as merged:
-            replace_partitions(merged, path, partition_by)
+            replace_partitions(merged, path, partition_by, keys)
         return LoadResult(rows_in, rows_in)
 
 
@@ -262,12 +290,19 @@ def new_partitions(target: DataFrame, batch: DataFrame, partition_by: Sequence[s
     return not_in(batch, target.select(*partition_by).distinct(), partition_by, partition_by)
 
 
-def write_once(batch: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str]) -> LoadResult:
-    """Write partitions that do not exist yet; rows of existing partitions are skipped."""
+def write_once(
+    batch: DataFrame, path: str, schema: T.StructType, units: Sequence[str],
+    partition_by: Sequence[str | Month] | None = None, keys: Sequence[str] = (),
+) -> LoadResult:
+    """Write units (tuples of values) that the table does not have; rows of units it has are skipped.
+
+    Units may be smaller than the table's folders, which follow from them (none given: they are the folders).
+    """
+    folders = units if partition_by is None else partition_by
     with staged(conform(batch, schema), "batch") as batch:
-        target = touched(read_table(batch.sparkSession, path, schema), batch, partition_by)
-        new = new_partitions(target, batch, partition_by)
-        return LoadResult(batch.count(), _counted_append(new, path, partition_by))
+        target = touched(read_table(batch.sparkSession, path, schema, folders), batch, folders, units)
+        new = new_partitions(target, batch, units)
+        return LoadResult(batch.count(), _counted_append(new, path, folders, keys))
 
 
 def write_report(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import clock
 from tidemark.functions.numbers import round2
-from tidemark.schemas import MEASURES, METRICS
+from tidemark.schemas import METRICS, PARTIAL
 
 # Raw columns a metric's minimum, maximum and mean come from, where they differ from its name.
 RAW_COLUMNS = {
@@ -127,6 +127,10 @@ def _part_number(level: str, part: Column) -> Column:
     return F.month(part)
 
 
+def _part_bit(level: str, part: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), _part_number(level, part))
+
+
 def gate(
     parts: DataFrame,
     part: str,
@@ -147,12 +151,25 @@ def gate(
     seen = (
         parts.where(F.col(part).isNotNull())
         .groupBy(start.alias("period_start"))
-        .agg(
-            F.bit_count(
-                F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), _part_number(level, F.col(part))))
-            ).cast("int").alias("actual_count")
-        )
+        .agg(F.bit_or(_part_bit(level, F.col(part))).alias("parts"))
     )
+    return _judged(seen, level, as_of, month_ratio, min_months)
+
+
+def gate_partials(
+    partials: DataFrame,
+    level: str,
+    as_of: dt.date,
+    month_ratio: float = MONTH_MISSING_RATIO,
+    min_months: int = SEASON_MONTHS,
+) -> DataFrame:
+    """``gate`` on the source partitions that partial sums have seen."""
+    seen = partials.groupBy("period_start").agg(F.bit_or("parts").alias("parts"))
+    return _judged(seen, level, as_of, month_ratio, min_months)
+
+
+def _judged(seen: DataFrame, level: str, as_of: dt.date, month_ratio: float, min_months: int) -> DataFrame:
+    seen = seen.select("period_start", F.bit_count("parts").cast("int").alias("actual_count"))
     period = F.col("period_start")
     if level == "year":
         seen = seen.where(F.year(period) <= as_of.year)
@@ -195,17 +212,63 @@ def _describe(level: str) -> list[Column]:
     return [F.year(start).alias("year"), start.alias("year_start"), F.lit("yearly").alias("period_type")]
 
 
-def rollup(source: DataFrame, part: str, level: str, verdicts: DataFrame) -> DataFrame:
-    """Rows of the accepted periods, per period and place: max of maxima, min of minima, mean of means.
+def partials(source: DataFrame, part: str, level: str) -> DataFrame:
+    """Per place and period: minima, maxima, exact sums and counts of the means, and a bit per source partition.
 
-    ``source`` holds daily rows for weeks and months, monthly rows for seasons and years.
+    Values are summed as decimals with nine places, so sums do not depend on the order of the rows. Partial
+    sums of different rows are merged by ``merge_partials``.
     """
     start = clock.grain_start(F.col(part), level)
-    rows = (
-        source.where(F.col("place_name").isNotNull())
-        .groupBy("place_name", start.alias("period_start"))
-        .agg(*measures(from_raw=False, rounded=True))
+    sums = []
+    for metric in METRICS:
+        mean = F.col(f"{metric}_avg")
+        sums += [
+            F.min(f"{metric}_min").alias(f"{metric}_min"), F.max(f"{metric}_max").alias(f"{metric}_max"),
+            F.sum(mean.cast("decimal(28,9)")).cast("decimal(38,9)").alias(f"{metric}_sum"),
+            F.count(mean).alias(f"{metric}_n"),
+        ]
+    rows = source.where(F.col("place_name").isNotNull() & F.col(part).isNotNull())
+    return rows.groupBy("place_name", start.alias("period_start")).agg(
+        F.bit_or(_part_bit(level, F.col(part))).alias("parts"), *sums
     )
+
+
+def merge_partials(rows: DataFrame) -> DataFrame:
+    """One partial sum per place and period from those of disjoint sets of rows."""
+    functions = {"min": F.min, "max": F.max, "sum": F.sum, "n": F.sum}
+    kinds = {f.name: f.dataType for f in PARTIAL.fields}
+    merged = [
+        function(f"{metric}_{name}").cast(kinds[f"{metric}_{name}"]).alias(f"{metric}_{name}")
+        for metric in METRICS
+        for name, function in functions.items()
+    ]
+    return rows.groupBy("place_name", "period_start").agg(F.bit_or("parts").alias("parts"), *merged)
+
+
+def not_summed(rows: DataFrame, stored: DataFrame, part: str, level: str) -> DataFrame:
+    """Rows whose place and source partition ``stored`` partial sums do not hold yet."""
+    start = clock.grain_start(F.col(part), level)
+    known = stored.select(F.col("place_name").alias("_place"), F.col("period_start").alias("_start"), "parts")
+    bit = F.call_function("shiftright", F.col("parts"), _part_number(level, F.col(part))).bitwiseAND(1)
+    had = (F.col("place_name") == F.col("_place")) & (start == F.col("_start")) & (bit == 1)
+    return rows.join(known, had, "left_anti")
+
+
+def finish(sums: DataFrame, level: str, verdicts: DataFrame) -> DataFrame:
+    """Rows of the accepted periods from their partial sums."""
     passed = verdicts.where("accepted").select("period_start")
-    kept = rows.join(passed, "period_start", "left_semi")
-    return kept.select("place_name", *_describe(level), *MEASURES)
+    kept = sums.join(passed, "period_start", "left_semi")
+    values = []
+    for metric in METRICS:
+        mean = F.col(f"{metric}_sum").cast("double") / F.nullif(F.col(f"{metric}_n"), F.lit(0))
+        for stat, value in (("min", F.col(f"{metric}_min")), ("max", F.col(f"{metric}_max")), ("avg", mean)):
+            values.append(round2(value).alias(f"{metric}_{stat}"))
+    return kept.select("place_name", *_describe(level), *values)
+
+
+def rollup(source: DataFrame, part: str, level: str, verdicts: DataFrame) -> DataFrame:
+    """Rows of the accepted periods, per period and place: max of maxima, min of minima, mean of means.
+
+    ``source`` holds daily rows for weeks and months, monthly rows for seasons and years.
+    """
+    return finish(partials(source, part, level), level, verdicts)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import clock
 from tidemark.functions.numbers import completeness
-from tidemark.schemas import STATE, STATE_EVENT
+from tidemark.schemas import STATE, STATE_LOG
 
 STATE_KEY = ("processing_level", "partition_date")
 
@@ -62,7 +62,7 @@ def _event_rows(events: DataFrame) -> DataFrame:
         *[
             (F.col(f.name) if f.name in present else F.lit(0 if f.name == "seq" else None))
             .cast(f.dataType).alias(f.name)
-            for f in STATE_EVENT.fields
+            for f in STATE_LOG.fields
         ]
     )
 
@@ -72,7 +72,8 @@ def apply_state(state: DataFrame, events: DataFrame, now: Column) -> DataFrame:
 
     The last event sets status, counts and errors; an absent period name keeps the old one;
     every ``pending`` event on an existing row adds a retry; an ``abandoned`` row never changes
-    again, so events after the first ``abandoned`` one of a batch do not count.
+    again, so events after the first ``abandoned`` one of a batch do not count. Times are those the
+    events were recorded at, or ``now``.
     """
     events = _event_rows(events)
     key = list(STATE_KEY)
@@ -80,10 +81,11 @@ def apply_state(state: DataFrame, events: DataFrame, now: Column) -> DataFrame:
     cut = events.where(abandoned).groupBy(*key).agg(F.min("seq").alias("_cut"))
     live = events.join(cut, key, "left").where(F.col("_cut").isNull() | (F.col("seq") <= F.col("_cut")))
     order = F.col("seq")
-    fields = F.struct("status", "expected_count", "actual_count", "error_type", "error_message")
+    fields = F.struct("status", "expected_count", "actual_count", "error_type", "error_message", "recorded_at")
     folded = live.groupBy(*key).agg(
         F.max_by(fields, order).alias("_last"),
         F.max_by("period_name", F.when(F.col("period_name").isNotNull(), order)).alias("_name"),
+        F.min_by("recorded_at", order).alias("_made"),
         F.count_if(F.col("status") == "pending").cast("int").alias("_pending"),
         (F.min_by("status", order) == "pending").cast("int").alias("_first_pending"),
     )
@@ -107,14 +109,23 @@ def apply_state(state: DataFrame, events: DataFrame, now: Column) -> DataFrame:
         "retry_count": F.when(~is_old, F.col("_pending") - F.col("_first_pending"))
         .when(changed, F.col("retry_count") + F.col("_pending"))
         .otherwise(F.col("retry_count")),
-        "created_at": F.when(is_old, F.col("created_at")).otherwise(now),
-        "updated_at": pick(now, "updated_at"),
+        "created_at": F.when(is_old, F.col("created_at")).otherwise(F.coalesce("_made", now)),
+        "updated_at": pick(F.coalesce("_last.recorded_at", now), "updated_at"),
     }
     for name in ("status", "expected_count", "actual_count", "error_type", "error_message"):
         values[name] = pick(F.col(f"_last.{name}"), name)
     return joined.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in STATE.fields])
 
 
+def in_order(*steps: DataFrame, first: int = 0) -> DataFrame:
+    """Events of consecutive steps as one frame, numbered by step from ``first`` on."""
+    numbered = [_event_rows(step).withColumn("seq", F.lit(first + n).cast("bigint")) for n, step in enumerate(steps)]
+    result = numbered[0]
+    for step in numbered[1:]:
+        result = result.unionByName(step)
+    return result
+
+
 def evidence(calendar: DataFrame, files: DataFrame | None = None, table: DataFrame | None = None) -> DataFrame:
     """Calendar partitions with ``status``: success in either source, partial is kept apart in ``found_in``.
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import schemas
 from tidemark.operators import merge
+from tidemark.operators.layout import Month, conform
 from tidemark.session import staged
 from tidemark.sources.slices import fallback_union
 
@@ -19,7 +20,7 @@ from tidemark.sources.slices import fallback_union
 class Table:
     schema: T.StructType
     keys: tuple[str, ...]
-    partition_by: tuple[str, ...]
+    partition_by: tuple[str | Month, ...]
     order_by: tuple[str, ...]
     update_columns: tuple[str, ...] = ()
     nullable: tuple[str, ...] = ()
@@ -29,32 +30,32 @@ TABLES: dict[str, Table] = {
     "bronze": Table(
         schemas.BRONZE,
         ("source", "place_name", "ingest_date", "ingest_hour"),
-        ("ingest_date", "ingest_hour"),
+        (Month("ingest_date"),),
         ("payload",),
     ),
     "silver": Table(
-        schemas.SILVER, schemas.SILVER_KEY, ("ingest_date", "ingest_hour"), ("original_ts", "temp_max"),
+        schemas.SILVER, schemas.SILVER_KEY, (Month("ingest_date"),), ("original_ts", "temp_max"),
         nullable=("forecast_hour_utc",),
     ),
     # One run may cover several snapshots, so the snapshot belongs to the key.
     "gold_daily_forecast": Table(
         schemas.GOLD_FORECAST,
         ("place_name", "forecast_date_utc", "snapshot_ts"),
-        ("forecast_date_utc",),
+        (Month("forecast_date_utc"),),
         ("generated_at",),
     ),
     "gold_five_day_forecast": Table(
         schemas.GOLD_FORECAST,
         ("place_name", "forecast_date_utc", "ingest_date", "ingest_hour"),
-        ("ingest_date",),
+        (Month("ingest_date"),),
         ("generated_at",),
     ),
     "gold_daily": Table(
-        schemas.GOLD_DAILY, ("place_name", "forecast_date_utc"), ("forecast_date_utc",), ("generated_at",),
+        schemas.GOLD_DAILY, ("place_name", "forecast_date_utc"), (Month("forecast_date_utc"),), ("generated_at",),
     ),
     # Keyed on the Monday: two weeks of a calendar year can carry the same ISO number.
     "gold_weekly": Table(
-        schemas.GOLD_WEEKLY, ("place_name", "week_start"), ("week_start",), ("generated_at",),
+        schemas.GOLD_WEEKLY, ("place_name", "week_start"), (Month("week_start", "year"),), ("generated_at",),
     ),
     "gold_monthly": Table(
         schemas.GOLD_MONTHLY,
@@ -79,6 +80,11 @@ TABLES: dict[str, Table] = {
     "processing_state": Table(
         schemas.STATE, ("processing_level", "partition_date"), ("processing_level",), ("updated_at",),
     ),
+    # One row per place and period, from which late rows are added up without reading the others again.
+    "gold_partials": Table(
+        schemas.PARTIAL, ("level", "period_start", "place_name"), ("level", Month("period_start", "year")), ("parts",),
+        tuple(name for name in schemas.PARTIAL.names if name not in ("level", "period_start", "place_name")),
+    ),
     "watermarks": Table(
         schemas.WATERMARK,
         ("job_name",),
@@ -104,17 +110,39 @@ class Lake:
     def read(self, name: str, fallback: bool = False) -> DataFrame:
         return merge.read_table(self.spark, self.path(name, fallback), TABLES[name].schema)
 
+    def scan(self, name: str, fallback: bool = False) -> DataFrame:
+        """The table with its folder columns, by which the slices prune whole months."""
+        table = TABLES[name]
+        return merge.read_table(self.spark, self.path(name, fallback), table.schema, table.partition_by)
+
     def read_complete(
         self, name: str, column: str | Sequence[str], keep: Callable[[DataFrame], DataFrame] = lambda df: df
     ) -> DataFrame:
-        """Rows ``keep`` selects, completed with partitions that only the fallback copy has."""
-        primary = keep(self.read(name))
+        """Rows ``keep`` selects, completed with partitions that only the fallback copy has.
+
+        Partitions are values of ``column``, and ``keep`` decides by them alone. What the table itself
+        covers is read from these columns and the files ``keep`` leaves.
+        """
+        names = TABLES[name].schema.names
+        primary = keep(self.scan(name)).select(*names)
         if self.fallback is None:
             return primary
         columns = [column] if isinstance(column, str) else list(column)
-        # The table's own partition values tell what it covers; no data column is read for that.
-        covered = self.read(name).select(*columns).distinct()
-        return fallback_union(primary, keep(self.read(name, fallback=True)), column, covered)
+        covered = primary.select(*columns).distinct()
+        return fallback_union(primary, keep(self.scan(name, fallback=True)).select(*names), column, covered)
+
+    def revise(self, name: str, batch: DataFrame, columns: Sequence[str]) -> merge.LoadResult:
+        """Upsert ``columns`` in all copies, also where a load as such ignores known keys."""
+        table = TABLES[name]
+        with staged(conform(batch, table.schema), name) as batch:
+            results = [
+                merge.upsert_into(
+                    batch, self.path(name, fallback), table.schema, table.keys, columns, table.order_by,
+                    table.partition_by, stored=True,
+                )
+                for fallback in ([False] if self.fallback is None else [False, True])
+            ]
+        return results[0]
 
     def load(
         self, name: str, batch: DataFrame, fallback: bool = False, stored: bool = False
@@ -138,11 +166,6 @@ class Lake:
             self.load(name, batch, fallback=True, stored=True)
         return result
 
-    def replace(self, name: str, content: DataFrame) -> None:
-        """Replace the partitions of ``content``; it may be computed from the table itself."""
-        with staged(content, name) as content:
-            merge.replace_partitions(content, self.path(name), TABLES[name].partition_by)
-
     def load_both(self, name: str, batch: DataFrame) -> tuple[str | None, str | None]:
         """Load into the table and its fallback copy; for each of them null, or why it failed.
 

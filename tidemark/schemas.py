@@ -95,6 +95,22 @@ STATE_EVENT = _fields(
     expected_count=INT, actual_count=INT, error_type=STRING, error_message=STRING,
 )
 
+# Events as they are logged: numbers rise from run to run, so they also say what has been folded.
+STATE_LOG = T.StructType(STATE_EVENT.fields + [T.StructField("recorded_at", TIMESTAMP)])
+
+# State rows as they are stored, with the number of the last event folded into the level.
+STATE_STORED = T.StructType(STATE.fields + [T.StructField("last_event", BIGINT)])
+
+# What the source rows of a place and period add up to; ``parts`` has a bit per source partition.
+PARTIAL = _fields(
+    level=STRING, place_name=STRING, period_start=DATE, parts=BIGINT,
+    **{
+        f"{metric}_{part}": kind
+        for metric in METRICS
+        for part, kind in (("min", DOUBLE), ("max", DOUBLE), ("sum", T.DecimalType(38, 9)), ("n", BIGINT))
+    },
+)
+
 WATERMARK = _fields(
     job_name=STRING, last_processed_ts=TIMESTAMP, updated_at=TIMESTAMP,
 )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidemark.functions import clock
 from tidemark.operators.merge import read_table
 from tidemark.schemas import BRONZE
+from tidemark.sources.slices import hour_slice
 
 # Fixed value: {date}_{source}_{place}/{hour}.json
 _FILE = r"(\d{4}-\d{2}-\d{2})_(.+)_([^_/]+)/(\d{2})\.json$"
@@ -85,8 +86,8 @@ def read_bronze_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bronze_hour(bronze: DataFrame, date: dt.date, hour: int) -> DataFrame:
-    """Bronze rows of one hour; both conditions prune partitions."""
-    return bronze.where((F.col("ingest_date") == F.lit(date)) & (F.col("ingest_hour") == hour))
+    """Bronze rows of one hour."""
+    return hour_slice(bronze, date, hour)
 
 
 def provider_grid(locations: DataFrame, providers: Sequence[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Scans of partitioned tables: ranges, increments, fallbacks and gaps.
 
 Every function adds plain predicates or equi-joins, so partition pruning and Parquet filters apply.
+Tables with a folder per month (``Lake.scan``) are pruned by whole folders as well.
 """
 
 from __future__ import annotations
@@ -11,26 +12,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import clock
+from tidemark.operators.layout import within_months
 
 
 def hour_slice(table: DataFrame, date: dt.date, hour: int) -> DataFrame:
     """Rows of one hourly snapshot."""
+    table = within_months(table, "ingest_date", date, date)
     return table.where((F.col("ingest_date") == F.lit(date)) & (F.col("ingest_hour") == hour))
 
 
 def since_hour(table: DataFrame, date: dt.date, hour: int) -> DataFrame:
     """Rows of a date from an hour on, newest first."""
+    table = within_months(table, "ingest_date", date, date)
     rows = table.where((F.col("ingest_date") == F.lit(date)) & (F.col("ingest_hour") >= hour))
     return rows.orderBy(F.desc("ingest_date"), F.desc("ingest_hour"))
 
 
 def day_slice(table: DataFrame, column: str, day: dt.date) -> DataFrame:
-    return table.where(F.col(column) == F.lit(day))
+    return within_months(table, column, day, day).where(F.col(column) == F.lit(day))
 
 
 def date_range(table: DataFrame, column: str, first: dt.date, last: dt.date) -> DataFrame:
     """Rows with ``column`` in [first, last]."""
-    return table.where(F.col(column).between(F.lit(first), F.lit(last)))
+    return within_months(table, column, first, last).where(F.col(column).between(F.lit(first), F.lit(last)))
 
 
 def month_slice(monthly: DataFrame, year: int, month: int) -> DataFrame:
@@ -57,8 +61,10 @@ def hourly_increment(
     elif start is not None:
         first = start
     else:
+        table = within_months(table, "ingest_date", None, final.date())
         return table.where((date <= F.lit(final.date())) & (snapshot <= F.lit(final).cast("timestamp_ntz")))
-    # The date range prunes partitions; the hour range is exact.
+    table = within_months(table, "ingest_date", first.date(), final.date())
+    # The date range prunes row groups; the hour range is exact.
     return table.where(
         date.between(F.lit(first.date()), F.lit(final.date()))
         & snapshot.between(F.lit(first).cast("timestamp_ntz"), F.lit(final).cast("timestamp_ntz"))
@@ -75,7 +81,7 @@ def daily_increment(
     if last is not None:
         start = last.date() + dt.timedelta(days=1)
     if start is None:
-        return table.where(F.col(column) <= F.lit(target))
+        return within_months(table, column, None, target).where(F.col(column) <= F.lit(target))
     return date_range(table, column, start, target)
 
 
