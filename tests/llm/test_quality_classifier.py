@@ -79,3 +79,21 @@ def test_odd_rows_and_clashing_columns(spark):
     found = qc.score(frame, model)
     assert found.count() == len(data) and all(0 <= r.score <= 1 for r in found.collect())
     assert qc.score(frame.limit(0), model).collect() == []
+
+
+def test_a_rare_class_is_learnt_from(spark):
+    rng = random.Random(3)
+    data = [(i, " ".join(rng.choice([f"bad{k}" for k in range(80)]) for _ in range(12)), 0) for i in range(5000)]
+    data[777] = (777, "good1 good2 good3 good4 good5", 1)
+    model = qc.fit(spark.createDataFrame(data, "doc_id long, text string, quality int"), sample=500)
+    scored = qc.score(spark.createDataFrame([(0, "good1 good2 good3"), (1, "bad1 bad2 bad3")], "doc_id long, text string"), model)
+    good, bad = [s for _, s in rows(scored)]
+    assert good > 10 * bad and bad < 0.05
+
+
+def test_samples_of_a_small_share_have_both_classes(spark):
+    data = [(i, f"{'good' if i % 2 else 'bad'}{i % 40} x{i % 7}", i % 2) for i in range(20000)]
+    model = qc.fit(spark.createDataFrame(data, "doc_id long, text string, quality int"), sample=40)
+    found = qc.score(spark.createDataFrame([(0, "bad2 bad4"), (1, "good1 good3")], "doc_id long, text string"), model)
+    bad, good = [s for _, s in rows(found)]
+    assert good > 0.5 > bad

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from conftest import rows
-from tidemark.llm import suffix_dedup as sd
+from tidemark.llm import common, suffix_dedup as sd
 
 
 def plain(docs):
@@ -85,6 +85,7 @@ def corpus():
 def test_removed_bytes_equal_brute_force(spark, monkeypatch, block, part, shard):
     for name, value in (("BLOCK", block), ("PART", part), ("CHUNK", 3 * shard), ("SHARD", shard)):
         monkeypatch.setattr(sd, name, value)
+    monkeypatch.setattr(common, "MAX_BUCKETS", 8)
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS block", "2 AS spans").repartition(4)
     removed = sd.repeats_removed(df)

@@ -18,6 +18,8 @@ WHITE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
 #: Documents in a batch that goes to Python.
 ROWS = 512
+#: Buckets of a bucketed table at most; Spark refuses more than 100,000.
+MAX_BUCKETS = 10_000
 
 
 def document_texts(docs: DataFrame, *more: str) -> DataFrame:
@@ -56,12 +58,13 @@ def crc_remainder(column: str, modulus: int) -> Column:
 def bucketed(rows: DataFrame, column: str, buckets: int, label: str) -> Iterator[DataFrame]:
     """``rows`` as a table bucketed by ``column`` in the shared folder, for the time of a block.
 
-    Joins by that column then read the rows where they are.
+    Joins by that column then read the rows where they are. Beyond ``MAX_BUCKETS`` several values share
+    a bucket; they stay groups of their own.
     """
     spark, name = rows.sparkSession, f"{label}_{uuid.uuid4().hex}"
     folder = work_folder(spark, label)
     try:
-        rows.write.bucketBy(buckets, column).option("path", folder).saveAsTable(name)
+        rows.write.bucketBy(min(buckets, MAX_BUCKETS), column).option("path", folder).saveAsTable(name)
         yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

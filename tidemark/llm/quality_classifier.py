@@ -102,14 +102,18 @@ def dual_coordinate_descent(
     return weights
 
 
-def _logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and level of the probability of label 1, by Newton steps with a small ridge."""
+def _logistic(margins: np.ndarray, labels: np.ndarray, stands_for: np.ndarray) -> tuple[float, float]:
+    """Slope and level of the probability of label 1, by Newton steps with a small ridge.
+
+    ``stands_for`` is the share of all rows that each row was picked for, one on average.
+    """
     x = np.column_stack([margins, np.ones(len(margins))])
     y = (labels > 0).astype(float)
     beta = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2), x.T @ (y - p) - 1e-3 * beta)
+        bend = (stands_for * p * (1 - p))[:, None]
+        step = np.linalg.solve(x.T @ (x * bend) + 1e-3 * np.eye(2), x.T @ (stands_for * (y - p)) - 1e-3 * beta)
         beta += step
         if np.abs(step).max() < 1e-9:
             break
@@ -140,7 +144,8 @@ def fit(labelled: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> Mo
     """A model of ``quality`` from ``text``; rows without a label of 0 or 1 are left out.
 
     Ratios come from all rows. The linear model is fitted on about ``sample`` of them, picked by a
-    hash of the doc_id, with all their features; the driver sees no others. With rows of one
+    hash of the doc_id, with all their features; the driver sees no others. A rare class is picked more often, so
+    that it has a tenth of them or all its rows, and its rows count less for the curve. With rows of one
     class or none every text gets the same score, the class's share.
     """
     labelled = small_batches(labelled).select(
@@ -157,8 +162,14 @@ def fit(labelled: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> Mo
             lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(features.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([lists, batch.column("quality")], ["features", "quality"])
 
-    share = min(1.0, sample / max(1, labelled.count()))
-    chosen = labelled.where(F.abs(F.col("_order") % 1_000_000) < int(share * 1_000_000) + (share == 1.0))
+    counts = dict(labelled.groupBy("quality").count().collect())
+    wanted = {q: max(sample * n / sum(counts.values()), min(n, sample / 10)) for q, n in counts.items()}
+    picked = F.lit(False)
+    for q, n in counts.items():
+        # The hash is any 64-bit number, so the smallest share of rows still has its threshold.
+        below = -(1 << 63) + int((1 << 64) * (wanted[q] / n))
+        picked |= (F.col("quality") == q) & (F.lit(wanted[q] >= n) | (F.col("_order") < min(below, (1 << 63) - 1)))
+    chosen = labelled.where(picked)
     table = chosen.select("text", "quality").mapInArrow(sparse, "features array<int>, quality int").toArrow()
     lists = table.column("features").combine_chunks()
     labels = np.where(table.column("quality").to_numpy() > 0, 1.0, -1.0)
@@ -182,7 +193,9 @@ def fit(labelled: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE) -> Mo
         w = ratio * ((1 - INTERPOLATION) * level + INTERPOLATION * other)
         for i in np.flatnonzero(parts == part):
             margins[i] = w[features[i]].sum() / np.sqrt(max(1, len(features[i])))
-    slope, level = _logistic(margins, labels)
+    every = sum(counts.values()) / len(labels)
+    stands_for = {sign: counts[int(sign > 0)] / every / np.count_nonzero(labels == sign) for sign in (-1.0, 1.0)}
+    slope, level = _logistic(margins, labels, np.where(labels > 0, stands_for[1.0], stands_for[-1.0]))
     return Model(weights, slope, level)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import crc_remainder
@@ -13,8 +14,13 @@ from tidemark.llm import (
     simhash, suffix_dedup, url_filter,
 )
 
-#: Folder of the public tokenizers' files, the same on every machine.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
+
+def tokenizer_path(name: str) -> str:
+    """File of a public tokenizer, in the folder TOKENIZER_DIR names or in the installed package."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    return f"{folder}/{name}" if folder else str(public_tokenizers.path(name))
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -188,7 +194,7 @@ ORACLES["op8_secret_scan"] = _secret_sql()
 @_query
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document, and digests of its ids and of the text decoded from them."""
-    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    path = tokenizer_path("byte_bpe_50k.json")
     return bpe.token_digest(bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path))
 
 
