@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, mixing, quality_rules, secret_scan, simhash
-from tidemark.llm.queries import TOKENIZERS
+from tidemark.llm.queries import tokenizer_path
 from tidemark.session import stage
 
 
@@ -44,7 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the text decoded from them."""
-    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    path = tokenizer_path("byte_bpe_50k.json")
     return bpe.token_digest(bpe.decode(bpe.encode(docs, path), path), "ids")
 
 
