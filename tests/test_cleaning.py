@@ -96,3 +96,23 @@ def test_conform_and_blank_nat(spark):
 def test_profile(spark):
     got = {r["summary"]: r["v"] for r in cleaning.profile(spark.createDataFrame([(1.0,), (3.0,)], "v double")).collect()}
     assert (got["count"], got["mean"], got["max"]) == ("2", "2.0", "3.0")
+
+
+def test_profiles_of_days_merge_to_any_range(spark):
+    from tidemark.operators import profile
+
+    rows_ = spark.range(20000).selectExpr("id % 10 AS day", "CASE WHEN id % 13 = 0 THEN NULL WHEN id % 17 = 0 THEN double('NaN') ELSE cast(id % 997 AS double) END AS v", "'x' AS n")
+    sketches = profile.day_sketches(rows_, "day", ["v"])
+    assert sketches.count() == 10
+    for days in (10, 3):
+        exact = rows_.where(f"day < {days}").selectExpr("nullif(v, double('NaN')) AS v")
+        found = profile.merged_profile(sketches.where(f"day < {days}")).first()
+        n, least, most, distinct = exact.selectExpr("count(v)", "min(v)", "max(v)", "count(DISTINCT v)").first()
+        assert (found.days, found["rows"], found.minimum, found.maximum) == (days, 2000 * days, least, most)
+        assert found.nulls == 2000 * days - n
+        assert abs(found.distinct_values - distinct) <= profile.DISTINCT_ERROR * distinct
+        for q in (25, 50, 75):
+            at = exact.where(f"v <= {found[f'p{q}']}").count() / n
+            assert abs(at - q / 100) <= profile.RANK_ERROR
+    none = profile.merged_profile(profile.day_sketches(rows_.selectExpr("day", "CAST(NULL AS double) AS v"), "day", ["v"])).first()
+    assert none.p50 is None and none.nulls == 20000 and none.distinct_values == 0

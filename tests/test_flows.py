@@ -11,9 +11,11 @@ from tidemark import schemas
 from tidemark.operators import merge, rollups
 from tidemark.plans import hourly, periods
 from tidemark.plans.journal import Journal
-from tidemark.plans.lake import Lake
+from tidemark.plans.lake import Lake, TABLES
+from tidemark.sources import bronze as bronze_source
 from tidemark.streaming.daily import start_daily_summary
-from tidemark.streaming.ingest import start_silver_ingest
+from tidemark.streaming.ingest import start_file_ingest, start_silver_ingest
+from tidemark.streaming.late import start_late_split
 
 D = dt.date
 
@@ -285,3 +287,78 @@ def test_stream_of_json_files(spark, tmp_path):
     assert rows(got.select("api_name", "place_name", "ingest_hour", "temp_max")) == [
         ("foreca", "Hilltop", 6, 6.0), ("foreca", "Hilltop", 6, 7.0), ("foreca", "Hilltop", 7, 7.0), ("foreca", "Hilltop", 7, 8.0),
     ]
+
+
+def test_records_sent_again_are_parsed_once(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    records = bronze_rows([D(2026, 2, 16)]) + [("nobody", "Hilltop", None, None, "{}"), ("foreca", None, D(2026, 2, 16), 6, None)]
+    spark.createDataFrame(records * 3, schemas.BRONZE).repartition(3).write.parquet(landing)
+    stream = spark.readStream.schema(schemas.BRONZE).option("maxFilesPerTrigger", 1).parquet(landing)
+    paths = [str(tmp_path / name) for name in ("silver", "rejects", "checkpoint")]
+    start_silver_ingest(stream, *paths).awaitTermination()
+    assert merge.read_table(spark, paths[0], schemas.SILVER).count() == 8
+    # Nothing is lost by having no date, and no reject comes twice.
+    assert spark.read.parquet(paths[1]).count() == 2
+
+
+def test_file_stream_turns_odd_paths_away_whole(spark, tmp_path):
+    for folder, hour in (("2026-02-16_foreca_Hilltop", "06"), ("2026-02-16_foreca", "06"), ("2026-02-30_foreca_Hilltop", "07"), ("2026-02-16_foreca_Hilltop", "77")):
+        (tmp_path / "raw" / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "raw" / folder / f"{hour}.json").write_text(payload(D(2026, 2, 16), 6))
+    paths = [str(tmp_path / name) for name in ("silver", "rejects", "checkpoint")]
+    for _ in range(2):
+        start_file_ingest(spark, str(tmp_path / "raw"), *paths).awaitTermination()
+    assert merge.read_table(spark, paths[0], schemas.SILVER).count() == 2
+    odd = spark.read.parquet(paths[1]).collect()
+    assert [r.reason for r in odd] == ["odd_path"] * 3 and all("maxTemp" in r.detail for r in odd)
+
+
+def test_second_scan_reads_new_files_only(spark, tmp_path):
+    raw = tmp_path / "raw"
+
+    def put(folder, hour, text):
+        (raw / folder).mkdir(parents=True, exist_ok=True)
+        (raw / folder / f"{hour}.json").write_text(text)
+
+    paths = [str(tmp_path / name) for name in ("raw", "bronze", "rejects", "registry")]
+    scan = lambda: bronze_source.ingest_new_files(spark, *paths, TABLES["bronze"])
+    put("2026-02-16_foreca_Hilltop", "06", "{}")
+    put("2026-02-16_foreca", "06", "odd")
+    first = scan()
+    assert (first.rows_in, first.inserted) == (1, 1)
+    assert scan().rows_in == 0
+    put("2026-02-16_foreca_Hilltop", "07", "{}")
+    assert scan().inserted == 1
+    assert merge.read_table(spark, paths[1], schemas.BRONZE).count() == 2
+    assert [r.detail.split("\n")[1] for r in spark.read.parquet(paths[2]).collect()] == ["odd"]
+    registry = spark.read.parquet(paths[3])
+    assert registry.count() == 3
+    # Files older than the newest one known, less the overlap, are not even listed.
+    later = registry.withColumn("modified", F.col("modified") + F.expr("interval 3 hours")).where("path NOT LIKE '%07.json'")
+    assert bronze_source.new_files(spark, paths[0], later).count() == 0
+
+
+def test_late_rows_go_to_their_own_table(spark, tmp_path):
+    source, paths = str(tmp_path / "in"), [str(tmp_path / n) for n in ("ok", "late", "marks", "cp")]
+    ddl = "ts timestamp_ntz, place_name string, forecast_date_utc date, " + ", ".join(
+        f"{c} double" for c in ("temp_min", "temp_max", "temp_avg", "rain", "snow", "wind_speed", "clouds", "humidity")
+    )
+
+    def add(*moments):
+        data = [(dt.datetime(2026, 2, d, h, 30) if d else None, "A", D(2026, 2, d or 1), *[float(v)] * 8) for d, h, v in moments]
+        spark.createDataFrame(data, ddl).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+        start_late_split(stream, "ts", *paths).awaitTermination()
+
+    add((16, 1, 1), (16, 5, 8), (17, 3, 9), (None, 0, 0))
+    # The hour from two to three is closed at half past two, one hour behind; the hour before is, too.
+    add((17, 1, 7), (17, 2, 5), (16, 9, 99), (18, 9, 1))
+    add((17, 23, 6), (18, 8, 4))
+    late = spark.read.parquet(paths[1])
+    assert rows(late.select("ts")) == [(None,), (dt.datetime(2026, 2, 16, 9, 30),), (dt.datetime(2026, 2, 17, 1, 30),), (dt.datetime(2026, 2, 17, 23, 30),)]
+    # The summary over the rows in time drops none of them.
+    ok = spark.read.parquet(paths[0])
+    stream = spark.readStream.schema(ok.schema).parquet(paths[0])
+    start_daily_summary(stream, "ts", str(tmp_path / "out"), str(tmp_path / "cp2")).awaitTermination()
+    got = rows(spark.read.parquet(str(tmp_path / "out")).select("day", "temp_min", "temp_max"))
+    assert got == [(D(2026, 2, 16), 1.0, 8.0), (D(2026, 2, 17), 5.0, 9.0)]

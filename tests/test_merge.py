@@ -129,7 +129,7 @@ def test_the_same_duplicate_wins_in_any_order(spark, order):
     assert merge.first_per_key(batch, ["k"], ["o"]).first()["v"] == 1.0
 
 
-def test_a_run_with_a_fallback_stages_twice(spark, tmp_path, monkeypatch):
+def test_a_run_with_a_fallback_stages_thrice(spark, tmp_path, monkeypatch):
     from tidemark import session
     from tidemark.plans import hourly
 
@@ -140,10 +140,11 @@ def test_a_run_with_a_fallback_stages_twice(spark, tmp_path, monkeypatch):
     bronze = spark.createDataFrame([("foreca", "A", D(2026, 2, 21), 8, payload)], schemas.BRONZE)
     lake = Lake(spark, str(tmp_path / "main"), fallback=str(tmp_path / "copy"))
     result, _ = hourly.build_silver(lake, bronze, "b1")
-    assert result.inserted == 1 and len(folders) == 2
+    # The tagged rows, the batch, and the rows that a copy lacks.
+    assert result.inserted == 1 and len(folders) == 3
     import os
 
-    assert [os.path.exists(f) for f in folders] == [True, False]
+    assert [os.path.exists(f) for f in folders] == [True, False, False]
 
 
 def test_upsert_rewrites_only_its_partitions(spark, tmp_path):
@@ -190,6 +191,30 @@ def test_one_failing_sink_is_enough(spark, tmp_path):
     assert worked is None and "blocked" in failed
 
 
+def test_a_failed_copy_is_repaired_alone(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "main"), fallback=str(tmp_path / "copy"))
+    both = daily(spark, ("A", D(2026, 1, 1)), ("B", D(2026, 1, 2)), ("A", D(2026, 3, 1)))
+    lake.load_both("gold_daily", both)
+    assert lake.differing("gold_daily").count() == 0
+    lake.load("gold_daily", daily(spark, ("A", D(2026, 3, 2)), ("A", D(2026, 4, 1))))
+    lake.load("gold_daily", daily(spark, ("C", D(2026, 5, 1))), fallback=True)
+    months = lambda: sorted(r[0].month for r in lake.differing("gold_daily").collect())
+    assert months() == [3, 4, 5]
+    before = {p.name for p in (tmp_path / "copy" / "gold_daily").glob("*2026-01-01/*.parquet")}
+    result = lake.repair("gold_daily", fallback=True)
+    # Two rows of March are read, one of them known; what only the copy has stays there.
+    assert (result.rows_in, result.inserted) == (3, 2) and months() == [5]
+    assert {p.name for p in (tmp_path / "copy" / "gold_daily").glob("*2026-01-01/*.parquet")} == before
+    assert lake.repair("gold_daily", fallback=False).inserted == 1 and months() == []
+
+
+def test_fingerprints_see_any_change_of_a_row(spark):
+    left = spark.createDataFrame([(1, "a", 1.0), (1, "a", 1.0), (2, None, 2.0), (None, "n", 0.0)], "p int, s string, v double")
+    assert merge.differing(left, left.repartition(3), ["p"]).collect() == []
+    right = spark.createDataFrame([(1, "a", 1.0), (2, None, 2.5), (None, "n", 0.0), (4, "new", 1.0)], left.schema)
+    assert rows(merge.differing(left, right, ["p"])) == [(1,), (2,), (4,)]
+
+
 def test_watermark_moves_to_the_newest_row_only(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     now = dt.datetime(2026, 2, 1)

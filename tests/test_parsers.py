@@ -270,3 +270,16 @@ def test_a_provider_is_one_entry(spark):
     assert sorted((r["api_name"], r["forecast_date_utc"], r["temp_max"]) for r in got) == [
         ("foreca", dt.date(2026, 2, 21), None), ("own", dt.date(2026, 2, 22), 4.5),
     ]
+
+
+def test_paths_of_free_keys_in_long_form(spark):
+    from tidemark.operators.flatten import flatten_paths
+
+    texts = ['{"a":{"b":1.5,"c":{"d":[1,{"x":2}],"e":null,"f":{}}},"k1":"t","t":true}', '{"z.y":{"w":{"v":1}}}', "{}", "[1]", "{bad", None, '"x"']
+    records = spark.createDataFrame([("s", f"p{i}", None, i, t) for i, t in enumerate(texts)], "source string, place_name string, ingest_date date, ingest_hour int, payload string")
+    got = [(r.ingest_hour, r.path, r.value) for r in flatten_paths(records).collect()]
+    assert sorted(got, key=repr) == sorted(
+        [(0, "a.b", "1.5"), (0, "a.c.d", '[1,{"x":2}]'), (0, "a.c.e", None), (0, "a.c.f", "{}"), (0, "k1", "t"), (0, "t", "true"), (1, "z.y.w.v", "1")], key=repr
+    )
+    shallow = {r.path: r.value for r in flatten_paths(records, depth=2).collect()}
+    assert shallow["a.c"] == '{"d":[1,{"x":2}],"e":null,"f":{}}' and shallow["z.y.w"] == '{"v":1}'

@@ -47,7 +47,8 @@ EAGER = {
     "stream_silver", "stream_daily", "silver_load_rows", "stored_months", "stored_years", "stored_once",
     "stored_weeks", "stored_seasons", "stored_bronze", "hourly_run_silver", "hourly_run_forecasts", "hourly_run_daily",
     "hourly_run_watermark", "rollup_run_weekly", "rollup_run_state", "rollup_run_monthly", "rollup_run_seasonal",
-    "rollup_run_yearly", "rollup_after_late_days",
+    "rollup_run_yearly", "rollup_after_late_days", "dual_sink_events", "dual_sink_repair", "bronze_files", "stored_five_day",
+    "stream_late_rows", "profile_by_day", "bronze_uploads",
 }
 
 

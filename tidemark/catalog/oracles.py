@@ -705,17 +705,59 @@ SELECT *, TIMESTAMP '2024-02-01' AS generated_at FROM week_rollup""",
     "stored_seasons": f"""WITH {SEASONAL}
 SELECT * REPLACE (CASE WHEN (year + length(season_name)) % 2 = 0 THEN temp_max + 1 ELSE temp_max END AS temp_max),
     TIMESTAMP '2024-02-01' AS generated_at FROM season_rollup""",
+    "dual_sink_events": f"""WITH {SEASONAL}
+SELECT main_blocked, copy_blocked, 'gold_seasonal' AS processing_level, partition_date,
+    CASE WHEN main_blocked AND copy_blocked THEN 'failed' ELSE 'success' END AS status, 3 AS expected_count,
+    CASE WHEN main_blocked AND copy_blocked THEN 0 ELSE 3 END AS actual_count,
+    CASE WHEN main_blocked AND copy_blocked THEN 'missing_partitions' END AS error_type,
+    main_blocked AS names_main, copy_blocked AS names_copy
+  FROM (SELECT DISTINCT period_start AS partition_date FROM season_rollup),
+    (VALUES (false, false), (true, false), (false, true), (true, true)) AS s(main_blocked, copy_blocked)""",
+    "dual_sink_repair": f"""WITH {SEASONAL}
+SELECT *, TIMESTAMP '2024-02-01' AS generated_at, 0 AS still_different,
+    CAST((SELECT count(*) FROM season_rollup WHERE season_name NOT IN ('winter', 'summer')) AS INTEGER) AS loaded FROM season_rollup""",
+    "bronze_files": """WITH hours AS (
+  SELECT 'sensor' AS source, 'place-' || (user_id % 2) AS place_name, CAST(ts AS DATE) AS ingest_date, CAST(hour(ts) AS INTEGER) AS ingest_hour,
+    '[' || string_agg(props, ',' ORDER BY props) || ']' AS payload
+  FROM events GROUP BY ALL)
+SELECT *, (SELECT count(*) FROM hours WHERE ingest_date >= DATE '2024-01-16') AS read_by_second_scan FROM hours""",
+    "bronze_uploads": """WITH keys AS (
+  SELECT DISTINCT event_type AS source, 'place_' || (user_id % 5) AS place_name, CAST(ts AS DATE) AS ingest_date, CAST(hour(ts) AS INTEGER) AS ingest_hour
+  FROM events)
+SELECT *, ingest_date >= DATE '2024-01-16' AS uploaded, CASE WHEN ingest_date >= DATE '2024-01-16' THEN 'created' ELSE 'already_exists' END AS reason,
+    ingest_date || '_' || source || '_' || place_name || '/' || lpad(CAST(ingest_hour AS VARCHAR), 2, '0') || '.json' AS path,
+    (SELECT count(*) FROM keys) AS stored
+  FROM keys""",
     "stored_bronze": """SELECT event_type AS source, 'place_' || (user_id % 5) AS place_name, CAST(ts AS DATE) AS ingest_date,
     CAST(hour(ts) AS INTEGER) AS ingest_hour, min(props) AS payload FROM events GROUP BY ALL""",
     "hourly_run_silver": f"""SELECT * FROM ({STREAM_SILVER}), (VALUES ('main'), ('copy')) AS c(copy)""",
     "hourly_run_forecasts": f"""WITH {FORECAST}
 SELECT snapshot_ts, place_name, forecast_date_utc, ingest_date, ingest_hour, {', '.join(MEASURES)},
     TIMESTAMP '2024-02-01' AS generated_at FROM forecast""",
+    "stored_five_day": f"""WITH {SILVER}
+SELECT {_SNAPSHOT}, place_name, forecast_date_utc, max(ingest_date) AS ingest_date, max(ingest_hour) AS ingest_hour,
+    {_raw_measures(lambda x: f'round({x}, 6)')}, TIMESTAMP '2024-02-01' AS generated_at
+  FROM silver WHERE forecast_date_utc BETWEEN ingest_date AND ingest_date + 5
+  GROUP BY {_SNAPSHOT.split(' AS snapshot_ts')[0]}, place_name, forecast_date_utc""",
     "hourly_run_daily": f"""WITH {FORECAST}, summary AS ({SUMMARY_SQL})
 SELECT place_name, forecast_date_utc, ingest_date, ingest_hour, {', '.join(MEASURES)},
     TIMESTAMP '2024-02-01' AS generated_at FROM summary""",
     "hourly_run_watermark": """SELECT 'gold_daily_forecast' AS job_name, date_trunc('hour', max(ts)) AS last_processed_ts,
     TIMESTAMP '2024-02-01' AS updated_at FROM events""",
+    "flatten_paths": f"""SELECT path, leaf AS value, 'free' AS source, CAST(event_id AS VARCHAR) AS place_name, CAST(ts AS DATE) AS ingest_date,
+    CAST(hour(ts) AS INTEGER) AS ingest_hour
+  FROM (SELECT *, unnest(['kind', 'station.s' || event_id || '.k' || event_id, 'station.s' || event_id || '.user', 'list', 'none']) AS path,
+      unnest([event_type, CAST({_K} AS VARCHAR), CAST(user_id AS VARCHAR), '[1,2]', NULL]) AS leaf
+    FROM events WHERE event_type <> 'signup')""",
+    "profile_by_day": f"""WITH {SILVER},
+cells AS (
+  SELECT ingest_date, unnest(['temp_max', 'wind_speed', 'clouds', 'humidity']) AS column_name, unnest([temp_max, wind_speed, clouds, humidity]) AS v
+  FROM silver
+)
+SELECT days_of, column_name, count(DISTINCT ingest_date) AS days, count(*) AS rows, count(*) - count(v) AS nulls, min(v) AS minimum, max(v) AS maximum,
+    true AS median_within, true AS distinct_within
+  FROM cells, (VALUES ('half'), ('all')) AS p(days_of)
+  WHERE days_of = 'all' OR ingest_date < DATE '2024-01-16' GROUP BY ALL""",
     "silver_rejects": f"""WITH {REJECTS},
 odd AS (
   SELECT source, CASE WHEN event_id % 24 <> 0 THEN place_name END AS place_name, ingest_date,
@@ -830,6 +872,13 @@ SELECT source, place_name, ingest_date, ingest_hour, CAST(sum(good) AS BIGINT) A
     CAST(sum(bad) AS BIGINT) AS rejected_count, sum(bad) = 0 AS success, min(reason) AS reason
   FROM marks GROUP BY source, place_name, ingest_date, ingest_hour""",
     "clean_parsed": CLEAN_PARSED,
+    "added_provider": f"""WITH {MIXED}
+SELECT api_name, ingest_date, count(*) AS forecasts, max(TRY_CAST(temp_max AS DOUBLE)) AS temp_max, min(TRY_CAST(temp_min AS DOUBLE)) AS temp_min
+  FROM (
+    SELECT api_name, ingest_date, CAST(temp_max AS DOUBLE) AS temp_max, CAST(temp_min AS DOUBLE) AS temp_min FROM mixed
+    UNION ALL
+    SELECT 'own_station', CAST(ts AS DATE), value, value - 5 FROM events, range(2)
+  ) GROUP BY api_name, ingest_date""",
     "canonical_sources": f"SELECT {_KIND_SOURCE} AS source, count(*) AS records FROM events GROUP BY {_KIND_SOURCE}",
     "flatten_json": f"""SELECT user_id AS "station.id", {_K} AS "station.props.rank", value,
     CASE WHEN event_type <> 'error' THEN event_type END AS kind, 'flat' AS source, event_type AS place_name,
@@ -845,6 +894,8 @@ SELECT source, place_name, ingest_date, ingest_hour, CAST(sum(good) AS BIGINT) A
     CASE WHEN event_id % 4 < 2 THEN CAST(day(ts) AS BIGINT) END AS day,
     CASE WHEN event_id % 4 <> 2 THEN 'january' END AS month FROM events""",
     "stream_silver": STREAM_SILVER,
+    "stream_late_rows": """SELECT event_id, ts, event_id % 6 = 0 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <=
+    (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_id % 6 <> 0) AS late FROM events""",
     "stream_daily": STREAM_DAILY,
 }
 

@@ -12,16 +12,17 @@ from tidemark.catalog import views
 from tidemark.catalog.views import AS_OF, NOW
 from tidemark.functions import clock
 from tidemark.functions.text import split_date
-from tidemark.operators import merge, parsers, rollups, scrape, state as st
+from tidemark.operators import merge, parsers, profile, rollups, scrape, state as st
 from tidemark.operators.cleaning import check_constraints, clean_report, clean_silver
-from tidemark.operators.flatten import combine, flatten_payloads
+from tidemark.operators.flatten import combine, flatten_paths as long_paths, flatten_payloads
 from tidemark.operators.layout import blank_nat, conform
 from tidemark.plans import hourly, periods
 from tidemark.plans.lake import TABLES, Lake
-from tidemark.session import stage, work_folder
+from tidemark.session import stage, staged, work_folder
 from tidemark.sources import bronze as bronze_source, slices
 from tidemark.streaming.daily import start_daily_summary
 from tidemark.streaming.ingest import start_silver_ingest
+from tidemark.streaming.late import start_late_split
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -575,6 +576,24 @@ def clean_parsed(spark, sf_dir):
     return clean_silver(parsers.parse_bronze(views.mixed_bronze(spark, sf_dir)), "batch-1")
 
 
+@query
+def added_provider(spark, sf_dir):
+    """Forecasts of a provider that is added at run time, next to those known before."""
+    readings = parsers.Provider(
+        "day STRING, readings ARRAY<STRUCT<high: STRING, low: STRING>>",
+        lambda p: F.transform(
+            p.readings, lambda r: parsers.raw_forecast(p.day, parsers.ZONE, zone=F.lit("UTC"), temp_max=r.high, temp_min=r.low)
+        ),
+    )
+    known = views.mixed_bronze(spark, sf_dir)
+    own = views.readings(spark, sf_dir)
+    tagged = parsers.tag_forecasts(known.unionByName(own), {**parsers.PARSERS, "own_station": readings})
+    rows = parsers.accepted(tagged).groupBy("api_name", "ingest_date").agg(
+        F.count("*").alias("forecasts"), F.max("temp_max").alias("temp_max"), F.min("temp_min").alias("temp_min")
+    )
+    return rows.withColumns({"temp_max": F.col("temp_max").cast("double"), "temp_min": F.col("temp_min").cast("double")})
+
+
 @query
 def canonical_sources(spark, sf_dir):
     records = parsers.to_records(views.mixed_bronze(spark, sf_dir))
@@ -600,6 +619,61 @@ def flatten_json(spark, sf_dir):
     return flatten_payloads(records)
 
 
+@query
+def flatten_paths(spark, sf_dir):
+    """Leaves of payloads that have keys of their own, in long form."""
+    e = F.col("event_id").cast("string")
+    k = F.get_json_object("props", "$.k").cast("int")
+    inner = F.to_json(F.create_map(F.concat(F.lit("k"), e), k, F.lit("user"), F.col("user_id").cast("int")))
+    payload = F.concat(
+        F.lit('{"kind": "'), F.col("event_type"), F.lit('", "station": {"s'), e, F.lit('": '), inner, F.lit("}, \"list\": [1, 2], \"none\": null}")
+    )
+    records = views.table(spark, sf_dir, "events").select(
+        F.lit("free").alias("source"), e.alias("place_name"), F.to_date("ts").alias("ingest_date"), F.hour("ts").alias("ingest_hour"),
+        F.when(F.col("event_type") == "signup", "{}").otherwise(payload).alias("payload"),
+    )
+    return long_paths(records)
+
+
+@query
+def profile_by_day(spark, sf_dir):
+    """Profile of the silver columns from sketches per day, merged over half the month and all of it."""
+    columns = ["temp_max", "wind_speed", "clouds", "humidity"]
+    silver = _silver(spark, sf_dir).select("ingest_date", *columns)
+    with staged(profile.day_sketches(silver, "ingest_date", columns), "sketches") as sketches:
+        half = F.col("day") < F.lit(MIDDLE)
+        found = combine(
+            [
+                profile.merged_profile(part, (0.5,)).withColumn("days_of", F.lit(name))
+                for name, part in (("half", sketches.where(half)), ("all", sketches))
+            ]
+        )
+        found = stage(found, "profiles")
+    # What the sketches say is held against exact ranks and counts.
+    low, high = 0.5 - profile.RANK_ERROR, 0.5 + profile.RANK_ERROR
+    exact = combine(
+        [
+            rows.agg(
+                F.array(
+                    *[
+                        F.struct(
+                            F.lit(name).alias("column_name"), F.percentile(name, F.array(F.lit(low), F.lit(high))).alias("between"),
+                            F.count_distinct(name).alias("n"),
+                        )
+                        for name in columns
+                    ]
+                ).alias("all")
+            ).select(F.lit(label).alias("days_of"), F.inline("all"))
+            for label, rows in (("half", silver.where(F.col("ingest_date") < F.lit(MIDDLE))), ("all", silver))
+        ]
+    )
+    return found.join(exact, ["days_of", "column_name"]).select(
+        "days_of", "column_name", "days", "rows", "nulls", "minimum", "maximum",
+        F.col("p50").between(F.floor(F.col("between")[0]), F.ceil(F.col("between")[1])).alias("median_within"),
+        (F.abs(F.col("distinct_values") - F.col("n")) <= F.ceil(F.col("n") * profile.DISTINCT_ERROR)).alias("distinct_within"),
+    )
+
+
 @query
 def silver_rejects(spark, sf_dir):
     """Everything a silver load turns away: unreadable records, and rows that break a constraint.
@@ -647,6 +721,14 @@ def hourly_run_forecasts(spark, sf_dir):
     return _forecast_lake(spark, sf_dir, "run-forecasts").read("gold_daily_forecast")
 
 
+@query
+def stored_five_day(spark, sf_dir):
+    """Stored five-day forecasts after the run up to the middle of the month and the run after it."""
+    rows = _forecast_lake(spark, sf_dir, "run-five-day").read("gold_five_day_forecast")
+    # Not rounded when they are stored; the last bits of a mean differ between engines.
+    return rows.withColumns({name: F.round(name, 6) for name in schemas.MEASURES})
+
+
 @query
 def hourly_run_daily(spark, sf_dir):
     """Stored daily summaries after two runs over the stored forecasts."""
@@ -741,6 +823,47 @@ def stored_seasons(spark, sf_dir):
     return lake.read("gold_seasonal")
 
 
+def _seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(_stamped(_above_months(spark, sf_dir, "season"), "generated_at"), "seasonal")
+
+
+@query
+def dual_sink_events(spark, sf_dir):
+    """State events of the seasons after loads into two sinks of which none, either one or both can't be written."""
+    seasonal = _seasons(spark, sf_dir)
+    work = seasonal.select(F.col("period_start").alias("partition_date"), F.lit(3).alias("expected_count")).distinct()
+    events = []
+    for main, copy in ((False, False), (True, False), (False, True), (True, True)):
+        folder = work_folder(spark, "dual-sink")
+        for name, blocked in (("main", main), ("copy", copy)):
+            if blocked:
+                views.block(spark, f"{folder}/{name}")
+        outcome = Lake(spark, f"{folder}/main", f"{folder}/copy").load_both("gold_seasonal", seasonal)
+        events.append(
+            st.load_events(work, "gold_seasonal", *outcome)
+            .withColumns({"main_blocked": F.lit(main), "copy_blocked": F.lit(copy)})
+        )
+    message = F.coalesce("error_message", F.lit(""))
+    return combine(events).select(
+        "main_blocked", "copy_blocked", "processing_level", "partition_date", "status", "expected_count", "actual_count",
+        "error_type", message.contains("primary: ").alias("names_main"), message.contains("fallback: ").alias("names_copy"),
+    )
+
+
+@query
+def dual_sink_repair(spark, sf_dir):
+    """The fallback copy of the seasons after a load that failed there for half of them, and its repair alone."""
+    folder = work_folder(spark, "dual-repair")
+    lake = Lake(spark, f"{folder}/main", f"{folder}/copy")
+    seasonal = _seasons(spark, sf_dir)
+    lake.load_both("gold_seasonal", seasonal.where("season_name IN ('winter', 'summer')"))
+    lake.load("gold_seasonal", seasonal)
+    repaired = lake.repair("gold_seasonal", fallback=True)
+    left = lake.differing("gold_seasonal").count()
+    rows = lake.read("gold_seasonal", fallback=True)
+    return rows.withColumns({"loaded": F.lit(repaired.rows_in), "still_different": F.lit(left)})
+
+
 @query
 def stored_weeks(spark, sf_dir):
     """Weekly table after two loads of the same rows."""
@@ -752,15 +875,45 @@ def stored_weeks(spark, sf_dir):
 
 
 @query
-def stored_bronze(spark, sf_dir):
-    """Bronze table after two loads: of several payloads under one key the first by text is kept."""
-    lake = Lake(spark, work_folder(spark, "stored-bronze"))
-    records = views.table(spark, sf_dir, "events").select(
+def bronze_files(spark, sf_dir):
+    """Bronze rows from raw files of two halves of the month, and the number of files the second scan has read."""
+    folder = work_folder(spark, "bronze-files")
+    paths = (f"{folder}/raw", f"{folder}/bronze", f"{folder}/rejects", f"{folder}/registry")
+    read = []
+    for half in (F.to_date("ts") < F.lit(MIDDLE), F.to_date("ts") >= F.lit(MIDDLE)):
+        views.write_raw_files(views.table(spark, sf_dir, "events").where(half), paths[0])
+        read.append(bronze_source.ingest_new_files(spark, *paths, TABLES["bronze"]).rows_in)
+    # A text file ends with a line break.
+    payload = F.regexp_replace("payload", "\n$", "")
+    bronze = merge.read_table(spark, paths[1], schemas.BRONZE).withColumn("payload", payload)
+    return bronze.withColumn("read_by_second_scan", F.lit(read[1]).cast("long"))
+
+
+@query
+def bronze_uploads(spark, sf_dir):
+    """What a write-once load of all hours says of each, where the first half of the month is stored; rows after it."""
+    table, folder = TABLES["bronze"], work_folder(spark, "bronze-uploads")
+    records = stage(_hourly_records(spark, sf_dir).dropDuplicates(list(table.keys)), "records")
+    first = records.where(F.col("ingest_date") < F.lit(MIDDLE))
+    merge.write_once(first, folder, table.schema, table.keys, table.partition_by, table.keys)
+    report = stage(bronze_source.upload_report(merge.read_table(spark, folder, table.schema), records), "report")
+    merge.write_once(records, folder, table.schema, table.keys, table.partition_by, table.keys)
+    return report.withColumn("stored", F.lit(merge.read_table(spark, folder, table.schema).count()).cast("long"))
+
+
+def _hourly_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.table(spark, sf_dir, "events").select(
         F.col("event_type").alias("source"), F.concat(F.lit("place_"), F.col("user_id") % 5).alias("place_name"),
         F.to_date("ts").alias("ingest_date"), F.hour("ts").alias("ingest_hour"), F.col("props").alias("payload"),
     )
+
+
+@query
+def stored_bronze(spark, sf_dir):
+    """Bronze table after two loads: of several payloads under one key the first by text is kept."""
+    lake = Lake(spark, work_folder(spark, "stored-bronze"))
     for _ in range(2):
-        lake.load("bronze", records)
+        lake.load("bronze", _hourly_records(spark, sf_dir))
     return lake.read("bronze")
 
 
@@ -828,10 +981,11 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_silver(spark, sf_dir):
-    """The silver table, without its batch numbers, after the stream has ingested every event's payload."""
+    """The silver table, without its batch numbers, after the stream has ingested every event's payload, sent twice."""
     folder = work_folder(spark, "stream-silver")
+    sent = views.mix_providers(_events_stream(spark, sf_dir))
     started = start_silver_ingest(
-        views.mix_providers(_events_stream(spark, sf_dir)),
+        sent.union(sent),
         f"{folder}/silver", f"{folder}/rejects", f"{folder}/checkpoint",
     )
     started.awaitTermination()
@@ -847,3 +1001,19 @@ def stream_daily(spark, sf_dir):
     silver = clean_silver(views.observe(stream, "ts"), "stream")
     start_daily_summary(silver, "ts", f"{folder}/daily", f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/daily")
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Rows behind the watermark when every sixth event arrives after all others, and the days without them."""
+    folder = work_folder(spark, "stream-late")
+    events = views.table(spark, sf_dir, "events")
+    for part in (F.col("event_id") % 6 != 0, F.col("event_id") % 6 == 0):
+        events.where(part).coalesce(1).write.mode("append").parquet(f"{folder}/events")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/events")
+    start_late_split(
+        arriving, "ts", f"{folder}/in-time", f"{folder}/late", f"{folder}/marks", f"{folder}/checkpoint"
+    ).awaitTermination()
+    late = spark.read.parquet(f"{folder}/late").select("event_id", "ts", F.lit(True).alias("late"))
+    in_time = spark.read.parquet(f"{folder}/in-time").select("event_id", "ts", F.lit(False).alias("late"))
+    return late.union(in_time)

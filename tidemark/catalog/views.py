@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -396,6 +397,44 @@ def mixed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_providers(table(spark, sf_dir, "events"))
 
 
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a payload of a station that no parser of the engine knows."""
+    pair = F.struct(F.col("value").cast("string").alias("high"), (F.col("value") - 5).cast("string").alias("low"))
+    payload = F.to_json(F.struct(F.to_date("ts").cast("string").alias("day"), F.array(pair, pair).alias("readings")))
+    return table(spark, sf_dir, "events").select(*_envelope(F.lit("own_station"), payload))
+
+
+# ---------------------------------------------------------------- files
+
+
+def block(spark: SparkSession, path: str) -> None:
+    """Put a file where a lake wants a folder, so that nothing can be written below it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target).close()
+
+
+def write_raw_files(events: DataFrame, base: str) -> None:
+    """Events as raw files {date}_{source}_{place}/{hour}.json, all payloads of an hour in one array.
+
+    Spark writes one file per folder and hour; they are then renamed to what a collector would call them.
+    """
+    spark = events.sparkSession
+    folder = F.concat(F.to_date("ts").cast("string"), F.lit("_sensor_place-"), F.col("user_id") % 2)
+    hours = events.groupBy(folder.alias("folder"), F.date_format("ts", "HH").alias("hour")).agg(
+        F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("props")), ","), F.lit("]")).alias("value")
+    )
+    made = f"{base}-{uuid.uuid4().hex}"
+    hours.repartition("folder").write.partitionBy("folder", "hour").text(made)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(made).getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(path(f"{made}/folder=*/hour=*/part-*")):
+        source = found.getPath()
+        hour, day = source.getParent(), source.getParent().getParent()
+        target = path(f"{base}/{day.getName().removeprefix('folder=')}")
+        files.mkdirs(target)
+        files.rename(source, path(target, f"{hour.getName().removeprefix('hour=')}.json"))
+
+
 # ---------------------------------------------------------------- stored pages
 
 def site_pages(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:

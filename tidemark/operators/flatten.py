@@ -53,6 +53,39 @@ def flatten_payloads(records: DataFrame, schema: str | None = None, keep_payload
     return parsed.select(*columns, *_LINEAGE, *kept)
 
 
+def flatten_paths(records: DataFrame, depth: int = 8) -> DataFrame:
+    """Payload leaves in long form: ``path``, ``value`` and the four lineage columns, a row per leaf.
+
+    Keys may differ from record to record: no schema is merged, and nothing reaches the driver. Arrays stay
+    values, as JSON; so do objects more than ``depth`` levels down. Leaves that are null have a null
+    value. Payloads that are empty or no JSON object give no row.
+    """
+    entry = "ARRAY<STRUCT<path: STRING, value: VARIANT>>"
+
+    def is_object(value: Column) -> Column:
+        return F.coalesce(F.schema_of_variant(value).startswith("OBJECT<"), F.lit(False))
+
+    def inner(path: Column, value: Column) -> Column:
+        pairs = F.map_entries(value.cast("map<string, variant>"))
+        return F.transform(
+            pairs, lambda pair: F.struct(F.concat_ws(".", path, pair["key"]).alias("path"), pair["value"].alias("value"))
+        ).cast(entry)
+
+    def opened(found: Column) -> Column:
+        one = F.when(is_object(found["value"]) & (F.schema_of_variant(found["value"]) != "OBJECT<>"), inner(found["path"], found["value"]))
+        return F.coalesce(one, F.array(found).cast(entry))
+
+    parsed = F.try_parse_json("payload")
+    top = F.when(is_object(parsed), inner(F.lit(None).cast("string"), parsed))
+    found = records.select(*_LINEAGE, top.alias("found")).where(F.col("found").isNotNull())
+    for _ in range(depth - 1):
+        found = found.withColumn("found", F.flatten(F.transform("found", opened)))
+    leaf = F.col("leaf.value")
+    return found.select(*_LINEAGE, F.explode("found").alias("leaf")).select(
+        "leaf.path", F.coalesce(leaf.try_cast("string"), F.nullif(F.to_json(leaf), F.lit("null"))).alias("value"), *_LINEAGE
+    )
+
+
 def combine(frames: list[DataFrame]) -> DataFrame:
     """Union of partial frames; columns missing in one of them become null."""
     if not frames:

@@ -11,13 +11,18 @@ from collections.abc import Sequence
 from contextlib import nullcontext
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.operators.layout import Month, conform, derived_folders, folder_names, folder_sources, with_folders
 from tidemark.session import staged
 
 
+#: Errors of Spark and of the file system, which count as a sink's failure; others are faults of the program.
+SINK_ERRORS = (PySparkException, Py4JJavaError, OSError)
+
+
 def first_per_key(
     batch: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], last: bool = False
 ) -> DataFrame:
@@ -255,6 +260,58 @@ def insert_ignore_into(
         return LoadResult(batch.count(), _counted_append(new, path, partition_by, keys))
 
 
+def insert_ignore_copies(
+    batch: DataFrame,
+    paths: Sequence[str],
+    schema: T.StructType,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column],
+    partition_by: Sequence[str | Month] = (),
+    nullable: Sequence[str] = (),
+) -> list[LoadResult | Exception]:
+    """``insert_ignore_into`` for several copies of one table, with one pass over the batch.
+
+    The keys that the copies know carry a bit per copy, so one join finds the rows that any copy lacks,
+    and the first row of a key is picked once; each copy then takes what it lacks. A copy that
+    can't be read or written gives its error instead of a result, and does not stop the others.
+    """
+    if not set(folder_sources(partition_by)) <= set(keys):
+        raise ValueError("Partition columns must be part of the key")
+    outcome: dict[int, LoadResult | Exception] = {}
+    with staged(conform(batch, schema), "batch") as batch:
+        known = None
+        for i, path in enumerate(paths):
+            try:
+                target = touched(read_table(batch.sparkSession, path, schema, partition_by), batch, partition_by, keys)
+            except SINK_ERRORS as error:
+                outcome[i] = error
+                continue
+            found = narrowed(target, batch, keys, nullable).withColumn("_copies", F.lit(1 << i))
+            known = found if known is None else known.union(found)
+        if known is None:
+            return [outcome[i] for i in range(len(paths))]
+        every = sum(1 << i for i in range(len(paths)) if i not in outcome)
+        known = known.groupBy(*keys).agg(F.bit_or("_copies").alias("_copies"))
+        joined = batch.alias("b").join(known.alias("t"), _same_key("b", "t", keys, nullable), "left")
+        lacking = joined.select(
+            *[F.col(f"b.{name}").alias(name) for name in schema.names], F.coalesce("t._copies", F.lit(0)).alias("_copies")
+        ).where(F.col("_copies") != every)
+        with staged(first_per_key(lacking, keys, order_by), "new") as new:
+            rows_in = batch.count()
+            for i, path in enumerate(paths):
+                if i in outcome:
+                    continue
+                own = new.where(F.col("_copies").bitwiseAND(1 << i) == 0).select(*schema.names)
+                try:
+                    inserted = own.count()
+                    if inserted:
+                        append(own, path, partition_by, keys)
+                    outcome[i] = LoadResult(rows_in, inserted)
+                except SINK_ERRORS as error:
+                    outcome[i] = error
+    return [outcome[i] for i in range(len(paths))]
+
+
 def upsert_into(
     batch: DataFrame,
     path: str,
@@ -285,6 +342,27 @@ def upsert_into(
         return LoadResult(rows_in, rows_in)
 
 
+def fingerprints(table: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per value of ``by``: number of rows, and two sums over hashes of whole rows, whatever their order."""
+    rest = [F.col(name) for name in table.columns if name not in by]
+    code = F.xxhash64(*rest)
+    return table.groupBy(*by).agg(
+        F.struct(
+            F.count("*").alias("n"), F.bit_xor(code).alias("xor"),
+            F.sum(F.pmod(code, F.lit(1 << 31))).alias("sum"),
+        ).alias("mark")
+    )
+
+
+def differing(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Values of ``by`` whose rows are not the same in both tables; one of them may lack the value."""
+    a, b = fingerprints(left, by).alias("a"), fingerprints(right, by).alias("b")
+    both = a.join(b, _same_key("a", "b", by, by), "full")
+    return both.where(~F.col("a.mark").eqNullSafe(F.col("b.mark"))).select(
+        *[F.coalesce(f"a.{name}", f"b.{name}").alias(name) for name in by]
+    )
+
+
 def new_partitions(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` that belong to partitions ``target`` does not have."""
     return not_in(batch, target.select(*partition_by).distinct(), partition_by, partition_by)

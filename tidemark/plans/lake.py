@@ -5,13 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import schemas
 from tidemark.operators import merge
-from tidemark.operators.layout import Month, conform
+from tidemark.operators.layout import Month, conform, folder_names
 from tidemark.session import staged
 from tidemark.sources.slices import fallback_union
 
@@ -157,10 +155,23 @@ class Lake:
             batch, path, table.schema, table.keys, table.order_by, table.partition_by, table.nullable, stored,
         )
 
+    def _into_copies(self, name: str, batch: DataFrame) -> list[merge.LoadResult | Exception]:
+        table = TABLES[name]
+        return merge.insert_ignore_copies(
+            batch, [self.path(name), self.path(name, fallback=True)], table.schema, table.keys, table.order_by,
+            table.partition_by, table.nullable,
+        )
+
     def load_copies(self, name: str, batch: DataFrame) -> merge.LoadResult:
-        """Load into the table, and into its fallback copy if there is one."""
+        """Load into the table, and into its fallback copy if there is one; the first error is raised."""
         if self.fallback is None:
             return self.load(name, batch)
+        if not TABLES[name].update_columns:
+            results = self._into_copies(name, batch)
+            for result in results:
+                if isinstance(result, Exception):
+                    raise result
+            return results[0]
         with staged(batch, name) as batch:
             result = self.load(name, batch, stored=True)
             self.load(name, batch, fallback=True, stored=True)
@@ -172,6 +183,12 @@ class Lake:
         The batch is computed once and read twice. Errors of Spark and of the file system count
         as a sink's failure; any other error is a fault of the program and is raised.
         """
+        def cause(error: Exception) -> str:
+            return f"{type(error).__name__}: {error}"
+
+        if self.fallback is not None and not TABLES[name].update_columns:
+            first, second = self._into_copies(name, batch)
+            return tuple(cause(x) if isinstance(x, Exception) else None for x in (first, second))
         outcome: list[str | None] = []
         with staged(batch, name) as batch:
             for fallback in (False, True):
@@ -181,10 +198,28 @@ class Lake:
                 try:
                     self.load(name, batch, fallback, stored=True)
                     outcome.append(None)
-                except (PySparkException, Py4JJavaError, OSError) as error:
-                    outcome.append(f"{type(error).__name__}: {error}")
+                except merge.SINK_ERRORS as error:
+                    outcome.append(cause(error))
         return outcome[0], outcome[1]
 
+    def differing(self, name: str) -> DataFrame:
+        """Folders of a table whose rows differ between its two copies."""
+        names = folder_names(TABLES[name].partition_by)
+        return merge.differing(self.scan(name), self.scan(name, fallback=True), names)
+
+    def repair(self, name: str, fallback: bool) -> merge.LoadResult:
+        """Bring one copy up to the other: load what that one has in the folders where they differ.
+
+        Fingerprints of the folders are compared, one row for each; only rows of folders that differ
+        are read whole and loaded, as by any load.
+        """
+        table = TABLES[name]
+        sound = self.scan(name, not fallback)
+        with staged(self.differing(name), "differing") as folders:
+            rows = merge.narrowed_rows(sound, folders, folders.columns).select(*table.schema.names)
+            with staged(rows, name) as rows:
+                return self.load(name, rows, fallback, stored=True)
+
     def save_watermark(self, job: str, rows: DataFrame, column: str, now) -> None:
         """Advance a job's watermark to the newest ``column`` in ``rows``; nothing written, no change."""
         newest = rows.agg(F.max(column).alias("last_processed_ts")).where(

@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions import clock
-from tidemark.operators.merge import read_table
+from tidemark.operators.merge import LoadResult, append, insert_ignore_into, read_table, write_report
 from tidemark.schemas import BRONZE
+from tidemark.session import staged
 from tidemark.sources.slices import hour_slice
 
 # Fixed value: {date}_{source}_{place}/{hour}.json
@@ -21,7 +22,7 @@ def _named() -> Column:
     return read & F.coalesce(F.col("ingest_hour").between(0, 23), F.lit(False))
 
 
-def _from_path(lines: DataFrame) -> DataFrame:
+def _from_path(lines: DataFrame, *more: Column) -> DataFrame:
     path = F.url_decode(F.col("_metadata.file_path"))
     return lines.select(
         F.regexp_extract(path, _FILE, 2).alias("source"),
@@ -30,6 +31,7 @@ def _from_path(lines: DataFrame) -> DataFrame:
         F.regexp_extract(path, _FILE, 4).try_cast("int").alias("ingest_hour"),
         F.col("value").alias("payload"),
         path.alias("path"),
+        *more,
     )
 
 
@@ -73,12 +75,61 @@ def _scan(spark: SparkSession, base: str, date: dt.date | None, hour: int | None
     return _from_path(spark.read.text(_globs(base, date, hour), wholetext=True))
 
 
-def stream_bronze_files(spark: SparkSession, base: str, files_per_batch: int = 10_000) -> DataFrame:
-    """The same files as a stream: each new file once."""
+def stream_files(spark: SparkSession, base: str, files_per_batch: int = 10_000) -> DataFrame:
+    """All files in dated folders as a stream, each new file once, odd paths among them."""
     stream = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(
         _globs(base, None, None), wholetext=True
     )
-    return named_files(_from_path(stream))
+    return _from_path(stream)
+
+
+def stream_bronze_files(spark: SparkSession, base: str, files_per_batch: int = 10_000) -> DataFrame:
+    """The files of that stream whose path can be read, as bronze rows."""
+    return named_files(stream_files(spark, base, files_per_batch))
+
+
+def new_files(spark: SparkSession, base: str, known: DataFrame, overlap: dt.timedelta = dt.timedelta(hours=1)) -> DataFrame:
+    """Files below ``base`` that ``known`` (path, modified) does not hold, with path and time of modification.
+
+    The listing leaves out files older than the newest known one less ``overlap``, which covers files that became
+    visible late; an anti join on the path leaves out those that were taken. Only the others are read.
+    """
+    newest = known.agg(F.max("modified")).first()[0]
+    reader = spark.read
+    if newest is not None:
+        reader = reader.option("modifiedAfter", (newest - overlap).strftime("%Y-%m-%dT%H:%M:%S"))
+    files = reader.text(_globs(base, None, None), wholetext=True)
+    stamp = clock.instant_utc(F.col("_metadata.file_modification_time"))
+    named = _from_path(files, stamp.alias("modified"))
+    return named.join(known.select("path"), "path", "left_anti").select(*named.columns)
+
+
+def _ingest_schema() -> str:
+    return "path STRING, modified TIMESTAMP_NTZ"
+
+
+def ingest_new_files(spark: SparkSession, base: str, bronze_path: str, rejects_path: str, registry_path: str, table) -> LoadResult:
+    """Load files not taken before into bronze, odd ones into the rejects, and note them all.
+
+    ``table`` says schema, key and folders of the bronze table. The note comes last: a run that stops before it
+    takes the same files again, and bronze ignores the known keys.
+    """
+    known = read_table(spark, registry_path, spark.createDataFrame([], _ingest_schema()).schema)
+    with staged(new_files(spark, base, known), "files") as files:
+        result = insert_ignore_into(
+            named_files(files).drop("modified"), bronze_path, table.schema, table.keys, table.order_by, table.partition_by
+        )
+        append(odd_files(files), rejects_path)
+        append(files.select("path", "modified"), registry_path)
+    return result
+
+
+def upload_report(bronze: DataFrame, records: DataFrame) -> DataFrame:
+    """Per provider, place and hour of ``records``: whether a write-once load writes it, its path, and why."""
+    key = ("source", "place_name", "ingest_date", "ingest_hour")
+    folder = F.concat_ws("_", F.col("ingest_date").cast("string"), "source", "place_name")
+    file = F.concat(F.lpad(F.col("ingest_hour").cast("string"), 2, "0"), F.lit(".json"))
+    return write_report(bronze, records, key).withColumn("path", F.concat_ws("/", folder, file))
 
 
 def read_bronze_table(spark: SparkSession, path: str) -> DataFrame:
