@@ -43,9 +43,15 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of the ids and of the text decoded from them."""
+    """Token ids of every document, its slot in the mix, and digests of the ids and of the text decoded from them.
+
+    A table on disk has no order, so the slot says it: training reads the documents by ``slot``. It is a function of
+    ids and sources, the same as in the stage before. Rows that share an id share its first slot; those without have none.
+    """
     path = tokenizer_path("byte_bpe_50k.json")
-    return bpe.token_digest(bpe.decode(bpe.encode(docs, path), path), "ids")
+    digests = bpe.token_digest(bpe.decode(bpe.encode(docs, path), path), "ids")
+    slots = mixing.mixture(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("slot").alias("slot"))
+    return digests.join(slots.hint("merge"), "doc_id", "left")
 
 
 STAGES = [
