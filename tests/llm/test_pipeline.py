@@ -49,7 +49,14 @@ def test_stages_equal_plain_versions(spark, tmp_path):
     frame = spark.createDataFrame(masked, "doc_id long, text string, source string")
     taken = {r.doc_id for r in mixing.mixture(frame).where("kept").collect()}
     expected = {d: plain(t) for d, t, _ in masked if d in taken}
-    got = {r.doc_id: bytes(r.ids) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    final = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    got = {r.doc_id: bytes(r.ids) for r in final}
+    # The mix decides the order of the result: by slot, equal shares of the sources while all last.
+    slots = {r.doc_id: r.slot for r in mixing.mixture(frame).where("kept").collect()}
+    assert {r.doc_id: r.slot for r in final} == slots
+    source = {d: s for d, _, s in masked}
+    first = [source[d] for d in sorted(slots, key=slots.get)][:9]
+    assert len({first.count(s) for s in set(source.values())}) <= 2 and set(first) == set(source.values())
     assert {d: [int.from_bytes(ids[i : i + 4], "little") for i in range(0, len(ids), 4)] for d, ids in got.items()} == expected
     assert len(taken) >= 0.85 * len(masked) and re.fullmatch(r"[\d, ]+", ", ".join(map(str, sorted(got))))
 
