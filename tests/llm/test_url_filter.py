@@ -35,13 +35,14 @@ def plain_verdicts(pages):
     for _, host, _, html in judged:
         if host:
             links[host, host] += 1
-            for m in re.finditer(r"""href\s*=\s*["']?[a-z][a-z0-9+.-]*://([^/?#"'\s<>]+)""", html, re.I):
+            for m in re.finditer(r"""href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)""", html, re.I):
                 links[host, m[1].lower()] += 1
-    for host in hosts:
-        parent = host.partition(".")[2]
-        if parent in hosts:
-            links[host, parent] += 1
-            links[parent, host] += 1
+    for host, pages_ in hosts.items():
+        labels = host.split(".")
+        for i in range(len(labels) - 2 if all(labels) else 0):
+            low, high = ".".join(labels[i:]), ".".join(labels[i + 1 :])
+            links[low, high] += len(pages_)
+            links[high, low] += len(pages_)
     out, into = Counter(), Counter()
     for (a, b), n in links.items():
         out[a] += n
@@ -83,5 +84,16 @@ def test_verdicts_equal_brute_force(spark):
     assert verdict[120] == "block" and verdict[200] == "block" and verdict[1] == "allow"
 
 
+def test_hosts_of_one_domain_meet_and_pages_without_markup_count(spark):
+    # No link leaves its host; the first one's pages are blocked, its sibling has no rule for most.
+    data = [(i, f"http://a.spam.net/es/{i}", None if i % 2 else '<a href="/x">') for i in range(40)]
+    data += [(100 + i, f"http://b.spam.net/de/{i}", None) for i in range(4)] + [(200, "http://c.other.net/de/1", '<a href="//a.spam.net/es/1">')]
+    data += [(300, "http://d.third.net/de/1", None)]
+    found = {r.page_id: r for r in uf.url_verdicts(spark.createDataFrame(data, SCHEMA), RULES).collect()}
+    assert rows(spark.createDataFrame([tuple(r)[:5] for r in found.values()], "page_id long, host string, path string, rule string, verdict string")) == sorted(plain_verdicts(data), key=repr)
+    # Distrust reaches the sibling through a domain without pages, and a host by its link without a scheme.
+    assert found[100].distrust > 0 and found[200].distrust > 0 and found[300].distrust == 0
+
+
 def test_empty_table(spark):
     assert uf.url_verdicts(spark.createDataFrame([], SCHEMA), RULES).collect() == []

@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import crc_remainder
@@ -18,6 +17,8 @@ from tidemark.llm import (
 
 def tokenizer_path(name: str) -> str:
     """File of a public tokenizer, in the folder TOKENIZER_DIR names or in the installed package."""
+    import public_tokenizers
+
     folder = os.environ.get("TOKENIZER_DIR")
     return f"{folder}/{name}" if folder else str(public_tokenizers.path(name))
 
@@ -288,16 +289,19 @@ own AS MATERIALIZED (
   SELECT host, avg(CASE WHEN given = 'allow' THEN 1.0 ELSE 0.0 END) AS seed_t, avg(CASE WHEN given = 'block' THEN 1.0 ELSE 0.0 END) AS seed_d
   FROM judged WHERE host <> '' GROUP BY host
 ),
-parents AS (
-  SELECT a.host, b.host AS parent FROM own a JOIN own b ON b.host = a.host[instr(a.host, '.') + 1:] WHERE instr(a.host, '.') > 0
+steps AS (
+  SELECT array_to_string(labels[i:], '.') AS low, array_to_string(labels[i + 1:], '.') AS high, n
+  FROM (SELECT labels, n, unnest(range(1, len(labels) - 1)) AS i
+        FROM (SELECT string_split(host, '.') AS labels, count(*) AS n FROM parsed WHERE host <> '' GROUP BY host)
+        WHERE NOT list_contains(labels, ''))
 ),
 every AS (
-  SELECT host AS source, host AS target FROM parsed WHERE host <> ''
-  UNION ALL SELECT host, lower(unnest(regexp_extract_all(html, '{link}', 1))) FROM parsed WHERE host <> ''
-  UNION ALL SELECT host, parent FROM parents
-  UNION ALL SELECT parent, host FROM parents
+  SELECT host AS source, host AS target, 1 AS weight FROM parsed WHERE host <> ''
+  UNION ALL SELECT host, lower(unnest(regexp_extract_all(html, '{link}', 1))), 1 FROM parsed WHERE host <> ''
+  UNION ALL SELECT low, high, n FROM steps
+  UNION ALL SELECT high, low, n FROM steps
 ),
-links AS (SELECT source, target, count(*) AS weight FROM every GROUP BY source, target),
+links AS (SELECT source, target, sum(weight) AS weight FROM every GROUP BY source, target),
 shares AS MATERIALIZED (
   SELECT source, target, weight / sum(weight) OVER (PARTITION BY source) AS forth, weight / sum(weight) OVER (PARTITION BY target) AS back
   FROM links

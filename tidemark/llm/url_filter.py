@@ -20,8 +20,8 @@ ROUNDS = 16
 STEP = 4
 #: Distrust that a host with no trust at all is let off, if all its pages are without a rule.
 THRESHOLD = 0.25
-# Absolute links in markup; the group is the host.
-LINK = r"""[Hh][Rr][Ee][Ff]\s*=\s*["']?[A-Za-z][A-Za-z0-9+.-]*://([^/?#"'\s<>]+)"""
+# Links in markup that name a host, with a scheme or without one; the group is the host.
+LINK = r"""[Hh][Rr][Ee][Ff]\s*=\s*["']?(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
 def host_of(url: Column) -> Column:
@@ -55,20 +55,32 @@ def rule_columns(rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def host_links(pages: DataFrame, hosts: DataFrame) -> DataFrame:
+def host_links(pages: DataFrame) -> DataFrame:
     """``source``, ``target`` and ``weight`` between hosts.
 
-    Absolute links of the pages, by number; every page also links to its own host, as its
-    relative links do; and a host and its parent domain, where both occur, link to each other.
+    Links of the pages that name a host, by number; every page also links to its own host, as its
+    relative links do. Besides, a host and its parent domain link to each other once for every page below them, up to
+    the domain of two labels and whether or not the domain has pages of its own: hosts of one
+    domain meet there.
     """
-    found = pages.select(
-        F.col("host").alias("source"), F.explode(F.array_append(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)), F.col("host"))).alias("target")
-    ).select("source", F.lower("target").alias("target")).where("source <> '' AND target <> ''")
-    parents = hosts.select("host", F.expr("substr(host, instr(host, '.') + 1)").alias("parent"))
-    parents = parents.where("instr(host, '.') > 0 AND parent <> ''").join(hosts.select(F.col("host").alias("parent")), "parent")
-    kin = parents.select(F.explode(F.array(F.struct("host", "parent"), F.struct(F.col("parent").alias("host"), F.col("host").alias("parent")))).alias("k"))
-    every = found.union(kin.select("k.host", "k.parent"))
-    return every.groupBy("source", "target").agg(F.count("*").cast("double").alias("weight"))
+    named = F.coalesce(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)), F.array())
+    found = pages.select(F.col("host").alias("source"), F.explode(F.array_append(named, F.col("host"))).alias("target"))
+    found = found.select("source", F.lower("target").alias("target"), F.lit(1.0).alias("weight"))
+    labels = F.split("host", r"\.")
+    up = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("labels") - 2, F.lit(1))),
+        lambda i: F.struct(
+            F.array_join(F.slice("labels", i, F.size("labels")), ".").alias("low"),
+            F.array_join(F.slice("labels", i + 1, F.size("labels")), ".").alias("high"),
+        ),
+    )
+    below = pages.groupBy("host").agg(F.count("*").cast("double").alias("weight")).withColumn("labels", labels)
+    steps = below.where((F.size("labels") > 2) & ~F.array_contains("labels", "")).select(F.explode(up).alias("k"), "weight")
+    kin = steps.select(
+        F.explode(F.array(F.struct("k.low", "k.high"), F.struct(F.col("k.high").alias("low"), F.col("k.low").alias("high")))).alias("k"), "weight"
+    ).select("k.low", "k.high", "weight")
+    every = found.union(kin).where("source <> '' AND target <> ''")
+    return every.groupBy("source", "target").agg(F.sum("weight").alias("weight"))
 
 
 def propagated(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
@@ -123,7 +135,7 @@ def url_verdicts(
         F.avg(F.when(F.col("given") == "block", 1.0).otherwise(0.0)).alias("seed_distrust"),
     )
     own = stage(own, "hosts")
-    links = stage(host_links(parsed.select("host", "html"), own), "host-links")
+    links = stage(host_links(parsed.select("host", "html")), "host-links")
     linked = links.select(F.col("target").alias("host")).distinct().join(own, "host", "left_anti")
     seeds = own.union(linked.select("host", F.lit(0.0), F.lit(0.0)))
     ranks = propagated(links, seeds, rounds=rounds)
