@@ -1,5 +1,6 @@
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -115,11 +116,37 @@ def test_every_document_has_a_slot_and_phases_hold_the_weights(spark):
 
 
 @given(st.lists(st.tuples(st.integers(1, 1000), st.floats(0.1, 9)), min_size=1, max_size=30), st.integers(1, 9))
-def test_phases_give_all_documents(sources, most):
-    supply, weights = [n for n, _ in sources], [w for _, w in sources]
-    plan = mixing.phases([*supply, 5], [*weights, 0.0], most)
-    assert len(plan) <= most and [sum(x) for x in zip(*[given for given, _ in plan])] == [*supply, 0]
-    assert all(n >= 0 for given, _ in plan for n in given)
+def test_phases_give_all_documents(sources, part):
+    supply, weights = np.array([*[n for n, _ in sources], 5]), np.array([*[w for _, w in sources], 0.0])
+    plan = list(mixing.phases(supply, weights))
+    assert sum(given for _, _, given, _ in plan).tolist() == [*supply[:-1], 0]
+    assert all((given >= 0).all() for _, _, given, _ in plan)
+    # Sources with documents left hold their weights in every phase.
+    for _, start, given, exact in plan:
+        alive = (start + given < supply) & (weights > 0)
+        per_weight = exact[alive] / weights[alive]
+        assert not alive.any() or np.ptp(per_weight) <= 1e-9 * per_weight.max() and (abs(given - exact)[alive] < 1 + 1e-6).all()
+    # Parts planned on their own are the same plan.
+    again = [x for first in range(0, len(plan), part) for x in mixing.phases(supply, weights, first, part)]
+    assert [[y.tolist() if i else y for i, y in enumerate(x)] for x in again] == [[y.tolist() if i else y for i, y in enumerate(x)] for x in plan]
+
+
+def test_a_thousand_sources_that_run_out_one_by_one_hold_the_weights(spark):
+    # Source k has k // 2 + 1 documents: 500 phases. While a source has documents, it gives one in each.
+    sizes = {f"s{k}": k // 2 + 1 for k in range(1000)}
+    df = spark.range(1000).selectExpr("concat('s', id) AS source", "explode(sequence(0L, id div 2)) AS i")
+    df = df.selectExpr("row_number() OVER (ORDER BY source, i) AS doc_id", "source", "'t' AS text")
+    found = mixing.mixture(df, block=1, resolution=16).collect()
+    assert len(found) == sum(sizes.values()) and all(r.kept and r.release <= r.slot < r.deadline for r in found)
+    kept = sorted(found, key=lambda r: r.slot)
+    at, given = 0, Counter()
+    for phase in range(500):
+        alive = 1000 - 2 * phase
+        part = Counter(r.source for r in kept[at : at + alive])
+        assert len(part) == alive and set(part.values()) == {1}, phase
+        at += alive
+        given += part
+    assert given == Counter(sizes)
 
 
 def test_empty_table(spark):

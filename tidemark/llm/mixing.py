@@ -15,6 +15,7 @@ import heapq
 import math
 from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -24,14 +25,10 @@ from tidemark.session import stage
 BLOCK = 64
 #: Slots of a period at least; with many sources four for each.
 RESOLUTION = 1024
-#: Phases at most. With more sources, those that run out at about the same time share a phase and
-#: are spread over all of it.
-PHASES = 256
+#: Phases that are planned in one row.
+PART = 16
 
-_PLAN = (
-    "_key string, _phase long, quota long, start long, n long, units long, rounds long, period long, "
-    "first_block long, first_slot long, slots array<long>"
-)
+_PLAN = "_key string, _phase long, quota long, start long, n long, units long, rounds long, period long, slots array<long>"
 
 
 def quotas(supply: list[int], weights: list[float], total: int) -> list[int]:
@@ -85,63 +82,95 @@ def schedule(units: list[int]) -> list[list[int]]:
     return slots
 
 
-def phases(supply: list[int], weights: list[float], most: int = PHASES) -> list[tuple[list[int], list[float]]]:
-    """Documents that each source gives in each phase, and its exact share of that phase.
+def phase_ends(supply: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Documents per weight at which a source runs out: the end of each phase, one for every such point."""
+    return np.unique(supply[weights > 0] / weights[weights > 0])
 
-    Sources give in proportion to their weights until one has no more; the others go on.
+
+def given_until(supply: np.ndarray, weights: np.ndarray, end: float) -> np.ndarray:
+    """Documents that each source has given when a phase ends."""
+    part = np.minimum(supply, np.floor(weights * end + 1e-9).astype(np.int64))
+    # Compared with the same quotients as the ends, so that no last document is left to rounding.
+    return np.where(weights > 0, np.where(_over(supply, weights) <= end, supply, part), 0)
+
+
+def _over(supply: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return np.divide(supply, weights, out=np.zeros(len(supply)), where=weights > 0)
+
+
+def phases(
+    supply: np.ndarray, weights: np.ndarray, first: int = 0, most: int | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of ``most`` phases from ``first`` on: number, documents given before and in it, and exact shares, per source.
+
+    Sources give in proportion to their weights until one has no more; the others go on. A phase
+    depends on its two ends only, so any range of phases can be planned on its own.
     """
-    until = [n / w if w else 0.0 for n, w in zip(supply, weights)]
-    ends = sorted({u for u, w in zip(until, weights) if w})
-    if len(ends) > most:
-        ends = [ends[(k + 1) * len(ends) // most - 1] for k in range(most)]
-    out, given, before = [], [0] * len(supply), 0.0
-    for end in ends:
-        now = [n if u <= end else min(n, math.floor(w * end + 1e-9)) for n, w, u in zip(supply, weights, until)]
-        now = [x if w else 0 for x, w in zip(now, weights)]
-        exact = [w * max(0.0, min(end, u) - before) for w, u in zip(weights, until)]
-        out.append(([x - g for x, g in zip(now, given)], exact))
-        given, before = now, end
-    return out
+    ends = phase_ends(supply, weights)
+    if first >= len(ends):
+        return
+    until = _over(supply, weights)
+    before = ends[first - 1] if first else 0.0
+    done = given_until(supply, weights, before) if first else np.zeros(len(supply), dtype=np.int64)
+    for number in range(first, len(ends) if most is None else min(len(ends), first + most)):
+        end = ends[number]
+        now = given_until(supply, weights, end)
+        yield number, done, now - done, weights * np.maximum(0.0, np.minimum(end, until) - before)
+        done, before = now, end
 
 
 def _planner(weights: Mapping[str, float] | None, budget: float | None, block: int, resolution: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((row for batch in batches for row in batch.to_pylist()), key=lambda row: row["_key"])
-        if not rows:
-            return
-        supply = [row["n"] for row in rows]
-        wanted = [1.0 if weights is None else float(weights.get(row["source"], 0.0)) for row in rows]
+    """Plans of the phases of each part: rows of ``part`` and all ``sources``."""
+
+    def planned(part: int, rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        keys = pa.array([row["_key"] for row in rows], type=pa.string())
+        supply = np.array([row["n"] for row in rows], dtype=np.int64)
+        wanted = np.array([1.0 if weights is None else float(weights.get(row["source"], 0.0)) for row in rows])
         if budget is None:
-            plan = phases(supply, wanted)
+            quota, plan = np.where(wanted > 0, supply, 0), phases(supply, wanted, part * PART, PART)
         else:
-            quota = quotas(supply, wanted, math.ceil(budget * sum(supply)))
-            plan = [(quota, quota)]
-        total = [sum(given) for given in zip(*[given for given, _ in plan])]
-        start, first_block, first_slot = [0] * len(rows), [0] * len(rows), 0
-        for number, (given, exact) in enumerate(plan):
-            own = [i for i, n in enumerate(given) if n]
-            if not own:
+            quota = np.array(quotas(supply.tolist(), wanted.tolist(), math.ceil(budget * int(supply.sum()))), dtype=np.int64)
+            plan = [(0, np.zeros_like(quota), quota, quota)] if part == 0 else []
+        for number, start, given, exact in plan:
+            own = np.flatnonzero(given)
+            if not len(own):
                 continue
             period = max(resolution, 4 * len(own))
-            units = shares([exact[i] for i in own], period)
-            rounds = max(1, -(-sum(given) // (period * block)))
+            units = shares(exact[own].tolist(), period)
+            rounds = max(1, -(-int(given.sum()) // (period * block)))
             n = len(own)
-            columns = [
-                [rows[i]["_key"] for i in own], [number] * n, [total[i] for i in own], [start[i] for i in own], [given[i] for i in own],
-                units, [rounds] * n, [period] * n, [first_block[i] for i in own], [first_slot] * n, schedule(units),
-            ]
+            columns = [[number] * n, quota[own], start[own], given[own], units, [rounds] * n, [period] * n]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(columns, [pa.string(), *[pa.int64()] * 9, pa.list_(pa.int64())])],
-                ["_key", "_phase", "quota", "start", "n", "units", "rounds", "period", "first_block", "first_slot", "slots"],
+                [keys.take(pa.array(own)), *[pa.array(c, type=pa.int64()) for c in columns], pa.array(schedule(units), type=pa.list_(pa.int64()))],
+                ["_key", "_phase", "quota", "start", "n", "units", "rounds", "period", "slots"],
             )
-            for i, u in zip(own, units):
-                start[i] += given[i]
-                first_block[i] += u * rounds
-            first_slot += period * rounds
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from planned(row["part"], row["sources"])
 
     return run
 
 
+def _plan(supply: DataFrame, weights: Mapping[str, float] | None, budget: float | None, block: int, resolution: int) -> DataFrame:
+    """A row per source and phase in which it gives documents, from one row per source.
+
+    The list of sources goes to each part of the phases, and the parts are planned side by side. A source is
+    in a phase only if it gives a document there, so there are no more rows than documents.
+    """
+    known = supply.groupBy().agg(F.sort_array(F.collect_list(F.struct("_key", "source", "n"))).alias("sources")).where("size(sources) > 0")
+    parts = known.select(F.explode(F.expr(f"sequence(0, (size(sources) - 1) div {PART})")).alias("part"), "sources")
+    plan = stage(parts.repartition("part").mapInArrow(_planner(weights, budget, block, resolution), _PLAN), "mix")
+    # One row per phase, of which there are no more than sources.
+    spans = plan.groupBy("_phase").agg(F.first(F.expr("period * rounds")).alias("_span"))
+    earlier = Window.orderBy("_phase").rowsBetween(Window.unboundedPreceding, -1)
+    first = spans.select("_phase", F.coalesce(F.sum("_span").over(earlier), F.lit(0)).alias("first_slot"))
+    own = Window.partitionBy("_key").orderBy("_phase").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = F.coalesce(F.sum(F.expr("units * rounds")).over(own), F.lit(0))
+    return stage(plan.join(first, "_phase").withColumn("first_block", blocks), "mix")
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """With ``_key`` (null and empty sources apart), ``_hash`` of the doc_id, and its upper bits."""
     return docs.select(
@@ -161,22 +190,31 @@ def _placed(
     before = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_key", "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
     # One row per source.
-    supply = counts.groupBy("_key").agg(F.first("source").alias("source"), F.sum("n").alias("n"))
-    plan = stage(supply.repartition(1).mapInArrow(_planner(weights, budget, block, resolution), _PLAN), "mix")
-    # The phase of a place: of those of its source, the last that starts at or before it.
-    begun = F.sort_array(F.collect_list(F.struct(F.col("start").alias("at"), F.col("_phase").alias("phase"))))
-    starts = plan.groupBy("_key").agg(F.first("quota").alias("quota"), begun.alias("_starts"))
+    plan = _plan(counts.groupBy("_key").agg(F.first("source").alias("source"), F.sum("n").alias("n")), weights, budget, block, resolution)
+    # The phases of a range of places: the one its first place is in, and those that start within it.
+    nothing = F.lit(None).cast("long")
+    spots = offsets.select("_key", F.col("_before").alias("at"), F.lit(1).alias("kind"), "_bucket", nothing.alias("phase")).union(
+        plan.select("_key", "start", F.lit(0), nothing, "_phase")
+    )
+    so_far = Window.partitionBy("_key").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    spots = spots.select(
+        "_key", "at", "kind", F.last("_bucket", True).over(so_far).alias("_bucket"), F.last("phase", True).over(so_far).alias("phase")
+    )
+    ranges = spots.groupBy("_key", "_bucket").agg(
+        F.max(F.when(F.col("kind") == 1, F.col("at"))).alias("_before"), F.sort_array(F.collect_list(F.struct("at", "phase"))).alias("_starts")
+    )
     own = Window.partitionBy("_key", "_bucket").orderBy("_hash", "doc_id")
-    ranked = keyed.withColumn("_place", F.row_number().over(own) - 1).join(offsets, ["_key", "_bucket"])
+    # Ranges grow with the sources: they meet the documents where the window has put them, and are never broadcast.
+    ranked = keyed.withColumn("_place", F.row_number().over(own) - 1).join(ranges.hint("merge"), ["_key", "_bucket"])
     rank = (F.col("_before") + F.col("_place")).cast("long")
-    ranked = ranked.select("doc_id", "source", *more, "_key", rank.alias("rank")).join(starts, "_key", "left")
+    ranked = ranked.select("doc_id", "source", *more, "_key", rank.alias("rank"), "_starts")
     phase = F.get("_starts", F.size(F.filter("_starts", lambda s: s.getField("at") <= F.col("rank"))) - 1).getField("phase")
+    ranked = ranked.select("doc_id", "source", *more, "_key", "rank", phase.alias("_phase"))
+    joined = ranked.join(plan.where("quota > 0"), ["_key", "_phase"], "left")
     kept = F.coalesce(F.col("rank") < F.col("quota"), F.lit(False))
-    ranked = ranked.select("doc_id", "source", *more, "_key", "rank", kept.alias("kept"), F.when(kept, phase).alias("_phase"))
-    joined = ranked.join(plan.drop("quota"), ["_key", "_phase"], "left")
     placed = joined.select(
-        "doc_id", "source", *more, "rank", "kept", "units", "period", "slots", "first_block", "first_slot",
-        F.expr("(rank - start) * (units * rounds) div n").alias("_number"),
+        "doc_id", "source", *more, "rank", kept.alias("kept"), "units", "period", "slots", "first_block", "first_slot",
+        F.when(kept, F.expr("(rank - start) * (units * rounds) div n")).alias("_number"),
     )
     k, start = F.expr("_number % units"), F.expr("first_slot + (_number div units) * period")
     return placed.select(
