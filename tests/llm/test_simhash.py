@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import xxhash
@@ -79,6 +80,84 @@ def test_one_of_each_group_keeps_columns_and_rows(spark):
     assert rows(kept) == rows(spark.createDataFrame([docs[0], docs[3], docs[5], docs[6]], df.schema))
 
 
+def plain_similar(docs, similarity=0.8, shingle=5, distance=simhash.WIDE):
+    """Ids that stay, by comparing every pair of the groups' first documents."""
+    groups = {}
+    for (doc_id, text), (_, fp, component) in zip(docs, plain_groups(docs)):
+        if doc_id == component:
+            groups[doc_id] = (int(fp, 16), text)
+    sets = {}
+    for doc_id, (_, text) in groups.items():
+        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        sets[doc_id] = {tuple(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))} if words else set()
+    root = {d: d for d in groups}
+    for a in groups:
+        for b in groups:
+            if a < b and (groups[a][0] ^ groups[b][0]).bit_count() <= distance:
+                both = len(sets[a] & sets[b])
+                if both and both >= similarity * len(sets[a] | sets[b]) - 1e-9:
+                    old, new = max(root[a], root[b]), min(root[a], root[b])
+                    root = {d: new if r == old else r for d, r in root.items()}
+    return sorted(d for d, r in root.items() if d == r), sets
+
+
+def similar_corpus(count=80):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(500)]
+    docs = []
+    for _ in range(count):
+        base = [rng.choice(words) for _ in range(rng.choice([3, 60, 100, 200]))]
+        docs.append((len(docs), " ".join(base)))
+        for _ in range(rng.randrange(3)):
+            near = list(base)
+            for _ in range(1 + len(near) // 60):
+                near[rng.randrange(len(near))] = rng.choice(words).upper()
+            docs.append((len(docs), " ".join(near)))
+    return docs
+
+
+def test_no_pair_within_the_wide_distance_is_missed():
+    rng = np.random.default_rng(5)
+    values = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    other = values.copy()
+    for i in range(len(other)):
+        for bit in rng.choice(64, simhash.WIDE, replace=False):
+            other[i] ^= np.uint64(1 << int(bit))
+    met = np.zeros(len(values), dtype=bool)
+    for shift, bits in simhash.RANGES:
+        near = {(i, a): c for i, a, c in zip(*(x.tolist() for x in simhash.meeting(values, shift, bits)))}
+        for i, a, c in zip(*(x.tolist() for x in simhash.meeting(other, shift, bits))):
+            met[i] |= (i, a) in near and (c or near[i, a])
+    assert met.all()
+
+
+def test_close_pairs_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    values = rng.integers(0, 1 << 62, 200).tolist()
+    values += [v ^ int(sum(1 << int(b) for b in rng.choice(62, n, replace=False))) for v, n in zip(values, list(range(1, 16)) * 10)]
+    found = rows(simhash.close_pairs(spark.createDataFrame([(v,) for v in values], "fp long").distinct()))
+    distinct = sorted(set(values))
+    assert found == sorted(((a, b) for a in distinct for b in distinct if a < b and (a ^ b).bit_count() <= 11), key=repr)
+
+
+def test_similar_texts_equal_brute_force(spark):
+    docs = similar_corpus()
+    odd = [(900, ""), (901, None), (902, "one two"), (903, "one  TWO"), (904, docs[0][1])]
+    df = spark.createDataFrame(docs + odd, "doc_id long, text string").selectExpr("*", "1 AS fp", "'x' AS _set", "2 AS a")
+    kept = simhash.one_of_each_group(df, similarity=0.8)
+    expected, sets = plain_similar(docs + odd)
+    assert sorted(r.doc_id for r in kept.collect()) == expected and kept.columns == df.columns
+    # More goes than without the second comparison, and of the pairs as similar as that nine in ten at least are found.
+    assert len(expected) < simhash.one_of_each_group(df).count()
+    ids = sorted(sets)
+    pairs = [(a, b) for a in ids for b in ids if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) > 0]
+    left = [(a, b) for a, b in pairs if a in expected and b in expected]
+    assert len(pairs) >= 20 and len(left) <= len(pairs) / 10
+    nulls = spark.createDataFrame([(None, docs[0][1]), (None, docs[0][1]), (0, docs[0][1]), (0, docs[0][1])], "doc_id long, text string")
+    assert simhash.one_of_each_group(nulls, similarity=0.8).count() == 3
+    assert simhash.one_of_each_group(df.limit(0), similarity=0.8).collect() == []
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_groups(df).collect() == [] and simhash.one_of_each_group(df).collect() == []

@@ -5,6 +5,12 @@ fingerprint lies within distance 3 of exactly one of them, its home. If two fing
 in at most t bits, the home of one lies within 3 + t of the other. So each fingerprint is kept
 at its home and replicated to every anchor within covering radius plus threshold (about 70), and
 fingerprints are compared at each anchor only. No pair within the threshold can be missed.
+
+Texts of a given word similarity lie further apart than three bits. For them the 64 bits are cut into
+three disjoint ranges, each with the same anchors: a pair within 11 bits is within 3 on one of
+them. Somewhere between two words at distance 3 lies one at distance 1 from the first and 2 from the
+second, and its home is within 4 of one and 5 of the other: replication goes no further there
+(about 22 anchors a range). What meets within 11 bits is then verified on its word shingles.
 """
 
 from __future__ import annotations
@@ -15,14 +21,17 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import components, document_texts, local_stars, slices, small_batches
+from tidemark.llm.common import ascii_lower, components, document_texts, local_stars, slices, small_batches, words_of
 from tidemark.session import stage
 
 SHINGLE = 3
 SEED = 42
 THRESHOLD = 3
+#: Bits that may differ before a pair is verified, and the ranges (lowest bit, bits) of which one has at most 3 of them.
+WIDE = 11
+RANGES = ((0, 23), (23, 23), (46, 18))
 
 # ---------------------------------------------------------------- fingerprints
 
@@ -174,6 +183,97 @@ def linked(fps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return placed.groupBy("anchor").applyInArrow(_compare(threshold), "a long, b long").distinct()
 
 
+# ---------------------------------------------------------------- similar texts
+
+
+def meeting(values: np.ndarray, shift: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index of each value, an anchor within 5 of the given range of its bits, and whether within 4."""
+    leaders, near = _code()
+    part = (values >> np.uint64(shift) & np.uint64((1 << bits) - 1)).astype(np.int64)
+    syndrome = _syndromes(part)
+    home = part ^ leaders[syndrome]
+    index, anchors, close = [], [], []
+    order = np.argsort(syndrome, kind="stable")
+    groups = np.split(order, np.flatnonzero(np.diff(syndrome[order])) + 1) if len(order) else []
+    for members in groups:
+        words, excess = near[syndrome[members[0]]]
+        pick = excess <= 2
+        words, excess = words[pick], excess[pick]
+        index.append(np.repeat(members, len(words)))
+        anchors.append((home[members][:, None] ^ words[None, :]).ravel() >> _CHECKS)
+        close.append(np.tile(excess <= 1, len(members)))
+    if not index:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+    return np.concatenate(index), np.concatenate(anchors), np.concatenate(close)
+
+
+def _place_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 4096):
+            values = batch.column("fp").slice(at, 4096).to_numpy().view(np.uint64)
+            for number, (shift, bits) in enumerate(RANGES):
+                index, anchors, close = meeting(values, shift, bits)
+                keys = (anchors + (number << (_BITS - _CHECKS))).astype(np.int32)
+                fps = values[index].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(close), pa.array(fps)], ["anchor", "close", "fp"])
+
+
+def _compare_ranges(distance: int):
+    def run(table: pa.Table) -> pa.Table:
+        fps = table.column("fp").to_numpy().view(np.uint64)
+        close = fps[table.column("close").to_numpy(zero_copy_only=False)]
+        a, b = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.uint64)]
+        step = max(1, (1 << 20) // max(1, len(close)))
+        for at in range(0, len(fps) if len(close) else 0, step):
+            part = fps[at : at + step]
+            i, j = np.nonzero(np.bitwise_count(part[:, None] ^ close[None, :]) <= distance)
+            i, j = part[i], close[j]
+            a.append(np.minimum(i, j)[i != j])
+            b.append(np.maximum(i, j)[i != j])
+        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
+        return pa.table({"a": pairs[0].view(np.int64), "b": pairs[1].view(np.int64)})
+
+    return run
+
+
+def close_pairs(fps: DataFrame, distance: int = WIDE) -> DataFrame:
+    """``a`` and ``b``: each pair of distinct fingerprints that differ in at most ``distance`` (at most 11) bits."""
+    if not 0 <= distance <= WIDE:
+        raise ValueError(f"distance must be 0 to {WIDE}")
+    placed = fps.select("fp").mapInArrow(_place_ranges, "anchor int, close boolean, fp long")
+    return placed.groupBy("anchor").applyInArrow(_compare_ranges(distance), "a long, b long").distinct()
+
+
+def shingle_set(words: str, shingle: int) -> Column:
+    """Distinct hashes of the runs of ``shingle`` of the words in a column; of all, if fewer; none without a word."""
+    runs = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(words) - (shingle - 1), F.lit(1))),
+        lambda i: F.xxhash64(F.concat_ws(" ", F.slice(words, i, shingle))),
+    )
+    return F.when(F.size(words) > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+
+
+def similar_links(docs: DataFrame, firsts: DataFrame, similarity: float, shingle: int, distance: int) -> DataFrame:
+    """``a`` and ``b``: fingerprints of those of ``firsts`` whose texts have at least that Jaccard similarity.
+
+    ``firsts`` holds ``doc_id``, ``first_hash`` and ``fp``, a row for each fingerprint. Only texts with
+    another within ``distance`` bits are read for their shingles; each pair of them is verified.
+    """
+    pairs = stage(close_pairs(firsts, distance), "pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    wanted = firsts.join(nodes, "fp", "left_semi").select(F.col("doc_id").alias("_id"), "first_hash", "fp")
+    texts = document_texts(docs)
+    met = texts.join(wanted, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("first_hash")))
+    words = met.dropDuplicates(["fp"]).select("fp", words_of(ascii_lower("text")).alias("_words"))
+    sets = stage(words.select("fp", shingle_set("_words", shingle).alias("_set")), "shingles")
+    both = (
+        pairs.join(sets.select(F.col("fp").alias("a"), F.col("_set").alias("_left")).hint("merge"), "a")
+        .join(sets.select(F.col("fp").alias("b"), F.col("_set").alias("_right")).hint("merge"), "b")
+        .select("a", "b", F.size("_left").alias("_m"), F.size("_right").alias("_n"), F.size(F.array_intersect("_left", "_right")).alias("_both"))
+    )
+    return both.where((F.col("_both") > 0) & (F.col("_both") >= F.lit(similarity) * (F.col("_m") + F.col("_n") - F.col("_both")) - 1e-9)).select("a", "b")
+
+
 def _grouped(docs: DataFrame, threshold: int) -> DataFrame:
     """``doc_id``, ``text_hash``, ``fp`` and ``component_id`` of every row."""
     rows = stage(fingerprints(docs), "fingerprints")
@@ -201,22 +301,38 @@ def simhash_groups(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     )
 
 
-def one_of_each_group(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def one_of_each_group(
+    docs: DataFrame, threshold: int = THRESHOLD, similarity: float | None = None, shingle: int = 5, distance: int = WIDE
+) -> DataFrame:
     """The rows of ``docs`` that stay: the smallest doc_id of each group, all columns unchanged.
 
+    With a ``similarity`` the documents that stay are compared again: those whose fingerprints differ
+    in at most ``distance`` bits and whose runs of ``shingle`` words have at least that Jaccard
+    similarity are linked, and of what is connected by such links the smallest doc_id stays. Texts
+    without a word are linked by their equal fingerprints alone.
+
     Of rows that repeat one kept doc_id in a group, one stays. Rows without a doc_id all stay:
     nothing says which of them to prefer. Rows that go are named by id and a hash of the text.
     Their list grows with the documents, so both are shuffled, whatever its size today.
     """
-    rows = stage(_grouped(docs, threshold).drop("fp").where("doc_id IS NOT NULL"), "groups")
+    rows = stage(_grouped(docs, threshold).where("doc_id IS NOT NULL"), "groups")
     kept = rows.where("doc_id = component_id").groupBy("doc_id").agg(
-        F.min("text_hash").alias("first_hash"), F.count("*").alias("_rows")
+        F.min("text_hash").alias("first_hash"), F.count("*").alias("_rows"), F.min_by("fp", "text_hash").alias("fp")
     )
     repeated = stage(kept.where("_rows > 1"), "repeated")
     gone = rows.where("doc_id <> component_id").select("doc_id", "text_hash")
     if not repeated.isEmpty():
         others = rows.where("doc_id = component_id").join(repeated, "doc_id").where("text_hash <> first_hash")
         gone = gone.union(others.select("doc_id", "text_hash"))
+    if similarity is not None:
+        firsts = stage(kept.select("doc_id", "first_hash", "fp"), "firsts")
+        named = firsts.join(
+            components(similar_links(docs, firsts, similarity, shingle, distance)).withColumnRenamed("node", "fp"), "fp"
+        )
+        named = stage(named, "similar")
+        least = named.groupBy("component").agg(F.min("doc_id").alias("_least"))
+        again = named.join(least, "component").where("doc_id <> _least")
+        gone = gone.union(again.select("doc_id", F.col("first_hash").alias("text_hash")))
     gone = stage(gone.distinct(), "gone").hint("merge").alias("g")
     same = (F.col("d.doc_id") == F.col("g.doc_id")) & (
         F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("g.text_hash")
