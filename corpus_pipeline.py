@@ -28,8 +28,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
-    return simhash.one_of_each_group(docs)
+    """One document of each near-duplicate group stays: fingerprints within 3 bits, then five-word similarity of 0.8 or more."""
+    return simhash.one_of_each_group(docs, similarity=0.8)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
