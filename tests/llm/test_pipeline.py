@@ -7,7 +7,7 @@ from tidemark.llm import bpe, mixing
 from test_bpe import plain
 from test_quality_rules import plain_rules
 from test_secret_scan import plain_base
-from test_simhash import plain_groups
+from test_simhash import plain_groups, plain_similar
 
 
 def corpus():
@@ -36,7 +36,10 @@ def test_stages_equal_plain_versions(spark, tmp_path):
     spark.createDataFrame(docs, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     kept = [d for d, (*_, ok, _) in zip(docs, plain_rules([(d[0], d[1], d[3]) for d in docs])) if ok]
     groups = {d: c for d, _, c in plain_groups([(d[0], d[1]) for d in kept])}
-    kept = [d for d in kept if groups[d[0]] == d[0]]
+    stay, _ = plain_similar([(d[0], d[1]) for d in kept])
+    # The copy with a word more is too far for three bits and goes by its five-word similarity.
+    assert 11 not in stay and groups[11] == 11
+    kept = [d for d in kept if d[0] in stay]
     assert {3, 22, 24} <= {d[0] for d in kept} and not {10, 20, 21, 23} & {d[0] for d in kept}
     masked = []
     for d in kept:
