@@ -77,3 +77,33 @@ def test_documents(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.decode(bpe.encode(df, PATH), PATH).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([" a", "  ", " ", "\xa0", "  b", " é", " 'll", " 12", " !", "\n x", "\t y", "\x1c z", " <|endoftext|>", "日 本", " ̈a", "᠎ c"]), max_size=40))
+def test_words_encoded_apart_equal_whole_encoding(pieces):
+    text = "".join(pieces)
+    tool = bpe.codec(PATH)
+    assert tool.by_words and np.frombuffer(tool.encode(text), dtype="<u4").tolist() == plain(text)
+
+
+def test_words_are_merged_once_and_memory_is_bounded(monkeypatch):
+    tool = bpe.Codec(PATH)
+    sent, inner = [], tool.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, texts, **more):
+            sent.extend(texts)
+            return inner.encode_batch_fast(texts, **more)
+
+    tool.tokenizer = Counting()
+    monkeypatch.setattr(bpe, "KNOWN", 50)
+    text = "some words " * 1000 + "x" * 500
+    for _ in range(3):
+        assert np.frombuffer(tool.encode(text), dtype="<u4").tolist() == plain(text)
+    # The text is 11,500 characters; its few words reach the merges once, the long one is not kept.
+    assert sum(map(len, sent)) < 2500 and max(map(len, tool.known)) <= bpe.LONGEST
+    for i in range(40):
+        many = " ".join(f"w{i}n{j}" for j in range(20))
+        assert np.frombuffer(tool.encode(many), dtype="<u4").tolist() == plain(many)
+    assert len(tool.known) <= 50 + 21

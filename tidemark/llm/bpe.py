@@ -10,6 +10,10 @@ Why that is exact: a token sequence is the encoding of its text if each two neig
 property of merges by rank), and each two neighbours of the result come from one encoding that
 has both. The word pattern looks back at nothing and ahead at no more than two characters, so
 word borders of a half hold except at its very end, which the agreed tokens keep away from.
+
+A piece that is encoded in place is cut before each blank that a visible ASCII character follows: the
+word pattern has a border there whatever comes before, and no token crosses it. Each worker keeps the
+ids of the words it has met, so a word is merged once and then looked up.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,6 +39,10 @@ WINDOW = 64
 MARGIN = 16
 #: Bytes of text that a task takes at a time.
 BATCH = 2 << 20
+#: Words whose ids a worker keeps before it starts anew, and characters of such a word at most.
+KNOWN, LONGEST = 1 << 19, 32
+
+_BORDER = re.compile("(?= [!-~])")
 
 
 class Codec:
@@ -50,6 +59,7 @@ class Codec:
         if any(t.lstrip or t.rstrip or t.single_word or " " in t.content for t in added.values()):
             raise ValueError("Added tokens that look at their surroundings are not supported")
         self.added = {t.content: number for number, t in added.items()}
+        self.by_words, self.known = _splits_at_blanks(path), {}
         self.lengths = np.array([len(b) for b in byte_table(path)], dtype=np.int64)
 
     def parts(self, text: str) -> list[str]:
@@ -61,8 +71,29 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian 32-bit integers."""
-        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found.ids, dtype="<u4").tobytes()
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        cut = [self.words(text) for text in texts]
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        ids = self.known
+        new = list({word for words in cut for word in words if word not in ids})
+        if new:
+            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            ids.update((word, struct.pack(f"<{len(one)}I", *one.ids)) for word, one in zip(new, found))
+        out = [b"".join([ids[word] for word in words]) for words in cut]
+        for word in new:
+            if len(word) > LONGEST:
+                del ids[word]
+        return out
+
+    def words(self, text: str) -> list[str]:
+        """Pieces of ``text`` that are encoded apart; the whole of it where an added token may reach over a border."""
+        if not self.by_words or any(token in text for token in self.added):
+            return [text]
+        return _BORDER.split(text)
 
     def join(self, text: str, at: int, left: np.ndarray, right: np.ndarray, low: int, high: int) -> np.ndarray:
         """Ids of ``text[low:high]`` from the ids of the halves before and after ``at``."""
@@ -134,6 +165,17 @@ def byte_table(path: str) -> list[bytes]:
     return [table.get(number, b"") for number in range(max(table) + 1)]
 
 
+def _splits_at_blanks(path: str) -> bool:
+    """Whether the file's texts go to the word pattern as they are, and merges look at one word only."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    words = content["pre_tokenizer"] or {}
+    return (
+        content["normalizer"] is None and not content["model"].get("dropout")
+        and words.get("type") == "ByteLevel" and words.get("use_regex", True) and not words.get("add_prefix_space", True)
+    )
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     """The codec of a file, loaded once in each worker."""
@@ -144,7 +186,7 @@ def _encode_short(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path)
         for batch in slices(batches, "text", BATCH):
-            ids = [tool.encode(text) for text in batch.column("text").to_pylist()]
+            ids = tool.encode_all(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return run
@@ -175,7 +217,7 @@ def _encode_leaves(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path)
         for batch in slices(batches, "text", BATCH):
-            ids = [tool.encode(text) for text in batch.column("text").to_pylist()]
+            ids = tool.encode_all(batch.column("text").to_pylist())
             yield batch.append_column("ids", pa.array(ids, pa.binary()))
 
     return run
