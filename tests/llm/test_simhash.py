@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from conftest import rows
@@ -169,3 +170,84 @@ def test_long_chain_is_one_group(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 300)] + [(500, 501), (501, 501)], "a long, b long")
     found = dict(rows(components(links)))
     assert {found[i] for i in range(301)} == {0} and found[500] == found[501] == 500
+
+
+def dense_group(count, changed, seed=9):
+    """Texts that differ from one another in ``changed`` of 120 words, and their fingerprints by hand within 11 bits."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+    texts, fps = [], set()
+    for i in range(count):
+        words = list(base)
+        for k in rng.sample(range(120), changed):
+            words[k] = f"x{i}n{k}"
+        texts.append(" ".join(words))
+        while len(fps) == i:
+            fps.add(sum(1 << b for b in rng.sample(range(62), rng.randrange(6))))
+    return [(i, text, fp) for i, (text, fp) in enumerate(zip(texts, sorted(fps)))]
+
+
+def plain_links(members, similarity=0.8):
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for _, t, _ in members]
+    label = {fp: fp for *_, fp in members}
+    for i, (_, _, a) in enumerate(members):
+        for j, (_, _, b) in enumerate(members[:i]):
+            if (a ^ b).bit_count() <= 11 and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = {k: new if v == old else v for k, v in label.items()}
+    return label
+
+
+def test_a_dense_group_does_not_send_all_its_pairs(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from tidemark.llm.common import components
+
+    written, plain_stage = {}, simhash.stage
+
+    def counting(df, label):
+        out = plain_stage(df, label)
+        written[label] = max(written.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "stage", counting)
+    # One word changed: most pairs are similar. Four: the bound tells that none is. A mix of both in one group.
+    for members in (dense_group(150, 1), dense_group(150, 4), dense_group(90, 1) + [
+        (i + 500, t, fp | 1 << 62) for i, t, fp in dense_group(60, 3, seed=2)
+    ]):
+        written.clear()
+        docs = spark.createDataFrame([m[:2] for m in members], "doc_id long, text string")
+        firsts = spark.createDataFrame([(m[0], m[2]) for m in members], "doc_id long, fp long").join(docs, "doc_id")
+        firsts = firsts.select("doc_id", F.xxhash64("text").alias("first_hash"), "fp")
+        links = simhash.similar_links(docs, firsts, 0.8, 5, 11)
+        found = {m[2]: m[2] for m in members} | dict(rows(components(links)))
+        assert found == plain_links(members)
+        # All pairs are within 11 bits (150 * 149 / 2 of them).
+        assert written["named"] <= 2 * written["met"] and written["checked"] < 4 * len(members)
+
+
+def test_pairs_below_the_similarity_are_all_verified_where_the_bound_can_not_tell(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from tidemark.llm.common import components
+
+    members = dense_group(40, 1) + [(i + 100, t, fp | 1 << 62) for i, t, fp in dense_group(30, 2, seed=4)]
+    monkeypatch.setattr(simhash, "_highest", lambda left, right, m, n: np.minimum(m, n))
+    docs = spark.createDataFrame([m[:2] for m in members], "doc_id long, text string")
+    firsts = spark.createDataFrame([(m[0], m[2]) for m in members], "doc_id long, fp long").join(docs, "doc_id")
+    firsts = firsts.select("doc_id", F.xxhash64("text").alias("first_hash"), "fp")
+    for similarity in (0.8, 0.9):
+        links = simhash.similar_links(docs, firsts, similarity, 5, 11)
+        assert {m[2]: m[2] for m in members} | dict(rows(components(links))) == plain_links(members, similarity)
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(4)
+    for size in (3, 40, 400, 4000, 100_000):
+        pool = rng.integers(-(1 << 62), 1 << 62, size * 2)
+        sets = [set(rng.choice(pool, rng.integers(1, size + 1), replace=False).tolist()) for _ in range(8)]
+        (batch,) = simhash._bucket_counts([pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array([list(s) for s in sets], pa.list_(pa.int64()))], ["fp", "_set"])])
+        counts = np.frombuffer(b"".join(batch.column("counts").to_pylist()), dtype=np.uint8).reshape(8, -1)
+        n = batch.column("size").to_numpy().astype(np.int64)
+        for i in range(8):
+            for j in range(8):
+                (most,) = simhash._highest(counts[[i]], counts[[j]], n[[i]], n[[j]])
+                assert len(sets[i] & sets[j]) <= most <= min(len(sets[i]), len(sets[j]))

@@ -11,6 +11,12 @@ three disjoint ranges, each with the same anchors: a pair within 11 bits is with
 them. Somewhere between two words at distance 3 lies one at distance 1 from the first and 2 from the
 second, and its home is within 4 of one and 5 of the other: replication goes no further there
 (about 22 anchors a range). What meets within 11 bits is then verified on its word shingles.
+
+Only what is connected matters, so a dense group does not send all its pairs: at each anchor a set of
+connected members, at first each on its own, names its most promising pair with another set. Those
+verified join sets; where sets have more to name there is another round, with eight times as many
+pairs a set if most of the last failed. Counts of the shingles in 256 buckets go along and bound the
+similarity from above; a pair that can't reach it is never sent.
 """
 
 from __future__ import annotations
@@ -236,12 +242,111 @@ def _compare_ranges(distance: int):
     return run
 
 
-def close_pairs(fps: DataFrame, distance: int = WIDE) -> DataFrame:
-    """``a`` and ``b``: each pair of distinct fingerprints that differ in at most ``distance`` (at most 11) bits."""
+def _placed(fps: DataFrame, distance: int) -> DataFrame:
     if not 0 <= distance <= WIDE:
         raise ValueError(f"distance must be 0 to {WIDE}")
-    placed = fps.select("fp").mapInArrow(_place_ranges, "anchor int, close boolean, fp long")
-    return placed.groupBy("anchor").applyInArrow(_compare_ranges(distance), "a long, b long").distinct()
+    return fps.select("fp").mapInArrow(_place_ranges, "anchor int, close boolean, fp long")
+
+
+def close_pairs(fps: DataFrame, distance: int = WIDE) -> DataFrame:
+    """``a`` and ``b``: each pair of distinct fingerprints that differ in at most ``distance`` (at most 11) bits.
+
+    A dense group has all its pairs here; ``similar_links`` does without them.
+    """
+    return _placed(fps, distance).groupBy("anchor").applyInArrow(_compare_ranges(distance), "a long, b long").distinct()
+
+
+def _accompanied(distance: int):
+    """The rows of an anchor that another is within ``distance`` bits of."""
+
+    def run(table: pa.Table) -> pa.Table:
+        fps = table.column("fp").to_numpy().view(np.uint64)
+        close = table.column("close").to_numpy(zero_copy_only=False)
+        here, met = fps[close], np.zeros(len(fps), dtype=bool)
+        met_here = np.zeros(len(here), dtype=bool)
+        step = max(1, (1 << 20) // max(1, len(here)))
+        for at in range(0, len(fps) if len(here) else 0, step):
+            part = fps[at : at + step]
+            near = (np.bitwise_count(part[:, None] ^ here[None, :]) <= distance) & (part[:, None] != here[None, :])
+            met[at : at + step] = near.any(axis=1)
+            met_here |= near.any(axis=0)
+        met[close] |= met_here
+        return table.filter(pa.array(met))
+
+    return run
+
+
+BUCKETS = 256
+
+
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``fp``, ``size`` and, a byte each, how many shingles of a set fall into each bucket (255: or more)."""
+    for batch in batches:
+        sets = batch.column("_set")
+        sizes = np.diff(sets.offsets.to_numpy())
+        values = sets.flatten().to_numpy().view(np.uint64) % np.uint64(BUCKETS)
+        rows = np.repeat(np.arange(batch.num_rows, dtype=np.int64), sizes)
+        counts = np.bincount(rows * BUCKETS + values.astype(np.int64), minlength=batch.num_rows * BUCKETS)
+        counts = np.minimum(counts, 255).astype(np.uint8).reshape(-1, BUCKETS)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("fp"), pa.array(sizes.astype(np.int32)), pa.array([row.tobytes() for row in counts], pa.binary())],
+            ["fp", "size", "counts"],
+        )
+
+
+def _highest(left: np.ndarray, right: np.ndarray, m: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What two sets of ``m`` and ``n`` shingles have in common at most, by their bucket counts."""
+    upper = np.maximum(left, right)
+    only_left = (upper - right).sum(axis=1, dtype=np.int64)
+    only_right = (upper - left).sum(axis=1, dtype=np.int64)
+    return np.minimum(m - only_left, n - only_right)
+
+
+def _reaches(both, m, n, similarity: float):
+    """Whether sets of ``m`` and ``n`` members with ``both`` in common are as similar as that; arrays or columns."""
+    return (both > 0) & (both >= similarity * (m + n - both) - 1e-9)
+
+
+def _name_partners(distance: int, similarity: float, most: int):
+    """For each set at an anchor the ``most`` most promising pairs with members of others, and whether it has more."""
+
+    def best(of, i, j, score, fps):
+        """Order and pick of the best pairs by ``of``, and whether there are others."""
+        order = np.lexsort((fps[j], fps[i], -score, of))
+        of = of[order]
+        first = np.searchsorted(of, of)
+        pick = np.arange(len(of)) - first < most
+        return order[pick], (np.searchsorted(of, of, side="right") - first > most)[pick]
+
+    def run(table: pa.Table) -> pa.Table:
+        fps = table.column("fp").to_numpy().view(np.uint64)
+        sets, sizes = table.column("label").to_numpy(), table.column("size").to_numpy().astype(np.int64)
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype=np.uint8).reshape(-1, BUCKETS)
+        here = np.flatnonzero(table.column("close").to_numpy(zero_copy_only=False))
+        kept = [(np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0), np.zeros(0, dtype=bool))]
+        step = max(1, (1 << 20) // max(1, len(here)))
+        for at in range(0, len(fps) if len(here) else 0, step):
+            part = slice(at, at + step)
+            near = np.bitwise_count(fps[part, None] ^ fps[None, here]) <= distance
+            i, j = np.nonzero(near & (sets[part, None] != sets[None, here]))
+            i, j = i + at, here[j]
+            common = np.zeros(len(i), dtype=np.int64)
+            for k in range(0, len(i), 1 << 14):
+                x, y = i[k : k + (1 << 14)], j[k : k + (1 << 14)]
+                common[k : k + (1 << 14)] = _highest(counts[x], counts[y], sizes[x], sizes[y])
+            fit = _reaches(common, sizes[i], sizes[j], similarity)
+            i, j, common = i[fit], j[fit], common[fit]
+            score = common / (sizes[i] + sizes[j] - common)
+            pick, more = best(i, i, j, score, fps)
+            kept.append((i[pick], j[pick], score[pick], more))
+        i, j, score, cut = map(np.concatenate, zip(*kept))
+        pick, more = best(sets[i], i, j, score, fps)
+        more |= np.isin(sets[i[pick]], sets[i[cut]])
+        a, b = fps[i[pick]].view(np.int64), fps[j[pick]].view(np.int64)
+        anchor = table.column("anchor").to_numpy()[:1].repeat(len(a))
+        return pa.table({"anchor": anchor, "a": np.minimum(a, b), "b": np.maximum(a, b), "more": more})
+
+    return run
 
 
 def shingle_set(words: str, shingle: int) -> Column:
@@ -254,24 +359,52 @@ def shingle_set(words: str, shingle: int) -> Column:
 
 
 def similar_links(docs: DataFrame, firsts: DataFrame, similarity: float, shingle: int, distance: int) -> DataFrame:
-    """``a`` and ``b``: fingerprints of those of ``firsts`` whose texts have at least that Jaccard similarity.
+    """``a`` and ``b``: links that connect what pairs of at least that Jaccard similarity connect.
 
     ``firsts`` holds ``doc_id``, ``first_hash`` and ``fp``, a row for each fingerprint. Only texts with
-    another within ``distance`` bits are read for their shingles; each pair of them is verified.
+    another within ``distance`` bits are read for their shingles. Every pair within ``distance`` bits is verified, or
+    bounded away by its bucket counts, or of one set already: rows grow with the members, however dense a
+    group is, but for pairs just below ``similarity`` that the bound can't tell.
     """
-    pairs = stage(close_pairs(firsts, distance), "pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    wanted = firsts.join(nodes, "fp", "left_semi").select(F.col("doc_id").alias("_id"), "first_hash", "fp")
+    met = _placed(firsts, distance).groupBy("anchor").applyInArrow(_accompanied(distance), "anchor int, close boolean, fp long")
+    met = stage(met, "met")
+    wanted = firsts.join(met.select("fp").distinct(), "fp", "left_semi").select(F.col("doc_id").alias("_id"), "first_hash", "fp")
     texts = document_texts(docs)
-    met = texts.join(wanted, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("first_hash")))
-    words = met.dropDuplicates(["fp"]).select("fp", words_of(ascii_lower("text")).alias("_words"))
+    found = texts.join(wanted, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("first_hash")))
+    words = found.dropDuplicates(["fp"]).select("fp", words_of(ascii_lower("text")).alias("_words"))
     sets = stage(words.select("fp", shingle_set("_words", shingle).alias("_set")), "shingles")
-    both = (
-        pairs.join(sets.select(F.col("fp").alias("a"), F.col("_set").alias("_left")).hint("merge"), "a")
-        .join(sets.select(F.col("fp").alias("b"), F.col("_set").alias("_right")).hint("merge"), "b")
-        .select("a", "b", F.size("_left").alias("_m"), F.size("_right").alias("_n"), F.size(F.array_intersect("_left", "_right")).alias("_both"))
-    )
-    return both.where((F.col("_both") > 0) & (F.col("_both") >= F.lit(similarity) * (F.col("_m") + F.col("_n") - F.col("_both")) - 1e-9)).select("a", "b")
+    bounds = sets.mapInArrow(_bucket_counts, "fp long, size int, counts binary")
+    places = stage(met.join(bounds.where("size > 0").hint("merge"), "fp"), "places")
+    links, tested, labels, most = None, None, None, 1
+    while True:
+        rows = places.withColumn("label", F.col("fp"))
+        if labels is not None:
+            rows = places.join(labels.hint("merge"), "fp", "left").withColumn("label", F.coalesce("component", "fp")).drop("component")
+        named = rows.groupBy("anchor").applyInArrow(
+            _name_partners(distance, similarity, most), "anchor int, a long, b long, more boolean"
+        )
+        named = stage(named, "named")
+        pairs = named.select("a", "b").distinct()
+        if tested is not None:
+            pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
+        both = (
+            pairs.join(sets.select(F.col("fp").alias("a"), F.col("_set").alias("_left")).hint("merge"), "a")
+            .join(sets.select(F.col("fp").alias("b"), F.col("_set").alias("_right")).hint("merge"), "b")
+            .select("a", "b", F.size("_left").alias("_m"), F.size("_right").alias("_n"), F.size(F.array_intersect("_left", "_right")).alias("_both"))
+        )
+        checked = both.select("a", "b", _reaches(F.col("_both"), F.col("_m"), F.col("_n"), similarity).alias("_linked"))
+        checked = stage(checked, "checked")
+        fresh = checked.where("_linked").select("a", "b")
+        links = fresh if links is None else links.union(fresh)
+        dense = stage(named.where("more").select("anchor").distinct(), "dense")
+        if dense.isEmpty():
+            return links
+        tested = checked.select("a", "b") if tested is None else tested.union(checked.select("a", "b"))
+        places, joined = places.join(dense, "anchor", "left_semi"), fresh.count()
+        if 2 * joined <= checked.count():
+            most *= 8
+        if joined:
+            labels = stage(components(links).withColumnRenamed("node", "fp"), "labels")
 
 
 def _grouped(docs: DataFrame, threshold: int) -> DataFrame:
