@@ -21,10 +21,24 @@ NOW = dt.datetime(2024, 2, 1)
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
+# Rows that one task turns into payloads.
+PAYLOADS = 25_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, size: int = PAYLOADS) -> DataFrame:
+    """The same rows, dealt over tasks of about ``size`` rows each.
+
+    A row group of a narrow table holds a million rows in a few megabytes and is read by one task. What
+    is made of its rows would be that one task's work.
+    """
+    parts = -(-rows.count() // size)
+    return rows.repartition(parts) if parts > 1 else rows
+
+
 def observe(events: DataFrame, *extra: str) -> DataFrame:
     """Events as parsed, uncleaned forecast rows: text and out-of-range numbers occur."""
     e, k, v = F.col("event_id"), F.get_json_object("props", "$.k").cast("int"), F.col("value")
@@ -203,9 +217,14 @@ def _days(build) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(2)), build)
 
 
+def _keyed(events: DataFrame) -> DataFrame:
+    """Events with the text of their number ``k``, read once for all places of a payload that show it."""
+    return events.withColumn("_k", F.get_json_object("props", "$.k"))
+
+
 def _payload(provider: str) -> Column:
-    """The payload of a provider built from one event: three forecasts."""
-    e, v, k = F.col("event_id"), F.col("value"), F.get_json_object("props", "$.k").cast("int")
+    """The payload of a provider built from one event (``_keyed``): three forecasts."""
+    e, v, k = F.col("event_id"), F.col("value"), F.col("_k").cast("int")
     zone = _pick(F.col("user_id"), *ZONES)
     hours = F.array(*[F.lit(h) for h in ZONE_HOURS])[(F.col("user_id") % 3).cast("int")]
     offset = _pick(F.col("user_id"), *ZONE_OFFSETS)
@@ -368,7 +387,8 @@ def _envelope(source: Column, payload: Column, place: Column | None = None, hour
 
 def provider_bronze(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
     """Every event as a payload of one provider."""
-    return table(spark, sf_dir, "events").select(*_envelope(F.lit(provider), _payload(provider)))
+    events = _keyed(spread(table(spark, sf_dir, "events")))
+    return events.select(*_envelope(F.lit(provider), _payload(provider)))
 
 
 PROVIDER_ORDER = tuple(sorted(PARSERS))
@@ -390,11 +410,11 @@ def mix_providers(events: DataFrame, place: Column | None = None, hour: Column |
         .when(kind == 10, F.lit('{"forecast": [{"date": "soon", "maxTemp": 3}]}'))
         .otherwise(payload)
     )
-    return events.select(*_envelope(source, payload, place, hour))
+    return _keyed(events).select(*_envelope(source, payload, place, hour))
 
 
 def mixed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_providers(table(spark, sf_dir, "events"))
+    return mix_providers(spread(table(spark, sf_dir, "events")))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
