@@ -7,13 +7,14 @@ follows the batch and not the table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from contextlib import nullcontext
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import ExitStack, contextmanager, nullcontext
 from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from tidemark.operators.layout import Month, conform, derived_folders, folder_names, folder_sources, with_folders
 from tidemark.session import staged
@@ -22,6 +23,9 @@ from tidemark.session import staged
 #: Errors of Spark and of the file system, which count as a sink's failure; others are faults of the program.
 SINK_ERRORS = (PySparkException, Py4JJavaError, OSError)
 
+# Rows of a batch whose keys are sent to every task, so that a large target's keys are not shuffled.
+FEW = 100_000
+
 
 def first_per_key(
     batch: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], last: bool = False
@@ -38,12 +42,17 @@ def first_per_key(
     ties = [f.name for f in batch.schema.fields if f.name in rest and not isinstance(f.dataType, T.MapType)]
     order = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order_by], *[F.col(name) for name in ties])
     pick = F.max_by if last else F.min_by
-    chosen = batch.groupBy(*keys).agg(pick(F.struct(*rest), order).alias("_row"))
+    chosen = batch.groupBy(key_hash(keys), *keys).agg(pick(F.struct(*rest), order).alias("_row"))
     return chosen.select(*keys, *[F.col("_row").getField(name).alias(name) for name in rest]).select(
         *batch.columns
     )
 
 
+def key_hash(keys: Sequence[str]) -> Column:
+    """A hash of the key; in front of the key it lets a sort tell most keys apart by one number."""
+    return F.xxhash64(*keys).alias("_key_hash")
+
+
 def _same_key(left: str, right: str, keys: Sequence[str], nullable: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
@@ -151,14 +160,23 @@ def read_table(
 
     With ``partition_by`` the folder columns that follow from others are there too, for pruning.
     """
-    derived = derived_folders(partition_by)
-    schema = T.StructType(schema.fields + [T.StructField(name, T.DateType()) for name in derived])
+    schema = _with_derived(schema, partition_by)
+    found = _read_written(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def _with_derived(schema: T.StructType, partition_by: Sequence[str | Month]) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField(name, T.DateType()) for name in derived_folders(partition_by)])
+
+
+def _read_written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A Parquet table, or nothing when it has not been written yet."""
     try:
         return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
 
 
 def touched(
@@ -176,14 +194,49 @@ def touched(
         return target
     batch = with_folders(batch, partition_by)
     bounded = [*names, *[key for key in keys if key not in names]]
-    found = batch.agg(
+    return _within(target, batch.agg(*_extremes(bounded)).first(), batch.select(*names).distinct(), bounded)
+
+
+def _extremes(bounded: Sequence[str]) -> list[Column]:
+    """Bounds and number of nulls of columns."""
+    return [
         *[f(name).alias(f"{kind}_{i}") for i, name in enumerate(bounded) for kind, f in (("min", F.min), ("max", F.max))],
         *[F.count_if(F.col(name).isNull()).alias(f"nulls_{i}") for i, name in enumerate(bounded)],
-    ).first()
+    ]
+
+
+def _within(target: DataFrame, found: Row, folders: DataFrame, bounded: Sequence[str]) -> DataFrame:
+    """``target`` within the bounds ``found`` of its columns ``bounded``, and in ``folders``."""
     for i, name in enumerate(bounded):
         within = F.col(name).between(F.lit(found[f"min_{i}"]), F.lit(found[f"max_{i}"]))
         target = target.where(within | F.col(name).isNull() if found[f"nulls_{i}"] else within)
-    return narrowed_rows(target, batch.select(*names).distinct(), names)
+    return narrowed_rows(target, folders, folders.columns)
+
+
+@contextmanager
+def _footprint(
+    batch: DataFrame, partition_by: Sequence[str | Month], keys: Sequence[str]
+) -> Iterator[tuple[int, Callable[[DataFrame], DataFrame]]]:
+    """The number of rows of ``batch``, and what limits a target as ``touched`` does, in one pass over the batch.
+
+    A row per folder is written to the work folder. Keys that are texts are not bounded: their bounds
+    would have to be found by a sort.
+    """
+    names = folder_names(partition_by)
+    if not names:
+        yield batch.count(), lambda target: target
+        return
+    plain = [k for k in keys if k not in names and not isinstance(batch.schema[k].dataType, T.StringType)]
+    rows = with_folders(batch, partition_by).groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"), *_extremes(plain))
+    with staged(rows, "folders") as folders:
+        total = folders.agg(
+            F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+            *[f(f"{kind}_{i}").alias(f"{kind}_{i}") for i in range(len(plain)) for kind, f in (("min", F.min), ("max", F.max))],
+            *[F.sum(f"nulls_{i}").alias(f"nulls_{i}") for i in range(len(plain))],
+        ).first()
+        bounds = folders.agg(*_extremes(names)).first()
+        mine = folders.select(*names)
+        yield total["rows"], lambda target: _within(_within(target, bounds, mine, names), total, mine, plain)
 
 
 def narrowed_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -191,31 +244,52 @@ def narrowed_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
     return target.alias("t").join(batch.alias("b"), _same_key("t", "b", keys, keys), "left_semi")
 
 
-def _writer(df: DataFrame, mode: str, partition_by: Sequence[str | Month], keys: Sequence[str]):
-    """A writer of ``df`` into folders, one shuffle that gathers each folder's rows.
+def _gathered(df: DataFrame, partition_by: Sequence[str | Month]) -> DataFrame:
+    """``df`` with its folder columns, each folder's rows gathered by one shuffle.
 
-    Adaptive execution splits large folders over several tasks. Files of month folders are sorted by date and key, and
+    Adaptive execution splits large folders over several tasks.
+    """
+    names = folder_names(partition_by)
+    return with_folders(df, partition_by).hint("rebalance", *[F.col(name) for name in names]) if names else df
+
+
+def _sorted(rows: DataFrame, partition_by: Sequence[str | Month], keys: Sequence[str]) -> DataFrame:
+    """Rows of month folders in the order of their files: by date and key."""
+    if not derived_folders(partition_by):
+        return rows
+    names, sources = folder_names(partition_by), folder_sources(partition_by)
+    order = [*names, *[name for name in sources if name not in names], *[key for key in keys if key not in sources]]
+    return rows.sortWithinPartitions(*order)
+
+
+def _writer(
+    df: DataFrame, mode: str, partition_by: Sequence[str | Month], keys: Sequence[str], gathered: bool = False
+):
+    """A writer of ``df`` into folders, one shuffle that gathers each folder's rows unless they are ``gathered``.
+
+    Files of month folders are sorted by date and key, and
     Parquet adds Bloom filters on the key's texts where they are too many for a dictionary, so a reader of
     a few days or places skips most row groups.
     """
     names = folder_names(partition_by)
     if not names:
         return df.write.mode(mode)
-    rows = with_folders(df, partition_by).hint("rebalance", *[F.col(name) for name in names])
+    rows = with_folders(df, partition_by) if gathered else _gathered(df, partition_by)
+    writer = _sorted(rows, partition_by, keys).write.mode(mode)
     if not derived_folders(partition_by):
-        return rows.write.mode(mode).partitionBy(*names)
-    sources = folder_sources(partition_by)
-    order = [*names, *[name for name in sources if name not in names], *[key for key in keys if key not in sources]]
-    writer = rows.sortWithinPartitions(*order).write.mode(mode).option("parquet.bloom.filter.adaptive.enabled", "true")
+        return writer.partitionBy(*names)
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     for key in keys:
         if isinstance(df.schema[key].dataType, T.StringType):
             writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
     return writer.partitionBy(*names)
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str | Month] = (), keys: Sequence[str] = ()) -> None:
-    """Plain append; ``keys`` only order the rows of a file."""
-    _writer(df, "append", partition_by, keys).parquet(path)
+def append(
+    df: DataFrame, path: str, partition_by: Sequence[str | Month] = (), keys: Sequence[str] = (), gathered: bool = False
+) -> None:
+    """Plain append; ``keys`` only order the rows of a file. ``gathered`` rows of a folder are not shuffled again."""
+    _writer(df, "append", partition_by, keys, gathered).parquet(path)
 
 
 def replace_partitions(
@@ -271,47 +345,83 @@ def insert_ignore_copies(
 ) -> list[LoadResult | Exception]:
     """``insert_ignore_into`` for several copies of one table, with one pass over the batch.
 
-    The keys that the copies know carry a bit per copy, so one join finds the rows that any copy lacks,
-    and the first row of a key is picked once; each copy then takes what it lacks. A copy that
-    can't be read or written gives its error instead of a result, and does not stop the others.
+    The keys that the copies know carry a bit per copy, so one aggregate of keys finds those that any copy lacks;
+    only their rows are read whole, and the first row of a key is picked once. Nothing is compared while no copy has
+    been written. New rows are gathered and sorted once, on their way to the work folder, and each copy then takes
+    what it lacks. A copy that can't be read or written gives its error instead of a result, and does not stop the others.
     """
     if not set(folder_sources(partition_by)) <= set(keys):
         raise ValueError("Partition columns must be part of the key")
     outcome: dict[int, LoadResult | Exception] = {}
     with staged(conform(batch, schema), "batch") as batch:
-        known = None
+        targets: dict[int, DataFrame] = {}
         for i, path in enumerate(paths):
             try:
-                target = touched(read_table(batch.sparkSession, path, schema, partition_by), batch, partition_by, keys)
+                target = _read_written(batch.sparkSession, path, _with_derived(schema, partition_by))
+                if target is not None:
+                    targets[i] = target
             except SINK_ERRORS as error:
                 outcome[i] = error
-                continue
-            found = narrowed(target, batch, keys, nullable).withColumn("_copies", F.lit(1 << i))
-            known = found if known is None else known.union(found)
-        if known is None:
+        if len(outcome) == len(paths):
             return [outcome[i] for i in range(len(paths))]
         every = sum(1 << i for i in range(len(paths)) if i not in outcome)
-        known = known.groupBy(*keys).agg(F.bit_or("_copies").alias("_copies"))
-        joined = batch.alias("b").join(known.alias("t"), _same_key("b", "t", keys, nullable), "left")
-        lacking = joined.select(
-            *[F.col(f"b.{name}").alias(name) for name in schema.names], F.coalesce("t._copies", F.lit(0)).alias("_copies")
-        ).where(F.col("_copies") != every)
-        with staged(first_per_key(lacking, keys, order_by), "new") as new:
-            rows_in = batch.count()
+        with ExitStack() as held:
+            if targets:
+                rows_in, limit = held.enter_context(_footprint(batch, partition_by, keys))
+                known = reduce(
+                    DataFrame.union,
+                    [limit(t).select(*keys, F.lit(1 << i).alias("_copies")) for i, t in targets.items()],
+                )
+                missing = _missing(batch.select(*keys), known, every, keys, nullable, rows_in <= FEW)
+                lacking = _rows_of(batch, held.enter_context(staged(missing, "missing")), keys)
+            else:
+                rows_in, lacking = batch.count(), batch.withColumn("_copies", F.lit(0))
+            new = _gathered(first_per_key(lacking, keys, order_by), partition_by)
+            new = held.enter_context(staged(_sorted(new, partition_by, keys), "new"))
+            counts = {row["_copies"]: row["count"] for row in new.groupBy("_copies").count().collect()}
             for i, path in enumerate(paths):
                 if i in outcome:
                     continue
                 own = new.where(F.col("_copies").bitwiseAND(1 << i) == 0).select(*schema.names)
+                inserted = sum(n for copies, n in counts.items() if not copies & 1 << i)
                 try:
-                    inserted = own.count()
                     if inserted:
-                        append(own, path, partition_by, keys)
+                        append(own, path, partition_by, keys, gathered=True)
                     outcome[i] = LoadResult(rows_in, inserted)
                 except SINK_ERRORS as error:
                     outcome[i] = error
     return [outcome[i] for i in range(len(paths))]
 
 
+def _missing(
+    mine: DataFrame, known: DataFrame, every: int, keys: Sequence[str], nullable: Sequence[str], few: bool
+) -> DataFrame:
+    """Keys of a batch that some copy lacks, with the bits of the copies that have them in ``_copies``.
+
+    A key with a null outside ``nullable`` equals no other. ``few``: the batch's keys go to every task, so
+    that a large target's keys are not shuffled.
+    """
+    if few:
+        known = known.alias("t").join(F.broadcast(mine).alias("b"), _same_key("t", "b", keys, nullable), "left_semi")
+    known = known.dropna(subset=[key for key in keys if key not in nullable])
+    own = 1 << every.bit_length()
+    marked = mine.withColumn("_copies", F.lit(own)).union(known)
+    return (
+        marked.groupBy(key_hash(keys), *keys)
+        .agg(F.bit_or("_copies").alias("_copies"))
+        .where((F.col("_copies") >= own) & (F.col("_copies").bitwiseAND(every) != every))
+        .withColumn("_copies", F.col("_copies").bitwiseAND(every))
+    )
+
+
+def _rows_of(batch: DataFrame, missing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``batch`` whose key is in ``missing``, with its ``_copies``; a repeated load misses none."""
+    joined = batch.withColumn("_key_hash", key_hash(keys)).alias("b").join(
+        missing.alias("t"), (F.col("b._key_hash") == F.col("t._key_hash")) & _same_key("b", "t", keys, keys)
+    )
+    return joined.select(*[F.col(f"b.{name}").alias(name) for name in batch.columns], F.col("t._copies").alias("_copies"))
+
+
 def upsert_into(
     batch: DataFrame,
     path: str,
